@@ -115,5 +115,6 @@ BOUND = Domain(
 # Pinned evaluation dates (replace "today" so results are reproducible).
 AS_OF = dt.date(2000, 6, 4)
 FEED_AS_OF = dt.datetime(2024, 1, 15)
+LEDGER_AS_OF = dt.datetime(2024, 1, 3)     # seen-ledger = state after an earlier run
 CURRENT_ROLLING_YEAR = AS_OF.year
 LOADED_AT = dt.datetime(2000, 6, 4, 3, 0, 0)

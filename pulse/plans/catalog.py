@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pulse.domain import BOUND, FEED_AS_OF
 from pulse.plans import marts as M
+from pulse.sources import bindings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +55,97 @@ MART_QUERIES: dict[str, Query] = {
 }
 
 
+
+
+# ---------------------------------------------------------------------------
+# Change capture
+# ---------------------------------------------------------------------------
+
+def _feed_first_entries(spark, sf_dir):
+    from pulse.plans import incremental as I
+    return I.first_entries(bindings.feed(spark, sf_dir), BOUND.first_entry_type).select(
+        "entity_id", "entry_at", "ruling_no")
+
+
+def _first_occurrence_dedup(spark, sf_dir):
+    from pulse.plans import incremental as I
+    return I.discovered(bindings.feed(spark, sf_dir), BOUND.first_entry_type)
+
+
+def _unseen_anti_join(spark, sf_dir):
+    return I_from(spark, sf_dir).unseen
+
+
+def _insert_if_absent(spark, sf_dir):
+    from pulse.plans import incremental as I
+    from pulse.operators import upsert as U
+    disc = I.discovered(bindings.feed(spark, sf_dir), BOUND.first_entry_type)
+    return U.insert_if_absent(bindings.ledger(spark, sf_dir), I.ledger_rows(disc, FEED_AS_OF))
+
+
+def _daily_window_slice(spark, sf_dir):
+    from pulse.plans import incremental as I
+    return I.daily_slice(bindings.feed(spark, sf_dir), FEED_AS_OF)
+
+
+def _enrich_or_retry(spark, sf_dir):
+    r = I_from(spark, sf_dir)
+    return (r.loaded_details.select("entity_id", F.lit("loaded").alias("outcome"))
+            .unionByName(r.failed.select("entity_id", F.lit("failed").alias("outcome"))))
+
+
+def _incremental_run_metrics(spark, sf_dir):
+    return I_from(spark, sf_dir).metrics()
+
+
+def _incremental_register(spark, sf_dir):
+    return I_from(spark, sf_dir).register
+
+
+def _incremental_ledger(spark, sf_dir):
+    return I_from(spark, sf_dir).ledger
+
+
+def _normalise_fields(spark, sf_dir):
+    from pulse.operators.normalise import normalise_register_fields
+    return normalise_register_fields(bindings.details(spark, sf_dir), BOUND, trim=True)
+
+
+def _upsert(preserve: bool):
+    def q(spark, sf_dir):
+        from pulse.operators import upsert as U
+        from pulse.operators.normalise import normalise_register_fields
+        from pulse.plans.incremental import ACTIVITY_COLUMNS
+        upd = normalise_register_fields(bindings.details(spark, sf_dir), BOUND, trim=not preserve)
+        return U.upsert(bindings.register(spark, sf_dir), upd, "entity_id",
+                        preserve=ACTIVITY_COLUMNS if preserve else (), stamp_col="loaded_at",
+                        run_ts=FEED_AS_OF)
+    q.__name__ = "upsert_preserve" if preserve else "upsert_replace"
+    return q
+
+
+def I_from(spark, sf_dir):
+    from pulse.plans import incremental as I
+    return I.from_testdata(spark, sf_dir)
+
+
+CHANGE_QUERIES: dict[str, Query] = {
+    "feed_first_entries": _feed_first_entries,
+    "first_occurrence_dedup": _first_occurrence_dedup,
+    "unseen_anti_join": _unseen_anti_join,
+    "insert_if_absent": _insert_if_absent,
+    "daily_window_slice": _daily_window_slice,
+    "enrich_or_retry": _enrich_or_retry,
+    "incremental_run_metrics": _incremental_run_metrics,
+    "incremental_register": _incremental_register,
+    "incremental_ledger": _incremental_ledger,
+    "normalise_fields": _normalise_fields,
+    "upsert_replace": _upsert(False),
+    "upsert_preserve": _upsert(True),
+}
+
+
 def all_queries() -> dict[str, Query]:
     out = dict(MART_QUERIES)
+    out.update(CHANGE_QUERIES)
     return out

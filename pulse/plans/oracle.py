@@ -10,7 +10,7 @@ are restructured for scale) is therefore a real cross-check.
 
 from __future__ import annotations
 
-from pulse.domain import AS_OF, BOUND, FEED_AS_OF, LOADED_AT
+from pulse.domain import AS_OF, BOUND, FEED_AS_OF, LEDGER_AS_OF, LOADED_AT
 
 D = BOUND
 ASOF = f"DATE '{AS_OF.isoformat()}'"
@@ -18,6 +18,7 @@ ASOF_TS = f"TIMESTAMP '{AS_OF.isoformat()} 00:00:00'"
 LOADED = f"TIMESTAMP '{LOADED_AT.isoformat(sep=' ')}'"
 YEAR = AS_OF.year
 FEED_TS = f"TIMESTAMP '{FEED_AS_OF.isoformat(sep=' ')}'"
+LEDGER_TS = f"TIMESTAMP '{LEDGER_AS_OF.isoformat(sep=' ')}'"
 
 
 def _q(vals) -> str:
@@ -109,13 +110,13 @@ b_details AS (
          CASE WHEN event_type IN ('purchase', 'click') THEN 'Activity S' || CAST(event_id % 100 AS VARCHAR) END AS activity_name,
          CASE WHEN event_type IN ('purchase', 'click') THEN 'V2' END AS activity_version
   FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
-        FROM events) WHERE rn = 1
+        FROM events) WHERE rn = 1 AND event_type <> 'error'
 ),
 b_ledger AS (
   SELECT CAST(user_id AS VARCHAR) AS entity_id, ts AS first_seen_at, ts AS source_entry_at,
          CAST(event_id AS VARCHAR) AS source_ruling_no
   FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
-        FROM events WHERE event_type = 'signup' AND ts < {FEED_TS}) WHERE rn = 1
+        FROM events WHERE event_type = 'signup' AND ts < {LEDGER_TS}) WHERE rn = 1
 )"""
 
 DERIVED = f"""
@@ -261,3 +262,98 @@ QUALIFY rank <= 10"""),
     "kpi_data_freshness": with_ctes(
         "SELECT max(founded_on) AS latest_founded_on, max(loaded_at) AS latest_loaded_at FROM b_register"),
 }
+
+
+# ---------------------------------------------------------------------------
+# Change capture
+# ---------------------------------------------------------------------------
+
+def normalised(src: str, trim: bool) -> str:
+    t = (lambda e: f"trim({e})") if trim else (lambda e: e)
+
+    def dflt(c, d, w):
+        return t(f"left(coalesce(nullif(trim({c}), ''), '{d}'), {w})")
+
+    def cut(c, w):
+        return t(f"left(nullif(trim({c}), ''), {w})")
+    return f"""SELECT trim(entity_id) AS entity_id,
+         {dflt('legal_form', D.default_legal_form, 100)} AS legal_form,
+         founded_on,
+         {dflt('county', D.default_county, 100)} AS county,
+         {dflt('status', D.default_status, 100)} AS status,
+         {cut('activity_code', 50)} AS activity_code,
+         {cut('activity_name', 255)} AS activity_name,
+         {cut('activity_version', 50)} AS activity_version
+  FROM {src} WHERE nullif(trim(entity_id), '') IS NOT NULL"""
+
+
+REGISTER_COLS = ["entity_id", "legal_form", "founded_on", "county", "status", "activity_code",
+                 "activity_name", "activity_version", "loaded_at"]
+ACTIVITY = ("activity_code", "activity_name", "activity_version")
+
+
+def upsert_sql(target: str, upd: str, preserve: bool, run_ts: str) -> str:
+    cols = ["coalesce(u.entity_id, t.entity_id) AS entity_id"]
+    for c in REGISTER_COLS[1:]:
+        if c == "loaded_at":
+            cols.append(f"CASE WHEN u.entity_id IS NOT NULL THEN {run_ts} ELSE t.loaded_at END AS loaded_at")
+        elif preserve and c in ACTIVITY:
+            cols.append(f"CASE WHEN u.entity_id IS NOT NULL THEN coalesce(u.{c}, t.{c}) ELSE t.{c} END AS {c}")
+        else:
+            cols.append(f"CASE WHEN u.entity_id IS NOT NULL THEN u.{c} ELSE t.{c} END AS {c}")
+    return (f"SELECT {', '.join(cols)}\nFROM {target} t FULL OUTER JOIN {upd} u "
+            f"ON t.entity_id = u.entity_id")
+
+
+FEED_DAY_START = "TIMESTAMP '2024-01-14 00:00:00'"
+
+CHANGE = f"""
+disc AS (
+  SELECT entity_id, entry_at, ruling_no, page, position FROM (
+    SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY page, position) AS rn
+    FROM b_feed WHERE entry_type = '{D.first_entry_type}') WHERE rn = 1
+),
+unseen AS (
+  SELECT d.* FROM disc d WHERE NOT EXISTS (SELECT 1 FROM b_ledger l WHERE l.entity_id = d.entity_id)
+),
+det_n AS ({normalised('b_details', False)}),
+det_t AS ({normalised('b_details', True)}),
+loaded AS (SELECT * FROM det_n WHERE entity_id IN (SELECT entity_id FROM unseen)),
+failed AS (SELECT * FROM unseen WHERE entity_id NOT IN (SELECT entity_id FROM det_n)),
+seen_rows AS (
+  SELECT entity_id, {FEED_TS} AS first_seen_at, entry_at AS source_entry_at, ruling_no AS source_ruling_no
+  FROM unseen WHERE entity_id IN (SELECT entity_id FROM loaded)
+)"""
+
+
+def with_change(select: str) -> str:
+    return with_ctes(select, CHANGE)
+
+
+CHANGE_SQL: dict[str, str] = {
+    "feed_first_entries": with_change(
+        f"SELECT entity_id, entry_at, ruling_no FROM b_feed WHERE entry_type = '{D.first_entry_type}'"),
+    "first_occurrence_dedup": with_change("SELECT * FROM disc"),
+    "unseen_anti_join": with_change("SELECT * FROM unseen"),
+    "insert_if_absent": with_change(f"""
+SELECT * FROM b_ledger
+UNION ALL
+SELECT d.entity_id, {FEED_TS} AS first_seen_at, d.entry_at, d.ruling_no FROM disc d
+WHERE NOT EXISTS (SELECT 1 FROM b_ledger l WHERE l.entity_id = d.entity_id)"""),
+    "daily_window_slice": with_change(
+        f"SELECT * FROM b_feed WHERE entry_at >= {FEED_DAY_START} AND entry_at < {FEED_TS}"),
+    "enrich_or_retry": with_change("""
+SELECT entity_id, 'loaded' AS outcome FROM loaded
+UNION ALL SELECT entity_id, 'failed' AS outcome FROM failed"""),
+    "incremental_run_metrics": with_change("""
+SELECT CAST((SELECT count(*) FROM disc) AS BIGINT) AS discovered,
+       CAST((SELECT count(*) FROM unseen) AS BIGINT) AS unseen,
+       CAST((SELECT count(*) FROM loaded) AS BIGINT) AS upserted,
+       CAST((SELECT count(*) FROM seen_rows) AS BIGINT) AS seen_inserted,
+       CAST((SELECT count(*) FROM failed) AS BIGINT) AS failed"""),
+    "incremental_register": with_change(upsert_sql("b_register", "loaded", True, FEED_TS)),
+    "incremental_ledger": with_change("SELECT * FROM b_ledger UNION ALL SELECT * FROM seen_rows"),
+    "normalise_fields": with_change("SELECT * FROM det_t"),
+    "upsert_replace": with_change(upsert_sql("b_register", "det_t", False, FEED_TS)),
+    "upsert_preserve": with_change(upsert_sql("b_register", "det_n", True, FEED_TS)),
+}

@@ -9,4 +9,5 @@ def all_oracles() -> dict[str, str]:
     out = dict(O.MART_SQL)
     out["mart_filtered"] = O.with_ctes(
         "SELECT * FROM rate WHERE county IN ('1', '7', '13', '24') AND year IN (1996, 1999)")
+    out.update(O.CHANGE_SQL)
     return out

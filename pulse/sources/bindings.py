@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.domain import FEED_AS_OF, LOADED_AT
+from pulse.domain import LEDGER_AS_OF, LOADED_AT
 
 # Candidate offsets for the code crosswalk: each old code gets a bounded
 # number of successors (a linear-size relation, never all pairs of a group).
@@ -65,7 +65,7 @@ def register(spark: SparkSession, sf_dir: str) -> DataFrame:
                 _s("S", F.col("main_supp")).alias("activity_code"),
                 _s("Activity S", F.col("main_supp")).alias("activity_name"),
                 F.when(F.col("o_orderkey") % 3 == 0, "V1").otherwise("V2").alias("activity_version"),
-                F.lit(LOADED_AT).alias("loaded_at"),
+                F.lit(LOADED_AT).cast("timestamp_ntz").alias("loaded_at"),
             ))
 
 
@@ -110,7 +110,7 @@ def population(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("l_returnflag").alias("sex"),
                      F.col("l_linestatus").alias("ethnicity"))
             .agg(F.sum("l_quantity").cast("long").alias("population"))
-            .withColumn("loaded_at", F.lit(LOADED_AT)))
+            .withColumn("loaded_at", F.lit(LOADED_AT).cast("timestamp_ntz")))
 
 
 def county_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,7 +139,8 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Detail payload per entity = its latest event (ts DESC, event_id DESC).
+    """Detail payload per entity = its latest event (ts DESC, event_id DESC),
+    absent when that event is an error.
 
     Reduced with ``max_by`` on a struct, a hash aggregate with map-side
     partial results, so a hot entity never lands whole in one task.
@@ -150,7 +151,8 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
                             F.struct("ts", "event_id")).alias("e"))
               .select("user_id", "e.*"))
     has_activity = F.col("event_type").isin("purchase", "click")
-    return latest.select(
+    # a fetch whose latest event is an error returns no payload (-> retried next run)
+    return latest.filter(F.col("event_type") != "error").select(
         F.col("user_id").cast("string").alias("entity_id"),
         F.col("event_type").alias("legal_form"),
         F.col("ts").cast("date").alias("founded_on"),
@@ -162,8 +164,8 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ledger(spark: SparkSession, sf_dir: str, as_of=FEED_AS_OF) -> DataFrame:
-    """Seen-ledger: entities with a first entry strictly before the feed date.
+def ledger(spark: SparkSession, sf_dir: str, as_of=LEDGER_AS_OF) -> DataFrame:
+    """Seen-ledger: entities with a first entry strictly before ``as_of`` (an earlier run).
 
     (entity_id, first_seen_at, source_entry_at, source_ruling_no), one row per entity.
     """
