@@ -62,8 +62,10 @@ MART_QUERIES: dict[str, Query] = {
 # ---------------------------------------------------------------------------
 
 def _feed_first_entries(spark, sf_dir):
-    from pulse.plans import incremental as I
-    return I.first_entries(bindings.feed(spark, sf_dir), BOUND.first_entry_type).select(
+    """A7 + C6: parse feed pages (XML), one row per first-registration entry."""
+    from pulse.sources import feed, payloads
+    return feed.first_entries_from_pages(payloads.feed_pages(spark, sf_dir),
+                                         BOUND.first_entry_type).select(
         "entity_id", "entry_at", "ruling_no")
 
 
@@ -145,7 +147,152 @@ CHANGE_QUERIES: dict[str, Query] = {
 }
 
 
+# ---------------------------------------------------------------------------
+# Raw sources and ingest normalisation
+# ---------------------------------------------------------------------------
+
+def _register_xml_parse(spark, sf_dir):
+    from pulse.domain import LOADED_AT
+    from pulse.sources import payloads, register_xml
+    return register_xml.parse_register_payloads(payloads.register_dump(spark, sf_dir),
+                                                 run_ts=LOADED_AT)
+
+
+def _order_activities(spark, sf_dir):
+    from pulse.functions import parse as P
+    lines = (bindings.table(spark, sf_dir, "lineitem")
+             .groupBy("l_orderkey")
+             .agg(F.array_sort(F.collect_list(F.struct(
+                 "l_linenumber", "l_suppkey", "l_partkey", "l_returnflag"))).alias("lines")))
+    items = F.transform("lines", lambda x: F.struct(
+        F.concat(F.lit("S"), x["l_suppkey"].cast("string")).alias("code"),
+        F.concat(F.lit("Activity S"), x["l_suppkey"].cast("string")).alias("name"),
+        F.lit(None).cast("string").alias("version_text"),
+        F.concat(F.lit("V"), x["l_linenumber"].cast("string")).alias("version"),
+        F.when(x["l_returnflag"] == "R", "jah").otherwise("ei").alias("is_main")))
+    return lines.select(F.col("l_orderkey").cast("string").alias("entity_id"),
+                        P.main_activity(P.activity_items(items)).alias("a"))
+
+
+def _main_activity_pick(spark, sf_dir):
+    """B1 + B9: main activity per order from its ordered line items."""
+    a = _order_activities(spark, sf_dir)
+    return a.select("entity_id", F.col("a.code").alias("activity_code"),
+                    F.col("a.name").alias("activity_name"),
+                    F.col("a.version").alias("activity_version"))
+
+
+def _address_tail(spark, sf_dir):
+    """B2: county = last non-blank comma part of a customer address."""
+    from pulse.functions.text import address_tail
+    c = bindings.table(spark, sf_dir, "customer")
+    n = bindings.table(spark, sf_dir, "nation")
+    a = c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
+        F.col("c_custkey").cast("string").alias("customer_id"),
+        F.concat_ws(", ", F.concat(F.lit("Street "), F.col("c_custkey").cast("string")),
+                    F.col("c_mktsegment"),
+                    F.when(F.col("c_acctbal") < 0, F.lit(" ")).otherwise(F.col("n_name"))
+                    ).alias("address"))
+    return a.select("customer_id", "address", address_tail("address").alias("county"))
+
+
+def _multi_format_date(spark, sf_dir):
+    """B3 + T14: dates rendered in several formats (or junk) and parsed back."""
+    from pulse.functions.parse import multi_format_date
+    o = bindings.table(spark, sf_dir, "orders")
+    d = F.col("o_orderdate").cast("date")
+    raw = (F.when(F.col("o_orderpriority") == "5-LOW", F.lit("n/a"))
+           .when(F.col("o_orderstatus") == "F", F.date_format(d, "d.M.yyyy"))
+           .when(F.col("o_orderstatus") == "P", F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit("Z")))
+           .otherwise(F.date_format(d, "yyyy-M-d")))
+    return o.select(F.col("o_orderkey").cast("string").alias("entity_id"),
+                    multi_format_date(raw).alias("founded_on"))
+
+
+def _cube_flatten(spark, sf_dir):
+    """A2 + B12: population rendered as one cube per county, flattened back."""
+    from pulse.sources import cube
+    dims = ["year", "age_band", "county", "sex", "ethnicity"]
+    cubes = cube.build_cubes(bindings.population(spark, sf_dir), "county", dims, "population")
+    return cube.flatten_cube(cubes, dims, value_name="population", int_dims=("year",))
+
+
+def _detail_extract(spark, sf_dir):
+    """A8 + B7 + B8: detail payloads with alternative field names -> register rows."""
+    from pulse.sources import feed, payloads
+    return feed.detail_records(payloads.detail_payloads(spark, sf_dir))
+
+
+def _delimited_scan(spark, sf_dir):
+    """A3 + A4 + A5: classification written as ';' CSV with raw headers, read back."""
+    from pulse.domain import LOADED_AT
+    from pulse.operators.ids import dense_surrogate_id
+    from pulse.session import shared_dir
+    from pulse.sources import delimited as DL
+    path = shared_dir(spark, "classification-csv")
+    raw_header = ["Code", "Parent Code?", "Label Text"]
+    DL.write_delimited(bindings.classification(spark, sf_dir), path, raw_header)
+    df = DL.read_delimited(spark, path, raw_header)
+    return DL.with_load_stamp(dense_surrogate_id(df, ["code"], out="id"), LOADED_AT)
+
+
+def _dense_surrogate_id(spark, sf_dir):
+    """A5 at scale: ids 1..n in (founded_on, entity_id) order without a global window."""
+    from pulse.operators.ids import dense_surrogate_id
+    r = bindings.register(spark, sf_dir).select("entity_id", "founded_on")
+    return dense_surrogate_id(r, ["founded_on", "entity_id"], out="id")
+
+
+def _schema_align(spark, sf_dir):
+    """A10: an older register extract (extra personal-name column, no load stamp)
+    aligned to the current staging schema."""
+    from pulse.operators.schema import align_to
+    reg = bindings.register(spark, sf_dir)
+    cust = bindings.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    orders = bindings.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    names = orders.join(cust, orders.o_custkey == cust.c_custkey, "left").select(
+        F.col("o_orderkey").cast("string").alias("entity_id"), F.col("c_name").alias("name"))
+    old = reg.drop("loaded_at").join(names, "entity_id", "left")
+    return align_to(old, reg.schema, drop=("name",))
+
+
+def _full_refresh(spark, sf_dir):
+    """Reload the classification twice into the same table; no duplicates remain."""
+    from pulse.session import shared_dir
+    from pulse.sources import tables
+    path = shared_dir(spark, "classification")
+    tables.full_refresh(spark, path, bindings.classification(spark, sf_dir))
+    return tables.full_refresh(spark, path, bindings.classification(spark, sf_dir))
+
+
+def _load_if_missing(spark, sf_dir):
+    """A9 + A12: the first call loads the county seed, the second finds the table and skips."""
+    from pulse.session import shared_dir
+    from pulse.sources import tables
+    path = shared_dir(spark, "county-seed")
+    tables.load_if_missing(spark, path, lambda: bindings.county_seed(spark, sf_dir))
+    df, loaded = tables.load_if_missing(spark, path, lambda: bindings.classification(spark, sf_dir))
+    assert not loaded
+    return df
+
+
+SOURCE_QUERIES: dict[str, Query] = {
+    "register_xml_parse": _register_xml_parse,
+    "main_activity_pick": _main_activity_pick,
+    "address_tail": _address_tail,
+    "multi_format_date": _multi_format_date,
+    "cube_flatten": _cube_flatten,
+    "detail_extract": _detail_extract,
+    "delimited_scan": _delimited_scan,
+    "dense_surrogate_id": _dense_surrogate_id,
+    "schema_align": _schema_align,
+    "full_refresh": _full_refresh,
+    "load_if_missing": _load_if_missing,
+}
+
+
 def all_queries() -> dict[str, Query]:
     out = dict(MART_QUERIES)
     out.update(CHANGE_QUERIES)
+    out.update(SOURCE_QUERIES)
     return out

@@ -332,7 +332,8 @@ def with_change(select: str) -> str:
 
 CHANGE_SQL: dict[str, str] = {
     "feed_first_entries": with_change(
-        f"SELECT entity_id, entry_at, ruling_no FROM b_feed WHERE entry_type = '{D.first_entry_type}'"),
+        f"SELECT entity_id, date_trunc('second', entry_at) AS entry_at, ruling_no FROM b_feed "
+        f"WHERE entry_type = '{D.first_entry_type}'"),
     "first_occurrence_dedup": with_change("SELECT * FROM disc"),
     "unseen_anti_join": with_change("SELECT * FROM unseen"),
     "insert_if_absent": with_change(f"""
@@ -357,3 +358,77 @@ SELECT CAST((SELECT count(*) FROM disc) AS BIGINT) AS discovered,
     "upsert_replace": with_change(upsert_sql("b_register", "det_t", False, FEED_TS)),
     "upsert_preserve": with_change(upsert_sql("b_register", "det_n", True, FEED_TS)),
 }
+
+
+# ---------------------------------------------------------------------------
+# Raw sources
+# ---------------------------------------------------------------------------
+
+MAIN_PICK = """
+act AS (
+  SELECT l_orderkey, l_suppkey, l_linenumber, l_returnflag = 'R' AS main,
+         row_number() OVER (PARTITION BY l_orderkey
+                            ORDER BY l_linenumber, l_suppkey, l_partkey, l_returnflag) AS pos
+  FROM lineitem
+),
+pick AS (
+  SELECT a.l_orderkey, a.l_suppkey, a.l_linenumber FROM act a
+  JOIN (SELECT l_orderkey, coalesce(max(CASE WHEN main THEN pos END), 1) AS chosen
+        FROM act GROUP BY l_orderkey) c
+    ON a.l_orderkey = c.l_orderkey AND a.pos = c.chosen
+)"""
+
+
+def _tr(e: str, w: int) -> str:
+    return f"trim(left({e}, {w}))"
+
+
+SOURCE_SQL: dict[str, str] = {
+    "register_xml_parse": with_ctes(f"""
+SELECT CAST(o.o_orderkey AS VARCHAR) AS entity_id,
+       {_tr("coalesce(nullif(trim(o.o_orderpriority), ''), 'unspecified')", 100)} AS legal_form,
+       CAST(o.o_orderdate AS DATE) AS founded_on,
+       {_tr("coalesce(n.n_name, 'unspecified')", 100)} AS county,
+       {_tr("coalesce(nullif(trim(o.o_orderstatus), ''), 'registered')", 100)} AS status,
+       'S' || CAST(p.l_suppkey AS VARCHAR) AS activity_code,
+       'Activity S' || CAST(p.l_suppkey AS VARCHAR) AS activity_name,
+       CASE WHEN p.l_suppkey IS NULL THEN NULL WHEN o.o_orderkey % 3 = 0 THEN 'V1' ELSE 'V2' END AS activity_version,
+       {LOADED} AS loaded_at
+FROM orders o
+LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN pick p ON p.l_orderkey = o.o_orderkey""", MAIN_PICK),
+    "main_activity_pick": with_ctes("""
+SELECT CAST(l_orderkey AS VARCHAR) AS entity_id, 'S' || CAST(l_suppkey AS VARCHAR) AS activity_code,
+       'Activity S' || CAST(l_suppkey AS VARCHAR) AS activity_name,
+       'V' || CAST(l_linenumber AS VARCHAR) AS activity_version
+FROM pick""", MAIN_PICK),
+    "address_tail": with_ctes("""
+SELECT customer_id, address,
+       list_filter(list_transform(string_split(address, ','), lambda x: trim(x)), lambda x: x <> '')[-1] AS county
+FROM (SELECT CAST(c.c_custkey AS VARCHAR) AS customer_id,
+             'Street ' || CAST(c.c_custkey AS VARCHAR) || ', ' || c.c_mktsegment || ', ' ||
+             CASE WHEN c.c_acctbal < 0 THEN ' ' ELSE n.n_name END AS address
+      FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)"""),
+    "multi_format_date": with_ctes("""
+SELECT CAST(o_orderkey AS VARCHAR) AS entity_id,
+       CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS founded_on
+FROM orders"""),
+    "cube_flatten": with_ctes(
+        "SELECT year, age_band, county, sex, ethnicity, CAST(population AS INTEGER) AS population "
+        "FROM b_population"),
+    "detail_extract": with_change("SELECT * FROM det_n"),
+    "delimited_scan": with_ctes(f"""
+SELECT CAST(row_number() OVER (ORDER BY code) AS BIGINT) AS id, code, parent AS parent_code,
+       label AS label_text, {LOADED} AS created_at
+FROM b_class"""),
+    "dense_surrogate_id": with_ctes("""
+SELECT entity_id, founded_on, CAST(row_number() OVER (ORDER BY founded_on, entity_id) AS BIGINT) AS id
+FROM b_register"""),
+    "schema_align": with_ctes("""
+SELECT entity_id, legal_form, founded_on, county, status, activity_code, activity_name, activity_version,
+       CAST(NULL AS TIMESTAMP) AS loaded_at
+FROM b_register"""),
+    "full_refresh": with_ctes("SELECT * FROM b_class"),
+    "load_if_missing": with_ctes("SELECT * FROM b_county_seed"),
+}

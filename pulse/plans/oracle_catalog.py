@@ -10,4 +10,5 @@ def all_oracles() -> dict[str, str]:
     out["mart_filtered"] = O.with_ctes(
         "SELECT * FROM rate WHERE county IN ('1', '7', '13', '24') AND year IN (1996, 1999)")
     out.update(O.CHANGE_SQL)
+    out.update(O.SOURCE_SQL)
     return out
