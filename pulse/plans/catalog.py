@@ -291,8 +291,52 @@ SOURCE_QUERIES: dict[str, Query] = {
 }
 
 
+# ---------------------------------------------------------------------------
+# Data quality
+# ---------------------------------------------------------------------------
+
+def _quality(*kinds):
+    def q(spark, sf_dir):
+        from pulse.plans.checks import kind_summary
+        return kind_summary(M.Registry.from_testdata(spark, sf_dir), kinds)
+    return q
+
+
+def _quality_summary(spark, sf_dir):
+    """M8: all 57 declared checks, one row each with failures and status."""
+    from pulse.operators.quality import summary
+    from pulse.plans.checks import declared_checks, registry_tables
+    reg = M.Registry.from_testdata(spark, sf_dir)
+    return summary(registry_tables(reg), declared_checks(reg.domain))
+
+
+def _quality_failures(spark, sf_dir):
+    """Failing rows of every check stored (one dataset per check), then counted back."""
+    from pulse.plans.checks import failures_frame
+    from pulse.session import shared_dir
+    path = shared_dir(spark, "quality-failures")
+    (failures_frame(M.Registry.from_testdata(spark, sf_dir))
+     .write.mode("overwrite").partitionBy("check_name").parquet(path))
+    # explicit schema: when every check passes no partition exists
+    return (spark.read.schema("row_json string, check_name string").parquet(path).groupBy("check_name")
+            .agg(F.count(F.lit(1)).cast("long").alias("stored_rows")))
+
+
+QUALITY_QUERIES: dict[str, Query] = {
+    "quality_not_null": _quality("not_null"),
+    "quality_unique": _quality("unique"),
+    "quality_accepted": _quality("accepted"),
+    "quality_relationship": _quality("relationship"),
+    "quality_unique_combo": _quality("unique_combo"),
+    "quality_expression": _quality("expression", "singular"),
+    "quality_summary": _quality_summary,
+    "quality_failures": _quality_failures,
+}
+
+
 def all_queries() -> dict[str, Query]:
     out = dict(MART_QUERIES)
     out.update(CHANGE_QUERIES)
     out.update(SOURCE_QUERIES)
+    out.update(QUALITY_QUERIES)
     return out

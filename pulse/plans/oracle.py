@@ -203,10 +203,10 @@ def with_ctes(select: str, extra: str = "") -> str:
     return f"WITH RECURSIVE {BINDINGS},{DERIVED}{extra_part}\n{select}"
 
 
-MART_SQL: dict[str, str] = {
-    "register_std": with_ctes("SELECT * FROM reg_std"),
-    "hierarchy_closure": with_ctes("SELECT * FROM closure"),
-    "crosswalk_resolve": with_ctes(f"""
+MART_FINAL: dict[str, str] = {
+    "register_std": "SELECT * FROM reg_std",
+    "hierarchy_closure": ("SELECT * FROM closure"),
+    "crosswalk_resolve": f"""
 SELECT DISTINCT x0.old_code, (
     SELECT x.new_code FROM b_crosswalk x WHERE x.old_code = x0.old_code
     ORDER BY CASE WHEN left(x.new_code, 5) = left(x0.old_code, 5) THEN 5
@@ -216,16 +216,16 @@ SELECT DISTINCT x0.old_code, (
                   WHEN left(x.new_code, 1) = left(x0.old_code, 1) THEN 1
                   ELSE 0 END DESC, x.new_code NULLS LAST
     LIMIT 1) AS new_code
-FROM b_crosswalk x0"""),
-    "county_dimension": with_ctes("SELECT * FROM county_dim"),
-    "population_clean": with_ctes("SELECT * FROM pop_clean"),
-    "entity_counts": with_ctes("SELECT * FROM entity_counts"),
-    "trend_by_region": with_ctes("""
+FROM b_crosswalk x0""",
+    "county_dimension": ("SELECT * FROM county_dim"),
+    "population_clean": ("SELECT * FROM pop_clean"),
+    "entity_counts": ("SELECT * FROM entity_counts"),
+    "trend_by_region": """
 SELECT e.rolling_year AS year, e.county, m.region, CAST(sum(e.entity_count) AS BIGINT) AS entity_count,
        e.sector_label, e.in_last_6
 FROM entity_counts e LEFT JOIN county_dim m ON e.county = m.county
-GROUP BY e.rolling_year, e.county, m.region, e.sector_label, e.in_last_6"""),
-    "portfolio_shift": with_ctes(f"""
+GROUP BY e.rolling_year, e.county, m.region, e.sector_label, e.in_last_6""",
+    "portfolio_shift": f"""
 SELECT county, sector_label, entity_count_current, entity_count_earlier,
        {half_up('entity_count_current', 'tot_cur', 100)} AS share_current,
        {half_up('entity_count_earlier', 'tot_prev', 100)} AS share_earlier
@@ -239,30 +239,32 @@ FROM (
   LEFT JOIN (SELECT county, sector_label, sum(entity_count) AS prev FROM entity_counts
              WHERE rolling_year < {YEAR} AND sector_label IS NOT NULL GROUP BY county, sector_label) e
          ON v.county = e.county AND v.sector_label = e.sector_label
-)"""),
-    "rate_per_1000": with_ctes("SELECT * FROM rate"),
-    "rate_geo": with_ctes("""
+)""",
+    "rate_per_1000": ("SELECT * FROM rate"),
+    "rate_geo": """
 SELECT e.year, e.county, e.region, e.working_age_pop, e.entity_count, e.per_1000, e.sector_label, m.map_code
-FROM rate e LEFT JOIN county_dim m ON e.county = m.county"""),
-    "new_by_activity": with_ctes(f"""
+FROM rate e LEFT JOIN county_dim m ON e.county = m.county""",
+    "new_by_activity": f"""
 SELECT ar.legal_group, ar.county, e.root_code, e.root_label,
        {sector('e.root_code', 'e.root_label')} AS sector_label,
        CAST(count(ar.entity_id) AS BIGINT) AS entity_count
 FROM reg_std ar JOIN closure e ON ar.activity_code_std = e.code
 WHERE ar.rolling_year = {YEAR}
-GROUP BY ar.legal_group, ar.county, e.root_code, e.root_label"""),
-    "recent_30d": with_ctes("SELECT * FROM recent"),
-    "top_sectors": with_ctes("""
+GROUP BY ar.legal_group, ar.county, e.root_code, e.root_label""",
+    "recent_30d": ("SELECT * FROM recent"),
+    "top_sectors": """
 SELECT CAST(row_number() OVER (ORDER BY entity_count DESC, sector_label) AS INTEGER) AS rank,
        sector_label, entity_count
 FROM (SELECT sector_label, CAST(sum(entity_count) AS BIGINT) AS entity_count FROM recent GROUP BY sector_label)
-QUALIFY rank <= 10"""),
-    "kpi_recent_total": with_ctes(
+QUALIFY rank <= 10""",
+    "kpi_recent_total": (
         "SELECT CAST(coalesce(sum(entity_count), 0) AS BIGINT) AS recent_total FROM recent"),
-    "kpi_data_freshness": with_ctes(
+    "kpi_data_freshness": (
         "SELECT max(founded_on) AS latest_founded_on, max(loaded_at) AS latest_loaded_at FROM b_register"),
 }
 
+MART_SQL: dict[str, str] = {k: with_ctes(v) for k, v in MART_FINAL.items()}
+
 
 # ---------------------------------------------------------------------------
 # Change capture
@@ -432,3 +434,72 @@ FROM b_register"""),
     "full_refresh": with_ctes("SELECT * FROM b_class"),
     "load_if_missing": with_ctes("SELECT * FROM b_county_seed"),
 }
+
+
+# ---------------------------------------------------------------------------
+# Quality checks: the declared list, evaluated independently in SQL
+# ---------------------------------------------------------------------------
+
+CHECK_TABLES = {
+    "population": "b_population", "register": "b_register", "register_std": "reg_std",
+    "closure": "closure", "county_dimension": "county_dim", "entity_counts": "entity_counts",
+    "population_clean": "pop_clean", "rate_per_1000": "rate", "rate_geo": "q_rate_geo",
+    "new_by_activity": "q_new_by_activity", "portfolio_shift": "q_portfolio_shift",
+}
+QUALITY_CTES = ",\n".join(f"q_{k} AS ({MART_FINAL[k]})"
+                          for k in ("rate_geo", "new_by_activity", "portfolio_shift"))
+
+
+def _lit(v) -> str:
+    return str(v) if isinstance(v, int) else "'" + str(v).replace("'", "''") + "'"
+
+
+def check_sql(ch) -> str:
+    t = CHECK_TABLES[ch.table]
+    head = f"SELECT '{ch.name}' AS check_name, '{ch.kind}' AS kind, '{ch.table}' AS table_name, "
+    if ch.kind == "not_null":
+        n = f"(SELECT count(*) FROM {t} WHERE {ch.columns[0]} IS NULL)"
+    elif ch.kind == "accepted":
+        c = ch.columns[0]
+        n = (f"(SELECT count(*) FROM {t} WHERE {c} IS NOT NULL AND "
+             f"{c} NOT IN ({', '.join(_lit(v) for v in ch.values)}))")
+    elif ch.kind == "expression":
+        n = f"(SELECT count(*) FROM {t} WHERE NOT ({ch.expr}))"
+    elif ch.kind == "singular":
+        n = f"(SELECT count(*) FROM {t} WHERE {ch.expr})"
+    elif ch.kind == "unique":
+        c = ch.columns[0]
+        n = f"(SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1))"
+    elif ch.kind == "unique_combo":
+        cols = ", ".join(ch.columns)
+        n = f"(SELECT count(*) FROM (SELECT {cols} FROM {t} GROUP BY {cols} HAVING count(*) > 1))"
+    elif ch.kind == "relationship":
+        c, p = ch.columns[0], CHECK_TABLES[ch.ref_table]
+        n = (f"(SELECT count(*) FROM {t} x WHERE x.{c} IS NOT NULL AND NOT EXISTS "
+             f"(SELECT 1 FROM {p} y WHERE y.{ch.ref_column} = x.{c}))")
+    else:
+        raise ValueError(ch.kind)
+    return head + f"CAST({n} AS BIGINT) AS failures"
+
+
+def quality_sql(kinds=None, failing_only: bool = False, stored: bool = False) -> str:
+    from pulse.plans.checks import declared_checks
+    checks = [c for c in declared_checks(D) if kinds is None or c.kind in kinds]
+    body = "\nUNION ALL\n".join(check_sql(c) for c in checks)
+    if stored:
+        sel = f"SELECT check_name, failures AS stored_rows FROM ({body}) WHERE failures > 0"
+    else:
+        sel = (f"SELECT *, CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status FROM ({body})")
+    return with_ctes(sel, QUALITY_CTES)
+
+
+QUALITY_SQL: dict[str, str] = {
+    "quality_not_null": quality_sql(("not_null",)),
+    "quality_unique": quality_sql(("unique",)),
+    "quality_accepted": quality_sql(("accepted",)),
+    "quality_relationship": quality_sql(("relationship",)),
+    "quality_unique_combo": quality_sql(("unique_combo",)),
+    "quality_expression": quality_sql(("expression", "singular")),
+    "quality_summary": quality_sql(None),
+    "quality_failures": quality_sql(None, stored=True),
+}

@@ -11,4 +11,5 @@ def all_oracles() -> dict[str, str]:
         "SELECT * FROM rate WHERE county IN ('1', '7', '13', '24') AND year IN (1996, 1999)")
     out.update(O.CHANGE_SQL)
     out.update(O.SOURCE_SQL)
+    out.update(O.QUALITY_SQL)
     return out
