@@ -12,4 +12,10 @@ def all_oracles() -> dict[str, str]:
     out.update(O.CHANGE_SQL)
     out.update(O.SOURCE_SQL)
     out.update(O.QUALITY_SQL)
+    out["stream_first_seen"] = O.CHANGE_SQL["incremental_ledger"]
+    out["stream_replay_idempotent"] = O.CHANGE_SQL["incremental_ledger"]
+    out["stream_register"] = O.CHANGE_SQL["incremental_register"]
+    out["stream_daily_counts"] = O.with_ctes(
+        "SELECT date_trunc('day', ts) AS day, event_type, CAST(count(*) AS BIGINT) AS n "
+        "FROM events GROUP BY 1, 2")
     return out

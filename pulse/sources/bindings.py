@@ -124,9 +124,8 @@ def county_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("n_nationkey") + 1).cast("int").alias("display_order")))
 
 
-def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change-feed entries: (entity_id, entry_type, entry_at, ruling_no, page, position)."""
-    ev = table(spark, sf_dir, "events")
+def feed_rows(ev: DataFrame) -> DataFrame:
+    """Project event rows (batch or streaming) onto feed entries."""
     return ev.select(
         F.col("user_id").cast("string").alias("entity_id"),
         F.col("event_type").alias("entry_type"),
@@ -138,6 +137,11 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change-feed entries: (entity_id, entry_type, entry_at, ruling_no, page, position)."""
+    return feed_rows(table(spark, sf_dir, "events"))
+
+
 def details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detail payload per entity = its latest event (ts DESC, event_id DESC),
     absent when that event is an error.
