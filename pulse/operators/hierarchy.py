@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from pulse.session import ensure_checkpoint_dir
 
 
 def root_closure(tree: DataFrame, code: str = "code", parent: str = "parent",
-                 max_depth: int = 100, checkpoint_every: int = 1) -> DataFrame:
+                 max_depth: int = 100, checkpoint_every: int = 4) -> DataFrame:
     """Map every node reachable from a root to that root.
 
     Seed = nodes whose parent is NULL (root = itself); each round joins the
@@ -17,30 +18,36 @@ def root_closure(tree: DataFrame, code: str = "code", parent: str = "parent",
     parent's root.  Orphans (parent missing) and nodes on cycles are never
     reached and are absent from the output, as in a recursive CTE.
 
-    Each round is one shuffle join of the edge list with the frontier.  The
-    frontier is checkpointed into the shared checkpoint folder so lineage
-    stays short and a lost executor recomputes one round, not all of them.
-    Returns (code, root).
+    Each round is one shuffle join of the edge list with the frontier plus
+    one count (the stop test) over the persisted frontier.  Every
+    ``checkpoint_every`` rounds the frontier is checkpointed into the shared
+    checkpoint folder, which bounds the lineage: a lost executor recomputes
+    at most that many rounds.  Returns (code, root).
     """
     spark = tree.sparkSession
     ensure_checkpoint_dir(spark)
     edges = (tree.select(F.col(code).alias("_child"), F.col(parent).alias("_parent"))
              .filter(F.col("_parent").isNotNull()))
     frontier = (tree.filter(F.col(parent).isNull())
-                .select(F.col(code).alias("code"), F.col(code).alias("root")))
-    frontier = frontier.checkpoint(eager=True)
+                .select(F.col(code).alias("code"), F.col(code).alias("root"))
+                .persist(StorageLevel.MEMORY_AND_DISK))
     levels = [frontier]
-    for depth in range(1, max_depth + 1):
+    n = frontier.count()
+    depth = 0
+    while n:
+        depth += 1
+        if depth > max_depth:
+            raise RuntimeError(f"hierarchy deeper than max_depth={max_depth} (cycle under a root?)")
         nxt = (edges.join(frontier, edges._parent == frontier.code)
                .select(F.col("_child").alias("code"), F.col("root")))
         if checkpoint_every and depth % checkpoint_every == 0:
             nxt = nxt.checkpoint(eager=True)
-        if nxt.isEmpty():
-            break
-        levels.append(nxt)
+        else:
+            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+        n = nxt.count()
+        if n:
+            levels.append(nxt)
         frontier = nxt
-    else:
-        raise RuntimeError(f"hierarchy deeper than max_depth={max_depth} (cycle under a root?)")
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)

@@ -77,7 +77,9 @@ class Registry:
 
     @cached_property
     def county_dim(self) -> DataFrame:
-        return checked_broadcast(county_dimension(self), DIMENSION_ROW_BOUND)
+        """County attributes for joins (no surrogate ids needed), broadcast after a size check."""
+        seed = self.county_seed.select(F.col("county_name").alias("county"), "map_code", "region")
+        return checked_broadcast(seed, DIMENSION_ROW_BOUND)
 
 
 # ---------------------------------------------------------------------------

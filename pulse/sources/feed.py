@@ -19,6 +19,7 @@ from pulse.domain import BOUND
 from pulse.functions import parse as P
 from pulse.functions import text as txt
 from pulse.operators.normalise import normalise_register_fields
+from pulse.sources.register_xml import parse_once
 
 S = T.StringType()
 ENTRY = T.StructType([T.StructField("entry_type", S), T.StructField("entry_at", S),
@@ -50,8 +51,8 @@ def page_entries(pages: DataFrame, col: str = "xml") -> DataFrame:
     Returns (entity_id, entry_type, entry_at, ruling_no, page, position);
     companies without a key and entries of keyless companies are skipped.
     """
-    p = pages.select(F.col("page"), F.from_xml(F.col(col), PAGE_SCHEMA).alias("_p"))
-    comp = p.select("page", F.posexplode(F.col("_p.companies.item")).alias("_ci", "_c"))
+    p = pages.select(F.col("page"), F.from_xml(F.col(col), PAGE_SCHEMA)["companies"]["item"].alias("_items"))
+    comp = p.select("page", F.posexplode(F.col("_items")).alias("_ci", "_c"))
     ent = comp.select("page", "_ci", F.col("_c.entity_id").alias("_id"),
                       F.posexplode(F.col("_c.entries.item")).alias("_ei", "_e"))
     return (ent.filter(txt.blank_to_null("_id").isNotNull())
@@ -75,7 +76,7 @@ def _first_non_empty(items, field: str):
 
 def detail_records(payloads: DataFrame, col: str = "xml", domain=BOUND) -> DataFrame:
     """A8 + B7 + B8: detail payload -> register-shaped row (increment rules: no trim)."""
-    d = payloads.select(F.from_xml(F.col(col), DETAIL_SCHEMA).alias("_d")).select("_d.*")
+    d = parse_once(payloads, col, DETAIL_SCHEMA)
     acts = F.col("activities.item")
     addr = F.col("addresses.item")
     rows = d.select(

@@ -54,26 +54,41 @@ def read_register_xml(spark: SparkSession, path: str, row_tag: str = "company",
 
 def parse_register_payloads(df: DataFrame, col: str = "xml", domain=BOUND, run_ts=None) -> DataFrame:
     """Same as :func:`read_register_xml` for payloads held in a text column."""
-    raw = df.select(F.from_xml(F.col(col), COMPANY_SCHEMA).alias("_c")).select("_c.*")
-    return register_records(raw, domain, run_ts)
+    return register_records(parse_once(df, col, COMPANY_SCHEMA), domain, run_ts)
+
+
+def parse_once(df: DataFrame, col: str, schema) -> DataFrame:
+    """Parse an XML text column into top-level columns, evaluating the parser once.
+
+    ``inline`` over a one-element array is a generator: later filters on the
+    parsed fields cannot be pushed below it, so the optimizer never copies
+    the (expensive) parser call into a pushed-down predicate.
+    """
+    return df.select(F.inline(F.array(F.from_xml(F.col(col), schema))))
 
 
 def register_records(raw: DataFrame, domain=BOUND, run_ts=None) -> DataFrame:
-    """Parsed company structs -> register staging rows (all native expressions)."""
+    """Parsed company structs -> register staging rows (all native expressions).
+
+    The parsed record and the activity fold are each computed in their own
+    projection and referenced by name afterwards, so neither the parser nor
+    the fold is re-evaluated per output field.
+    """
     g = F.col("general")
     tails = F.filter(F.transform(g["addresses"]["item"], lambda a: txt.address_tail(a["ehak_name"])),
                      lambda t: t.isNotNull())
     pick = P.main_activity(P.activity_items(F.col("activities")["item"],
                                             tokens=domain.truthy_tokens))
     rows = raw.select(
-        F.col("entity_id"),
+        F.col("entity_id").alias("entity_id"),
         txt.blank_to_null(F.try_element_at(g["legal_form_text"], F.lit(-1))).alias("legal_form"),
         P.multi_format_date(g["first_registered"]).alias("founded_on"),
         F.try_element_at(tails, F.lit(-1)).alias("county"),      # last address wins
         txt.blank_to_null(g["status"]).alias("status"),
-        pick["code"].alias("activity_code"),
-        pick["name"].alias("activity_name"),
-        pick["version"].alias("activity_version"),
-    )
+        pick.alias("_pick"),
+    ).select("entity_id", "legal_form", "founded_on", "county", "status",
+             F.col("_pick.code").alias("activity_code"),
+             F.col("_pick.name").alias("activity_name"),
+             F.col("_pick.version").alias("activity_version"))
     out = normalise_register_fields(rows, domain, trim=True)
     return out.withColumn("loaded_at", F.lit(run_ts).cast("timestamp_ntz"))
