@@ -307,7 +307,8 @@ def _quality_summary(spark, sf_dir):
     from pulse.operators.quality import summary
     from pulse.plans.checks import declared_checks, registry_tables
     reg = M.Registry.from_testdata(spark, sf_dir)
-    return summary(registry_tables(reg), declared_checks(reg.domain))
+    checks = declared_checks(reg.domain)
+    return summary(registry_tables(reg, checks), checks)
 
 
 def _quality_failures(spark, sf_dir):

@@ -64,20 +64,32 @@ def declared_checks(domain=BOUND) -> list[Check]:
     return c
 
 
-def registry_tables(reg: M.Registry) -> dict[str, DataFrame]:
-    return {
-        "population": reg.population, "register": reg.register,
-        "register_std": M.register_std(reg), "closure": reg.closure,
-        "county_dimension": M.county_dimension(reg), "entity_counts": M.entity_counts(reg),
-        "population_clean": M.population_clean(reg), "rate_per_1000": M.rate_per_1000(reg),
-        "rate_geo": M.rate_geo(reg), "new_by_activity": M.new_by_activity(reg),
-        "portfolio_shift": M.portfolio_shift(reg),
-    }
+TABLE_BUILDERS = {
+    "population": lambda r: r.population, "register": lambda r: r.register,
+    "register_std": M.register_std, "closure": lambda r: r.closure,
+    "county_dimension": M.county_dimension, "entity_counts": M.entity_counts,
+    "population_clean": M.population_clean, "rate_per_1000": M.rate_per_1000,
+    "rate_geo": M.rate_geo, "new_by_activity": M.new_by_activity,
+    "portfolio_shift": M.portfolio_shift,
+}
+
+
+def registry_tables(reg: M.Registry, checks: list[Check] | None = None,
+                    materialize: bool = True) -> dict[str, DataFrame]:
+    """The tables the given checks read.  With ``materialize`` each is
+    computed once and checkpointed to the shared checkpoint folder, so the
+    checks scan stored tables instead of re-deriving the marts per check."""
+    names = set(TABLE_BUILDERS) if checks is None else (
+        {c.table for c in checks} | {c.ref_table for c in checks if c.ref_table})
+    tables = {k: TABLE_BUILDERS[k](reg) for k in sorted(names)}
+    if materialize:
+        tables = {k: v.checkpoint(eager=True) for k, v in tables.items()}
+    return tables
 
 
 def kind_summary(reg: M.Registry, kinds: tuple[str, ...]) -> DataFrame:
     checks = [c for c in declared_checks(reg.domain) if c.kind in kinds]
-    return summary(registry_tables(reg), checks)
+    return summary(registry_tables(reg, checks), checks)
 
 
 def failures_frame(reg: M.Registry) -> DataFrame:
