@@ -24,6 +24,7 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +40,9 @@ from pulse.sources import bindings
 
 # Dimensions fixed by the domain (counties, regions) stay far below this.
 DIMENSION_ROW_BOUND = 100_000
+# Code tables (classification closure, resolved crosswalk) are broadcast up to
+# this many rows (~tens of MB); beyond it they join by shuffle.
+CODE_TABLE_ROW_BOUND = 1_000_000
 
 
 @dataclass
@@ -71,9 +75,19 @@ class Registry:
         """L2: (code, code_label, root_code, root_label)."""
         return closure_with_labels(self.classification)
 
+    @cached_property
+    def closure_side(self) -> DataFrame:
+        """Closure for joins: broadcast when proven small, else a plain shuffle side."""
+        return checked_broadcast(self.closure.select("code", "root_code", "root_label")
+                                 .persist(StorageLevel.MEMORY_AND_DISK), CODE_TABLE_ROW_BOUND)
+
     @cached_property
     def resolved_crosswalk(self) -> DataFrame:
-        return cw.resolve(self.crosswalk)
+        """One new code per old code; broadcast when proven small.  Without the
+        hint AQE could only switch to a broadcast after the (huge) register side
+        had already been shuffled."""
+        return checked_broadcast(cw.resolve(self.crosswalk).persist(StorageLevel.MEMORY_AND_DISK),
+                                 CODE_TABLE_ROW_BOUND)
 
     @cached_property
     def county_dim(self) -> DataFrame:
@@ -125,7 +139,7 @@ def _counted(df: DataFrame, keys: list[str], reg: Registry, translate: bool = Tr
 
 
 def _with_root(agg: DataFrame, reg: Registry, code_col: str, how: str) -> DataFrame:
-    c = reg.closure.select("code", "root_code", "root_label")
+    c = reg.closure_side
     return agg.join(c, agg[code_col] == c.code, how)
 
 
