@@ -30,6 +30,20 @@ def _crosswalk(spark, sf_dir):
     return M.Registry.from_testdata(spark, sf_dir).resolved_crosswalk
 
 
+def _mart_build(spark, sf_dir):
+    """A13 + A14: all marts built in one run (shared counts), written as tables;
+    returns the row count of each stored mart."""
+    from pulse.plans.build import build_marts
+    from pulse.session import shared_dir
+    paths = build_marts(M.Registry.from_testdata(spark, sf_dir), shared_dir(spark, "marts"))
+    out = None
+    for name, path in paths.items():
+        part = spark.read.parquet(path).agg(F.count(F.lit(1)).cast("long").alias("row_count")) \
+            .select(F.lit(name).alias("mart"), "row_count")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _mart_filtered(spark, sf_dir):
     reg = M.Registry.from_testdata(spark, sf_dir)
     return M.mart_filtered(M.rate_per_1000(reg), county=["1", "7", "13", "24"], year=[1996, 1999])
@@ -52,6 +66,7 @@ MART_QUERIES: dict[str, Query] = {
     "kpi_recent_total": _mart(M.kpi_recent_total),
     "kpi_data_freshness": _mart(M.kpi_data_freshness),
     "mart_filtered": _mart_filtered,
+    "mart_build": _mart_build,
 }
 
 

@@ -188,9 +188,9 @@ def entity_counts(reg: Registry) -> DataFrame:
                     F.col("entity_count").cast("long").alias("entity_count")))
 
 
-def trend_by_region(reg: Registry) -> DataFrame:
+def trend_by_region(reg: Registry, counts: DataFrame | None = None) -> DataFrame:
     """Counts per year, county, region, sector and flag."""
-    ec = entity_counts(reg)
+    ec = counts if counts is not None else entity_counts(reg)
     dim = reg.county_dim.select(F.col("county").alias("_c"), "region")
     j = ec.join(dim, ec.county == dim._c, "left")
     return (j.groupBy(F.col("rolling_year").alias("year"), "county", "region", "sector_label",
@@ -199,7 +199,7 @@ def trend_by_region(reg: Registry) -> DataFrame:
             .select("year", "county", "region", "entity_count", "sector_label", "in_last_6"))
 
 
-def portfolio_shift(reg: Registry) -> DataFrame:
+def portfolio_shift(reg: Registry, counts: DataFrame | None = None) -> DataFrame:
     """Sector shares of the current rolling year vs all earlier years, per county.
 
     One pass with conditional sums instead of two scans and a join; only
@@ -207,7 +207,7 @@ def portfolio_shift(reg: Registry) -> DataFrame:
     earlier-share denominator counts only those pairs (as in the original).
     """
     y = reg.year
-    ec = entity_counts(reg).filter(F.col("sector_label").isNotNull())
+    ec = (counts if counts is not None else entity_counts(reg)).filter(F.col("sector_label").isNotNull())
     agg = (ec.groupBy("county", "sector_label")
            .agg(F.sum(F.when(F.col("rolling_year") == y, F.col("entity_count"))).alias("cur"),
                 F.sum(F.when(F.col("rolling_year") < y, F.col("entity_count"))).alias("prev"))
@@ -221,13 +221,13 @@ def portfolio_shift(reg: Registry) -> DataFrame:
         lab.half_up_ratio("prev", F.sum("prev").over(w), 100).alias("share_earlier"))
 
 
-def rate_per_1000(reg: Registry) -> DataFrame:
+def rate_per_1000(reg: Registry, counts: DataFrame | None = None) -> DataFrame:
     """L8 (flagship): new companies per 1,000 working-age residents by year, county, sector."""
     working = reg.domain.age_group_labels[1]
     pop = (population_clean(reg)
            .filter((F.col("age_group") == working) & (F.col("year") >= reg.year - 5))
            .groupBy("year", "county").agg(F.sum("population").cast("long").alias("working_age_pop")))
-    ents = (entity_counts(reg).filter(F.col("in_last_6") == 1)
+    ents = ((counts if counts is not None else entity_counts(reg)).filter(F.col("in_last_6") == 1)
             .select(F.col("rolling_year").alias("_y"), F.col("county").alias("_c"),
                     "entity_count", "sector_label"))
     dim = reg.county_dim.select(F.col("county").alias("_dc"), "region")
@@ -239,9 +239,9 @@ def rate_per_1000(reg: Registry) -> DataFrame:
                     "region", "sector_label")
 
 
-def rate_geo(reg: Registry) -> DataFrame:
+def rate_geo(reg: Registry, rate: DataFrame | None = None) -> DataFrame:
     """Rate mart plus the county map code."""
-    r = rate_per_1000(reg)
+    r = rate if rate is not None else rate_per_1000(reg)
     dim = reg.county_dim.select(F.col("county").alias("_dc"), "map_code")
     return (r.join(dim, r.county == dim._dc, "left")
             .select("year", "county", "region", "working_age_pop", "entity_count", "per_1000",

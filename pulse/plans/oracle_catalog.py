@@ -9,6 +9,16 @@ def all_oracles() -> dict[str, str]:
     out = dict(O.MART_SQL)
     out["mart_filtered"] = O.with_ctes(
         "SELECT * FROM rate WHERE county IN ('1', '7', '13', '24') AND year IN (1996, 1999)")
+    marts = {"county_dimension": "county_dim", "hierarchy_closure": "closure",
+             "population_clean": "pop_clean", "entity_counts": "entity_counts",
+             "trend_by_region": "q_trend_by_region", "portfolio_shift": "q_portfolio_shift",
+             "rate_per_1000": "rate", "rate_geo": "q_rate_geo", "new_by_activity": "q_new_by_activity",
+             "recent_30d": "recent"}
+    extra = ",\n".join(f"q_{k} AS ({O.MART_FINAL[k]})"
+                        for k in ("trend_by_region", "portfolio_shift", "rate_geo", "new_by_activity"))
+    out["mart_build"] = O.with_ctes("\nUNION ALL\n".join(
+        f"SELECT '{k}' AS mart, CAST(count(*) AS BIGINT) AS row_count FROM {v}" for k, v in marts.items()),
+        extra)
     out.update(O.CHANGE_SQL)
     out.update(O.SOURCE_SQL)
     out.update(O.QUALITY_SQL)
