@@ -67,6 +67,32 @@ def on_or_after_days(date_col: str | Column, as_of, days: int) -> Column:
     return d >= F.date_sub(_lit_date(as_of), days)
 
 
+def ntz_lit(value) -> Column:
+    """Wall-clock timestamp literal (``timestamp_ntz``) that does not depend on the
+    session or driver time zone: built from ISO text, not from an instant."""
+    if isinstance(value, dt.datetime):
+        value = value.replace(tzinfo=None).isoformat(sep=" ")
+    elif isinstance(value, dt.date):
+        value = value.isoformat()
+    return F.lit(value).cast("timestamp_ntz")
+
+
+def ntz_to_instant(c) -> Column:
+    """Zoned timestamp whose UTC reading equals the wall clock of ``c`` (NTZ),
+    computed arithmetically so the session time zone plays no part."""
+    c = F.col(c) if isinstance(c, str) else c
+    micros = (F.unix_date(F.to_date(c)).cast("long") * 86_400_000_000
+              + (F.hour(c) * 3600 + F.minute(c) * 60).cast("long") * 1_000_000
+              + (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("long"))
+    return F.timestamp_micros(micros)
+
+
+def instant_day_ntz(c) -> Column:
+    """UTC calendar day of a zoned timestamp, as a midnight ``timestamp_ntz``."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.date_from_unix_date(F.floor(F.unix_micros(c) / 86_400_000_000).cast("int")).cast("timestamp_ntz")
+
+
 def half_open_day(ts_col: str | Column, as_of: dt.datetime | dt.date) -> Column:
     """Yesterday 00:00 (inclusive) to today 00:00 (exclusive) relative to as_of.
 
@@ -77,7 +103,7 @@ def half_open_day(ts_col: str | Column, as_of: dt.datetime | dt.date) -> Column:
     end = dt.datetime.combine(day, dt.time())
     start = end - dt.timedelta(days=1)
     t = F.col(ts_col) if isinstance(ts_col, str) else ts_col
-    return (t >= F.lit(start)) & (t < F.lit(end))
+    return (t >= ntz_lit(start)) & (t < ntz_lit(end))
 
 
 def with_rolling_year(df, date_col: str, as_of, years_col="years_ago", flag_years: int = 6,

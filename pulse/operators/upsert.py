@@ -7,6 +7,7 @@ transformation (new snapshot = f(old snapshot, updates)); see
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -60,13 +61,13 @@ def insert_if_absent(ledger: DataFrame, rows: DataFrame, key="entity_id",
     return ledger.unionByName(new.select(*ledger.columns))
 
 
-def _merged(c: str, keys: list[str], preserve, stamp_col, run_ts, present: Column) -> Column:
+def _merged(c: str, keys: list[str], preserve, stamp_col, stamp: Column, present: Column) -> Column:
     """Value of column ``c`` after the merge; ``n__c`` / ``o__c`` are the new / old values."""
     nc, oc = F.col(f"n__{c}"), F.col(f"o__{c}")
     if c in keys:
         return F.coalesce(nc, oc).alias(c)
     if c == stamp_col:
-        return F.when(present, F.lit(run_ts)).otherwise(oc).alias(c)
+        return F.when(present, stamp).otherwise(oc).alias(c)
     if c in preserve:
         return F.when(present, F.coalesce(nc, oc)).otherwise(oc).alias(c)
     return F.when(present, nc).otherwise(oc).alias(c)
@@ -93,6 +94,10 @@ def upsert(target: DataFrame, updates: DataFrame, key="entity_id", *,
     cols = target.columns
     upd = first_by_key(updates, keys, order, last=True) if order else updates
     types = {f.name: f.dataType for f in target.schema.fields}
+    # stamp literal from ISO text in the target column's own type: no time-zone shift
+    stamp = F.lit(run_ts.isoformat(sep=" ") if isinstance(run_ts, dt.datetime) else run_ts)
+    if stamp_col in types:
+        stamp = stamp.cast(types[stamp_col])
     new = upd.select(*[(F.col(c) if c in upd.columns else F.lit(None)).cast(types[c]).alias(f"n__{c}")
                        for c in cols], F.lit(True).alias("_present"))
     small = checked_broadcast(new, key_bound)
@@ -105,10 +110,10 @@ def upsert(target: DataFrame, updates: DataFrame, key="entity_id", *,
             *[F.col(c).alias(f"o__{c}") for c in cols])
         cond = [F.col(f"n__{k}") == F.col(f"o__{k}") for k in keys]
         merged = small.join(touched, cond, "left").select(
-            *[_merged(c, keys, preserve, stamp_col, run_ts, F.lit(True)) for c in cols])
+            *[_merged(c, keys, preserve, stamp_col, stamp, F.lit(True)) for c in cols])
         return untouched.select(*cols).unionByName(merged)
     old = target.select(*[F.col(c).alias(f"o__{c}") for c in cols])
     cond = [F.col(f"n__{k}") == F.col(f"o__{k}") for k in keys]
     j = old.join(new, cond, "full_outer")
     present = F.coalesce(F.col("_present"), F.lit(False))
-    return j.select(*[_merged(c, keys, preserve, stamp_col, run_ts, present) for c in cols])
+    return j.select(*[_merged(c, keys, preserve, stamp_col, stamp, present) for c in cols])

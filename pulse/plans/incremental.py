@@ -46,7 +46,7 @@ def daily_slice(feed: DataFrame, as_of, ts_col: str = "entry_at") -> DataFrame:
 
 def ledger_rows(rows: DataFrame, run_ts) -> DataFrame:
     """Discovered rows in ledger shape."""
-    return rows.select("entity_id", F.lit(run_ts).cast("timestamp_ntz").alias("first_seen_at"),
+    return rows.select("entity_id", cal.ntz_lit(run_ts).alias("first_seen_at"),
                        F.col("entry_at").alias("source_entry_at"),
                        F.col("ruling_no").alias("source_ruling_no"))
 

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulse.domain import LEDGER_AS_OF, LOADED_AT
+from pulse.functions.calendar import ntz_lit
 
 # Candidate offsets for the code crosswalk: each old code gets a bounded
 # number of successors (a linear-size relation, never all pairs of a group).
@@ -84,7 +85,7 @@ def register(spark: SparkSession, sf_dir: str) -> DataFrame:
                 _s("S", F.col("main_supp")).alias("activity_code"),
                 _s("Activity S", F.col("main_supp")).alias("activity_name"),
                 F.when(F.col("o_orderkey") % 3 == 0, "V1").otherwise("V2").alias("activity_version"),
-                F.lit(LOADED_AT).cast("timestamp_ntz").alias("loaded_at"),
+                ntz_lit(LOADED_AT).alias("loaded_at"),
             ))
 
 
@@ -133,7 +134,7 @@ def population(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(nation, F.col("s_nationkey") == nation.n_nationkey)
             .groupBy("year", "age_band", F.col("n_name").alias("county"), "sex", "ethnicity")
             .agg(F.sum("_q").cast("long").alias("population"))
-            .withColumn("loaded_at", F.lit(LOADED_AT).cast("timestamp_ntz")))
+            .withColumn("loaded_at", ntz_lit(LOADED_AT)))
 
 
 def county_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +198,7 @@ def ledger(spark: SparkSession, sf_dir: str, as_of=LEDGER_AS_OF) -> DataFrame:
     (entity_id, first_seen_at, source_entry_at, source_ruling_no), one row per entity.
     """
     ev = table(spark, sf_dir, "events").filter(
-        (F.col("event_type") == "signup") & (F.col("ts") < F.lit(as_of)))
+        (F.col("event_type") == "signup") & (F.col("ts") < ntz_lit(as_of)))
     first = (ev.groupBy("user_id")
              .agg(F.min_by(F.struct("ts", "event_id"), F.struct("ts", "event_id")).alias("e")))
     return first.select(

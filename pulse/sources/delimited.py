@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulse.functions.calendar import ntz_lit
+
 
 def normalise_header(name: str) -> str:
     """lower-case, spaces -> '_', question marks dropped."""
@@ -40,4 +42,4 @@ def write_delimited(df: DataFrame, path: str, header_names: list[str] | None = N
 
 
 def with_load_stamp(df: DataFrame, ts) -> DataFrame:
-    return df.withColumn("created_at", F.lit(ts).cast("timestamp_ntz"))
+    return df.withColumn("created_at", ntz_lit(ts))

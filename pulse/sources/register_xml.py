@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from pulse.domain import BOUND
 from pulse.functions import parse as P
 from pulse.functions import text as txt
+from pulse.functions.calendar import ntz_lit
 from pulse.operators.normalise import normalise_register_fields
 
 S = T.StringType()
@@ -91,4 +92,4 @@ def register_records(raw: DataFrame, domain=BOUND, run_ts=None) -> DataFrame:
              F.col("_pick.name").alias("activity_name"),
              F.col("_pick.version").alias("activity_version"))
     out = normalise_register_fields(rows, domain, trim=True)
-    return out.withColumn("loaded_at", F.lit(run_ts).cast("timestamp_ntz"))
+    return out.withColumn("loaded_at", ntz_lit(run_ts))

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulse.domain import BOUND
+from pulse.functions import calendar as cal
 from pulse.operators import upsert as U
 from pulse.operators.joins import checked_broadcast
 from pulse.operators.normalise import normalise_register_fields
@@ -111,13 +112,15 @@ def daily_counts_stream(source: DataFrame, out_path: str, checkpoint: str,
                         delay: str = "1 day") -> None:
     """Count entries per day and type with a watermark; every micro-batch
     appends its updated counts (update mode) to ``out_path``."""
-    ts = F.col(ts_col).cast("timestamp")   # watermarks need a zoned timestamp
+    # watermarks need a zoned timestamp; map the wall clock to an instant
+    # arithmetically so windows are the same in any session time zone
+    ts = cal.ntz_to_instant(ts_col)
     counts = (source.withColumn("_ts", ts).withWatermark("_ts", delay)
               .groupBy(F.window("_ts", "1 day").alias("w"), F.col(type_col).alias("event_type"))
               .agg(F.count(F.lit(1)).alias("n")))
 
     def body(batch, epoch_id):
-        (batch.select(F.col("w.start").cast("timestamp_ntz").alias("day"), "event_type",
+        (batch.select(cal.instant_day_ntz(F.col("w.start")).alias("day"), "event_type",
                       F.col("n").cast("long").alias("n"), F.lit(epoch_id).cast("long").alias("epoch"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("epoch").parquet(out_path))

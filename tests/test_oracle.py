@@ -29,3 +29,14 @@ def test_entry_smoke(spark):
     assert df.count() >= 0
     assert df.columns == ["year", "county", "working_age_pop", "entity_count", "per_1000",
                           "region", "sector_label"]
+
+
+@pytest.mark.parametrize("key", ["daily_window_slice", "incremental_ledger", "stream_daily_counts",
+                                 "upsert_preserve", "feed_first_entries"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, key):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert compare(spark, SF, key, E.queries()[key], E.oracle_sql()[key], con, verbose=True)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
