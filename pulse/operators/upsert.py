@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,6 +101,8 @@ def upsert(target: DataFrame, updates: DataFrame, key="entity_id", *,
         stamp = stamp.cast(types[stamp_col])
     new = upd.select(*[(F.col(c) if c in upd.columns else F.lit(None)).cast(types[c]).alias(f"n__{c}")
                        for c in cols], F.lit(True).alias("_present"))
+    # the increment is computed once: the size probe and the merge share it
+    new = new.persist(StorageLevel.MEMORY_AND_DISK)
     small = checked_broadcast(new, key_bound)
     if small is not new:
         # proven small increment: filter the big target, never shuffle it;
