@@ -173,6 +173,16 @@ def _register_xml_parse(spark, sf_dir):
                                                  run_ts=LOADED_AT)
 
 
+def _register_xml_scan(spark, sf_dir):
+    """A1 with the XML file source: the dump lands as files, scanned with rowTag + explicit schema."""
+    from pulse.domain import LOADED_AT
+    from pulse.session import shared_dir
+    from pulse.sources import payloads, register_xml
+    path = shared_dir(spark, "register-dump")
+    payloads.write_register_dump(spark, sf_dir, path)
+    return register_xml.read_register_xml(spark, path, run_ts=LOADED_AT)
+
+
 def _order_activities(spark, sf_dir):
     from pulse.functions import parse as P
     lines = (bindings.table(spark, sf_dir, "lineitem")
@@ -293,6 +303,7 @@ def _load_if_missing(spark, sf_dir):
 
 SOURCE_QUERIES: dict[str, Query] = {
     "register_xml_parse": _register_xml_parse,
+    "register_xml_scan": _register_xml_scan,
     "main_activity_pick": _main_activity_pick,
     "address_tail": _address_tail,
     "multi_format_date": _multi_format_date,

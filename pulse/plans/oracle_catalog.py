@@ -22,6 +22,7 @@ def all_oracles() -> dict[str, str]:
     out.update(O.CHANGE_SQL)
     out.update(O.SOURCE_SQL)
     out.update(O.QUALITY_SQL)
+    out["register_xml_scan"] = O.SOURCE_SQL["register_xml_parse"]
     out["stream_first_seen"] = O.CHANGE_SQL["incremental_ledger"]
     out["stream_replay_idempotent"] = O.CHANGE_SQL["incremental_ledger"]
     out["stream_register"] = O.CHANGE_SQL["incremental_register"]

@@ -28,6 +28,18 @@ def _s(prefix, c):
 
 def register_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ``company`` XML record per order (column ``xml``)."""
+    rec = register_dump_records(spark, sf_dir)
+    return rec.select(F.to_xml(F.struct(*rec.columns), {"rowTag": "company"}).alias("xml"))
+
+
+def write_register_dump(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Land the dump as XML files (``<companies><company>...</company>...</companies>``)."""
+    (register_dump_records(spark, sf_dir).write.format("xml").option("rowTag", "company")
+     .option("rootTag", "companies").mode("overwrite").save(path))
+
+
+def register_dump_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dump records as columns (entity_id, general, activities)."""
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -54,14 +66,13 @@ def register_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.concat(F.lit("Street "), F.col("o_custkey").cast("string"), F.lit(", Town, "),
                           F.col("n_name")).alias("ehak_name")),
         F.struct(F.lit(" , ").alias("ehak_name")))
-    rec = F.struct(
+    return o.select(
         F.col("o_orderkey").cast("string").alias("entity_id"),
         F.struct(F.col("o_orderstatus").alias("status"),
                  F.array(F.lit("draft"), F.col("o_orderpriority")).alias("legal_form_text"),
                  first_registered.alias("first_registered"),
                  F.struct(addresses.alias("item")).alias("addresses")).alias("general"),
         F.struct(items.alias("item")).alias("activities"))
-    return o.select(F.to_xml(rec, {"rowTag": "company"}).alias("xml"))
 
 
 def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -128,3 +128,27 @@ def test_quality_kinds(spark):
     got = {r.check_name: (r.failures, r.status) for r in Q.summary(tables, checks).collect()}
     assert got == {"nn": (1, "fail"), "uq": (1, "fail"), "acc": (1, "fail"), "rel": (1, "fail"),
                    "combo": (1, "fail"), "expr": (1, "fail"), "sing": (1, "fail")}
+
+
+def test_register_xml_reader_ignores_namespaces(spark):
+    from pulse.session import shared_dir
+    from pulse.sources import register_xml
+    doc = """<x:dump xmlns:x="urn:reg">
+<x:company><x:entity_id> 10 </x:entity_id>
+  <x:general><x:status>Registris</x:status><x:legal_form_text>old</x:legal_form_text>
+    <x:legal_form_text>Osaühing</x:legal_form_text><x:first_registered>1.2.2019</x:first_registered>
+    <x:addresses><x:item><x:ehak_name>Centre, Tallinn, Harju maakond</x:ehak_name></x:item>
+      <x:item><x:ehak_name> , </x:ehak_name></x:item></x:addresses></x:general>
+  <x:activities><x:item><x:code>01</x:code><x:is_main>false</x:is_main></x:item>
+    <x:item><x:code>02</x:code><x:name>n</x:name><x:version>EMTAK 2008</x:version><x:is_main>jah</x:is_main></x:item>
+  </x:activities></x:company>
+<x:company><x:entity_id></x:entity_id></x:company>
+</x:dump>"""
+    path = shared_dir(spark, "xml-ns")
+    spark.createDataFrame([(doc,)], "value string").coalesce(1).write.text(path)
+    rows = register_xml.read_register_xml(spark, path).collect()
+    assert len(rows) == 1
+    r = rows[0]
+    assert (r.entity_id, r.legal_form, r.founded_on, r.county, r.status) == \
+        ("10", "Osaühing", dt.date(2019, 2, 1), "Harju maakond", "Registris")
+    assert (r.activity_code, r.activity_name, r.activity_version) == ("02", "n", "EMTAK 2008")
