@@ -6,7 +6,8 @@ evaluates many checks at once.  Row-level checks on the same table
 (not_null, accepted, expression) are fused into a single aggregation with
 one ``count_if`` per check, so each table is scanned once for all of them;
 key checks (unique, combinations, relationships) are one grouped aggregate
-or anti join each.  All results are unioned into one plan.
+or anti join each, except that all single-column uniqueness checks of a table
+share one shuffle.  All results are unioned into one plan.
 """
 
 from __future__ import annotations
@@ -71,19 +72,36 @@ def summary(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
         return [F.lit(ch.name).alias("check_name"), F.lit(ch.kind).alias("kind"),
                 F.lit(ch.table).alias("table_name"), failures.cast("long").alias("failures")]
 
+    def stacked(agg: DataFrame, chs: list[Check]) -> DataFrame:
+        stack = F.explode(F.array(*[F.struct(*tag(ch, F.col(f"_c{i}"))) for i, ch in enumerate(chs)]))
+        return agg.select(stack.alias("_s")).select("_s.*")
+
     parts = []
     by_table = defaultdict(list)
+    unique_by_table = defaultdict(list)
     for ch in checks:
         if ch.kind in ROW_LEVEL:
             by_table[ch.table].append(ch)
+        elif ch.kind == "unique":
+            unique_by_table[ch.table].append(ch)
         else:
             parts.append(failing_rows(tables, ch).agg(F.count(F.lit(1)).alias("_n"))
                          .select(*tag(ch, F.col("_n"))))
+    for tname, chs in unique_by_table.items():
+        # all single-column uniqueness checks of a table in one shuffle:
+        # (check, value) pairs -> count per pair -> duplicated values per check
+        pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_i"),
+                                             F.col(ch.columns[0]).cast("string").alias("_v"))
+                                    for i, ch in enumerate(chs)]))
+        dup = (tables[tname].select(pairs.alias("_p")).select("_p.*").filter(F.col("_v").isNotNull())
+               .groupBy("_i", "_v").agg(F.count(F.lit(1)).alias("_n")))
+        agg = dup.agg(*[F.count_if((F.col("_i") == i) & (F.col("_n") > 1)).alias(f"_c{i}")
+                        for i in range(len(chs))])
+        parts.append(stacked(agg, chs))
     for tname, chs in by_table.items():
         # one pass over the table for all its row-level checks
         agg = tables[tname].agg(*[F.count_if(_fails(ch)).alias(f"_c{i}") for i, ch in enumerate(chs)])
-        stack = F.explode(F.array(*[F.struct(*tag(ch, F.col(f"_c{i}"))) for i, ch in enumerate(chs)]))
-        parts.append(agg.select(stack.alias("_s")).select("_s.*"))
+        parts.append(stacked(agg, chs))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

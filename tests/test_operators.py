@@ -152,3 +152,10 @@ def test_register_xml_reader_ignores_namespaces(spark):
     assert (r.entity_id, r.legal_form, r.founded_on, r.county, r.status) == \
         ("10", "Osaühing", dt.date(2019, 2, 1), "Harju maakond", "Registris")
     assert (r.activity_code, r.activity_name, r.activity_version) == ("02", "n", "EMTAK 2008")
+
+
+def test_fused_unique_checks(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")], "k int, v string")
+    checks = [Q.Check("uk", "t", "unique", ("k",)), Q.Check("uv", "t", "unique", ("v",))]
+    got = {r.check_name: (r.failures, r.status) for r in Q.summary({"t": df}, checks).collect()}
+    assert got == {"uk": (1, "fail"), "uv": (0, "pass")}
