@@ -242,6 +242,18 @@ def _cube_flatten(spark, sf_dir):
     return cube.flatten_cube(cubes, dims, value_name="population", int_dims=("year",))
 
 
+def _cube_scan(spark, sf_dir):
+    """A2 from files: cubes landed as JSON lines, scanned with the cube schema, flattened."""
+    from pulse.session import shared_dir
+    from pulse.sources import cube
+    dims = ["year", "age_band", "county", "sex", "ethnicity"]
+    path = shared_dir(spark, "population-cubes")
+    cube.build_cubes(bindings.population(spark, sf_dir), "county", dims, "population") \
+        .select("json").write.text(path)
+    return cube.flatten_cubes(cube.read_cubes(spark, path), dims, value_name="population",
+                              int_dims=("year",))
+
+
 def _detail_extract(spark, sf_dir):
     """A8 + B7 + B8: detail payloads with alternative field names -> register rows."""
     from pulse.sources import feed, payloads
@@ -308,6 +320,7 @@ SOURCE_QUERIES: dict[str, Query] = {
     "address_tail": _address_tail,
     "multi_format_date": _multi_format_date,
     "cube_flatten": _cube_flatten,
+    "cube_scan": _cube_scan,
     "detail_extract": _detail_extract,
     "delimited_scan": _delimited_scan,
     "dense_surrogate_id": _dense_surrogate_id,

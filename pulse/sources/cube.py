@@ -45,26 +45,51 @@ def flatten_cube(df: DataFrame, dims: list[str], col: str = "json", value_name:
     large cube is one task for the explode; ``partitions`` spreads the
     exploded cells before further work.
     """
-    c = F.from_json(F.col(col), CUBE_SCHEMA)
-    cubes = df.select(c.alias("_cube"))
-    cells = cubes.select("_cube", F.posexplode(F.col("_cube.value")).alias("_pos", "_v"))
-    if not keep_nulls:
-        cells = cells.filter(F.col("_v").isNotNull())
-    if partitions:
-        cells = cells.repartition(partitions)
+    cubes = df.select(F.from_json(F.col(col), CUBE_SCHEMA).alias("_cube"))
+    return flatten_cubes(cubes, dims, value_name, int_dims, keep_nulls, partitions)
+
+
+def read_cubes(spark, path: str, multi_line: bool = False) -> DataFrame:
+    """Scan cube JSON files with the explicit cube schema (column ``_cube``).
+    ``multi_line`` for one pretty-printed cube per file, else one cube per line."""
+    raw = spark.read.schema(CUBE_SCHEMA).option("multiLine", multi_line).json(path)
+    return raw.select(F.struct(*raw.columns).alias("_cube"))
+
+
+def flatten_cubes(cubes: DataFrame, dims: list[str], value_name: str = "value",
+                  int_dims: tuple[str, ...] = (), keep_nulls: bool = False,
+                  partitions: int | None = None) -> DataFrame:
+    """Flatten parsed cubes held in a struct column ``_cube`` (see :func:`flatten_cube`).
+
+    Per-dimension member lists, sizes and strides are computed once per cube
+    (not once per cell); each exploded cell then needs only a division, a
+    modulo and an array lookup per dimension.
+    """
     cube = F.col("_cube")
     n = F.size(cube["id"])
     sizes = F.coalesce(cube["size"], F.transform(
         cube["id"], lambda d: F.size(_members(cube, d)).cast("long")))
-    out = []
-    for dim in dims:
+    per_cube = []
+    for i, dim in enumerate(dims):
         k = F.array_position(cube["id"], F.lit(dim)).cast("int")           # 1-based
-        size_k = F.element_at(sizes, k)
-        stride = F.aggregate(F.slice(sizes, k + 1, n - k), F.lit(1).cast("long"),
-                             lambda acc, x: acc * x)
-        coord = F.pmod(F.floor(F.col("_pos") / stride).cast("long"), size_k)
-        member = F.element_at(_members(cube, dim), (coord + 1).cast("int"))
-        label = F.coalesce(F.element_at(cube["dimension"][dim]["category"]["label"], member), member)
+        per_cube += [
+            F.element_at(sizes, k).alias(f"_n{i}"),
+            F.aggregate(F.slice(sizes, k + 1, n - k), F.lit(1).cast("long"),
+                        lambda acc, x: acc * x).alias(f"_st{i}"),
+            _members(cube, dim).alias(f"_m{i}"),
+            cube["dimension"][dim]["category"]["label"].alias(f"_l{i}"),
+        ]
+    pre = cubes.select(*per_cube, cube["value"].alias("_values"))
+    cells = pre.select("*", F.posexplode("_values").alias("_pos", "_v")).drop("_values")
+    if not keep_nulls:
+        cells = cells.filter(F.col("_v").isNotNull())
+    if partitions:
+        cells = cells.repartition(partitions)
+    out = []
+    for i, dim in enumerate(dims):
+        coord = F.pmod(F.floor(F.col("_pos") / F.col(f"_st{i}")).cast("long"), F.col(f"_n{i}"))
+        member = F.element_at(F.col(f"_m{i}"), (coord + 1).cast("int"))
+        label = F.coalesce(F.element_at(F.col(f"_l{i}"), member), member)
         out.append((label.cast("int") if dim in int_dims else label).alias(dim))
     out.append(F.col("_v").cast("int").alias(value_name))
     return cells.select(*out)
