@@ -57,6 +57,7 @@ class Registry:
     domain: Domain = BOUND
     as_of: dt.date = AS_OF
     current_year: int | None = None     # defaults to year(as_of)
+    aligned_buckets: bool = False       # True: bucket by the published period (see years_ago_of)
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Registry":
@@ -100,13 +101,26 @@ class Registry:
 # L1 / base
 # ---------------------------------------------------------------------------
 
+def years_ago_of(reg: Registry) -> F.Column:
+    """Rolling-year bucket of each company.
+
+    Default (the original rule): completed years since founding, so a company
+    founded exactly n+1 years before as_of lands in bucket n+1, one day
+    outside the period printed for that bucket.  ``aligned_buckets`` buckets
+    by the printed period [as_of-(n+1)y, as_of-n*y-1d] instead, which is the
+    age of the day after founding.
+    """
+    d = F.col("founded_on")
+    return cal.years_ago(F.date_add(d, 1) if reg.aligned_buckets else d, reg.as_of)
+
+
 def register_base(reg: Registry) -> DataFrame:
     """Register with every per-row derivation except the crosswalk lookup."""
     d = reg.domain
     r = reg.register
     return (r.select(
         "entity_id", "legal_form", lab.legal_group("legal_form", d).alias("legal_group"),
-        "founded_on", cal.years_ago("founded_on", reg.as_of).alias("years_ago"),
+        "founded_on", years_ago_of(reg).alias("years_ago"),
         txt.strip_affix("county", d.county_strip).alias("county"),
         "status", "activity_code", "activity_version", "loaded_at")
         .withColumn("period_start", cal.period_start("years_ago", reg.as_of))
@@ -199,19 +213,22 @@ def trend_by_region(reg: Registry, counts: DataFrame | None = None) -> DataFrame
             .select("year", "county", "region", "entity_count", "sector_label", "in_last_6"))
 
 
-def portfolio_shift(reg: Registry, counts: DataFrame | None = None) -> DataFrame:
+def portfolio_shift(reg: Registry, counts: DataFrame | None = None, full: bool = False) -> DataFrame:
     """Sector shares of the current rolling year vs all earlier years, per county.
 
-    One pass with conditional sums instead of two scans and a join; only
-    (county, sector) pairs present in the current year are kept, and the
-    earlier-share denominator counts only those pairs (as in the original).
+    One pass with conditional sums instead of two scans and a join.  By
+    default (the original rule) only (county, sector) pairs present in the
+    current year are kept and the earlier-share denominator counts only
+    those pairs.  ``full`` keeps sectors seen in either period and divides
+    by the whole county total of each period.
     """
     y = reg.year
     ec = (counts if counts is not None else entity_counts(reg)).filter(F.col("sector_label").isNotNull())
     agg = (ec.groupBy("county", "sector_label")
            .agg(F.sum(F.when(F.col("rolling_year") == y, F.col("entity_count"))).alias("cur"),
-                F.sum(F.when(F.col("rolling_year") < y, F.col("entity_count"))).alias("prev"))
-           .filter(F.col("cur").isNotNull()))
+                F.sum(F.when(F.col("rolling_year") < y, F.col("entity_count"))).alias("prev")))
+    agg = (agg.filter(F.col("cur").isNotNull() | F.col("prev").isNotNull()) if full
+           else agg.filter(F.col("cur").isNotNull()))
     w = Window.partitionBy("county")
     return agg.select(
         "county", "sector_label",

@@ -128,3 +128,14 @@ def build_cubes(df: DataFrame, cube_key: str, dims: list[str], value: str) -> Da
     rec = F.struct(F.array(*[F.lit(d) for d in dims]).alias("id"), F.array(*sizes).alias("size"),
                    dim_struct.alias("dimension"), values.alias("value"))
     return per.select(cube_key, F.to_json(rec).alias("json"))
+
+
+def cube_shape_issues(df: DataFrame, col: str = "json") -> DataFrame:
+    """Cubes whose value count differs from the product of their dimension sizes
+    (the original only warned, then failed on too few values).  Returns
+    (row of the input, expected_cells, actual_cells) for each bad cube."""
+    cube = F.from_json(F.col(col), CUBE_SCHEMA)
+    sizes = F.coalesce(cube["size"], F.transform(cube["id"], lambda d: F.size(_members(cube, d)).cast("long")))
+    expected = F.aggregate(sizes, F.lit(1).cast("long"), lambda acc, x: acc * x)
+    out = df.select("*", expected.alias("expected_cells"), F.size(cube["value"]).cast("long").alias("actual_cells"))
+    return out.filter(F.col("expected_cells") != F.col("actual_cells"))

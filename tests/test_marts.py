@@ -71,3 +71,39 @@ def test_counts_exclude_other_group(reg):
            for r in M.entity_counts(reg).collect()}
     assert got == {(2026, "Harju", "A-Põllumajandus", 1): 1, (2025, "Tartu", "B-Tööstus", 1): 1,
                    (2019, "Harju", "B-Tööstus", 0): 1}
+
+
+def test_aligned_buckets_follow_printed_period(reg):
+    import dataclasses
+    base = {r.entity_id: r for r in M.register_std(reg).collect()}
+    aligned = {r.entity_id: r for r in M.register_std(dataclasses.replace(reg, aligned_buckets=True)).collect()}
+    for k, r in aligned.items():
+        if r.founded_on is not None and r.founded_on <= reg.as_of:
+            assert r.period_start <= r.founded_on <= r.period_end
+    assert base.keys() == aligned.keys()
+
+
+def test_aligned_anniversary(spark):
+    import dataclasses
+    df = spark.createDataFrame([(D(2025, 6, 4),), (D(2025, 6, 3),), (D(2025, 6, 5),)], "founded_on date")
+    r = M.Registry(df, None, None, None, None, as_of=D(2026, 6, 4), aligned_buckets=True)
+    got = [row[0] for row in df.select(M.years_ago_of(r)).collect()]
+    assert got == [0, 1, 0]           # the anniversary belongs to the period ending 2026-06-03
+    plain = [row[0] for row in df.select(M.years_ago_of(dataclasses.replace(r, aligned_buckets=False))).collect()]
+    assert plain == [1, 1, 0]
+
+
+def test_portfolio_full(reg):
+    rows = {(r.county, r.sector_label): tuple(r)[2:] for r in M.portfolio_shift(reg, full=True).collect()}
+    assert rows == {("Harju", "A-Põllumajandus"): (1, None, 100.0, None),
+                    ("Harju", "B-Tööstus"): (None, 1, None, 100.0),
+                    ("Tartu", "B-Tööstus"): (None, 1, None, 100.0)}
+
+
+def test_cube_shape_issues(spark):
+    from pulse.sources import cube
+    good = '{"id":["a"],"size":[2],"dimension":{"a":{"category":{"label":{"x":"x","y":"y"}}}},"value":[1,2]}'
+    bad = '{"id":["a"],"size":[3],"dimension":{"a":{"category":{"label":{"x":"x","y":"y","z":"z"}}}},"value":[1,2]}'
+    df = spark.createDataFrame([(good,), (bad,)], "json string")
+    got = [(r.expected_cells, r.actual_cells) for r in cube.cube_shape_issues(df).collect()]
+    assert got == [(3, 2)]
