@@ -107,3 +107,18 @@ def test_cube_shape_issues(spark):
     df = spark.createDataFrame([(good,), (bad,)], "json string")
     got = [(r.expected_cells, r.actual_cells) for r in cube.cube_shape_issues(df).collect()]
     assert got == [(3, 2)]
+
+
+def test_daily_run_all(spark):
+    from pulse.domain import FEED_AS_OF
+    from pulse.plans.daily import run_all
+    from pulse.session import shared_dir
+    from pulse.sources import bindings
+    sf = "/root/testdata/sf0.001"
+    reg = M.Registry.from_testdata(spark, sf)
+    paths = run_all(reg, bindings.ledger(spark, sf), bindings.feed(spark, sf), bindings.details(spark, sf),
+                    shared_dir(spark, "daily"), FEED_AS_OF)
+    metrics = spark.read.parquet(paths["load_metrics"]).collect()[0]
+    assert metrics.discovered >= metrics.unseen >= metrics.upserted == metrics.seen_inserted
+    assert spark.read.parquet(paths["quality_summary"]).count() == 57
+    assert spark.read.parquet(paths["rate_per_1000"]).count() > 0
