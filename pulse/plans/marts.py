@@ -21,6 +21,7 @@ county dimension is broadcast behind a row-count check.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -71,6 +72,19 @@ class Registry:
     def year(self) -> int:
         return self.current_year or self.as_of.year
 
+    def prepare(self, *names: str) -> "Registry":
+        """Evaluate the named setup tables (closure, resolved crosswalk, county
+        dimension) concurrently: each needs a few small Spark jobs (hierarchy
+        levels, size probes) and they do not depend on each other, so their
+        jobs overlap instead of queueing.  Already computed ones are skipped."""
+        todo = [n for n in names if n not in self.__dict__]
+        if len(todo) > 1:
+            with ThreadPoolExecutor(len(todo)) as pool:
+                list(pool.map(lambda n: getattr(self, n), todo))
+        for n in todo:
+            getattr(self, n)
+        return self
+
     @cached_property
     def closure(self) -> DataFrame:
         """L2: (code, code_label, root_code, root_label)."""
@@ -136,6 +150,7 @@ REGISTER_STD_COLUMNS = ["entity_id", "legal_form", "legal_group", "founded_on",
 
 def register_std(reg: Registry) -> DataFrame:
     """L1: standardised register, one row per company."""
+    reg.prepare("resolved_crosswalk")
     base = register_base(reg)
     out = cw.translate(base, reg.resolved_crosswalk, "activity_code", "activity_version",
                        reg.domain.old_code_version)
@@ -193,6 +208,7 @@ def population_clean(reg: Registry) -> DataFrame:
 
 def entity_counts(reg: Registry) -> DataFrame:
     """Companies (not in the 'other' legal group) per rolling year, county, sector, flag."""
+    reg.prepare("closure_side", "resolved_crosswalk")
     other = reg.domain.legal_group_labels[2]
     base = register_base(reg).filter(F.col("legal_group") != other)
     keys = ["rolling_year", "county", "in_last_6"]
@@ -204,6 +220,7 @@ def entity_counts(reg: Registry) -> DataFrame:
 
 def trend_by_region(reg: Registry, counts: DataFrame | None = None) -> DataFrame:
     """Counts per year, county, region, sector and flag."""
+    reg.prepare("county_dim", *(() if counts is not None else ("closure_side", "resolved_crosswalk")))
     ec = counts if counts is not None else entity_counts(reg)
     dim = reg.county_dim.select(F.col("county").alias("_c"), "region")
     j = ec.join(dim, ec.county == dim._c, "left")
@@ -240,6 +257,7 @@ def portfolio_shift(reg: Registry, counts: DataFrame | None = None, full: bool =
 
 def rate_per_1000(reg: Registry, counts: DataFrame | None = None) -> DataFrame:
     """L8 (flagship): new companies per 1,000 working-age residents by year, county, sector."""
+    reg.prepare("county_dim", *(() if counts is not None else ("closure_side", "resolved_crosswalk")))
     working = reg.domain.age_group_labels[1]
     pop = (population_clean(reg)
            .filter((F.col("age_group") == working) & (F.col("year") >= reg.year - 5))
@@ -267,6 +285,7 @@ def rate_geo(reg: Registry, rate: DataFrame | None = None) -> DataFrame:
 
 def new_by_activity(reg: Registry, rolling_year: int | None = None) -> DataFrame:
     """Companies of one rolling year by legal group, county and sector (unmatched codes dropped)."""
+    reg.prepare("closure_side", "resolved_crosswalk")
     y = rolling_year if rolling_year is not None else reg.year
     base = register_base(reg).filter(F.col("rolling_year") == y)
     keys = ["legal_group", "county"]
