@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,16 +72,25 @@ def _write_partition(df: DataFrame, path: str, run: str, epoch: int) -> None:
 def first_seen_batch(batch: DataFrame, epoch: int, store: LedgerStore, details: DataFrame,
                      changes_path: str, run: str, run_ts, domain=BOUND,
                      key_bound: int = U.BROADCAST_KEY_BOUND) -> None:
-    """foreachBatch body of N1 (also usable on a plain batch DataFrame)."""
-    disc = I.discovered(batch, domain.first_entry_type)
+    """foreachBatch body of N1 (also usable on a plain batch DataFrame).
+
+    The batch's discovered and unseen rows are persisted for the duration of
+    the body (probe, lookup and two writes share them) and released at the end.
+    """
+    disc = I.discovered(batch, domain.first_entry_type).persist(StorageLevel.MEMORY_AND_DISK)
     keys = checked_broadcast(disc.select("entity_id"), key_bound)
     known = store.current(exclude=(run, epoch)).join(keys, "entity_id", "left_semi")
-    new = disc.join(known.select("entity_id"), "entity_id", "left_anti")
-    det = normalise_register_fields(details, domain, trim=False)
-    loaded = det.join(new.select("entity_id"), "entity_id", "left_semi")
-    seen = I.ledger_rows(U.only_loaded(new, loaded), run_ts)
-    _write_partition(loaded, changes_path, run, epoch)
-    _write_partition(seen, store.log_path, run, epoch)
+    new = (disc.join(known.select("entity_id"), "entity_id", "left_anti")
+           .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        det = normalise_register_fields(details, domain, trim=False)
+        loaded = det.join(new.select("entity_id"), "entity_id", "left_semi")
+        seen = I.ledger_rows(U.only_loaded(new, loaded), run_ts)
+        _write_partition(loaded, changes_path, run, epoch)
+        _write_partition(seen, store.log_path, run, epoch)
+    finally:
+        new.unpersist()
+        disc.unpersist()
 
 
 def run_first_seen(spark: SparkSession, source: DataFrame, store: LedgerStore, details: DataFrame,
