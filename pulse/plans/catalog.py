@@ -141,6 +141,21 @@ def _upsert(preserve: bool):
     return q
 
 
+def _upsert_bucketed(spark, sf_dir):
+    """C2 as a keyed write: register stored in hash buckets; the increment rewrites only the
+    buckets it touches."""
+    from pulse.operators.normalise import normalise_register_fields
+    from pulse.plans.incremental import ACTIVITY_COLUMNS
+    from pulse.session import shared_dir
+    from pulse.sources import tables
+    path, staging = shared_dir(spark, "register-bucketed"), shared_dir(spark, "register-staging")
+    tables.write_bucketed(bindings.register(spark, sf_dir), path, ["entity_id"], 64)
+    upd = normalise_register_fields(bindings.details(spark, sf_dir), BOUND, trim=False)
+    tables.upsert_bucketed(spark, path, upd, ["entity_id"], 64, staging,
+                           preserve=ACTIVITY_COLUMNS, stamp_col="loaded_at", run_ts=FEED_AS_OF)
+    return tables.read_bucketed(spark, path)
+
+
 def I_from(spark, sf_dir):
     from pulse.plans import incremental as I
     return I.from_testdata(spark, sf_dir)
@@ -159,6 +174,7 @@ CHANGE_QUERIES: dict[str, Query] = {
     "normalise_fields": _normalise_fields,
     "upsert_replace": _upsert(False),
     "upsert_preserve": _upsert(True),
+    "upsert_bucketed": _upsert_bucketed,
 }
 
 

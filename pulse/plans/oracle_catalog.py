@@ -24,6 +24,7 @@ def all_oracles() -> dict[str, str]:
     out.update(O.QUALITY_SQL)
     out["register_xml_scan"] = O.SOURCE_SQL["register_xml_parse"]
     out["cube_scan"] = O.SOURCE_SQL["cube_flatten"]
+    out["upsert_bucketed"] = O.CHANGE_SQL["upsert_preserve"]
     out["stream_first_seen"] = O.CHANGE_SQL["incremental_ledger"]
     out["stream_replay_idempotent"] = O.CHANGE_SQL["incremental_ledger"]
     out["stream_register"] = O.CHANGE_SQL["incremental_register"]

@@ -159,3 +159,30 @@ def test_fused_unique_checks(spark):
     checks = [Q.Check("uk", "t", "unique", ("k",)), Q.Check("uv", "t", "unique", ("v",))]
     got = {r.check_name: (r.failures, r.status) for r in Q.summary({"t": df}, checks).collect()}
     assert got == {"uk": (1, "fail"), "uv": (0, "pass")}
+
+
+def test_bucketed_upsert_rewrites_only_touched_buckets(spark):
+    import os
+    from pulse.session import shared_dir
+    from pulse.sources import tables
+    target = spark.createDataFrame([(str(i), "old", f"c{i}", T0) for i in range(200)], TARGET)
+    updates = spark.createDataFrame([("5", "new", None), ("500", "new", "x")],
+                                    "entity_id string, status string, activity_code string")
+    path, staging = shared_dir(spark, "bucketed"), shared_dir(spark, "bucketed-stage")
+    tables.write_bucketed(target, path, ["entity_id"], 16)
+    local = path.replace("file:", "")
+
+    def files():
+        return {(d, f, os.path.getmtime(os.path.join(local, d, f)))
+                for d in os.listdir(local) if d.startswith("_bucket=")
+                for f in os.listdir(os.path.join(local, d)) if f.endswith(".parquet")}
+    before = files()
+    touched = tables.upsert_bucketed(spark, path, updates, ["entity_id"], 16, staging,
+                                     preserve=("activity_code",), stamp_col="loaded_at", run_ts=T1)
+    after = files()
+    untouched_dirs = {f"_bucket={b}" for b in range(16)} - {f"_bucket={b}" for b in touched}
+    assert {x for x in before if x[0] in untouched_dirs} == {x for x in after if x[0] in untouched_dirs}
+    got = sorted(map(tuple, tables.read_bucketed(spark, path).select(*target.columns).collect()))
+    want = sorted(map(tuple, U.upsert(target, updates, "entity_id", preserve=("activity_code",),
+                                      run_ts=T1).collect()))
+    assert got == want
