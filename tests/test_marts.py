@@ -122,3 +122,25 @@ def test_daily_run_all(spark):
     assert metrics.discovered >= metrics.unseen >= metrics.upserted == metrics.seen_inserted
     assert spark.read.parquet(paths["quality_summary"]).count() == 57
     assert spark.read.parquet(paths["rate_per_1000"]).count() > 0
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_current_shares_sum_to_100_per_county(spark):
+    from pyspark.sql import functions as F
+    reg = M.Registry.from_testdata(spark, SMALL)
+    per = (M.portfolio_shift(reg).groupBy("county")
+           .agg(F.sum("share_current").alias("s"), F.count(F.lit(1)).alias("n")).collect())
+    assert per
+    for r in per:
+        assert abs(r.s - 100.0) <= 0.05 * r.n + 1e-9      # each share is rounded to 0.1
+
+
+def test_closure_has_one_root_per_reached_node(spark):
+    from pyspark.sql import functions as F
+    reg = M.Registry.from_testdata(spark, SMALL)
+    dup = reg.closure.groupBy("code").agg(F.countDistinct("root_code").alias("r")).filter("r != 1")
+    assert dup.count() == 0
+    roots = {r.code for r in reg.classification.filter("parent is null").collect()}
+    assert {r.root_code for r in reg.closure.select("root_code").distinct().collect()} <= roots

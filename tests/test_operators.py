@@ -186,3 +186,14 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark):
     want = sorted(map(tuple, U.upsert(target, updates, "entity_id", preserve=("activity_code",),
                                       run_ts=T1).collect()))
     assert got == want
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["c1", "c2"]), st.integers(2000, 2003),
+                          st.sampled_from(["a", "b", "c"]), st.integers(0, 10**6)),
+                min_size=1, max_size=25, unique_by=lambda t: t[:3]))
+def test_cube_round_trip_property(spark, rows):
+    fact = spark.createDataFrame(rows, "county string, year int, band string, v long")
+    cubes = cube.build_cubes(fact, "county", ["county", "year", "band"], "v")
+    back = cube.flatten_cube(cubes, ["county", "year", "band"], value_name="v", int_dims=("year",))
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
