@@ -7,9 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulse.domain import BOUND, FEED_AS_OF
+from pulse.domain import BOUND, FEED_AS_OF, LOADED_AT
+from pulse.functions import parse as P
+from pulse.functions.parse import multi_format_date
+from pulse.functions.text import address_tail
+from pulse.operators import upsert as U
+from pulse.operators.ids import dense_surrogate_id
+from pulse.operators.normalise import normalise_register_fields
+from pulse.operators.quality import summary
+from pulse.operators.schema import align_to
+from pulse.plans import incremental as I
 from pulse.plans import marts as M
-from pulse.sources import bindings
+from pulse.plans.build import build_marts
+from pulse.plans.checks import declared_checks, failures_frame, kind_summary, registry_tables
+from pulse.plans.incremental import ACTIVITY_COLUMNS
+from pulse.session import shared_dir
+from pulse.sources import bindings, cube, feed, payloads, register_xml, tables
+from pulse.sources import delimited as DL
+from pulse.streaming import first_seen as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,8 +48,6 @@ def _crosswalk(spark, sf_dir):
 def _mart_build(spark, sf_dir):
     """A13 + A14: all marts built in one run (shared counts), written as tables;
     returns the row count of each stored mart."""
-    from pulse.plans.build import build_marts
-    from pulse.session import shared_dir
     paths = build_marts(M.Registry.from_testdata(spark, sf_dir), shared_dir(spark, "marts"))
     out = None
     for name, path in paths.items():
@@ -70,69 +83,58 @@ MART_QUERIES: dict[str, Query] = {
 }
 
 
-
-
 # ---------------------------------------------------------------------------
 # Change capture
 # ---------------------------------------------------------------------------
 
 def _feed_first_entries(spark, sf_dir):
     """A7 + C6: parse feed pages (XML), one row per first-registration entry."""
-    from pulse.sources import feed, payloads
     return feed.first_entries_from_pages(payloads.feed_pages(spark, sf_dir),
                                          BOUND.first_entry_type).select(
         "entity_id", "entry_at", "ruling_no")
 
 
 def _first_occurrence_dedup(spark, sf_dir):
-    from pulse.plans import incremental as I
     return I.discovered(bindings.feed(spark, sf_dir), BOUND.first_entry_type)
 
 
 def _unseen_anti_join(spark, sf_dir):
-    return I_from(spark, sf_dir).unseen
+    return _incremental_run(spark, sf_dir).unseen
 
 
 def _insert_if_absent(spark, sf_dir):
-    from pulse.plans import incremental as I
-    from pulse.operators import upsert as U
     disc = I.discovered(bindings.feed(spark, sf_dir), BOUND.first_entry_type)
     return U.insert_if_absent(bindings.ledger(spark, sf_dir), I.ledger_rows(disc, FEED_AS_OF))
 
 
 def _daily_window_slice(spark, sf_dir):
-    from pulse.plans import incremental as I
     return I.daily_slice(bindings.feed(spark, sf_dir), FEED_AS_OF)
 
 
 def _enrich_or_retry(spark, sf_dir):
-    r = I_from(spark, sf_dir)
+    r = _incremental_run(spark, sf_dir)
     return (r.loaded_details.select("entity_id", F.lit("loaded").alias("outcome"))
             .unionByName(r.failed.select("entity_id", F.lit("failed").alias("outcome"))))
 
 
 def _incremental_run_metrics(spark, sf_dir):
-    return I_from(spark, sf_dir).metrics()
+    return _incremental_run(spark, sf_dir).metrics()
 
 
 def _incremental_register(spark, sf_dir):
-    return I_from(spark, sf_dir).register
+    return _incremental_run(spark, sf_dir).register
 
 
 def _incremental_ledger(spark, sf_dir):
-    return I_from(spark, sf_dir).ledger
+    return _incremental_run(spark, sf_dir).ledger
 
 
 def _normalise_fields(spark, sf_dir):
-    from pulse.operators.normalise import normalise_register_fields
     return normalise_register_fields(bindings.details(spark, sf_dir), BOUND, trim=True)
 
 
 def _upsert(preserve: bool):
     def q(spark, sf_dir):
-        from pulse.operators import upsert as U
-        from pulse.operators.normalise import normalise_register_fields
-        from pulse.plans.incremental import ACTIVITY_COLUMNS
         upd = normalise_register_fields(bindings.details(spark, sf_dir), BOUND, trim=not preserve)
         return U.upsert(bindings.register(spark, sf_dir), upd, "entity_id",
                         preserve=ACTIVITY_COLUMNS if preserve else (), stamp_col="loaded_at",
@@ -144,10 +146,6 @@ def _upsert(preserve: bool):
 def _upsert_bucketed(spark, sf_dir):
     """C2 as a keyed write: register stored in hash buckets; the increment rewrites only the
     buckets it touches."""
-    from pulse.operators.normalise import normalise_register_fields
-    from pulse.plans.incremental import ACTIVITY_COLUMNS
-    from pulse.session import shared_dir
-    from pulse.sources import tables
     path, staging = shared_dir(spark, "register-bucketed"), shared_dir(spark, "register-staging")
     tables.write_bucketed(bindings.register(spark, sf_dir), path, ["entity_id"], 64)
     upd = normalise_register_fields(bindings.details(spark, sf_dir), BOUND, trim=False)
@@ -156,8 +154,7 @@ def _upsert_bucketed(spark, sf_dir):
     return tables.read_bucketed(spark, path)
 
 
-def I_from(spark, sf_dir):
-    from pulse.plans import incremental as I
+def _incremental_run(spark, sf_dir):
     return I.from_testdata(spark, sf_dir)
 
 
@@ -183,24 +180,18 @@ CHANGE_QUERIES: dict[str, Query] = {
 # ---------------------------------------------------------------------------
 
 def _register_xml_parse(spark, sf_dir):
-    from pulse.domain import LOADED_AT
-    from pulse.sources import payloads, register_xml
     return register_xml.parse_register_payloads(payloads.register_dump(spark, sf_dir),
                                                  run_ts=LOADED_AT)
 
 
 def _register_xml_scan(spark, sf_dir):
     """A1 with the XML file source: the dump lands as files, scanned with rowTag + explicit schema."""
-    from pulse.domain import LOADED_AT
-    from pulse.session import shared_dir
-    from pulse.sources import payloads, register_xml
     path = shared_dir(spark, "register-dump")
     payloads.write_register_dump(spark, sf_dir, path)
     return register_xml.read_register_xml(spark, path, run_ts=LOADED_AT)
 
 
 def _order_activities(spark, sf_dir):
-    from pulse.functions import parse as P
     lines = (bindings.table(spark, sf_dir, "lineitem")
              .groupBy("l_orderkey")
              .agg(F.array_sort(F.collect_list(F.struct(
@@ -225,7 +216,6 @@ def _main_activity_pick(spark, sf_dir):
 
 def _address_tail(spark, sf_dir):
     """B2: county = last non-blank comma part of a customer address."""
-    from pulse.functions.text import address_tail
     c = bindings.table(spark, sf_dir, "customer")
     n = bindings.table(spark, sf_dir, "nation")
     a = c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
@@ -239,7 +229,6 @@ def _address_tail(spark, sf_dir):
 
 def _multi_format_date(spark, sf_dir):
     """B3 + T14: dates rendered in several formats (or junk) and parsed back."""
-    from pulse.functions.parse import multi_format_date
     o = bindings.table(spark, sf_dir, "orders")
     d = F.col("o_orderdate").cast("date")
     raw = (F.when(F.col("o_orderpriority") == "5-LOW", F.lit("n/a"))
@@ -252,7 +241,6 @@ def _multi_format_date(spark, sf_dir):
 
 def _cube_flatten(spark, sf_dir):
     """A2 + B12: population rendered as one cube per county, flattened back."""
-    from pulse.sources import cube
     dims = ["year", "age_band", "county", "sex", "ethnicity"]
     cubes = cube.build_cubes(bindings.population(spark, sf_dir), "county", dims, "population")
     return cube.flatten_cube(cubes, dims, value_name="population", int_dims=("year",))
@@ -260,8 +248,6 @@ def _cube_flatten(spark, sf_dir):
 
 def _cube_scan(spark, sf_dir):
     """A2 from files: cubes landed as JSON lines, scanned with the cube schema, flattened."""
-    from pulse.session import shared_dir
-    from pulse.sources import cube
     dims = ["year", "age_band", "county", "sex", "ethnicity"]
     path = shared_dir(spark, "population-cubes")
     cube.build_cubes(bindings.population(spark, sf_dir), "county", dims, "population") \
@@ -272,16 +258,11 @@ def _cube_scan(spark, sf_dir):
 
 def _detail_extract(spark, sf_dir):
     """A8 + B7 + B8: detail payloads with alternative field names -> register rows."""
-    from pulse.sources import feed, payloads
     return feed.detail_records(payloads.detail_payloads(spark, sf_dir))
 
 
 def _delimited_scan(spark, sf_dir):
     """A3 + A4 + A5: classification written as ';' CSV with raw headers, read back."""
-    from pulse.domain import LOADED_AT
-    from pulse.operators.ids import dense_surrogate_id
-    from pulse.session import shared_dir
-    from pulse.sources import delimited as DL
     path = shared_dir(spark, "classification-csv")
     raw_header = ["Code", "Parent Code?", "Label Text"]
     DL.write_delimited(bindings.classification(spark, sf_dir), path, raw_header)
@@ -291,7 +272,6 @@ def _delimited_scan(spark, sf_dir):
 
 def _dense_surrogate_id(spark, sf_dir):
     """A5 at scale: ids 1..n in (founded_on, entity_id) order without a global window."""
-    from pulse.operators.ids import dense_surrogate_id
     r = bindings.register(spark, sf_dir).select("entity_id", "founded_on")
     return dense_surrogate_id(r, ["founded_on", "entity_id"], out="id")
 
@@ -299,7 +279,6 @@ def _dense_surrogate_id(spark, sf_dir):
 def _schema_align(spark, sf_dir):
     """A10: an older register extract (extra personal-name column, no load stamp)
     aligned to the current staging schema."""
-    from pulse.operators.schema import align_to
     reg = bindings.register(spark, sf_dir)
     cust = bindings.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     orders = bindings.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -311,8 +290,6 @@ def _schema_align(spark, sf_dir):
 
 def _full_refresh(spark, sf_dir):
     """Reload the classification twice into the same table; no duplicates remain."""
-    from pulse.session import shared_dir
-    from pulse.sources import tables
     path = shared_dir(spark, "classification")
     tables.full_refresh(spark, path, bindings.classification(spark, sf_dir))
     return tables.full_refresh(spark, path, bindings.classification(spark, sf_dir))
@@ -320,8 +297,6 @@ def _full_refresh(spark, sf_dir):
 
 def _load_if_missing(spark, sf_dir):
     """A9 + A12: the first call loads the county seed, the second finds the table and skips."""
-    from pulse.session import shared_dir
-    from pulse.sources import tables
     path = shared_dir(spark, "county-seed")
     tables.load_if_missing(spark, path, lambda: bindings.county_seed(spark, sf_dir))
     df, loaded = tables.load_if_missing(spark, path, lambda: bindings.classification(spark, sf_dir))
@@ -352,15 +327,12 @@ SOURCE_QUERIES: dict[str, Query] = {
 
 def _quality(*kinds):
     def q(spark, sf_dir):
-        from pulse.plans.checks import kind_summary
         return kind_summary(M.Registry.from_testdata(spark, sf_dir), kinds)
     return q
 
 
 def _quality_summary(spark, sf_dir):
     """M8: all 57 declared checks, one row each with failures and status."""
-    from pulse.operators.quality import summary
-    from pulse.plans.checks import declared_checks, registry_tables
     reg = M.Registry.from_testdata(spark, sf_dir)
     checks = declared_checks(reg.domain)
     return summary(registry_tables(reg, checks), checks)
@@ -368,8 +340,6 @@ def _quality_summary(spark, sf_dir):
 
 def _quality_failures(spark, sf_dir):
     """Failing rows of every check stored (one dataset per check), then counted back."""
-    from pulse.plans.checks import failures_frame
-    from pulse.session import shared_dir
     path = shared_dir(spark, "quality-failures")
     (failures_frame(M.Registry.from_testdata(spark, sf_dir))
      .write.mode("overwrite").partitionBy("check_name").parquet(path))
@@ -401,8 +371,6 @@ def _events_stream(spark, sf_dir):
 
 
 def _first_seen_run(spark, sf_dir, runs=("r1",)):
-    from pulse.session import shared_dir
-    from pulse.streaming import first_seen as S
     base = shared_dir(spark, "first-seen")
     store = S.LedgerStore(spark, f"{base}/ledger_base", f"{base}/ledger_log")
     bindings.ledger(spark, sf_dir).write.mode("overwrite").parquet(store.base_path)
@@ -421,7 +389,6 @@ def _stream_first_seen(spark, sf_dir):
 
 def _stream_register(spark, sf_dir):
     """The register after the stream (base snapshot merged with the logged changes)."""
-    from pulse.streaming import first_seen as S
     _, base = _first_seen_run(spark, sf_dir)
     reg = bindings.register(spark, sf_dir)
     return S.current_register(reg, spark, f"{base}/register_changes", reg.schema, FEED_AS_OF)
@@ -435,8 +402,6 @@ def _stream_replay_idempotent(spark, sf_dir):
 
 def _stream_daily_counts(spark, sf_dir):
     """Entries per day and type from an event-time windowed stream."""
-    from pulse.session import shared_dir
-    from pulse.streaming import first_seen as S
     base = shared_dir(spark, "daily-counts")
     S.daily_counts_stream(_events_stream(spark, sf_dir), f"{base}/out", f"{base}/checkpoint")
     return S.read_daily_counts(spark, f"{base}/out")
