@@ -6,14 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    A bounded probe (``limit(max_rows + 1).count()``): a plain scan stops
+    reading as soon as the bound is exceeded.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
 
-    The proof is a bounded probe (``limit(max_rows + 1).count()``) that stops
-    reading as soon as the bound is exceeded; above the bound the frame is
-    returned unhinted and Catalyst/AQE pick a shuffle join.  Use it for
-    dimensions whose size is fixed by the domain (counties, regions), never
-    for facts.
+    Above the bound the frame is returned unhinted and Catalyst/AQE pick a
+    shuffle join.  Use it for sides whose size is bounded by the domain
+    (counties, code tables, a daily increment), never for facts.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits(df, max_rows) else df

@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulse.operators.joins import checked_broadcast
+from pulse.operators.joins import fits
 
 # An increment below this many keys is broadcast; beyond it the merge is a
 # shuffle join on the key.
@@ -103,8 +103,8 @@ def upsert(target: DataFrame, updates: DataFrame, key="entity_id", *,
                        for c in cols], F.lit(True).alias("_present"))
     # the increment is computed once: the size probe and the merge share it
     new = new.persist(StorageLevel.MEMORY_AND_DISK)
-    small = checked_broadcast(new, key_bound)
-    if small is not new:
+    if fits(new, key_bound):
+        small = F.broadcast(new)
         # proven small increment: filter the big target, never shuffle it;
         # only the touched old rows (at most one per update) meet the updates
         kset = small.select(*[F.col(f"n__{k}").alias(k) for k in keys])
