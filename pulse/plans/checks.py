@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,26 +66,42 @@ def declared_checks(domain=BOUND) -> list[Check]:
     return c
 
 
-TABLE_BUILDERS = {
-    "population": lambda r: r.population, "register": lambda r: r.register,
-    "register_std": M.register_std, "closure": lambda r: r.closure,
-    "county_dimension": M.county_dimension, "entity_counts": M.entity_counts,
-    "population_clean": M.population_clean, "rate_per_1000": M.rate_per_1000,
-    "rate_geo": M.rate_geo, "new_by_activity": M.new_by_activity,
-    "portfolio_shift": M.portfolio_shift,
-}
+# Checked tables in dependency order: each level reads only stored results of
+# earlier levels, so no mart is derived twice.
+TABLE_LEVELS = (
+    {"population": lambda r, t: r.population, "register": lambda r, t: r.register,
+     "register_std": lambda r, t: M.register_std(r), "closure": lambda r, t: r.closure,
+     "county_dimension": lambda r, t: M.county_dimension(r),
+     "population_clean": lambda r, t: M.population_clean(r),
+     "entity_counts": lambda r, t: M.entity_counts(r),
+     "new_by_activity": lambda r, t: M.new_by_activity(r)},
+    {"rate_per_1000": lambda r, t: M.rate_per_1000(r, t["entity_counts"]),
+     "portfolio_shift": lambda r, t: M.portfolio_shift(r, t["entity_counts"])},
+    {"rate_geo": lambda r, t: M.rate_geo(r, t["rate_per_1000"])},
+)
+NEEDS = {"rate_per_1000": {"entity_counts"}, "portfolio_shift": {"entity_counts"},
+         "rate_geo": {"rate_per_1000", "entity_counts"}}
 
 
 def registry_tables(reg: M.Registry, checks: list[Check] | None = None,
                     materialize: bool = True) -> dict[str, DataFrame]:
     """The tables the given checks read.  With ``materialize`` each is
-    computed once and checkpointed to the shared checkpoint folder, so the
-    checks scan stored tables instead of re-deriving the marts per check."""
-    names = set(TABLE_BUILDERS) if checks is None else (
+    computed once and checkpointed to the shared checkpoint folder (the
+    tables of one level concurrently), so the checks scan stored tables
+    instead of re-deriving the marts per check."""
+    wanted = {n for lv in TABLE_LEVELS for n in lv} if checks is None else (
         {c.table for c in checks} | {c.ref_table for c in checks if c.ref_table})
-    tables = {k: TABLE_BUILDERS[k](reg) for k in sorted(names)}
-    if materialize:
-        tables = {k: v.checkpoint(eager=True) for k, v in tables.items()}
+    wanted |= {d for n in list(wanted) for d in NEEDS.get(n, ())}
+    reg.prepare("closure_side", "resolved_crosswalk", "county_dim")
+    tables: dict[str, DataFrame] = {}
+    for level in TABLE_LEVELS:
+        names = [n for n in level if n in wanted]
+        frames = {n: level[n](reg, tables) for n in names}
+        if materialize and frames:
+            with ThreadPoolExecutor(len(frames)) as pool:
+                done = pool.map(lambda kv: (kv[0], kv[1].checkpoint(eager=True)), frames.items())
+                frames = dict(done)
+        tables.update(frames)
     return tables
 
 
