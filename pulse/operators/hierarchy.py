@@ -10,7 +10,8 @@ from pulse.session import ensure_checkpoint_dir
 
 
 def root_closure(tree: DataFrame, code: str = "code", parent: str = "parent",
-                 max_depth: int = 100, checkpoint_every: int = 4) -> DataFrame:
+                 max_depth: int = 100, checkpoint_every: int = 4,
+                 cached: list | None = None) -> DataFrame:
     """Map every node reachable from a root to that root.
 
     Seed = nodes whose parent is NULL (root = itself); each round joins the
@@ -22,7 +23,9 @@ def root_closure(tree: DataFrame, code: str = "code", parent: str = "parent",
     one count (the stop test) over the persisted frontier.  Every
     ``checkpoint_every`` rounds the frontier is checkpointed into the shared
     checkpoint folder, which bounds the lineage: a lost executor recomputes
-    at most that many rounds.  Returns (code, root).
+    at most that many rounds.  Persisted frontiers are appended to ``cached``
+    (when given) so the caller can release them once results are written.
+    Returns (code, root).
     """
     spark = tree.sparkSession
     ensure_checkpoint_dir(spark)
@@ -32,6 +35,8 @@ def root_closure(tree: DataFrame, code: str = "code", parent: str = "parent",
                 .select(F.col(code).alias("code"), F.col(code).alias("root"))
                 .persist(StorageLevel.MEMORY_AND_DISK))
     levels = [frontier]
+    held = cached if cached is not None else []
+    held.append(frontier)
     n = frontier.count()
     depth = 0
     while n:
@@ -44,6 +49,7 @@ def root_closure(tree: DataFrame, code: str = "code", parent: str = "parent",
             nxt = nxt.checkpoint(eager=True)
         else:
             nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(nxt)
         n = nxt.count()
         if n:
             levels.append(nxt)

@@ -15,7 +15,7 @@ from pulse.plans import marts as M
 from pulse.sources.tables import write_table
 
 
-def build_marts(reg: M.Registry, out_dir: str) -> dict[str, str]:
+def build_marts(reg: M.Registry, out_dir: str, release: bool = True) -> dict[str, str]:
     spark = reg.register.sparkSession
     base = out_dir.rstrip("/")
     paths: dict[str, str] = {}
@@ -36,4 +36,6 @@ def build_marts(reg: M.Registry, out_dir: str) -> dict[str, str]:
     put("rate_geo", M.rate_geo(reg, rate))
     put("new_by_activity", M.new_by_activity(reg))
     put("recent_30d", M.recent_30d(reg))
+    if release:
+        reg.release()       # everything is written; the cached setup tables can go
     return paths

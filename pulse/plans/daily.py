@@ -34,8 +34,8 @@ def run_all(reg: M.Registry, ledger: DataFrame, feed: DataFrame, details: DataFr
         paths[name] = f"{base}/staging/{name}"
 
     # marts are built from the freshly written register snapshot
-    fresh = replace(reg, register=spark.read.parquet(paths["register"]))
-    for name, path in build_marts(fresh, f"{base}/marts").items():
+    fresh = replace(reg, register=spark.read.parquet(paths["register"]), cached=[])
+    for name, path in build_marts(fresh, f"{base}/marts", release=False).items():
         paths[name] = path
 
     checks = declared_checks(fresh.domain)
@@ -44,4 +44,5 @@ def run_all(reg: M.Registry, ledger: DataFrame, feed: DataFrame, details: DataFr
         f"{base}/quality/failures")
     paths["quality_summary"] = f"{base}/quality/summary"
     paths["quality_failures"] = f"{base}/quality/failures"
+    fresh.release()
     return paths

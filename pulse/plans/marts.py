@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -59,6 +59,7 @@ class Registry:
     as_of: dt.date = AS_OF
     current_year: int | None = None     # defaults to year(as_of)
     aligned_buckets: bool = False       # True: bucket by the published period (see years_ago_of)
+    cached: list = field(default_factory=list, repr=False)   # frames this registry persisted
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "Registry":
@@ -72,6 +73,12 @@ class Registry:
     def year(self) -> int:
         return self.current_year or self.as_of.year
 
+    def release(self) -> None:
+        """Unpersist every frame this registry cached.  Call only after all
+        results that depend on them have been written or collected."""
+        while self.cached:
+            self.cached.pop().unpersist()
+
     def prepare(self, *names: str) -> "Registry":
         """Evaluate the named setup tables (closure, resolved crosswalk, county
         dimension) concurrently: each needs a few small Spark jobs (hierarchy
@@ -88,21 +95,23 @@ class Registry:
     @cached_property
     def closure(self) -> DataFrame:
         """L2: (code, code_label, root_code, root_label)."""
-        return closure_with_labels(self.classification)
+        return closure_with_labels(self.classification, cached=self.cached)
 
     @cached_property
     def closure_side(self) -> DataFrame:
         """Closure for joins: broadcast when proven small, else a plain shuffle side."""
-        return checked_broadcast(self.closure.select("code", "root_code", "root_label")
-                                 .persist(StorageLevel.MEMORY_AND_DISK), CODE_TABLE_ROW_BOUND)
+        side = self.closure.select("code", "root_code", "root_label").persist(StorageLevel.MEMORY_AND_DISK)
+        self.cached.append(side)
+        return checked_broadcast(side, CODE_TABLE_ROW_BOUND)
 
     @cached_property
     def resolved_crosswalk(self) -> DataFrame:
         """One new code per old code; broadcast when proven small.  Without the
         hint AQE could only switch to a broadcast after the (huge) register side
         had already been shuffled."""
-        return checked_broadcast(cw.resolve(self.crosswalk).persist(StorageLevel.MEMORY_AND_DISK),
-                                 CODE_TABLE_ROW_BOUND)
+        resolved = cw.resolve(self.crosswalk).persist(StorageLevel.MEMORY_AND_DISK)
+        self.cached.append(resolved)
+        return checked_broadcast(resolved, CODE_TABLE_ROW_BOUND)
 
     @cached_property
     def county_dim(self) -> DataFrame:
