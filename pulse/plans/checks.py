@@ -110,9 +110,10 @@ def kind_summary(reg: M.Registry, kinds: tuple[str, ...]) -> DataFrame:
     return summary(registry_tables(reg, checks), checks)
 
 
-def failures_frame(reg: M.Registry) -> DataFrame:
-    """(check_name, row_json) for every failing row of every check, one plan."""
-    tables = registry_tables(reg)
+def failures_frame(reg: M.Registry, tables: dict[str, DataFrame] | None = None) -> DataFrame:
+    """(check_name, row_json) for every failing row of every check, one plan.
+    ``tables`` reuses already materialised checked tables."""
+    tables = tables if tables is not None else registry_tables(reg)
     parts = [failing_rows(tables, ch).select(F.lit(ch.name).alias("check_name"),
                                              F.to_json(F.struct("*")).alias("row_json"))
              for ch in declared_checks(reg.domain)]

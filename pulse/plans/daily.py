@@ -39,8 +39,9 @@ def run_all(reg: M.Registry, ledger: DataFrame, feed: DataFrame, details: DataFr
         paths[name] = path
 
     checks = declared_checks(fresh.domain)
-    write_table(summary(registry_tables(fresh, checks), checks), f"{base}/quality/summary")
-    failures_frame(fresh).write.mode("overwrite").partitionBy("check_name").parquet(
+    checked = registry_tables(fresh, checks)          # materialised once for both outputs
+    write_table(summary(checked, checks), f"{base}/quality/summary")
+    failures_frame(fresh, checked).write.mode("overwrite").partitionBy("check_name").parquet(
         f"{base}/quality/failures")
     paths["quality_summary"] = f"{base}/quality/summary"
     paths["quality_failures"] = f"{base}/quality/failures"
