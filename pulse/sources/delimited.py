@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,14 +24,6 @@ def read_delimited(spark: SparkSession, path: str, columns: list[str], sep: str
     return df.toDF(*[normalise_header(c) for c in df.columns])
 
 
-def header_of(spark: SparkSession, path: str, sep: str = ";") -> list[str]:
-    """Column names from the header line (reads one line, not the file)."""
-    first = spark.read.text(path).limit(1).collect()
-    if not first:
-        return []
-    return [re.sub(r'^"|"$', "", c) for c in first[0][0].split(sep)]
-
-
 def write_delimited(df: DataFrame, path: str, header_names: list[str] | None = None,
                     sep: str = ";") -> None:
     out = df.toDF(*header_names) if header_names else df
