@@ -256,6 +256,15 @@ def _cube_scan(spark, sf_dir):
                               int_dims=("year",))
 
 
+def _population_reload(spark, sf_dir):
+    """C1 with a 5-column key: a cube release is flattened and upserted into the population table."""
+    dims = ["year", "age_band", "county", "sex", "ethnicity"]
+    target = bindings.population(spark, sf_dir)
+    cubes = cube.build_cubes(target, "county", dims, "population")
+    release = cube.flatten_cube(cubes, dims, value_name="population", int_dims=("year",))
+    return U.upsert(target, release, dims, stamp_col="loaded_at", run_ts=FEED_AS_OF)
+
+
 def _detail_extract(spark, sf_dir):
     """A8 + B7 + B8: detail payloads with alternative field names -> register rows."""
     return feed.detail_records(payloads.detail_payloads(spark, sf_dir))
@@ -312,6 +321,7 @@ SOURCE_QUERIES: dict[str, Query] = {
     "multi_format_date": _multi_format_date,
     "cube_flatten": _cube_flatten,
     "cube_scan": _cube_scan,
+    "population_reload": _population_reload,
     "detail_extract": _detail_extract,
     "delimited_scan": _delimited_scan,
     "dense_surrogate_id": _dense_surrogate_id,

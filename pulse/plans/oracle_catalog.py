@@ -25,6 +25,12 @@ def all_oracles() -> dict[str, str]:
     out["register_xml_scan"] = O.SOURCE_SQL["register_xml_parse"]
     out["cube_scan"] = O.SOURCE_SQL["cube_flatten"]
     out["upsert_bucketed"] = O.CHANGE_SQL["upsert_preserve"]
+    out["population_reload"] = O.with_ctes(
+        "SELECT t.year, t.age_band, t.county, t.sex, t.ethnicity, "
+        "CASE WHEN u.year IS NOT NULL THEN CAST(u.population AS BIGINT) ELSE t.population END AS population, "
+        f"CASE WHEN u.year IS NOT NULL THEN {O.FEED_TS} ELSE t.loaded_at END AS loaded_at "
+        "FROM b_population t FULL OUTER JOIN b_population u ON t.year = u.year AND t.age_band = u.age_band "
+        "AND t.county = u.county AND t.sex = u.sex AND t.ethnicity = u.ethnicity")
     out["stream_first_seen"] = O.CHANGE_SQL["incremental_ledger"]
     out["stream_replay_idempotent"] = O.CHANGE_SQL["incremental_ledger"]
     out["stream_register"] = O.CHANGE_SQL["incremental_register"]
