@@ -53,9 +53,21 @@ def bucket_of(key_cols: list[str], buckets: int):
     return F.pmod(F.xxhash64(*[F.col(c) for c in key_cols]), F.lit(buckets)).cast("int")
 
 
-def write_bucketed(df: DataFrame, path: str, key_cols: list[str], buckets: int) -> None:
-    """Store a keyed table partitioned by hash bucket of its key."""
-    write_table(df.withColumn(BUCKET_COL, bucket_of(key_cols, buckets)), path, [BUCKET_COL])
+def _by_bucket(df: DataFrame, key_cols: list[str], buckets: int, files_per_bucket: int) -> DataFrame:
+    """Cluster rows by (bucket, sub-bucket) before a partitioned write, so each
+    bucket directory gets ``files_per_bucket`` files from as many tasks instead
+    of one small file from every task."""
+    sub = F.pmod(F.hash(*[F.col(c) for c in key_cols]), F.lit(files_per_bucket))
+    return df.repartition(buckets * files_per_bucket, F.col(BUCKET_COL), sub)
+
+
+def write_bucketed(df: DataFrame, path: str, key_cols: list[str], buckets: int,
+                   files_per_bucket: int = 1) -> None:
+    """Store a keyed table partitioned by hash bucket of its key.  Size
+    ``buckets`` so one bucket is a few GB; raise ``files_per_bucket`` when a
+    bucket should be written by several tasks."""
+    out = df.withColumn(BUCKET_COL, bucket_of(key_cols, buckets))
+    write_table(_by_bucket(out, key_cols, buckets, files_per_bucket), path, [BUCKET_COL])
 
 
 def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
@@ -63,7 +75,7 @@ def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upsert_bucketed(spark: SparkSession, path: str, updates: DataFrame, key_cols: list[str],
-                    buckets: int, staging: str, **upsert_kw) -> list[int]:
+                    buckets: int, staging: str, files_per_bucket: int = 1, **upsert_kw) -> list[int]:
     """Apply ``updates`` to the bucketed table at ``path`` touching only the
     buckets that contain an updated key.
 
@@ -84,7 +96,8 @@ def upsert_bucketed(spark: SparkSession, path: str, updates: DataFrame, key_cols
         return []
     old = spark.read.parquet(path).filter(F.col(BUCKET_COL).isin(touched)).drop(BUCKET_COL)
     merged = upsert(old, updates, key_cols, **upsert_kw)
-    write_table(merged.withColumn(BUCKET_COL, bucket_of(key_cols, buckets)), staging, [BUCKET_COL])
+    staged = merged.withColumn(BUCKET_COL, bucket_of(key_cols, buckets))
+    write_table(_by_bucket(staged, key_cols, buckets, files_per_bucket), staging, [BUCKET_COL])
     (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET_COL).parquet(path))
     return touched
