@@ -15,11 +15,17 @@ def dense_surrogate_id(df: DataFrame, order_cols: list[str], out: str = "id",
     add the row count of all earlier partitions.  Only one row per partition
     (a few thousand at most) is ever gathered, so this scales where
     ``row_number().over(Window.orderBy(...))`` would pull every row into one
-    task.
+    task.  The numbered rows are written once more (checkpoint), the price
+    of consistent numbering.
     """
+    # Partition ids and positions are materialised once (reliable checkpoint in
+    # the shared folder): the offsets branch and the numbering branch must see
+    # the very same partitioning, which two independent evaluations of a
+    # range exchange (each free to be coalesced by AQE) do not guarantee.
     ranged = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
               .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     # one row per partition: bounded by the partition count, safe to broadcast
     offsets = (ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

@@ -144,3 +144,46 @@ def test_closure_has_one_root_per_reached_node(spark):
     assert dup.count() == 0
     roots = {r.code for r in reg.classification.filter("parent is null").collect()}
     assert {r.root_code for r in reg.closure.select("root_code").distinct().collect()} <= roots
+
+
+def test_live_source_files_feed_the_marts(spark):
+    """Live-format files (classification / crosswalk CSV, seed CSV, cube JSON) read into a Registry."""
+    import json
+    from pulse.session import shared_dir
+    from pulse.sources import live
+    base = shared_dir(spark, "live-files")
+    cls_header = ["Kood", "Vanem", "Tegevusala tekst", "Siia kuulub?"]
+    spark.createDataFrame([("A", "", "Põllumajandus", "x"), ("01", "A", "x", ""), ("011", "01", "y", ""),
+                           ("01112", "011", "z", ""), ("B", "", "Tööstus", ""), ("02", "B", "w", "")],
+                          "a string, b string, c string, d string") \
+        .coalesce(1).write.option("sep", ";").option("header", True).csv(f"{base}/cls")
+    cw_header = ["Kood EMTAK 2008", "Kood EMTAK 2025"]
+    spark.createDataFrame([("01111", "01999"), ("01111", "01112"), ("01111", "02000")], "a string, b string") \
+        .coalesce(1).write.option("sep", ";").option("header", True).csv(f"{base}/cw")
+    spark.createDataFrame(list(REGISTRY_COUNTY_SEED), "a string, b string, c string, d int") \
+        .toDF("maakond_nimi", "iso_kood", "regioon", "kuvajarjestus").coalesce(1) \
+        .write.option("header", True).csv(f"{base}/seed")
+    dims = {"Aasta": ["2025", "2026"], "Vanuserühm": ["20-24"], "Maakond": ["Harju maakond", "Tartu maakond"],
+            "Sugu": [ALL_SEX], "Rahvus": [ALL_ETH]}
+    cube_doc = {"id": list(dims), "size": [len(v) for v in dims.values()],
+                "dimension": {d: {"category": {"index": {m: i for i, m in enumerate(v)},
+                                               "label": {m: m for m in v}}} for d, v in dims.items()},
+                "value": [0, 400, 1000, 500]}   # row-major: (2025,Harju) (2025,Tartu) (2026,Harju) (2026,Tartu)
+    spark.createDataFrame([(json.dumps(cube_doc, ensure_ascii=False),)], "v string") \
+        .coalesce(1).write.text(f"{base}/cube")
+
+    classification = live.read_classification(spark, f"{base}/cls", cls_header, TS)
+    assert classification.filter("code = 'A'").collect()[0].parent is None
+    crosswalk = live.read_crosswalk(spark, f"{base}/cw", cw_header)
+    seed = live.read_county_seed(spark, f"{base}/seed")
+    population = live.read_population_cubes(spark, f"{base}/cube", TS, multi_line=False)
+    register = spark.createDataFrame([
+        ("1", "Osaühing", D(2026, 1, 10), "Harju maakond", "Registris", "01111", "a", V_OLD, TS),
+        ("2", "Füüsilisest isikust ettevõtja", D(2025, 3, 1), "Tartu maakond", "Registris", "02", "b", V_NEW, TS),
+    ], REG)
+    reg = M.Registry(register, classification.select("code", "parent", "label"), crosswalk, population, seed,
+                     domain=REGISTRY, as_of=D(2026, 6, 4))
+    got = {(r.year, r.county): (r.entity_count, r.per_1000, r.sector_label)
+           for r in M.rate_per_1000(reg).collect()}
+    assert got == {(2026, "Harju"): (1, 1.0, "A-Põllumajandus"), (2026, "Tartu"): (0, 0.0, None),
+                   (2025, "Tartu"): (1, 2.5, "B-Tööstus"), (2025, "Harju"): (0, None, None)}
