@@ -18,6 +18,8 @@ Record layout (element names are parameters of the schema below)::
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,17 +47,43 @@ COMPANY_SCHEMA = T.StructType([
 ])
 
 
+@dataclass(frozen=True)
+class RecordLayout:
+    """Where each canonical field sits in a parsed company record (dotted
+    paths; activity and address fields are relative to one list item).
+    The defaults match ``COMPANY_SCHEMA``; a dump with other element names
+    needs only its own schema and layout."""
+
+    entity_id: str = "entity_id"
+    status: str = "general.status"
+    legal_form: str = "general.legal_form_text"        # repeated element: the last one wins
+    first_registered: str = "general.first_registered"
+    addresses: str = "general.addresses.item"
+    address_text: str = "ehak_name"
+    activities: str = "activities.item"
+    code: str = "code"
+    name: str = "name"
+    version_text: str = "version_text"
+    version: str = "version"
+    is_main: str = "is_main"
+
+
+DEFAULT_LAYOUT = RecordLayout()
+
+
 def read_register_xml(spark: SparkSession, path: str, row_tag: str = "company",
-                      domain=BOUND, run_ts=None) -> DataFrame:
+                      domain=BOUND, run_ts=None, schema=COMPANY_SCHEMA,
+                      layout: RecordLayout = DEFAULT_LAYOUT) -> DataFrame:
     """Scan XML files of the dump and return canonical register rows."""
     raw = (spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", "true")
-           .schema(COMPANY_SCHEMA).load(path))
-    return register_records(raw, domain, run_ts)
+           .schema(schema).load(path))
+    return register_records(raw, domain, run_ts, layout)
 
 
-def parse_register_payloads(df: DataFrame, col: str = "xml", domain=BOUND, run_ts=None) -> DataFrame:
+def parse_register_payloads(df: DataFrame, col: str = "xml", domain=BOUND, run_ts=None,
+                            schema=COMPANY_SCHEMA, layout: RecordLayout = DEFAULT_LAYOUT) -> DataFrame:
     """Same as :func:`read_register_xml` for payloads held in a text column."""
-    return register_records(parse_once(df, col, COMPANY_SCHEMA), domain, run_ts)
+    return register_records(parse_once(df, col, schema), domain, run_ts, layout)
 
 
 def parse_once(df: DataFrame, col: str, schema) -> DataFrame:
@@ -68,24 +96,46 @@ def parse_once(df: DataFrame, col: str, schema) -> DataFrame:
     return df.select(F.inline(F.array(F.from_xml(F.col(col), schema))))
 
 
-def register_records(raw: DataFrame, domain=BOUND, run_ts=None) -> DataFrame:
+def _path(base, dotted: str):
+    out = base
+    for part in dotted.split("."):
+        out = out[part]
+    return out
+
+
+def register_records(raw: DataFrame, domain=BOUND, run_ts=None,
+                     layout: RecordLayout = DEFAULT_LAYOUT) -> DataFrame:
     """Parsed company structs -> register staging rows (all native expressions).
 
     The parsed record and the activity fold are each computed in their own
     projection and referenced by name afterwards, so neither the parser nor
     the fold is re-evaluated per output field.
     """
-    g = F.col("general")
-    tails = F.filter(F.transform(g["addresses"]["item"], lambda a: txt.address_tail(a["ehak_name"])),
+    L = layout
+    head, _, rest = L.legal_form.partition(".")
+    legal = _path(F.col(head), rest) if rest else F.col(head)
+    if isinstance(raw.select(legal).schema[0].dataType, T.ArrayType):
+        legal = F.try_element_at(legal, F.lit(-1))
+    h, _, r = L.addresses.partition(".")
+    tails = F.filter(F.transform(_path(F.col(h), r) if r else F.col(h),
+                                 lambda a: txt.address_tail(_path(a, L.address_text))),
                      lambda t: t.isNotNull())
-    pick = P.main_activity(P.activity_items(F.col("activities")["item"],
-                                            tokens=domain.truthy_tokens))
+    h, _, r = L.activities.partition(".")
+    items = F.transform(_path(F.col(h), r) if r else F.col(h), lambda x: F.struct(
+        _path(x, L.code).alias("code"), _path(x, L.name).alias("name"),
+        _path(x, L.version_text).alias("version_text"), _path(x, L.version).alias("version"),
+        _path(x, L.is_main).alias("is_main")))
+    pick = P.main_activity(P.activity_items(items, tokens=domain.truthy_tokens))
+
+    def col(dotted):
+        h, _, r = dotted.partition(".")
+        return _path(F.col(h), r) if r else F.col(h)
     rows = raw.select(
-        F.col("entity_id").alias("entity_id"),
-        txt.blank_to_null(F.try_element_at(g["legal_form_text"], F.lit(-1))).alias("legal_form"),
-        P.multi_format_date(g["first_registered"]).alias("founded_on"),
+        col(L.entity_id).cast("string").alias("entity_id"),
+        txt.blank_to_null(legal).alias("legal_form"),
+        P.multi_format_date(col(L.first_registered)).alias("founded_on"),
         F.try_element_at(tails, F.lit(-1)).alias("county"),      # last address wins
-        txt.blank_to_null(g["status"]).alias("status"),
+        txt.blank_to_null(col(L.status)).alias("status"),
         pick.alias("_pick"),
     ).select("entity_id", "legal_form", "founded_on", "county", "status",
              F.col("_pick.code").alias("activity_code"),

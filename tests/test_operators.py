@@ -197,3 +197,47 @@ def test_cube_round_trip_property(spark, rows):
     cubes = cube.build_cubes(fact, "county", ["county", "year", "band"], "v")
     back = cube.flatten_cube(cubes, ["county", "year", "band"], value_name="v", int_dims=("year",))
     assert sorted(map(tuple, back.collect())) == sorted(rows)
+
+
+def test_register_xml_with_native_element_names(spark):
+    """Any element naming/nesting works given its schema and a RecordLayout."""
+    from pyspark.sql import types as T
+    from pulse.domain import REGISTRY
+    from pulse.session import shared_dir
+    from pulse.sources import register_xml as RX
+    S_ = T.StringType()
+    schema = T.StructType([
+        T.StructField("ariregistri_kood", S_),
+        T.StructField("yldandmed", T.StructType([
+            T.StructField("staatus_tekstina", S_), T.StructField("oiguslik_vorm_tekstina", S_),
+            T.StructField("esmaregistreerimise_kpv", S_),
+            T.StructField("aadressid", T.StructType([T.StructField("item", T.ArrayType(
+                T.StructType([T.StructField("ehak_nimetus", S_)])))]))])),
+        T.StructField("teatatud_tegevusalad", T.StructType([T.StructField("item", T.ArrayType(T.StructType(
+            [T.StructField(n, S_) for n in ("emtak_kood", "emtak_tekstina", "emtak_versioon_tekstina",
+                                               "emtak_versioon", "on_pohitegevusala")])))]))])
+    layout = RX.RecordLayout(
+        entity_id="ariregistri_kood", status="yldandmed.staatus_tekstina",
+        legal_form="yldandmed.oiguslik_vorm_tekstina", first_registered="yldandmed.esmaregistreerimise_kpv",
+        addresses="yldandmed.aadressid.item", address_text="ehak_nimetus",
+        activities="teatatud_tegevusalad.item", code="emtak_kood", name="emtak_tekstina",
+        version_text="emtak_versioon_tekstina", version="emtak_versioon", is_main="on_pohitegevusala")
+    doc = """<ettevotjad><ettevotja><ariregistri_kood>123</ariregistri_kood>
+  <yldandmed><staatus_tekstina>Registrisse kantud</staatus_tekstina>
+    <oiguslik_vorm_tekstina>Osaühing</oiguslik_vorm_tekstina>
+    <esmaregistreerimise_kpv>05.03.2021</esmaregistreerimise_kpv>
+    <aadressid><item><ehak_nimetus>Kesklinn, Tallinn, Harju maakond</ehak_nimetus></item></aadressid>
+  </yldandmed>
+  <teatatud_tegevusalad>
+    <item><emtak_kood>62011</emtak_kood><emtak_tekstina>a</emtak_tekstina>
+      <emtak_versioon>EMTAK 2008</emtak_versioon><on_pohitegevusala>false</on_pohitegevusala></item>
+    <item><emtak_kood>62021</emtak_kood><emtak_tekstina>b</emtak_tekstina>
+      <emtak_versioon_tekstina>EMTAK 2025</emtak_versioon_tekstina><on_pohitegevusala>jah</on_pohitegevusala></item>
+  </teatatud_tegevusalad></ettevotja></ettevotjad>"""
+    path = shared_dir(spark, "xml-native")
+    spark.createDataFrame([(doc,)], "value string").coalesce(1).write.text(path)
+    r = RX.read_register_xml(spark, path, row_tag="ettevotja", domain=REGISTRY, schema=schema,
+                             layout=layout).collect()[0]
+    assert (r.entity_id, r.legal_form, r.founded_on, r.county, r.status) == \
+        ("123", "Osaühing", dt.date(2021, 3, 5), "Harju maakond", "Registrisse kantud")
+    assert (r.activity_code, r.activity_name, r.activity_version) == ("62021", "b", "EMTAK 2025")
