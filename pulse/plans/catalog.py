@@ -94,6 +94,14 @@ def _feed_first_entries(spark, sf_dir):
         "entity_id", "entry_at", "ruling_no")
 
 
+def _feed_xml_scan(spark, sf_dir):
+    """A7 with the XML file source: landed feed pages scanned with rowTag, first entries kept."""
+    path = shared_dir(spark, "feed-pages")
+    payloads.write_feed_pages(spark, sf_dir, path)
+    return (feed.read_feed_pages(spark, path).filter(F.col("entry_type") == BOUND.first_entry_type)
+            .select("entity_id", "entry_at", "ruling_no"))
+
+
 def _first_occurrence_dedup(spark, sf_dir):
     return I.discovered(bindings.feed(spark, sf_dir), BOUND.first_entry_type)
 
@@ -160,6 +168,7 @@ def _incremental_run(spark, sf_dir):
 
 CHANGE_QUERIES: dict[str, Query] = {
     "feed_first_entries": _feed_first_entries,
+    "feed_xml_scan": _feed_xml_scan,
     "first_occurrence_dedup": _first_occurrence_dedup,
     "unseen_anti_join": _unseen_anti_join,
     "insert_if_absent": _insert_if_absent,

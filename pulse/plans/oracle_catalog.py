@@ -25,6 +25,7 @@ def all_oracles() -> dict[str, str]:
     out["register_xml_scan"] = O.SOURCE_SQL["register_xml_parse"]
     out["cube_scan"] = O.SOURCE_SQL["cube_flatten"]
     out["upsert_bucketed"] = O.CHANGE_SQL["upsert_preserve"]
+    out["feed_xml_scan"] = O.CHANGE_SQL["feed_first_entries"]
     out["population_reload"] = O.with_ctes(
         "SELECT t.year, t.age_band, t.county, t.sex, t.ethnicity, "
         "CASE WHEN u.year IS NOT NULL THEN CAST(u.population AS BIGINT) ELSE t.population END AS population, "

@@ -11,6 +11,8 @@ names and the activity fields may sit at any depth of the activity list.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,3 +93,51 @@ def detail_records(payloads: DataFrame, col: str = "xml", domain=BOUND) -> DataF
         F.coalesce(_first_non_empty(acts, "version_text"), _first_non_empty(acts, "version")).alias("activity_version"),
     )
     return normalise_register_fields(rows, domain, trim=False)
+
+
+@dataclass(frozen=True)
+class FeedLayout:
+    """Element names of a feed page: the element holding the company list
+    (used as rowTag, so it may sit anywhere in an envelope), the company key,
+    the entry list and the entry fields."""
+
+    companies_tag: str = "companies"
+    entity_id: str = "entity_id"
+    entries: str = "entries"
+    entry_type: str = "entry_type"
+    entry_at: str = "entry_at"
+    ruling_no: str = "ruling_no"
+
+
+# --- fixed values: element names of the live change feed ---------------------
+# company list, company key, entry list, entry type text, entry date, ruling number
+LIVE_FEED_LAYOUT = FeedLayout(companies_tag="ettevotjad", entity_id="ariregistri_kood", entries="kanded",
+                              entry_type="kandeliik_tekstina", entry_at="kande_kpv", ruling_no="maaruse_nr")
+# --- end of fixed values -----------------------------------------------------
+
+
+def read_feed_pages(spark, path: str, layout: FeedLayout = FeedLayout()) -> DataFrame:
+    """Scan landed feed pages (XML files) into entry rows
+    (entity_id, entry_type, entry_at, ruling_no, page, position).
+
+    Every ``companies_tag`` element becomes one row (namespaces ignored);
+    ``page`` is the file it came from, ``position`` the company/entry order
+    inside the list.
+    """
+    L = layout
+    entry = T.StructType([T.StructField(n, S) for n in (L.entry_type, L.entry_at, L.ruling_no)])
+    schema = T.StructType([T.StructField("item", T.ArrayType(T.StructType([
+        T.StructField(L.entity_id, S),
+        T.StructField(L.entries, T.StructType([T.StructField("item", T.ArrayType(entry))]))])))])
+    raw = (spark.read.format("xml").option("rowTag", L.companies_tag).option("ignoreNamespace", "true")
+           .schema(schema).load(path))
+    comp = raw.select(F.col("_metadata.file_path").alias("page"),
+                      F.posexplode("item").alias("_ci", "_c"))
+    ent = comp.select("page", "_ci", F.col("_c")[L.entity_id].alias("_id"),
+                      F.posexplode(F.col("_c")[L.entries]["item"]).alias("_ei", "_e"))
+    return (ent.filter(txt.blank_to_null("_id").isNotNull())
+            .select(txt.blank_to_null("_id").alias("entity_id"),
+                    txt.blank_to_null(F.col("_e")[L.entry_type]).alias("entry_type"),
+                    P.multi_format_timestamp(F.col("_e")[L.entry_at]).alias("entry_at"),
+                    txt.blank_to_null(F.col("_e")[L.ruling_no]).alias("ruling_no"),
+                    "page", (F.col("_ci") * 1_000_000 + F.col("_ei")).alias("position")))

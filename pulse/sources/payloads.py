@@ -75,8 +75,8 @@ def register_dump_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(items.alias("item")).alias("activities"))
 
 
-def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed pages (``page``, ``xml``): consecutive runs of PAGE_EVENTS events per page."""
+def feed_page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed pages as records (``page``, ``companies``): consecutive runs of PAGE_EVENTS events."""
     ev = table(spark, sf_dir, "events").withColumn(
         "page", F.floor(F.col("event_id") / PAGE_EVENTS).cast("long"))
     entry = F.struct(F.col("event_id").alias("pos"), F.col("event_type").alias("entry_type"),
@@ -88,9 +88,20 @@ def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.struct(F.transform("e", lambda x: x.dropFields("pos")).alias("item"))
                         .alias("entries"))
     pages = comp.groupBy("page").agg(F.array_sort(F.collect_list(comp_rec)).alias("c"))
-    rec = F.struct(F.struct(F.transform("c", lambda x: x.dropFields("first_pos")).alias("item"))
-                   .alias("companies"))
-    return pages.select("page", F.to_xml(rec, {"rowTag": "page"}).alias("xml"))
+    return pages.select("page", F.struct(F.transform("c", lambda x: x.dropFields("first_pos"))
+                                         .alias("item")).alias("companies"))
+
+
+def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed pages (``page``, ``xml``): consecutive runs of PAGE_EVENTS events per page."""
+    rec = feed_page_records(spark, sf_dir)
+    return rec.select("page", F.to_xml(F.struct("companies"), {"rowTag": "page"}).alias("xml"))
+
+
+def write_feed_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Land the feed as XML files (``<pages><page><companies>...``)."""
+    (feed_page_records(spark, sf_dir).select("companies").write.format("xml")
+     .option("rowTag", "page").option("rootTag", "pages").mode("overwrite").save(path))
 
 
 def detail_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:

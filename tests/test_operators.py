@@ -241,3 +241,23 @@ def test_register_xml_with_native_element_names(spark):
     assert (r.entity_id, r.legal_form, r.founded_on, r.county, r.status) == \
         ("123", "Osaühing", dt.date(2021, 3, 5), "Harju maakond", "Registrisse kantud")
     assert (r.activity_code, r.activity_name, r.activity_version) == ("62021", "b", "EMTAK 2025")
+
+
+def test_live_feed_pages_in_a_soap_envelope(spark):
+    from pulse.session import shared_dir
+    from pulse.sources import feed
+    doc = """<s:Envelope xmlns:s="urn:env" xmlns:p="urn:prod"><s:Body><p:resp><p:keha><p:ettevotjad>
+  <p:item><p:ariregistri_kood>111</p:ariregistri_kood><p:kanded>
+    <p:item><p:kandeliik_tekstina>Esmakanne</p:kandeliik_tekstina><p:kande_kpv>14.01.2024 10:11:12</p:kande_kpv>
+      <p:maaruse_nr>M1</p:maaruse_nr></p:item>
+    <p:item><p:kandeliik_tekstina>Muutmiskanne</p:kandeliik_tekstina><p:kande_kpv>2024-01-14</p:kande_kpv></p:item>
+  </p:kanded></p:item>
+  <p:item><p:ariregistri_kood></p:ariregistri_kood><p:kanded><p:item>
+    <p:kandeliik_tekstina>Esmakanne</p:kandeliik_tekstina></p:item></p:kanded></p:item>
+</p:ettevotjad></p:keha></p:resp></s:Body></s:Envelope>"""
+    path = shared_dir(spark, "feed-live")
+    spark.createDataFrame([(doc,)], "value string").coalesce(1).write.text(path)
+    rows = feed.read_feed_pages(spark, path, feed.LIVE_FEED_LAYOUT).collect()
+    got = sorted((r.entity_id, r.entry_type, r.entry_at, r.ruling_no) for r in rows)
+    assert got == [("111", "Esmakanne", dt.datetime(2024, 1, 14, 10, 11, 12), "M1"),
+                   ("111", "Muutmiskanne", dt.datetime(2024, 1, 14), None)]
