@@ -2,8 +2,8 @@
 
 All intermediate data that must outlive a task (checkpoints, landed payloads,
 written marts) goes below the folder the cluster names in
-``spark.checkpoint.dir``.  We only fall back to a local folder when the
-session has none configured (unit tests on a laptop).
+``spark.checkpoint.dir``.  Without that setting a local folder is used in
+local mode only (unit tests on a laptop); on a cluster its absence is an error.
 """
 
 from __future__ import annotations
@@ -54,7 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in unit tests / local runs without a cluster setting.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = os.path.join(os.environ.get("TMPDIR", "/tmp"), "pulse-checkpoints")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
