@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from pulse.llm import decontaminate, license_scan, line_dedup, mixing, quality_rules, simhash_dedup
+from pulse.llm import (decontaminate, html_text, license_scan, line_dedup, mixing, ngram_lm, quality_rules,
+                       simhash_dedup)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontaminate.op1_query,
+    "op2_html_extraction": html_text.op2_query,
     "op3_simhash_dedup": simhash_dedup.op3_query,
     "op4_quality_rules": quality_rules.op4_query,
     "op5_line_dedup": line_dedup.op5_query,
     "op6_mixing": mixing.op6_query,
+    "op7_lm_scoring": ngram_lm.op7_query,
     "op8_license_scan": license_scan.op8_query,
 }
 

@@ -51,3 +51,12 @@ def save(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread_join(rows: DataFrame, groups: DataFrame, on: Column, how: str = "inner", salts: int = 32) -> DataFrame:
+    """Join rows (alias r) to one row per group (alias g) on ``on`` so that a
+    group that holds a third of the rows is still met in ``salts`` tasks if the
+    groups are too many for a broadcast.  The result has ``r.*`` and ``g.*``."""
+    dealt = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    copies = groups.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.alias("r").join(copies.alias("g"), on & (F.col("r._salt") == F.col("g._copy")), how)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import SPACES, save
+from pulse.llm.common import SPACES, save, spread_join
 
 MAX_RATIO = 0.1
 MIN_PAGES = 5
@@ -43,9 +43,9 @@ def boilerplate_lines(docs: DataFrame, site_col: str, text_col: str,
     filled = F.filter(F.split("text", "\n", -1), lambda x: _bare(x) != "")
     lines = pages.select("site", F.explode(F.array_distinct(F.transform(filled, _key))).alias("line"))
     frequent = lines.groupBy("site", "line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
-    return (frequent.alias("l").join(sites.alias("s"), F.col("l.site").eqNullSafe(F.col("s.site")))
+    return (spread_join(frequent, sites, F.col("r.site").eqNullSafe(F.col("g.site")))
             .filter(F.col("n") > F.col("pages") * F.lit(float(max_ratio)))
-            .groupBy("l.site").agg(F.sort_array(F.collect_list("line")).alias("lines")))
+            .groupBy("r.site").agg(F.sort_array(F.collect_list("line")).alias("lines")))
 
 
 def drop_boilerplate(docs: DataFrame, site_col: str = "source", text_col: str = "text",
@@ -54,16 +54,16 @@ def drop_boilerplate(docs: DataFrame, site_col: str = "source", text_col: str =
     """The input with boilerplate lines removed from the text column; with
     ``counts`` also n_lines (non-blank lines before) and n_removed."""
     found = save(boilerplate_lines(docs, site_col, text_col, max_ratio, min_pages), "boilerplate")
-    text = F.col(f"d.`{text_col}`")
+    text = F.col(f"r.`{text_col}`")
     lines = F.split(text, "\n", -1)
-    dropped = lambda x: (_bare(x) != "") & F.array_contains(F.col("b.lines"), _key(x))
-    kept = F.when(F.col("b.lines").isNull(), text).otherwise(
+    dropped = lambda x: (_bare(x) != "") & F.array_contains(F.col("g.lines"), _key(x))
+    kept = F.when(F.col("g.lines").isNull(), text).otherwise(
         F.array_join(F.filter(lines, lambda x: ~dropped(x)), "\n"))
     more = [F.coalesce(F.size(F.filter(lines, lambda x: _bare(x) != "")), F.lit(0)).cast("long").alias("n_lines"),
-            F.coalesce(F.when(F.col("b.lines").isNull() | text.isNull(), 0)
+            F.coalesce(F.when(F.col("g.lines").isNull() | text.isNull(), 0)
                        .otherwise(F.size(F.filter(lines, dropped))), F.lit(0)).cast("long").alias("n_removed")]
-    joined = docs.alias("d").join(found.alias("b"), F.col(f"d.`{site_col}`").eqNullSafe(F.col("b.site")), "left")
-    return joined.select(*[kept.alias(c) if c == text_col else F.col(f"d.`{c}`") for c in docs.columns],
+    joined = spread_join(docs, found, F.col(f"r.`{site_col}`").eqNullSafe(F.col("g.site")), "left")
+    return joined.select(*[kept.alias(c) if c == text_col else F.col(f"r.`{c}`") for c in docs.columns],
                          *(more if counts else []))
 
 

@@ -5,9 +5,9 @@ Every source's target is its weight's share of all words, stopped at
 among the other sources.  A source takes whole passes over its documents as
 often as they fit, and fits the remaining budget with a subset: documents are
 counted by exact length, every length gives its proportional part first, then
-the lengths with the largest rest as long as they fit, and a bounded knapsack
-over what is left of each length closes the last gap, which is shorter than
-the longest document.  The tables handled per source have one row per
+the lengths with the largest remainders, and a bounded knapsack over what is
+left of each length closes the last gap, which is shorter than four of the
+longest documents.  The tables handled per source have one row per
 distinct length, never one per document.  Which documents of a length are
 taken follows a seeded hash, so reruns agree.
 
@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulse.llm.common import save, ship, words
+from pulse.llm.common import save, ship, spread_join, words
 from pulse.operators.ids import dense_surrogate_id
 
 ship(__name__)
@@ -63,7 +63,7 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     close to ``budget`` as possible without exceeding it (0 <= budget < sum).
 
     Proportional part, then largest remainders that fit, then an exact
-    bounded knapsack over the documents left, as a bit set of reachable sums.
+    bounded knapsack over the documents left.
     """
     take = np.zeros(len(lengths), np.int64)
     total = int(sum(int(a) * int(b) for a, b in zip(lengths, counts)))
@@ -79,32 +79,35 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     longest = int(lengths.max())
     mixed = (lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
     for k in np.lexsort((mixed, -(counts * share - take))):  # equal remainders in an order free of length
-        if rest < longest:  # the gap is left to the knapsack while documents of every size remain
+        if rest < 4 * longest:  # the gap is left to the knapsack while documents of every size remain
             break
         if take[k] < counts[k]:
             take[k] += 1
             rest -= int(lengths[k])
     if rest == 0:
         return take
-    mask, reach, steps = (1 << (rest + 1)) - 1, 1, []
-    for k in np.argsort(-lengths, kind="stable"):
+    # first[s]: the step that first reaches the sum s; memory is bounded by the gap, not by the steps
+    first = np.full(rest + 1, -1, np.int32)
+    first[0], steps = 0, [(0, 0)]
+    for k in np.lexsort((mixed,)):
         size, left, part = int(lengths[k]), int(counts[k] - take[k]), 1
         if not 0 < size <= rest:
             continue
         left = min(left, rest // size)
-        while left > 0:  # binary splitting of the count
+        while left > 0 and size * part <= rest:  # binary splitting of the count
             part = min(part, left)
-            steps.append((int(k), part, reach))
-            reach |= (reach << (size * part)) & mask
+            reached = np.nonzero((first[:rest + 1 - size * part] >= 0) & (first[size * part:] < 0))[0]
+            steps.append((int(k), part))
+            first[reached + size * part] = len(steps) - 1
             left -= part
             part *= 2
-        if reach >> rest & 1:
+        if first[rest] >= 0:
             break
-    at = reach.bit_length() - 1
-    for k, part, before in reversed(steps):
-        if not before >> at & 1:
-            take[k] += part
-            at -= part * int(lengths[k])
+    at = int(np.nonzero(first >= 0)[0][-1])
+    while at:
+        k, part = steps[first[at]]
+        take[k] += part
+        at -= part * int(lengths[k])
     return take
 
 
@@ -149,10 +152,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rank = F.row_number().over(Window.partitionBy("source", "size", "part").orderBy("o", "id"))
     split = joined.filter("quota > 0 and quota < n").withColumn("extra", (rank <= F.col("quota")).cast("long"))
     chosen = whole.unionByName(split)
-    return (chosen.alias("c").join(targets.alias("t"), F.col("c.source").eqNullSafe(F.col("t.source")))
-            .select("c.*", "t.source_size", "t.target")
+    return (spread_join(chosen, targets, F.col("r.source").eqNullSafe(F.col("g.source")))
+            .select("r.*", "g.source_size", "g.target")
             .withColumn("copies", F.when(F.col("size") == 0, F.lit(0)).otherwise(F.col("passes") + F.col("extra")))
-            .drop("o", "part", "passes", "quota", "n", "extra"))
+            .drop("o", "part", "passes", "quota", "n", "extra", "_salt"))
 
 
 def op6_query(spark, sf_dir: str) -> DataFrame:

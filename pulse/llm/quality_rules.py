@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import SPACES, let, positions, save, words
+from pulse.llm.common import SPACES, let, positions, save, spread_join, words
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -168,17 +168,25 @@ def estimates(rows: DataFrame) -> DataFrame:
           .alias(f"l{i}{j}") for i in range(DIM) for j in range(i + 1)])
     for _ in range(STEPS):
         state = save(state, "estimate")
-        near = rows.join(state, "g").withColumn("b", _bin(_distance()))
-        edge = near.groupBy("g").agg(F.ceil(F.percentile("b", F.lit(SUPPORT))).alias("edge"))
-        state = _factor(_sums(near.join(edge, "g").filter("b <= edge")))
+        binned = _near(rows, state).withColumn("b", _bin(_distance()))
+        edge = binned.groupBy("g").agg(F.ceil(F.percentile("b", F.lit(SUPPORT))).alias("edge"))
+        bounded = save(state.join(edge, "g"), "estimate")
+        inside = _near(rows, bounded).filter(_bin(_distance()) <= F.col("edge"))
+        state = _factor(_sums(inside))
     state = save(state, "estimate")
-    near = rows.join(state, "g").withColumn("d", _distance())
-    half = near.groupBy("g").agg(F.percentile(_bin(F.col("d")), F.lit(0.5)).alias("half"))
+    half = (_near(rows, state).groupBy("g").agg(F.percentile(_bin(_distance()), F.lit(0.5)).alias("half")))
     spread = F.greatest((F.exp((F.col("half") + 0.5) / BINS) - 1) / CHI_HALF, F.lit(1.0))
-    inner = near.join(half, "g").filter(F.col("d") <= CHI_TRIM * spread)
+    trimmed = save(state.join(half, "g").withColumn("edge", CHI_TRIM * spread), "estimate")
+    inner = _near(rows, trimmed).filter(_distance() <= F.col("edge"))
     return save(_factor(_sums(inner)), "estimate")
 
 
+def _near(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """Every vector with its group's state."""
+    both = spread_join(rows, state, F.col("r.g") == F.col("g.g"))
+    return both.select("r.*", *[F.col(f"g.{c}") for c in state.columns if c != "g"]).drop("_salt")
+
+
 def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
           cutoff: float = CHI_CUT, carry: tuple[Column, ...] = ()) -> DataFrame:
     """One row per input row: the carried columns, the base counts, base_failed, distance and kept."""
@@ -194,14 +202,16 @@ def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
                                             F.lit(None).cast("string").alias("source")))
          .otherwise(F.struct(F.lit(0).alias("level"), F.lit(None).cast("string").alias("lang"),
                              F.lit(None).cast("string").alias("source"))))
-    own = rows.alias("r").join(groups.alias("g"), F.col("r.lang").eqNullSafe(F.col("g.lang"))
-                               & F.col("r.source").eqNullSafe(F.col("g.source")), "left")
+    own = spread_join(rows, groups, F.col("r.lang").eqNullSafe(F.col("g.lang"))
+                      & F.col("r.source").eqNullSafe(F.col("g.source")), "left")
     own = own.select("r.*", F.to_json(F.when(~F.col("base_failed"), g), {"ignoreNullFields": "false"}).alias("g"))
     vectors = save(own.filter("g is not null").select("g", *[f"q{i}" for i in range(DIM)]), "vectors")
     known = estimates(vectors)
     sizes = vectors.groupBy("g").agg(F.count(F.lit(1)).alias("members"))
-    usable = known.join(sizes, "g").filter(F.col("members") >= MIN_GROUP).drop("members")
-    judged = own.join(usable, "g", "left").withColumn("distance", _distance())
+    usable = save(known.join(sizes, "g").filter(F.col("members") >= MIN_GROUP).drop("members"), "estimate")
+    met = spread_join(own.drop("_salt"), usable, F.col("r.g") == F.col("g.g"), "left")
+    judged = met.select("r.*", *[F.col(f"g.{c}") for c in usable.columns if c != "g"]).withColumn(
+        "distance", _distance())
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
     return judged.select(*[F.col(n) for n in names], "n_words", "word_chars", "n_symbols", "n_dup_lines",
                          "n_repeat_words", "base_failed", "distance", kept.alias("kept"))
