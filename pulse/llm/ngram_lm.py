@@ -5,8 +5,8 @@ Tokens: lower-case A-Z, words, one end mark per text (a counted token); the
 first token's context is a start mark, which is never predicted.
 
 Counting.  Every task counts bigrams of its texts in bounded chunks and deals
-them by context hash to ``shards`` (a power of two that follows the number of
-input partitions).  A shard merges its blocks, writes one file (sorted 64-bit
+them by context hash to shards (a power of two that follows the number of
+input partitions; a context's words are spread over eight of them).  A shard merges its blocks, writes one file (sorted 64-bit
 bigram hashes, counts) and passes on, per context, its total and its numbers
 of bigrams seen once, twice, three times or more, and per predicted word its
 count and number of contexts.  Those are merged by word hash into vocabulary
@@ -35,25 +35,22 @@ empty result.  Other columns are not read.
 from __future__ import annotations
 
 import math
-import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow.fs
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulse.llm.common import save, ship
+from pulse.llm.hash_files import HashFiles, blocks, joined, run_starts, shard_of, sum_runs, write_arrays
 from pulse.session import shared_dir
 
 ship(__name__)
 
 START, END = np.uint64(1), np.uint64(2)
-CHUNK = 1_000_000
+COUNT_CHUNK, SCORE_CHUNK = 600_000, 200_000
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -73,6 +70,11 @@ def bigram_key(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def bigram_shard(v: np.ndarray, w: np.ndarray, bits: int) -> np.ndarray:
+    """By context, with a very frequent context's words spread over up to eight shards."""
+    return shard_of((v + (w >> np.uint64(61))) * GOLD, bits)
+
+
 def _contexts(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(context, word) of all tokens of some texts."""
     word = np.concatenate(tokens)
@@ -82,79 +84,6 @@ def _contexts(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return context, word
 
 
-def _shard(h: np.ndarray, bits: int) -> np.ndarray:
-    return (h >> np.uint64(64 - bits)).astype(np.int64)
-
-
-def _runs(*keys: np.ndarray) -> np.ndarray:
-    """Starts of the runs of equal keys in sorted arrays."""
-    if not len(keys[0]):
-        return np.zeros(0, np.int64)
-    new = np.ones(len(keys[0]), bool)
-    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
-    return np.nonzero(new)[0]
-
-
-def _sum_runs(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    return np.add.reduceat(values, starts) if len(starts) else values[:0]
-
-
-def _blocks(shard: np.ndarray, columns: dict[str, np.ndarray]) -> pd.DataFrame:
-    """One row per shard with the bytes of each column; shard ascends."""
-    starts = _runs(shard)
-    ends = [*starts[1:], len(shard)]
-    return pd.DataFrame({"shard": shard[starts].astype(np.int32), **{
-        name: [values[a:b].tobytes() for a, b in zip(starts, ends)] for name, values in columns.items()}})
-
-
-def _joined(frame: pd.DataFrame, name: str, dtype) -> np.ndarray:
-    return np.frombuffer(b"".join(frame[name]), dtype)
-
-
-def _local(path: str) -> str | None:
-    if path.startswith("file:"):
-        return "/" + path[5:].lstrip("/")
-    return path if path.startswith("/") else None
-
-
-def _write(path: str, *arrays: np.ndarray) -> None:
-    """Length, then the arrays; appears under its name only when complete."""
-    data = [np.array([len(arrays[0])], np.int64).tobytes(), *(a.tobytes() for a in arrays)]
-    local = _local(path)
-    files, target = (pyarrow.fs.LocalFileSystem(), local) if local else pyarrow.fs.FileSystem.from_uri(path)
-    files.create_dir(os.path.dirname(target), recursive=True)
-    partial = f"{target}.{uuid.uuid4().hex}"
-    with files.open_output_stream(partial) as out:
-        for part in data:
-            out.write(part)
-    files.move(partial, target)
-
-
-def _map(path: str, dtypes) -> list[np.ndarray]:
-    """The arrays of a file, memory-mapped; empty ones if there is no such file."""
-    local = _local(path)
-    if local is None:
-        files, target = pyarrow.fs.FileSystem.from_uri(path)
-        if files.get_file_info(target).type == pyarrow.fs.FileType.NotFound:
-            return [np.zeros(0, d) for d in dtypes]
-        handle, local = tempfile.mkstemp()
-        with files.open_input_stream(target) as source, os.fdopen(handle, "wb") as out:
-            while part := source.read(1 << 24):
-                out.write(part)
-        mapped = np.memmap(local, np.uint8, "r")
-        os.unlink(local)
-    elif os.path.exists(local):
-        mapped = np.memmap(local, np.uint8, "r")
-    else:
-        return [np.zeros(0, d) for d in dtypes]
-    n, at, out = int(mapped[:8].view(np.int64)[0]), 8, []
-    for d in dtypes:
-        size = n * np.dtype(d).itemsize
-        out.append(mapped[at:at + size].view(d))
-        at += size
-    return out
-
-
 #: Sorted hash arrays: bigram hash, count; and word hash, count, contexts, total and n1, n2, n3 as a context.
 BIGRAM = (np.uint64, np.uint32)
 VOCABULARY = (np.uint64, np.int64, np.int64, np.int64, np.int64, np.int64, np.int64)
@@ -167,24 +96,24 @@ def _count_texts(bits: int):
 
         def flush() -> pd.DataFrame:
             v, w = _contexts(held)
-            order = np.lexsort((w, v))
-            v, w = v[order], w[order]
-            at = _runs(v, w)
+            shard = bigram_shard(v, w, bits)
+            order = np.lexsort((w, v, shard))
+            v, w, shard = v[order], w[order], shard[order]
+            at = run_starts(shard, v, w)
             n = np.diff(np.append(at, len(v))).astype(np.uint32)
-            v, w = v[at], w[at]
+            v, w, shard = v[at], w[at], shard[at]
             # a context once per run of its bigrams, with the run's length
-            shard = _shard(v, bits)
-            firsts = _runs(v)
+            firsts = run_starts(shard, v)
             lengths = np.diff(np.append(firsts, len(v))).astype(np.uint32)
-            heads = _blocks(shard[firsts], {"v": v[firsts], "m": lengths})
-            tails = _blocks(shard, {"w": w, "c": n})
+            heads = blocks(shard[firsts], {"v": v[firsts], "m": lengths})
+            tails = blocks(shard, {"w": w, "c": n})
             return heads.merge(tails, on="shard")
 
         for frame in batches:
             for text in frame["text"]:
                 held.append(token_hashes(text))
                 size += len(held[-1])
-                if size >= CHUNK:
+                if size >= COUNT_CHUNK:
                     yield flush()
                     held, size = [], 0
         if held:
@@ -196,28 +125,28 @@ def _count_texts(bits: int):
 def _merge_contexts(path: str, bits: int):
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         number = int(frame["shard"].iloc[0])
-        v = np.repeat(_joined(frame, "v", np.uint64), _joined(frame, "m", np.uint32))
-        w, c = _joined(frame, "w", np.uint64), _joined(frame, "c", np.uint32).astype(np.int64)
+        v = np.repeat(joined(frame, "v", np.uint64), joined(frame, "m", np.uint32))
+        w, c = joined(frame, "w", np.uint64), joined(frame, "c", np.uint32).astype(np.int64)
         order = np.lexsort((w, v))
         v, w, c = v[order], w[order], c[order]
-        at = _runs(v, w)
-        v, w, c = v[at], w[at], _sum_runs(c, at)
+        at = run_starts(v, w)
+        v, w, c = v[at], w[at], sum_runs(c, at)
         key = bigram_key(v, w)
         order = np.argsort(key)
-        _write(f"{path}/bigram-{number:05d}", key[order], np.minimum(c[order], 2**32 - 1).astype(np.uint32))
-        firsts = _runs(v)
-        totals = [_sum_runs(c, firsts), *(_sum_runs(x.astype(np.int64), firsts) for x in (c == 1, c == 2, c >= 3))]
+        write_arrays(f"{path}/bigram-{number:05d}", key[order], np.minimum(c[order], 2**32 - 1).astype(np.uint32))
+        firsts = run_starts(v)
+        totals = [sum_runs(c, firsts), *(sum_runs(x.astype(np.int64), firsts) for x in (c == 1, c == 2, c >= 3))]
         zero = np.zeros(len(firsts), np.int64)
         contexts = pd.DataFrame(dict(zip(("h", "c", "k", "t", "n1", "n2", "n3"), (v[firsts], zero, zero, *totals))))
         order = np.argsort(w, kind="stable")
         w, c = w[order], c[order]
-        at = _runs(w)
+        at = run_starts(w)
         zero = np.zeros(len(at), np.int64)
         counts = np.diff(np.append(at, len(w)))
-        predicted = pd.DataFrame({"h": w[at], "c": _sum_runs(c, at), "k": counts, "t": zero, "n1": zero, "n2": zero,
+        predicted = pd.DataFrame({"h": w[at], "c": sum_runs(c, at), "k": counts, "t": zero, "n1": zero, "n2": zero,
                                   "n3": zero})
         both = pd.concat([contexts, predicted]).sort_values("h", kind="stable")
-        out = _blocks(_shard(both["h"].to_numpy(), bits), {x: both[x].to_numpy() for x in both})
+        out = blocks(shard_of(both["h"].to_numpy(), bits), {x: both[x].to_numpy() for x in both})
         every = c if len(c) else np.zeros(0, np.int64)
         seen = [int((every == x).sum()) for x in (1, 2, 3, 4)]
         for i, x in enumerate(seen):
@@ -230,12 +159,12 @@ def _merge_contexts(path: str, bits: int):
 def _merge_words(path: str):
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         number = int(frame["shard"].iloc[0])
-        h = _joined(frame, "h", np.uint64)
+        h = joined(frame, "h", np.uint64)
         order = np.argsort(h, kind="stable")
         h = h[order]
-        at = _runs(h)
-        parts = {x: _sum_runs(_joined(frame, x, np.int64)[order], at) for x in ("c", "k", "t", "n1", "n2", "n3")}
-        _write(f"{path}/vocabulary-{number:05d}", h[at], *parts.values())
+        at = run_starts(h)
+        parts = {x: sum_runs(joined(frame, x, np.int64)[order], at) for x in ("c", "k", "t", "n1", "n2", "n3")}
+        write_arrays(f"{path}/vocabulary-{number:05d}", h[at], *parts.values())
         k = parts["k"]
         return pd.DataFrame({"words": [int((parts["c"] > 0).sum())], "tokens": [int(parts["c"].sum())],
                              "types": [int(k.sum())], **{f"kk{x}": [int((k == x).sum())] for x in (1, 2, 3, 4)},
@@ -270,8 +199,8 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     texts = docs.select(F.col(f"`{text_col}`").alias("text"))
     bits = max(4, math.ceil(math.log2(max(1, texts.rdd.getNumPartitions()))))
     path = shared_dir(spark, "llm-ngram")
-    blocks = texts.mapInPandas(_count_texts(bits), "shard int, v binary, m binary, w binary, c binary")
-    stats = save(blocks.groupBy("shard").applyInPandas(
+    counted = texts.mapInPandas(_count_texts(bits), "shard int, v binary, m binary, w binary, c binary")
+    stats = save(counted.groupBy("shard").applyInPandas(
         _merge_contexts(path, bits), "shard int, h binary, c binary, k binary, t binary, n1 binary, n2 binary, "
         "n3 binary, cc1 long, cc2 long, cc3 long, cc4 long"), "ngram-stats")
     words = stats.drop("cc1", "cc2", "cc3", "cc4").groupBy("shard").applyInPandas(
@@ -285,39 +214,22 @@ class Lookup:
     """A model's mapped files in one worker."""
 
     def __init__(self, model: Model):
-        self.model, self.open = model, {}
-
-    def _file(self, kind: str, number: int, dtypes) -> list[np.ndarray]:
-        if (kind, number) not in self.open:
-            self.open[kind, number] = _map(f"{self.model.path}/{kind}-{number:05d}", dtypes)
-        return self.open[kind, number]
-
-    def _find(self, kind: str, dtypes, shard: np.ndarray, key: np.ndarray) -> list[np.ndarray]:
-        """For sorted (shard, key): the files' columns after the key, zero where the key is unknown."""
-        out = [np.zeros(len(key), d) for d in dtypes[1:]]
-        starts = _runs(shard)
-        for a, b in zip(starts, [*starts[1:], len(shard)]):
-            keys, *columns = self._file(kind, int(shard[a]), dtypes)
-            if not len(keys):
-                continue
-            at = np.minimum(np.searchsorted(keys, key[a:b]), len(keys) - 1)
-            hit = np.nonzero(keys[at] == key[a:b])[0]
-            for values, column in zip(out, columns):
-                values[a + hit] = column[at[hit]]
-        return out
+        self.model = model
+        self.bigrams = HashFiles(model.path, "bigram", BIGRAM)
+        self.vocabulary = HashFiles(model.path, "vocabulary", VOCABULARY)
 
     def score(self, tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text: known tokens, base log10 probability, model log10 probability."""
         m = self.model
         v, w = _contexts(tokens)
         both, place = np.unique(np.concatenate([v, w]), return_inverse=True)
-        c, k, t, n1, n2, n3 = self._find("vocabulary", VOCABULARY, _shard(both, m.bits), both)
+        _, c, k, t, n1, n2, n3 = self.vocabulary.find(shard_of(both, m.bits), both)
         cv, cw = place[:len(v)], place[len(v):]
         base = np.log10((c + 0.5) / (m.tokens + 0.5 * (m.words + 1)))
         lower = np.maximum(k - m.low[np.minimum(k, 3)], 0) / max(m.types, 1) + m.rest / (m.words + 1)
-        key, shard = bigram_key(v, w), _shard(v, m.bits)
+        key, shard = bigram_key(v, w), bigram_shard(v, w, m.bits)
         order = np.lexsort((key, shard))
-        (sorted_n,) = self._find("bigram", BIGRAM, shard[order], key[order])
+        _, sorted_n = self.bigrams.find(shard[order], key[order])
         n = np.empty(len(v), np.int64)
         n[order] = sorted_n
         total = np.maximum(t, 1)
@@ -345,7 +257,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 held.append(token_hashes(text))
                 tokens_of.append(len(held[-1]))
                 size += len(held[-1])
-                if size >= CHUNK // 2:
+                if size >= SCORE_CHUNK:
                     flush()
                     held, size = [], 0
             if held:
