@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from pulse.llm import (decontaminate, html_text, license_scan, line_dedup, mixing, ngram_lm, quality_rules,
-                       simhash_dedup)
+                       simhash_dedup, substring_dedup, suffix_dedup)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontaminate.op1_query,
@@ -19,6 +19,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_mixing": mixing.op6_query,
     "op7_lm_scoring": ngram_lm.op7_query,
     "op8_license_scan": license_scan.op8_query,
+    "op9_suffix_dedup": suffix_dedup.op9_query,
+    "op10_substring_dedup": substring_dedup.op10_query,
 }
 
 ORACLES: dict[str, str] = {
