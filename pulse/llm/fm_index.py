@@ -15,14 +15,18 @@ ship(__name__)
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes sorted by their first ``depth`` symbols, by prefix doubling."""
-    rank, width = np.unique(text, return_inverse=True)[1].astype(np.int64), 1
+    """Suffixes sorted by their first ``depth`` symbols (integers from 0), by prefix doubling."""
+    n, rank, width = len(text), text.astype(np.int64), 1
+    order = np.argsort(rank, kind="stable")
     while width < depth:
-        after = np.zeros_like(rank)
-        after[:len(rank) - width] = rank[width:] + 1
-        rank = np.unique(rank * (len(rank) + 1) + after, return_inverse=True)[1].astype(np.int64)
+        key = rank * (int(rank.max(initial=0)) + 2)
+        key[:n - width] += rank[width:] + 1
+        order = np.argsort(key, kind="stable")
+        new = np.ones(n, np.int64)
+        new[1:] = key[order[1:]] != key[order[:-1]]
+        rank[order] = np.cumsum(new) - 1
         width *= 2
-    return np.argsort(rank, kind="stable")
+    return order
 
 
 class Wavelet:

@@ -41,7 +41,7 @@ ship(__name__)
 
 LENGTH = 400
 GRAM = 64
-STRIDE = 50
+STRIDE = 100
 PARTS = 4
 CODES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -58,26 +58,23 @@ def _strided(symbols: np.ndarray, begins: np.ndarray, sizes: np.ndarray, stride:
     while a whole symbol fits), each ended by a 0.
     """
     hashes = gram_hashes(CODES[symbols], stride)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    within = np.arange(len(symbols)) - begins[owner]
-    place = np.nonzero(within + stride <= sizes[owner])[0]
-    ranks = np.unique(hashes[place], return_inverse=True)[1].astype(np.int64) + 1
-    segment, residue, step = owner[place], within[place] % stride, within[place] // stride
-    # rows in sequence order, with room for the 0 that ends each sequence
-    order = np.lexsort((step, residue, segment))
-    new = np.ones(len(order), bool)
-    new[1:] = step[order][1:] == 0
-    at = np.arange(len(order)) + np.cumsum(new) - 1
-    text = np.zeros(len(order) + int(new.sum()), np.int64)
-    text[at] = ranks[order]
+    fits = sizes - stride + 1  # places with a whole symbol; every segment has some of each residue
+    segment = np.repeat(np.arange(len(sizes)), fits)
+    within = np.arange(len(segment)) - np.repeat(np.cumsum(fits) - fits, fits)
+    place = begins[segment] + within
+    ranks = np.unique(hashes[place], return_inverse=True)[1] + 1
+    # sequence r of a segment has one symbol more while r < extra, and a 0 at its end
+    steps, extra = np.divmod(fits, stride)
+    step, residue = np.divmod(within, stride)
+    rows = fits + stride
+    at = ((np.cumsum(rows) - rows)[segment] + residue * (steps + 1)[segment]
+          + np.minimum(residue, extra[segment]) + step)
+    text = np.zeros(int(rows.sum()), np.int64)
+    text[at] = ranks
     where = np.full(len(text), -1, np.int64)
-    where[at] = place[order]
+    where[at] = place
     before = np.zeros_like(text)
     before[1:] = text[:-1]
-    starts = at[new]
-    ends = np.append(starts[1:], len(text)) - 1
-    before[starts] = 0  # the 0 that ends the sequence
-    before[ends] = text[ends - 1]
     return text, before, where
 
 

@@ -57,18 +57,31 @@ class Windows:
         self.mask = (self.span + 7) // 8  # bytes of a verdict
 
 
+_tables: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, kept for the next chunk."""
+    if not _tables or len(_tables[0]) < n:
+        both = np.empty((2, max(n, 2 * CHUNK)), np.uint64)
+        both[0], both[1], both[:, 0] = _base, _inverse, 1
+        _tables[:] = list(np.cumprod(both, axis=1))
+    return _tables[0][:n], _tables[1][:n]
+
+
 def gram_hashes(codes: np.ndarray, gram: int) -> np.ndarray:
     """Hash of every run of ``gram`` codes: a polynomial in 64-bit arithmetic, from prefix sums."""
     n = len(codes)
     if n < gram:
         return np.zeros(0, np.uint64)
-    up, down = np.empty(n, np.uint64), np.empty(n, np.uint64)
-    up[0] = down[0] = 1
-    up[1:], down[1:] = _base, _inverse
-    up, down = np.cumprod(up), np.cumprod(down)
+    up, down = _powers(n)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(codes * down, out=sums[1:])
-    return mix64((sums[gram:] - sums[:-gram]) * up[:n - gram + 1])
+    x = sums[gram:] - sums[:-gram]
+    x *= up[:n - gram + 1]
+    x ^= x >> np.uint64(32)
+    x *= _base
+    return x
 
 
 def sliding_min(values: np.ndarray, span: int) -> np.ndarray:
