@@ -96,11 +96,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             first = (ids == own_ids[doc]) & (hashes == own_texts[doc]) & (firsts == starts - begins[doc])
             gone = covered(len(codes), starts, count, flags | ~first[:, None], how.length)
             out = []
-            for (frame, at), a, n in zip(rows, begins, lengths):
-                tokens, cut = _words(frame["text"].iloc[at]), gone[a:a + n]
+            for (row, text), a, n in zip(rows, begins, lengths):
+                tokens, cut = _words(text), gone[a:a + n]
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], cut.astype(np.int8), [0]])))
                 kept = tokens if not len(edges) else [tokens[i] for i in np.flatnonzero(~cut)]
-                out.append((frame["id"].iloc[at], n, int(cut.sum()), hashlib.sha256(b" ".join(kept)).hexdigest(),
+                out.append((row, n, int(cut.sum()), hashlib.sha256(b" ".join(kept)).hexdigest(),
                             edges.reshape(-1, 2).tolist()))
             yield pd.DataFrame(out, columns=["id", "n_words", "n_removed", "kept_sha256", "spans"]).astype(
                 {"id": "Int64"})

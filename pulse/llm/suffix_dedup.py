@@ -121,10 +121,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             gone = covered(len(codes), starts, count, flags | (times > 1)[:, None], how.length)
             begins = np.cumsum(lengths) - lengths
             out = []
-            for (frame, at), a, n in zip(rows, begins, lengths):
+            for (row, _), a, n in zip(rows, begins, lengths):
                 cut = gone[a:a + n]
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], cut.astype(np.int8), [0]])))
-                out.append((frame["id"].iloc[at], n, int(cut.sum()), len(edges) // 2,
+                out.append((row, n, int(cut.sum()), len(edges) // 2,
                             hashlib.sha256(symbols[a:a + n][~cut].tobytes()).hexdigest(),
                             edges.reshape(-1, 2).tolist()))
             yield pd.DataFrame(out, columns=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]).astype(

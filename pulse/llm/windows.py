@@ -117,11 +117,11 @@ def runs_of(codes: np.ndarray, lengths: np.ndarray, how: Windows) -> tuple[np.nd
 
 
 def chunks(batches: Iterator[pd.DataFrame], encode: Callable) -> Iterator[tuple]:
-    """(rows, codes, symbols, lengths) of documents in bounded chunks; rows are (frame, position)."""
+    """(rows, codes, symbols, lengths) of documents in bounded chunks; rows are (id, text)."""
     held, size = [], 0
     for frame in batches:
-        for at, text in enumerate(frame["text"]):
-            held.append((frame, at, *encode(text)))
+        for row, text in zip(frame["id"], frame["text"]):
+            held.append((row, text, *encode(text)))
             size += len(held[-1][2])
             if size >= CHUNK:
                 yield _pack(held)
@@ -188,9 +188,8 @@ def text_hash(text: str | None) -> int:
 
 def order_of(rows: list) -> tuple[np.ndarray, np.ndarray]:
     """Documents' order: id (null last), then text hash."""
-    ids = [frame["id"].iloc[at] for frame, at in rows]
-    return (np.array([LAST if pd.isna(x) else int(x) for x in ids], np.int64),
-            np.array([text_hash(frame["text"].iloc[at]) for frame, at in rows], np.int64))
+    return (np.array([LAST if pd.isna(row) else int(row) for row, _ in rows], np.int64),
+            np.array([text_hash(text) for _, text in rows], np.int64))
 
 
 def _deal(how: Windows, encode: Callable, path: str, bits: int):
@@ -254,19 +253,24 @@ def _judge(how: Windows, path: str, judge: Callable):
     def shard(frame: pd.DataFrame) -> pd.DataFrame:
         number = int(frame["shard"].iloc[0])
         frame = frame.sort_values(["key", "same", "id", "text", "start"], kind="stable", ignore_index=True)
-        groups = frame.groupby("same", sort=False)
-        frame = frame.assign(times=groups["times"].transform("sum"))[~frame["same"].duplicated()]
-        frame = frame.reset_index(drop=True)
-        sizes = (frame["windows"] + how.length - 1).to_numpy()
-        key = frame["key"].to_numpy()
-        firsts = run_starts(key)
-        cost = np.add.reduceat(sizes, firsts)
-        block = np.repeat((np.cumsum(cost) - cost) // BLOCK, np.diff(np.append(firsts, len(key))))
+        total = frame.groupby("same", sort=False)["times"].transform("sum")
+        frame = frame.assign(times=total)[~frame["same"].duplicated()].reset_index(drop=True)
         masks = np.zeros((len(frame), how.mask), np.uint8)
-        at = run_starts(block)
-        for a, b in zip(at, [*at[1:], len(frame)]):
-            own = Segments(frame.iloc[a:b], how)
-            masks[a:b] = pack_masks(judge(own, how), own.windows, how)
+        # a key with one segment needs no index: two equal windows of one run cannot be, as each
+        # holds its smallest gram at the same offset, and a run is the windows of one such place
+        firsts = run_starts(frame["key"].to_numpy())
+        members = np.diff(np.append(firsts, len(frame)))
+        chosen = np.nonzero(np.repeat(members > 1, members))[0]
+        several = frame.iloc[chosen]
+        if len(several):
+            sizes, key = (several["windows"] + how.length - 1).to_numpy(), several["key"].to_numpy()
+            firsts = run_starts(key)
+            cost = np.add.reduceat(sizes, firsts)
+            block = np.repeat((np.cumsum(cost) - cost) // BLOCK, np.diff(np.append(firsts, len(key))))
+            at = run_starts(block)
+            for a, b in zip(at, [*at[1:], len(several)]):
+                own = Segments(several.iloc[a:b], how)
+                masks[chosen[a:b]] = pack_masks(judge(own, how), own.windows, how)
         same = frame["same"].to_numpy(np.int64).view(np.uint64)
         order = np.argsort(same)
         write_arrays(f"{path}/verdict-{number:05d}", same[order],
@@ -284,8 +288,7 @@ def judge_segments(texts: DataFrame, how: Windows, encode: Callable, judge: Call
     """Runs passes 1 and 2 over (id, text); returns where the files are and the number of shard bits."""
     path = shared_dir(texts.sparkSession, "llm-windows")
     bits = max(5, 1 + math.ceil(math.log2(max(1, texts.rdd.getNumPartitions()))))
-    only = texts.select("text")
-    keys = only.mapInPandas(_collect_keys(how, encode, bits), "shard int, once binary, twice binary")
+    keys = texts.mapInPandas(_collect_keys(how, encode, bits), "shard int, once binary, twice binary")
     keys.groupBy("shard").applyInPandas(_write_keys(path), "keys long").agg(F.sum("keys")).first()
     dealt = texts.mapInPandas(_deal(how, encode, path, bits), DEALT)
     dealt.groupBy("shard").applyInPandas(_judge(how, path, judge), "segments long").agg(F.sum("segments")).first()
@@ -315,10 +318,13 @@ class Verdicts:
 
 def covered(size: int, starts: np.ndarray, count: np.ndarray, removed: np.ndarray, length: int) -> np.ndarray:
     """Which of ``size`` symbols lie in a removed window; removed has a row of window flags per run."""
-    run, within = np.nonzero(removed)
-    ok = within < count[run]
-    at = starts[run[ok]] + within[ok]
+    removed = removed & (np.arange(removed.shape[1]) < count[:, None])
     edges = np.zeros(size + 1, np.int32)
-    np.add.at(edges, at, 1)
-    np.add.at(edges, at + length, -1)
+    begin = removed.copy()
+    begin[:, 1:] &= ~removed[:, :-1]
+    run, within = np.nonzero(begin)
+    np.add.at(edges, starts[run] + within, 1)
+    removed[:, :-1] &= ~removed[:, 1:]  # the last of each stretch of windows
+    run, within = np.nonzero(removed)
+    np.add.at(edges, starts[run] + within + length, -1)
     return np.cumsum(edges[:size]) > 0
