@@ -83,7 +83,9 @@ def _matches(texts: DataFrame, items: DataFrame, size: int, similarity: float, r
     windows = save(hits.select("doc", "length", (F.col("pos") - F.col("off")).alias("start")).distinct(), "windows")
 
     own = windows.groupBy("doc").agg(F.collect_set(F.struct("start", "length")).alias("spans"))
-    full = texts.join(own, "doc").select("doc", "spans", _shingles(F.col("text"), size).alias("hs"))
+    # rows that repeat a document would count its shingles twice
+    full = (texts.join(own, "doc").dropDuplicates(["doc"])
+            .select("doc", "spans", _shingles(F.col("text"), size).alias("hs")))
     cut = full.select("doc", "hs", F.explode("spans").alias("w")).select(
         "doc", "w.start", "w.length", F.explode(F.slice(
             "hs", F.greatest(F.col("w.start"), F.lit(0)) + 1,
