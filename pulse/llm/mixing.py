@@ -59,8 +59,9 @@ def source_targets(sizes: DataFrame, weights=(1, 2, 3), max_epochs: int = 3) ->
 
 
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length to take so that their words come as
-    close to ``budget`` as possible without exceeding it (0 <= budget < sum).
+    """How many documents of each length to take so that their words come close
+    to ``budget`` (0 <= budget < sum): from below up to half of all words, and
+    beyond that from above, by fitting what is left out.
 
     Proportional part, then largest remainders that fit, then an exact
     bounded knapsack over the documents left.
@@ -69,6 +70,8 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     total = int(sum(int(a) * int(b) for a, b in zip(lengths, counts)))
     if total == 0 or budget <= 0:
         return take
+    if 2 * budget > total:
+        return counts - fit(lengths, counts, total - budget)
     share = budget / total
     take = np.minimum(np.floor(counts * share).astype(np.int64), counts)
     rest = budget - int(sum(int(a) * int(b) for a, b in zip(lengths, take)))

@@ -6,7 +6,7 @@ first token's context is a start mark, which is never predicted.
 
 Counting.  Every task counts bigrams of its texts in bounded chunks and deals
 them by context hash to shards (a power of two that follows the number of
-input partitions; a context's words are spread over eight of them).  A shard merges its blocks, writes one file (sorted 64-bit
+input partitions; a context's words are dealt to two of them).  A shard merges its blocks, writes one file (sorted 64-bit
 bigram hashes, counts) and passes on, per context, its total and its numbers
 of bigrams seen once, twice, three times or more, and per predicted word its
 count and number of contexts.  Those are merged by word hash into vocabulary
@@ -50,7 +50,7 @@ from pulse.session import shared_dir
 ship(__name__)
 
 START, END = np.uint64(1), np.uint64(2)
-COUNT_CHUNK, SCORE_CHUNK = 600_000, 200_000
+COUNT_CHUNK, SCORE_CHUNK = 1_000_000, 200_000
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -71,8 +71,8 @@ def bigram_key(v: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 def bigram_shard(v: np.ndarray, w: np.ndarray, bits: int) -> np.ndarray:
-    """By context, with a very frequent context's words spread over up to eight shards."""
-    return shard_of((v + (w >> np.uint64(61))) * GOLD, bits)
+    """By context, with a context's words dealt to two shards so that a very frequent one is split."""
+    return shard_of((v + (w >> np.uint64(63))) * GOLD, bits)
 
 
 def _contexts(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -197,7 +197,7 @@ class Model:
 def train(docs: DataFrame, text_col: str = "text") -> Model:
     spark = docs.sparkSession
     texts = docs.select(F.col(f"`{text_col}`").alias("text"))
-    bits = max(4, math.ceil(math.log2(max(1, texts.rdd.getNumPartitions()))))
+    bits = max(4, 2 + math.ceil(math.log2(max(1, texts.rdd.getNumPartitions()))))
     path = shared_dir(spark, "llm-ngram")
     counted = texts.mapInPandas(_count_texts(bits), "shard int, v binary, m binary, w binary, c binary")
     stats = save(counted.groupBy("shard").applyInPandas(

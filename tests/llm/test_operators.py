@@ -173,9 +173,7 @@ def test_fit_reaches_the_budget(seed):
         take = mixing.fit(lengths, counts, budget)
         assert (take >= 0).all() and (take <= counts).all()
         used = int((take * lengths).sum())
-        # near the whole there are few texts left to fit with
-        near = 40 if budget > total * 0.9 else 2 if budget > 1000 else lengths[lengths > 0].min()
-        assert used <= budget and budget - used <= near
+        assert abs(used - budget) <= (lengths[lengths > 0].min() if min(budget, total - budget) < 1000 else 2)
 
 
 def test_language_model(spark, docs, rows):
