@@ -10,9 +10,19 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+#: Every character that counts as white space, not the blank alone.
+WHITE_SPACE = (" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b)))
+               + "\u2028\u2029\u202f\u205f\u3000")
+
+
+def strip(x: Column) -> Column:
+    """Text without leading and trailing white space of any kind."""
+    return F.btrim(x, F.lit(WHITE_SPACE))
+
+
 def blank_to_null(x) -> Column:
     """Trimmed text, or NULL when empty after trimming."""
-    return F.nullif(F.trim(_c(x)), F.lit(""))
+    return F.nullif(strip(_c(x)), F.lit(""))
 
 
 def first_available(*cols) -> Column:
@@ -49,10 +59,10 @@ def affix_match(x, affix: str, at: str = "end") -> Column:
 
 def address_tail(x) -> Column:
     """Last non-blank comma-separated part of an address string."""
-    parts = F.filter(F.transform(F.split(_c(x), ","), lambda p: F.trim(p)), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(_c(x), ","), strip), lambda p: p != "")
     return F.try_element_at(parts, F.lit(-1))
 
 
 def truthy(x, tokens=("true", "jah", "1")) -> Column:
     """Case-insensitive token test; NULL -> false."""
-    return F.coalesce(F.lower(F.trim(_c(x))).isin(list(tokens)), F.lit(False))
+    return F.coalesce(F.lower(strip(_c(x))).isin(list(tokens)), F.lit(False))

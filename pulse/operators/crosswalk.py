@@ -9,14 +9,12 @@ from pyspark.sql import functions as F
 def prefix_score(old: Column, new: Column, max_len: int = 5) -> Column:
     """Largest k in max_len..1 with left(new, k) = left(old, k), else 0.
 
-    Written as the ordered CASE of the original lookup (a shorter string that
-    equals the other's prefix scores at every larger k as well).
+    Codes that agree on k characters agree on fewer, so the largest k is the
+    number of lengths on which they agree.
     """
-    expr = None
-    for k in range(max_len, 0, -1):
-        cond = F.left(new, F.lit(k)) == F.left(old, F.lit(k))
-        expr = F.when(cond, k) if expr is None else expr.when(cond, k)
-    return expr.otherwise(0)
+    agree = F.filter(F.sequence(F.lit(1), F.lit(max_len)),
+                     lambda k: F.substring(new, F.lit(1), k) == F.substring(old, F.lit(1), k))
+    return F.size(agree)
 
 
 def resolve(crosswalk: DataFrame, old: str = "old_code", new: str = "new_code",
@@ -30,8 +28,8 @@ def resolve(crosswalk: DataFrame, old: str = "old_code", new: str = "new_code",
     """
     o, n = F.col(old), F.col(new)
     key = F.struct((-prefix_score(o, n, max_len)).alias("s"), n.isNull().alias("z"), n.alias("c"))
-    return (crosswalk.groupBy(o.alias("old_code"))
-            .agg(F.min(key).alias("_best"))
+    return (crosswalk.select(o.alias("old_code"), key.alias("_key")).groupBy("old_code")
+            .agg(F.min("_key").alias("_best"))
             .select("old_code", F.col("_best.c").alias("new_code")))
 
 

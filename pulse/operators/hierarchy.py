@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 from pulse.session import ensure_checkpoint_dir
 
 
+#: Depth from which the edges are counted to tell a deep tree from a cycle.
+CYCLE_CHECK_FROM = 32
+
+
 def root_closure(tree: DataFrame, code: str = "code", parent: str = "parent",
-                 max_depth: int = 100, checkpoint_every: int = 4,
+                 checkpoint_every: int = 4,
                  cached: list | None = None) -> DataFrame:
     """Map every node reachable from a root to that root.
 
@@ -38,11 +42,13 @@ def root_closure(tree: DataFrame, code: str = "code", parent: str = "parent",
     held = cached if cached is not None else []
     held.append(frontier)
     n = frontier.count()
-    depth = 0
+    depth, longest = 0, None
     while n:
         depth += 1
-        if depth > max_depth:
-            raise RuntimeError(f"hierarchy deeper than max_depth={max_depth} (cycle under a root?)")
+        if longest is None and depth > CYCLE_CHECK_FROM:
+            longest = edges.count()
+        if longest is not None and depth > longest + 1:  # a path longer than all edges passes one twice
+            raise RuntimeError("the hierarchy has a cycle under a root")
         nxt = (edges.join(frontier, edges._parent == frontier.code)
                .select(F.col("_child").alias("code"), F.col("root")))
         if checkpoint_every and depth % checkpoint_every == 0:

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    A bounded probe (``limit(max_rows + 1).count()``): a plain scan stops
-    reading as soon as the bound is exceeded.
+    A parallel count: a limit would send up to max_rows rows of every task to
+    one task.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:

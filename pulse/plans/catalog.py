@@ -385,8 +385,8 @@ QUALITY_QUERIES: dict[str, Query] = {
 
 def _events_stream(spark, sf_dir):
     schema = bindings.table(spark, sf_dir, "events").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-            .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    # a glob, so that a table that is one file and a table that is a folder of files both stream whole
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/[e]vents.parquet")
 
 
 def _first_seen_run(spark, sf_dir, runs=("r1",)):

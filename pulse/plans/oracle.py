@@ -120,82 +120,108 @@ b_ledger AS (
         FROM events WHERE event_type = 'signup' AND ts < {LEDGER_TS}) WHERE rn = 1
 )"""
 
+#: Largest k up to five for which both codes start with the same k characters.
+PREFIX_SCORE = ("list_sum(list_transform(range(1, 6), lambda k: "
+                "CAST(coalesce(left(new_code, k) = left(old_code, k), false) AS INTEGER)))")
+
+#: Whole years between two dates, by calendar year and day of the year; negative for later dates.
+WHOLE_YEARS = ("CASE WHEN {a} <= {b} THEN year({b}) - year({a}) - CAST(strftime({b}, '%m%d') < strftime({a}, '%m%d') AS INTEGER) "
+               "ELSE year({b}) - year({a}) + CAST(strftime({a}, '%m%d') < strftime({b}, '%m%d') AS INTEGER) END")
+
 DERIVED = f"""
-h(code, parent, root) AS (
-  SELECT code, parent, code FROM b_class WHERE parent IS NULL
-  UNION ALL
-  SELECT e.code, e.parent, h.root FROM b_class e JOIN h ON e.parent = h.code
+climb(code, at_code, next_code) AS (
+  SELECT code, code, parent FROM b_class
+  UNION
+  SELECT climb.code, up.code, up.parent FROM climb JOIN b_class up ON up.code = climb.next_code
 ),
+labels AS (SELECT code, label FROM b_class),
 closure AS (
-  SELECT h.code, k.label AS code_label, h.root AS root_code, e.label AS root_label
-  FROM h JOIN b_class e ON e.code = h.root JOIN b_class k ON k.code = h.code
+  SELECT own.code, own.label AS code_label, top.code AS root_code, top.label AS root_label
+  FROM labels own JOIN climb ON climb.code = own.code AND climb.next_code IS NULL
+  JOIN labels top ON top.code = climb.at_code
+  WHERE EXISTS (SELECT 1 FROM b_class t WHERE t.code = climb.at_code AND t.parent IS NULL)
+),
+candidates AS (
+  SELECT old_code, new_code,
+         row_number() OVER (PARTITION BY old_code ORDER BY {PREFIX_SCORE} DESC, new_code NULLS LAST) AS place
+  FROM b_crosswalk
+),
+best_code AS (SELECT old_code, new_code FROM candidates WHERE place = 1),
+aged AS (
+  SELECT *, CAST({WHOLE_YEARS.format(a='founded_on', b=ASOF)} AS INTEGER) AS years_ago FROM b_register
+),
+dated AS (
+  SELECT *, CAST({ASOF} - to_years(years_ago) - INTERVAL 1 DAY AS DATE) AS period_end,
+         CAST({ASOF} - to_years(years_ago + 1) AS DATE) AS period_start FROM aged
 ),
 reg_std AS (
-  SELECT entity_id, legal_form, {LEGAL_GROUP} AS legal_group, founded_on, n.years_ago,
-         CAST({ASOF} - to_years(n.years_ago + 1) AS DATE) AS period_start,
-         CAST({ASOF} - to_years(n.years_ago) - INTERVAL 1 DAY AS DATE) AS period_end,
-         CAST(year({ASOF} - to_years(n.years_ago) - INTERVAL 1 DAY) AS INTEGER) AS rolling_year,
-         replace(county, '{D.county_strip}', '') AS county,
-         status, activity_code,
-         CASE WHEN activity_version = '{D.old_code_version}' THEN (
-             SELECT x.new_code FROM b_crosswalk x
-             WHERE x.old_code = au.activity_code
-             ORDER BY CASE WHEN left(x.new_code, 5) = left(au.activity_code, 5) THEN 5
-                           WHEN left(x.new_code, 4) = left(au.activity_code, 4) THEN 4
-                           WHEN left(x.new_code, 3) = left(au.activity_code, 3) THEN 3
-                           WHEN left(x.new_code, 2) = left(au.activity_code, 2) THEN 2
-                           WHEN left(x.new_code, 1) = left(au.activity_code, 1) THEN 1
-                           ELSE 0 END DESC,
-                      x.new_code NULLS LAST
-             LIMIT 1)
-           ELSE activity_code END AS activity_code_std,
-         CASE WHEN n.years_ago < 6 THEN 1 ELSE 0 END AS in_last_6,
-         loaded_at
-  FROM b_register au,
-       LATERAL (SELECT CAST(date_part('year', age({ASOF_TS}, CAST(au.founded_on AS TIMESTAMP))) AS INTEGER)
-                AS years_ago) n
+  SELECT d.entity_id, d.legal_form, {LEGAL_GROUP} AS legal_group, d.founded_on, d.years_ago, d.period_start,
+         d.period_end, CAST(year(d.period_end) AS INTEGER) AS rolling_year,
+         replace(d.county, '{D.county_strip}', '') AS county, d.status, d.activity_code,
+         if(d.activity_version IS NOT DISTINCT FROM '{D.old_code_version}', b.new_code, d.activity_code) AS activity_code_std,
+         CAST(coalesce(d.years_ago < 6, false) AS INTEGER) AS in_last_6, d.loaded_at
+  FROM dated d LEFT JOIN best_code b ON b.old_code = d.activity_code
+),
+company_counts AS (
+  SELECT rolling_year, county, in_last_6, legal_group, root_code, root_label, code IS NOT NULL AS placed,
+         count(entity_id) AS n
+  FROM reg_std LEFT JOIN closure ON code = activity_code_std
+  GROUP BY ALL
 ),
 entity_counts AS (
-  SELECT r.rolling_year, r.county, {sector('e.root_code', 'e.root_label')} AS sector_label,
-         r.in_last_6, CAST(count(r.entity_id) AS BIGINT) AS entity_count
-  FROM reg_std r LEFT JOIN closure e ON e.code = r.activity_code_std
-  WHERE r.legal_group != '{G3}'
-  GROUP BY r.rolling_year, r.county, e.root_code, e.root_label, r.in_last_6
+  SELECT rolling_year, county, {sector('root_code', 'root_label')} AS sector_label, in_last_6,
+         CAST(sum(n) AS BIGINT) AS entity_count
+  FROM company_counts WHERE legal_group <> '{G3}'
+  GROUP BY rolling_year, county, root_code, root_label, in_last_6
+),
+band_groups AS (
+  SELECT unnest([{_q(D.young_bands)}]) AS age_band, '{YOUNG}' AS age_group
+  UNION ALL SELECT unnest([{_q(D.old_bands)}]), '{OLD}'
 ),
 pop_clean AS (
-  SELECT year,
-         CASE WHEN age_band IN ({_q(D.young_bands)}) THEN '{YOUNG}'
-              WHEN age_band IN ({_q(D.old_bands)}) THEN '{OLD}' ELSE '{WORKING}' END AS age_group,
-         replace(county, '{D.county_strip}', '') AS county, population, loaded_at
-  FROM b_population
-  WHERE starts_with(county, '{D.county_filter_affix}')
-    AND age_band NOT IN ({_q(D.excluded_bands)})
-    AND sex = '{D.sex_total}' AND ethnicity = '{D.ethnicity_total}'
+  SELECT p.year, coalesce(g.age_group, '{WORKING}') AS age_group,
+         replace(p.county, '{D.county_strip}', '') AS county, p.population, p.loaded_at
+  FROM b_population p LEFT JOIN band_groups g ON g.age_band = p.age_band
+  WHERE p.sex = '{D.sex_total}' AND p.ethnicity = '{D.ethnicity_total}'
+    AND left(p.county, {len(D.county_filter_affix)}) = '{D.county_filter_affix}'
+    AND NOT list_contains([{_q(D.excluded_bands)}], p.age_band)
 ),
 county_dim AS (
   SELECT CAST(row_number() OVER (ORDER BY display_order) AS BIGINT) AS county_id,
          county_name AS county, map_code, region, display_order
   FROM b_county_seed
 ),
+workers AS (
+  SELECT county, year, CAST(sum(population) AS BIGINT) AS working_age_pop
+  FROM pop_clean GROUP BY county, year, age_group HAVING age_group = '{WORKING}' AND year > {YEAR} - 6
+),
 rate AS (
-  SELECT r.year, r.county, r.working_age_pop,
-         CAST(coalesce(e.entity_count, 0) AS BIGINT) AS entity_count,
-         {half_up('coalesce(e.entity_count, 0)', 'r.working_age_pop', 1000)} AS per_1000,
-         dm.region, e.sector_label
-  FROM (SELECT year, county, CAST(sum(population) AS BIGINT) AS working_age_pop
-        FROM pop_clean WHERE age_group = '{WORKING}' AND year >= {YEAR} - 5
-        GROUP BY year, county) r
-  LEFT JOIN (SELECT * FROM entity_counts WHERE in_last_6 = 1) e
-         ON r.county = e.county AND r.year = e.rolling_year
-  JOIN county_dim dm ON dm.county = r.county
+  SELECT w.year, w.county, w.working_age_pop, CAST(coalesce(n.entity_count, 0) AS BIGINT) AS entity_count,
+         {half_up('coalesce(n.entity_count, 0)', 'w.working_age_pop', 1000)} AS per_1000,
+         c.region, n.sector_label
+  FROM county_dim c JOIN workers w USING (county)
+  LEFT JOIN entity_counts n ON n.in_last_6 = 1 AND n.county = w.county AND n.rolling_year = w.year
+),
+young_companies AS (
+  SELECT county, activity_code, count(entity_id) AS n FROM reg_std
+  WHERE date_diff('day', founded_on, {ASOF}) <= 30
+    AND list_contains([{_q(D.business_forms + D.sole_trader_forms)}], legal_form)
+  GROUP BY county, activity_code
 ),
 recent AS (
-  SELECT e.county, CAST(count(e.entity_id) AS BIGINT) AS entity_count,
-         {sector('t.root_code', 't.root_label')} AS sector_label
-  FROM reg_std e LEFT JOIN closure t ON e.activity_code = t.code
-  WHERE e.founded_on >= {ASOF} - 30
-    AND e.legal_form IN ({_q(D.business_forms + D.sole_trader_forms)})
-  GROUP BY e.county, t.root_code, t.root_label
+  SELECT y.county, CAST(sum(y.n) AS BIGINT) AS entity_count, {sector('c.root_code', 'c.root_label')} AS sector_label
+  FROM young_companies y LEFT JOIN closure c ON c.code = y.activity_code
+  GROUP BY y.county, c.root_code, c.root_label
+),
+both_periods AS (
+  SELECT county, sector_label,
+         CAST(sum(entity_count) FILTER (rolling_year = {YEAR}) AS BIGINT) AS now_n,
+         CAST(CASE WHEN county IS NOT NULL THEN sum(entity_count) FILTER (rolling_year < {YEAR}) END AS BIGINT) AS then_n
+  FROM entity_counts WHERE sector_label IS NOT NULL GROUP BY county, sector_label
+  HAVING bool_or(rolling_year = {YEAR})
+),
+county_totals AS (
+  SELECT county, sum(now_n) AS now_all, sum(then_n) AS then_all FROM both_periods GROUP BY county
 )"""
 
 
@@ -207,57 +233,33 @@ def with_ctes(select: str, extra: str = "") -> str:
 MART_FINAL: dict[str, str] = {
     "register_std": "SELECT * FROM reg_std",
     "hierarchy_closure": ("SELECT * FROM closure"),
-    "crosswalk_resolve": f"""
-SELECT DISTINCT x0.old_code, (
-    SELECT x.new_code FROM b_crosswalk x WHERE x.old_code = x0.old_code
-    ORDER BY CASE WHEN left(x.new_code, 5) = left(x0.old_code, 5) THEN 5
-                  WHEN left(x.new_code, 4) = left(x0.old_code, 4) THEN 4
-                  WHEN left(x.new_code, 3) = left(x0.old_code, 3) THEN 3
-                  WHEN left(x.new_code, 2) = left(x0.old_code, 2) THEN 2
-                  WHEN left(x.new_code, 1) = left(x0.old_code, 1) THEN 1
-                  ELSE 0 END DESC, x.new_code NULLS LAST
-    LIMIT 1) AS new_code
-FROM b_crosswalk x0""",
+    "crosswalk_resolve": "SELECT old_code, new_code FROM best_code",
     "county_dimension": ("SELECT * FROM county_dim"),
     "population_clean": ("SELECT * FROM pop_clean"),
     "entity_counts": ("SELECT * FROM entity_counts"),
     "trend_by_region": """
-SELECT e.rolling_year AS year, e.county, m.region, CAST(sum(e.entity_count) AS BIGINT) AS entity_count,
-       e.sector_label, e.in_last_6
-FROM entity_counts e LEFT JOIN county_dim m ON e.county = m.county
-GROUP BY e.rolling_year, e.county, m.region, e.sector_label, e.in_last_6""",
+SELECT n.year, n.county, c.region, n.entity_count, n.sector_label, n.in_last_6
+FROM (SELECT rolling_year AS year, county, sector_label, in_last_6, CAST(sum(entity_count) AS BIGINT) AS entity_count
+      FROM entity_counts GROUP BY ALL) n
+LEFT JOIN county_dim c USING (county)""",
     "portfolio_shift": f"""
-SELECT county, sector_label, entity_count_current, entity_count_earlier,
-       {half_up('entity_count_current', 'tot_cur', 100)} AS share_current,
-       {half_up('entity_count_earlier', 'tot_prev', 100)} AS share_earlier
-FROM (
-  SELECT v.county, v.sector_label,
-         CAST(v.cur AS BIGINT) AS entity_count_current, CAST(e.prev AS BIGINT) AS entity_count_earlier,
-         sum(v.cur) OVER (PARTITION BY v.county) AS tot_cur,
-         sum(e.prev) OVER (PARTITION BY e.county) AS tot_prev
-  FROM (SELECT county, sector_label, sum(entity_count) AS cur FROM entity_counts
-        WHERE rolling_year = {YEAR} AND sector_label IS NOT NULL GROUP BY county, sector_label) v
-  LEFT JOIN (SELECT county, sector_label, sum(entity_count) AS prev FROM entity_counts
-             WHERE rolling_year < {YEAR} AND sector_label IS NOT NULL GROUP BY county, sector_label) e
-         ON v.county = e.county AND v.sector_label = e.sector_label
-)""",
+SELECT p.county, p.sector_label, p.now_n AS entity_count_current, p.then_n AS entity_count_earlier,
+       {half_up('p.now_n', 't.now_all', 100)} AS share_current,
+       {half_up('p.then_n', 't.then_all', 100)} AS share_earlier
+FROM both_periods p JOIN county_totals t ON t.county IS NOT DISTINCT FROM p.county""",
     "rate_per_1000": ("SELECT * FROM rate"),
     "rate_geo": """
-SELECT e.year, e.county, e.region, e.working_age_pop, e.entity_count, e.per_1000, e.sector_label, m.map_code
-FROM rate e LEFT JOIN county_dim m ON e.county = m.county""",
+SELECT rate.*, c.map_code FROM rate LEFT JOIN county_dim c ON c.county = rate.county""",
     "new_by_activity": f"""
-SELECT ar.legal_group, ar.county, e.root_code, e.root_label,
-       {sector('e.root_code', 'e.root_label')} AS sector_label,
-       CAST(count(ar.entity_id) AS BIGINT) AS entity_count
-FROM reg_std ar JOIN closure e ON ar.activity_code_std = e.code
-WHERE ar.rolling_year = {YEAR}
-GROUP BY ar.legal_group, ar.county, e.root_code, e.root_label""",
+SELECT legal_group, county, root_code, root_label, {sector('root_code', 'root_label')} AS sector_label,
+       CAST(sum(n) AS BIGINT) AS entity_count
+FROM company_counts WHERE placed AND rolling_year = {YEAR}
+GROUP BY legal_group, county, root_code, root_label""",
     "recent_30d": ("SELECT * FROM recent"),
     "top_sectors": """
-SELECT CAST(row_number() OVER (ORDER BY entity_count DESC, sector_label) AS INTEGER) AS rank,
-       sector_label, entity_count
-FROM (SELECT sector_label, CAST(sum(entity_count) AS BIGINT) AS entity_count FROM recent GROUP BY sector_label)
-QUALIFY rank <= 10""",
+SELECT CAST(row_number() OVER (ORDER BY n DESC, sector_label) AS INTEGER) AS rank, sector_label, n AS entity_count
+FROM (SELECT sector_label, CAST(sum(entity_count) AS BIGINT) AS n FROM recent GROUP BY sector_label)
+ORDER BY rank LIMIT 10""",
     "kpi_recent_total": (
         "SELECT CAST(coalesce(sum(entity_count), 0) AS BIGINT) AS recent_total FROM recent"),
     "kpi_data_freshness": (

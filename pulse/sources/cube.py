@@ -91,7 +91,7 @@ def flatten_cubes(cubes: DataFrame, dims: list[str], value_name: str = "value",
         member = F.element_at(F.col(f"_m{i}"), (coord + 1).cast("int"))
         label = F.coalesce(F.element_at(F.col(f"_l{i}"), member), member)
         out.append((label.cast("int") if dim in int_dims else label).alias(dim))
-    out.append(F.col("_v").cast("int").alias(value_name))
+    out.append(F.col("_v").cast("long").alias(value_name))
     return cells.select(*out)
 
 

@@ -53,7 +53,7 @@ def page_entries(pages: DataFrame, col: str = "xml") -> DataFrame:
     Returns (entity_id, entry_type, entry_at, ruling_no, page, position);
     companies without a key and entries of keyless companies are skipped.
     """
-    p = pages.select(F.col("page"), F.from_xml(F.col(col), PAGE_SCHEMA)["companies"]["item"].alias("_items"))
+    p = pages.select(F.col("page"), F.from_xml(F.col(col), PAGE_SCHEMA, {"ignoreNamespace": "true"})["companies"]["item"].alias("_items"))
     comp = p.select("page", F.posexplode(F.col("_items")).alias("_ci", "_c"))
     ent = comp.select("page", "_ci", F.col("_c.entity_id").alias("_id"),
                       F.posexplode(F.col("_c.entries.item")).alias("_ei", "_e"))
@@ -62,7 +62,7 @@ def page_entries(pages: DataFrame, col: str = "xml") -> DataFrame:
                     txt.blank_to_null("_e.entry_type").alias("entry_type"),
                     P.multi_format_timestamp(F.col("_e.entry_at")).alias("entry_at"),
                     txt.blank_to_null("_e.ruling_no").alias("ruling_no"),
-                    "page", (F.col("_ci") * 1_000_000 + F.col("_ei")).alias("position")))
+                    "page", (F.shiftleft(F.col("_ci").cast("long"), 32) + F.col("_ei")).alias("position")))
 
 
 def first_entries_from_pages(pages: DataFrame, entry_type: str, col: str = "xml") -> DataFrame:
@@ -121,8 +121,8 @@ def read_feed_pages(spark, path: str, layout: FeedLayout = FeedLayout()) -> Data
     (entity_id, entry_type, entry_at, ruling_no, page, position).
 
     Every ``companies_tag`` element becomes one row (namespaces ignored);
-    ``page`` is the file it came from, ``position`` the company/entry order
-    inside the list.
+    ``page`` is the number that ends the file name (0 without one), ``position``
+    orders the entries of a page by file, list, company and entry.
     """
     L = layout
     entry = T.StructType([T.StructField(n, S) for n in (L.entry_type, L.entry_at, L.ruling_no)])
@@ -131,13 +131,19 @@ def read_feed_pages(spark, path: str, layout: FeedLayout = FeedLayout()) -> Data
         T.StructField(L.entries, T.StructType([T.StructField("item", T.ArrayType(entry))]))])))])
     raw = (spark.read.format("xml").option("rowTag", L.companies_tag).option("ignoreNamespace", "true")
            .schema(schema).load(path))
-    comp = raw.select(F.col("_metadata.file_path").alias("page"),
-                      F.posexplode("item").alias("_ci", "_c"))
-    ent = comp.select("page", "_ci", F.col("_c")[L.entity_id].alias("_id"),
+    # the number at the end of the file name orders pages (page-10 after page-2); the row's
+    # number orders the lists inside a file, which one task reads from start to end
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\D*$", 1)
+    listed = raw.select(F.coalesce(F.nullif(number, F.lit("")).cast("long"), F.lit(0)).alias("page"),
+                        F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_list"),
+                        "item")
+    comp = listed.select("page", "_file", "_list", F.posexplode("item").alias("_ci", "_c"))
+    ent = comp.select("page", "_file", "_list", "_ci", F.col("_c")[L.entity_id].alias("_id"),
                       F.posexplode(F.col("_c")[L.entries]["item"]).alias("_ei", "_e"))
     return (ent.filter(txt.blank_to_null("_id").isNotNull())
             .select(txt.blank_to_null("_id").alias("entity_id"),
                     txt.blank_to_null(F.col("_e")[L.entry_type]).alias("entry_type"),
                     P.multi_format_timestamp(F.col("_e")[L.entry_at]).alias("entry_at"),
-                    txt.blank_to_null(F.col("_e")[L.ruling_no]).alias("ruling_no"),
-                    "page", (F.col("_ci") * 1_000_000 + F.col("_ei")).alias("position")))
+                    txt.blank_to_null(F.col("_e")[L.ruling_no]).alias("ruling_no"), "page",
+                    F.struct(F.col("_file").alias("file"), F.col("_list").alias("list"),
+                             F.col("_ci").alias("company"), F.col("_ei").alias("entry")).alias("position")))

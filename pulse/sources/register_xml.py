@@ -93,7 +93,7 @@ def parse_once(df: DataFrame, col: str, schema) -> DataFrame:
     parsed fields cannot be pushed below it, so the optimizer never copies
     the (expensive) parser call into a pushed-down predicate.
     """
-    return df.select(F.inline(F.array(F.from_xml(F.col(col), schema))))
+    return df.select(F.inline(F.array(F.from_xml(F.col(col), schema, {"ignoreNamespace": "true"}))))
 
 
 def _path(base, dotted: str):

@@ -12,12 +12,17 @@ from pulse.operators.upsert import upsert
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when a readable dataset exists at ``path``."""
+    """True when a completely written dataset exists at ``path``: its success
+    marker is there (a load that stopped half-way leaves none and is repeated)
+    and it can be read.  Errors other than a missing path are raised."""
     try:
-        spark.read.parquet(path).schema  # resolves the file listing only
+        spark.read.format("binaryFile").load(f"{path}/_SUCCES[S]").select("path").schema
+        spark.read.parquet(path).schema
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,

@@ -9,8 +9,9 @@ N3  replay: re-running N1 over the same feed (fresh checkpoint) changes nothing.
 State lives in tables, not in the stream: the ledger is a base snapshot plus
 an append-only log partitioned by (run, epoch).  Every micro-batch writes its
 own partition with dynamic partition overwrite, so a retried epoch replaces
-its earlier attempt (exactly-once) and a replay sees every key it already
-wrote.  The ledger lookup is a broadcast semi join of the (small) batch keys
+its earlier attempt and a replay sees every key it already wrote.  Changes are
+written before the ledger: after a crash between the two a new run logs the
+same companies again, and readers take the last logged change of each.  The ledger lookup is a broadcast semi join of the (small) batch keys
 against the ledger scan, so the ledger is never shuffled per batch.
 """
 
@@ -113,7 +114,12 @@ def current_register(base: DataFrame, spark: SparkSession, changes_path: str, re
     cols = [f"{f.name} {f.dataType.simpleString()}" for f in register_schema.fields
             if f.name != "loaded_at"]
     changes = (spark.read.schema(", ".join(cols) + ", run string, epoch long").parquet(changes_path))
-    return U.upsert(base, changes.drop(*LOG_PARTITIONS), "entity_id", preserve=preserve,
+    # a run that stopped between its two writes left changes that the next run logs again: the
+    # last logged change of a company counts, once
+    last = F.max_by(F.struct(*[F.col(f.name) for f in register_schema.fields if f.name != "loaded_at"]),
+                    F.struct("run", "epoch"))
+    latest = changes.groupBy(F.col("entity_id").alias("_key")).agg(last.alias("_row")).select("_row.*")
+    return U.upsert(base, latest, "entity_id", preserve=preserve,
                     stamp_col="loaded_at", run_ts=run_ts, order=None)
 
 

@@ -261,3 +261,33 @@ def test_live_feed_pages_in_a_soap_envelope(spark):
     got = sorted((r.entity_id, r.entry_type, r.entry_at, r.ruling_no) for r in rows)
     assert got == [("111", "Esmakanne", dt.datetime(2024, 1, 14, 10, 11, 12), "M1"),
                    ("111", "Muutmiskanne", dt.datetime(2024, 1, 14), None)]
+
+
+def test_closure_of_a_tree_of_150_levels_and_of_a_cycle(spark):
+    import pytest as pt
+    from pulse.operators.hierarchy import root_closure
+    rows = [("0", None)] + [(str(i), str(i - 1)) for i in range(1, 151)]
+    got = root_closure(spark.createDataFrame(rows, "code string, parent string").coalesce(1)).collect()
+    assert len(got) == 151 and {r["root"] for r in got} == {"0"}
+    cycle = [("a", None), ("b", "a"), ("a", "b")]
+    with pt.raises(RuntimeError):
+        root_closure(spark.createDataFrame(cycle, "code string, parent string").coalesce(1)).count()
+
+
+def test_white_space_of_every_kind_is_stripped(spark):
+    from pulse.functions import text as txt
+    df = spark.createDataFrame([("A,\tTallinn,\n",), ("A,  ,B ",), (" ",)], "x string")
+    assert [r[0] for r in df.select(txt.address_tail("x")).collect()] == ["Tallinn", "B", None]
+    assert [r[0] for r in df.select(txt.blank_to_null("x")).collect()][2] is None
+
+
+def test_a_load_without_success_marker_is_repeated(spark, tmp_path):
+    import os
+    from pulse.sources import tables
+    path = str(tmp_path / "t")
+    df = spark.range(3)
+    assert not tables.table_exists(spark, path)
+    df.write.parquet(path)
+    assert tables.table_exists(spark, path)
+    os.rename(f"{path}/_SUCCESS", f"{path}/_moved")
+    assert tables.load_if_missing(spark, path, lambda: df)[1]

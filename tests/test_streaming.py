@@ -87,3 +87,29 @@ def test_daily_counts_keep_late_events_within_the_delay(spark):
     assert got[(dt.date(2024, 1, 10), "click")] == 2
     assert got[(dt.date(2024, 1, 9), "click")] == 1
     assert got.get((dt.date(2024, 1, 5), "click"), 0) <= 1
+
+
+def test_streams_read_a_table_of_many_files_whole(spark, tmp_path):
+    from pulse.plans import catalog
+    whole = "/root/testdata/sf0.001"
+    folder = tmp_path / "sf"
+    folder.mkdir()
+    for name in ("nation", "region", "customer", "supplier", "orders", "lineitem", "part"):
+        (folder / f"{name}.parquet").symlink_to(f"{whole}/{name}.parquet")
+    bindings.table(spark, whole, "events").repartition(5).write.parquet(str(folder / "events.parquet"))
+    for key in ("stream_daily_counts", "stream_first_seen"):
+        one, many = (sorted(map(str, catalog.STREAM_QUERIES[key](spark, d).collect())) for d in (whole, str(folder)))
+        assert one == many and one
+
+
+def test_register_has_one_row_per_company_after_a_crash_between_the_writes(spark):
+    base = shared_dir(spark, "test-crash")
+    feed, details = bindings.feed(spark, SF), bindings.details(spark, SF)
+    store = S.LedgerStore(spark, f"{base}/lb", f"{base}/ll")
+    spark.createDataFrame([], S.LEDGER_SCHEMA).write.parquet(store.base_path)
+    S.first_seen_batch(feed, 0, store, details, f"{base}/rc", "r1", FEED_AS_OF)
+    lost = S.LedgerStore(spark, f"{base}/lb", f"{base}/ll2")  # the changes of r1 stay, its ledger rows are lost
+    S.first_seen_batch(feed, 0, lost, details, f"{base}/rc", "r2", FEED_AS_OF)
+    reg = bindings.register(spark, SF)
+    now = S.current_register(reg.limit(0), spark, f"{base}/rc", reg.schema, FEED_AS_OF)
+    assert now.count() == now.select("entity_id").distinct().count() > 0
