@@ -61,6 +61,27 @@ def in_last(n: str | Column, years: int = 6) -> Column:
     return F.when(n < years, 1).otherwise(0).cast("int")
 
 
+def may_be_in_last(date_col: str | Column, as_of, years: int) -> Column:
+    """True for every date of the last ``years`` rolling years (and one day before them).
+
+    A plain comparison with a literal, so that it reaches the scan; it only
+    narrows what is read and stands beside the exact condition.
+    """
+    d = F.col(date_col) if isinstance(date_col, str) else date_col
+    return d >= F.add_months(_lit_date(as_of), -12 * years)
+
+
+def may_be_in_rolling_year(date_col: str | Column, as_of: dt.date, label: int) -> Column:
+    """True for every date whose rolling year has this label (future dates
+    count into the bucket their negative age gives), as literal bounds for the scan."""
+    d = F.col(date_col) if isinstance(date_col, str) else date_col
+    as_of = as_of.date() if isinstance(as_of, dt.datetime) else as_of
+    n = as_of.year - label - (1 if (as_of.month, as_of.day) == (1, 1) else 0)
+    newest = -n if n > 0 else 1 - n
+    return ((d >= F.add_months(_lit_date(as_of), -12 * (n + 1)))
+            & (d <= F.add_months(_lit_date(as_of), 12 * newest)))
+
+
 def on_or_after_days(date_col: str | Column, as_of, days: int) -> Column:
     """date_col >= as_of - days (inclusive; future dates pass)."""
     d = F.col(date_col) if isinstance(date_col, str) else date_col

@@ -87,9 +87,9 @@ def upsert(target: DataFrame, updates: DataFrame, key="entity_id", *,
     * nothing is deleted.
 
     Plan: when the increment has at most ``key_bound`` rows it is broadcast
-    and the target is only *filtered* (semi join for touched rows, anti join
-    for the rest), so the big table is never shuffled; above the bound the
-    merge is one full-outer shuffle join on the key.
+    and left-joined to the target, which is read once at full width and never
+    shuffled (a second scan reads its key only, to find what to insert); above
+    the bound the merge is one full-outer shuffle join on the key.
     """
     keys = _keys(key)
     cols = target.columns
@@ -103,20 +103,19 @@ def upsert(target: DataFrame, updates: DataFrame, key="entity_id", *,
                        for c in cols], F.lit(True).alias("_present"))
     # the increment is computed once: the size probe and the merge share it
     new = new.persist(StorageLevel.MEMORY_AND_DISK)
-    if fits(new, key_bound):
-        small = F.broadcast(new)
-        # proven small increment: filter the big target, never shuffle it;
-        # only the touched old rows (at most one per update) meet the updates
-        kset = small.select(*[F.col(f"n__{k}").alias(k) for k in keys])
-        untouched = target.join(kset, keys, "left_anti")
-        touched = target.join(kset, keys, "left_semi").select(
-            *[F.col(c).alias(f"o__{c}") for c in cols])
-        cond = [F.col(f"n__{k}") == F.col(f"o__{k}") for k in keys]
-        merged = small.join(touched, cond, "left").select(
-            *[_merged(c, keys, preserve, stamp_col, stamp, F.lit(True)) for c in cols])
-        return untouched.select(*cols).unionByName(merged)
     old = target.select(*[F.col(c).alias(f"o__{c}") for c in cols])
     cond = [F.col(f"n__{k}") == F.col(f"o__{k}") for k in keys]
-    j = old.join(new, cond, "full_outer")
     present = F.coalesce(F.col("_present"), F.lit(False))
-    return j.select(*[_merged(c, keys, preserve, stamp_col, stamp, present) for c in cols])
+    merged = [_merged(c, keys, preserve, stamp_col, stamp, present) for c in cols]
+    if fits(new, key_bound):
+        # proven small increment: one pass over the big target, which is never
+        # shuffled; the rows to insert are the updates whose key a key-only
+        # scan of the target (filtered to the updates' keys) does not meet
+        kept = old.join(F.broadcast(new), cond, "left").select(*merged)
+        wanted = new.select(*[F.col(f"n__{k}").alias(k) for k in keys])
+        met = target.select(*keys).join(F.broadcast(wanted), keys, "left_semi").select(
+            *[F.col(k).alias(f"m__{k}") for k in keys])
+        inserted = new.join(met, [F.col(f"n__{k}") == F.col(f"m__{k}") for k in keys], "left_anti")
+        return kept.unionByName(inserted.select(*[
+            (stamp if c == stamp_col else F.col(f"n__{c}")).alias(c) for c in cols]))
+    return old.join(new, cond, "full_outer").select(*merged)

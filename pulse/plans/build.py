@@ -15,6 +15,16 @@ from pulse.plans import marts as M
 from pulse.sources.tables import write_table
 
 
+def create_views(reg: M.Registry) -> list[str]:
+    """The intermediate layer as session views for SQL users; each is computed
+    when it is queried, nothing is stored.  Returns the view names."""
+    views = {"register_std": M.register_std(reg), "hierarchy_closure": reg.closure,
+             "population_clean": M.population_clean(reg), "entity_counts": M.entity_counts(reg)}
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)
+
+
 def build_marts(reg: M.Registry, out_dir: str, release: bool = True) -> dict[str, str]:
     spark = reg.register.sparkSession
     base = out_dir.rstrip("/")

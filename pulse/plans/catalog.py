@@ -14,12 +14,12 @@ from pulse.functions.text import address_tail
 from pulse.operators import upsert as U
 from pulse.operators.ids import dense_surrogate_id
 from pulse.operators.normalise import normalise_register_fields
-from pulse.operators.quality import summary
+from pulse.operators.quality import Check, summary
 from pulse.operators.schema import align_to
 from pulse.plans import incremental as I
 from pulse.plans import marts as M
-from pulse.plans.build import build_marts
-from pulse.plans.checks import declared_checks, failures_frame, kind_summary, registry_tables
+from pulse.plans.build import build_marts, create_views
+from pulse.plans.checks import declared_checks, failing_frame, failures_frame, kind_summary, registry_tables
 from pulse.plans.incremental import ACTIVITY_COLUMNS
 from pulse.session import shared_dir
 from pulse.sources import bindings, cube, feed, payloads, register_xml, tables
@@ -62,6 +62,15 @@ def _mart_filtered(spark, sf_dir):
     return M.mart_filtered(M.rate_per_1000(reg), county=["1", "7", "13", "24"], year=[1996, 1999])
 
 
+def _intermediate_views(spark, sf_dir):
+    """The intermediate layer as views, queried with SQL."""
+    create_views(M.Registry.from_testdata(spark, sf_dir))
+    return spark.sql("""
+        SELECT s.legal_group, s.in_last_6, c.root_code, count(*) AS companies
+        FROM register_std s LEFT JOIN hierarchy_closure c ON c.code = s.activity_code_std
+        GROUP BY s.legal_group, s.in_last_6, c.root_code""")
+
+
 MART_QUERIES: dict[str, Query] = {
     "rate_per_1000": _mart(M.rate_per_1000),
     "register_std": _mart(M.register_std),
@@ -80,6 +89,7 @@ MART_QUERIES: dict[str, Query] = {
     "kpi_data_freshness": _mart(M.kpi_data_freshness),
     "mart_filtered": _mart_filtered,
     "mart_build": _mart_build,
+    "intermediate_views": _intermediate_views,
 }
 
 
@@ -280,12 +290,12 @@ def _detail_extract(spark, sf_dir):
 
 
 def _delimited_scan(spark, sf_dir):
-    """A3 + A4 + A5: classification written as ';' CSV with raw headers, read back."""
+    """A3 + A4 + A5: classification written as ';' CSV with raw headers (by label from
+    the last, so that file order is not code order), read back and numbered in file order."""
     path = shared_dir(spark, "classification-csv")
     raw_header = ["Code", "Parent Code?", "Label Text"]
-    DL.write_delimited(bindings.classification(spark, sf_dir), path, raw_header)
-    df = DL.read_delimited(spark, path, raw_header)
-    return DL.with_load_stamp(dense_surrogate_id(df, ["code"], out="id"), LOADED_AT)
+    DL.write_delimited(bindings.classification(spark, sf_dir).orderBy(F.desc("label"), "code"), path, raw_header)
+    return DL.with_load_stamp(DL.read_numbered(spark, path, raw_header), LOADED_AT)
 
 
 def _dense_surrogate_id(spark, sf_dir):
@@ -367,7 +377,42 @@ def _quality_failures(spark, sf_dir):
             .agg(F.count(F.lit(1)).cast("long").alias("stored_rows")))
 
 
+#: Checks of every kind that the given tables do not all pass.
+RAW_CHECKS = [
+    Check("not_null__lines__kept_flag", "lines", "not_null", ("kept_flag",)),
+    Check("unique__lines__l_orderkey", "lines", "unique", ("l_orderkey",)),
+    Check("accepted__lines__l_returnflag", "lines", "accepted", ("l_returnflag",), ("A", "N")),
+    Check("relationship__lines__l_suppkey", "lines", "relationship", ("l_suppkey",),
+          ref_table="eastern", ref_column="s_suppkey"),
+    Check("unique_combo__lines__part_supplier", "lines", "unique_combo", ("l_partkey", "l_suppkey")),
+    Check("expression__lines__l_quantity_le_40", "lines", "expression", ("l_quantity",), expr="l_quantity <= 40"),
+    Check("singular__lines__discount_without_tax", "lines", "singular", expr="l_discount > 0.05 AND l_tax = 0"),
+]
+
+
+def _raw_tables(spark, sf_dir):
+    return {"lines": bindings.table(spark, sf_dir, "lineitem").withColumn(
+                "kept_flag", F.when(F.col("l_returnflag") != "R", F.col("l_returnflag"))),
+            "eastern": bindings.table(spark, sf_dir, "supplier").filter(F.col("s_nationkey") < 12)}
+
+
+def _quality_raw_lines(spark, sf_dir):
+    """M1-M8 on rows that fail every kind of check."""
+    return summary(_raw_tables(spark, sf_dir), RAW_CHECKS)
+
+
+def _quality_raw_failures(spark, sf_dir):
+    """A15 on rows that fail: stored failing rows per check, counted back."""
+    path = shared_dir(spark, "raw-failures")
+    (failing_frame(_raw_tables(spark, sf_dir), RAW_CHECKS)
+     .write.mode("overwrite").partitionBy("check_name").parquet(path))
+    return (spark.read.schema("row_json string, check_name string").parquet(path).groupBy("check_name")
+            .agg(F.count(F.lit(1)).cast("long").alias("stored_rows")))
+
+
 QUALITY_QUERIES: dict[str, Query] = {
+    "quality_raw_lines": _quality_raw_lines,
+    "quality_raw_failures": _quality_raw_failures,
     "quality_not_null": _quality("not_null"),
     "quality_unique": _quality("unique"),
     "quality_accepted": _quality("accepted"),

@@ -84,18 +84,20 @@ NEEDS = {"rate_per_1000": {"entity_counts"}, "portfolio_shift": {"entity_counts"
 
 
 def registry_tables(reg: M.Registry, checks: list[Check] | None = None,
-                    materialize: bool = True) -> dict[str, DataFrame]:
-    """The tables the given checks read.  With ``materialize`` each is
-    computed once and checkpointed to the shared checkpoint folder (the
-    tables of one level concurrently), so the checks scan stored tables
-    instead of re-deriving the marts per check."""
+                    materialize: bool = True, published: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The tables the given checks read.  ``published`` ones are checked as
+    they are.  With ``materialize`` each other one is computed once and
+    checkpointed to the shared checkpoint folder (the tables of one level
+    concurrently), so the checks scan stored tables instead of re-deriving
+    the marts per check."""
     wanted = {n for lv in TABLE_LEVELS for n in lv} if checks is None else (
         {c.table for c in checks} | {c.ref_table for c in checks if c.ref_table})
-    wanted |= {d for n in list(wanted) for d in NEEDS.get(n, ())}
-    reg.prepare("closure_side", "resolved_crosswalk", "county_dim")
-    tables: dict[str, DataFrame] = {}
+    tables: dict[str, DataFrame] = dict(published or {})
+    wanted |= {d for n in wanted - set(tables) for d in NEEDS.get(n, ())}
+    if wanted - set(tables):
+        reg.prepare("closure_side", "resolved_crosswalk", "county_dim")
     for level in TABLE_LEVELS:
-        names = [n for n in level if n in wanted]
+        names = [n for n in level if n in wanted and n not in tables]
         frames = {n: level[n](reg, tables) for n in names}
         if materialize and frames:
             with ThreadPoolExecutor(len(frames)) as pool:
@@ -111,12 +113,16 @@ def kind_summary(reg: M.Registry, kinds: tuple[str, ...]) -> DataFrame:
 
 
 def failures_frame(reg: M.Registry, tables: dict[str, DataFrame] | None = None) -> DataFrame:
-    """(check_name, row_json) for every failing row of every check, one plan.
+    """(check_name, row_json) for every failing row of every declared check, one plan.
     ``tables`` reuses already materialised checked tables."""
-    tables = tables if tables is not None else registry_tables(reg)
+    return failing_frame(tables if tables is not None else registry_tables(reg), declared_checks(reg.domain))
+
+
+def failing_frame(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """(check_name, row_json) for every failing row of the given checks, one plan."""
     parts = [failing_rows(tables, ch).select(F.lit(ch.name).alias("check_name"),
                                              F.to_json(F.struct("*")).alias("row_json"))
-             for ch in declared_checks(reg.domain)]
+             for ch in checks]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -22,6 +22,7 @@ from pulse.domain import BOUND, FEED_AS_OF, Domain
 from pulse.functions import calendar as cal
 from pulse.operators import upsert as U
 from pulse.operators.normalise import normalise_register_fields
+from pulse.session import ensure_checkpoint_dir
 from pulse.sources import bindings
 
 ACTIVITY_COLUMNS = ("activity_code", "activity_name", "activity_version")
@@ -53,7 +54,7 @@ def ledger_rows(rows: DataFrame, run_ts) -> DataFrame:
 
 @dataclass
 class IncrementalRun:
-    """All intermediate results of one run (lazy DataFrames)."""
+    """All intermediate results of one run; discovered, unseen and loaded_details are stored, the rest is lazy."""
 
     discovered: DataFrame
     unseen: DataFrame
@@ -80,11 +81,14 @@ def run(register: DataFrame, ledger: DataFrame, feed: DataFrame, details: DataFr
         run_ts, domain: Domain = BOUND, window_as_of=None) -> IncrementalRun:
     """Plan one incremental run; ``window_as_of`` limits the feed to the previous day."""
     f = daily_slice(feed, window_as_of) if window_as_of is not None else feed
-    disc = discovered(f, domain.first_entry_type)
-    new = U.unseen(disc, ledger)
+    # three steps are stored once in the shared checkpoint folder; register,
+    # ledger and counters all read them instead of repeating the feed scans
+    ensure_checkpoint_dir(feed.sparkSession)
+    disc = discovered(f, domain.first_entry_type).checkpoint()
+    new = U.unseen(disc, ledger).checkpoint()
     det = normalise_register_fields(details, domain, trim=False)
-    loaded = det.join(new.select("entity_id"), "entity_id", "left_semi")
-    failed = new.join(det.select("entity_id"), "entity_id", "left_anti")
+    loaded = det.join(new.select("entity_id"), "entity_id", "left_semi").checkpoint()
+    failed = new.join(loaded.select("entity_id"), "entity_id", "left_anti")
     reg2 = U.upsert(register, loaded, "entity_id", preserve=ACTIVITY_COLUMNS,
                     stamp_col="loaded_at", run_ts=run_ts)
     seen = ledger_rows(U.only_loaded(new, loaded), run_ts)

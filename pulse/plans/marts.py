@@ -215,11 +215,17 @@ def population_clean(reg: Registry) -> DataFrame:
 # Counts and marts
 # ---------------------------------------------------------------------------
 
-def entity_counts(reg: Registry) -> DataFrame:
-    """Companies (not in the 'other' legal group) per rolling year, county, sector, flag."""
+def entity_counts(reg: Registry, last_years: int | None = None) -> DataFrame:
+    """Companies (not in the 'other' legal group) per rolling year, county, sector, flag.
+
+    ``last_years`` reads only companies that can be in the last so many
+    rolling years; rows of older years are then incomplete or missing.
+    """
     reg.prepare("closure_side", "resolved_crosswalk")
     other = reg.domain.legal_group_labels[2]
     base = register_base(reg).filter(F.col("legal_group") != other)
+    if last_years is not None:
+        base = base.filter(cal.may_be_in_last("founded_on", reg.as_of, last_years))
     keys = ["rolling_year", "county", "in_last_6"]
     agg = _with_root(_counted(base, keys, reg), reg, "activity_code_std", "left")
     return (agg.groupBy(*keys, "root_code", "root_label").agg(F.sum("_n").alias("entity_count"))
@@ -271,7 +277,7 @@ def rate_per_1000(reg: Registry, counts: DataFrame | None = None) -> DataFrame:
     pop = (population_clean(reg)
            .filter((F.col("age_group") == working) & (F.col("year") >= reg.year - 5))
            .groupBy("year", "county").agg(F.sum("population").cast("long").alias("working_age_pop")))
-    ents = ((counts if counts is not None else entity_counts(reg)).filter(F.col("in_last_6") == 1)
+    ents = ((counts if counts is not None else entity_counts(reg, last_years=6)).filter(F.col("in_last_6") == 1)
             .select(F.col("rolling_year").alias("_y"), F.col("county").alias("_c"),
                     "entity_count", "sector_label"))
     dim = reg.county_dim.select(F.col("county").alias("_dc"), "region")
@@ -296,7 +302,8 @@ def new_by_activity(reg: Registry, rolling_year: int | None = None) -> DataFrame
     """Companies of one rolling year by legal group, county and sector (unmatched codes dropped)."""
     reg.prepare("closure_side", "resolved_crosswalk")
     y = rolling_year if rolling_year is not None else reg.year
-    base = register_base(reg).filter(F.col("rolling_year") == y)
+    base = register_base(reg).filter(cal.may_be_in_rolling_year("founded_on", reg.as_of, y)
+                                     & (F.col("rolling_year") == y))
     keys = ["legal_group", "county"]
     agg = _with_root(_counted(base, keys, reg), reg, "activity_code_std", "inner")
     return (agg.groupBy(*keys, "root_code", "root_label").agg(F.sum("_n").alias("entity_count"))
@@ -304,14 +311,17 @@ def new_by_activity(reg: Registry, rolling_year: int | None = None) -> DataFrame
                     F.col("entity_count").cast("long").alias("entity_count")))
 
 
-def recent_30d(reg: Registry, days: int = 30) -> DataFrame:
-    """Companies founded in the last ``days`` days (business + sole trader forms)
-    by county and sector, joined on the *raw* activity code."""
+def _recent(reg: Registry, days: int) -> DataFrame:
     d = reg.domain
     forms = list(d.business_forms) + list(d.sole_trader_forms)
-    base = register_base(reg).filter(cal.on_or_after_days("founded_on", reg.as_of, days)
+    return register_base(reg).filter(cal.on_or_after_days("founded_on", reg.as_of, days)
                                      & F.col("legal_form").isin(forms))
-    agg = _with_root(_counted(base, ["county"], reg, translate=False), reg, "activity_code", "left")
+
+
+def recent_30d(reg: Registry, days: int = 30) -> DataFrame:
+    """Companies founded in the last ``days`` days (business + sole trader forms)
+    by county and sector, joined on the *raw* activity code."""
+    agg = _with_root(_counted(_recent(reg, days), ["county"], reg, translate=False), reg, "activity_code", "left")
     return (agg.groupBy("county", "root_code", "root_label").agg(F.sum("_n").alias("entity_count"))
             .select("county", F.col("entity_count").cast("long").alias("entity_count"),
                     _sector(reg).alias("sector_label")))
@@ -328,9 +338,12 @@ def top_sectors(reg: Registry, k: int = 10, days: int = 30) -> DataFrame:
 
 
 def kpi_recent_total(reg: Registry, days: int = 30) -> DataFrame:
-    """Number of companies founded in the last ``days`` days (one row)."""
-    return recent_30d(reg, days).agg(
-        F.coalesce(F.sum("entity_count"), F.lit(0)).cast("long").alias("recent_total"))
+    """Number of companies founded in the last ``days`` days (one row).
+
+    The sum over recent_30d without its classification join: every code has
+    at most one root, so the left join neither adds nor drops companies.
+    """
+    return _recent(reg, days).agg(F.count("entity_id").cast("long").alias("recent_total"))
 
 
 def kpi_data_freshness(reg: Registry) -> DataFrame:

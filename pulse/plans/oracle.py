@@ -1,11 +1,10 @@
 """Independent SQL (DuckDB dialect) for every registered query.
 
 Only the base tables are visible to the oracle, so each text inlines the
-bindings of :mod:`pulse.sources.bindings` as CTEs and then follows the
-*original* model shapes: a recursive CTE for the hierarchy, a correlated
-top-1 subquery for the crosswalk, ``age()`` for the rolling year, two scans
-and a join for the portfolio shift.  Agreement with the Spark plans (which
-are restructured for scale) is therefore a real cross-check.
+bindings of :mod:`pulse.sources.bindings` as CTEs and then states the rules
+in its own structure: a climbing recursion for the hierarchy, a ranked pick
+for the crosswalk, day-of-year arithmetic for the rolling year, conditional
+sums for the portfolio shift.
 """
 
 from __future__ import annotations
@@ -424,7 +423,7 @@ FROM orders"""),
         "FROM b_population"),
     "detail_extract": with_change("SELECT * FROM det_n"),
     "delimited_scan": with_ctes(f"""
-SELECT CAST(row_number() OVER (ORDER BY code) AS BIGINT) AS id, code, parent AS parent_code,
+SELECT CAST(row_number() OVER (ORDER BY label DESC, code) AS BIGINT) AS id, code, parent AS parent_code,
        label AS label_text, {LOADED} AS created_at
 FROM b_class"""),
     "dense_surrogate_id": with_ctes("""

@@ -19,6 +19,29 @@ def all_oracles() -> dict[str, str]:
     out["mart_build"] = O.with_ctes("\nUNION ALL\n".join(
         f"SELECT '{k}' AS mart, CAST(count(*) AS BIGINT) AS row_count FROM {v}" for k, v in marts.items()),
         extra)
+    out["intermediate_views"] = O.with_ctes(
+        "SELECT legal_group, in_last_6, root_code, CAST(sum(n) AS BIGINT) AS companies "
+        "FROM company_counts GROUP BY legal_group, in_last_6, root_code")
+    raw = """
+WITH per_key AS (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) > 1),
+per_pair AS (SELECT l_partkey, l_suppkey FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1),
+found(check_name, kind, failures) AS (
+  SELECT 'not_null__lines__kept_flag', 'not_null', count(*) FROM lineitem WHERE l_returnflag = 'R'
+  UNION ALL SELECT 'unique__lines__l_orderkey', 'unique', count(*) FROM per_key
+  UNION ALL SELECT 'accepted__lines__l_returnflag', 'accepted', count(*) FROM lineitem WHERE l_returnflag NOT IN ('A', 'N')
+  UNION ALL SELECT 'relationship__lines__l_suppkey', 'relationship', count(*) FROM lineitem
+    WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 12)
+  UNION ALL SELECT 'unique_combo__lines__part_supplier', 'unique_combo', count(*) FROM per_pair
+  UNION ALL SELECT 'expression__lines__l_quantity_le_40', 'expression', count(*) FROM lineitem WHERE l_quantity > 40
+  UNION ALL SELECT 'singular__lines__discount_without_tax', 'singular', count(*) FROM lineitem
+    WHERE l_discount > 0.05 AND l_tax = 0
+)
+"""
+    out["quality_raw_lines"] = raw + (
+        "SELECT check_name, kind, 'lines' AS table_name, CAST(failures AS BIGINT) AS failures, "
+        "if(failures > 0, 'fail', 'pass') AS status FROM found")
+    out["quality_raw_failures"] = raw + (
+        "SELECT check_name, CAST(failures AS BIGINT) AS stored_rows FROM found WHERE failures > 0")
     out.update(O.CHANGE_SQL)
     out.update(O.SOURCE_SQL)
     out.update(O.QUALITY_SQL)

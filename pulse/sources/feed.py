@@ -70,10 +70,10 @@ def first_entries_from_pages(pages: DataFrame, entry_type: str, col: str = "xml"
     return page_entries(pages, col).filter(F.col("entry_type") == entry_type)
 
 
-def _first_non_empty(items, field: str):
-    vals = F.filter(F.transform(items, lambda x: txt.blank_to_null(x[field])),
-                    lambda v: v.isNotNull())
-    return F.try_element_at(vals, F.lit(1))
+def _first_non_empty(items, *fields: str):
+    """First non-empty value over the items in order; within an item the fields in the order given."""
+    vals = F.flatten(F.transform(items, lambda x: F.array(*[txt.blank_to_null(x[f]) for f in fields])))
+    return F.try_element_at(F.filter(vals, lambda v: v.isNotNull()), F.lit(1))
 
 
 def detail_records(payloads: DataFrame, col: str = "xml", domain=BOUND) -> DataFrame:
@@ -89,8 +89,8 @@ def detail_records(payloads: DataFrame, col: str = "xml", domain=BOUND) -> DataF
         F.coalesce(txt.blank_to_null("region_text"), _first_non_empty(addr, "ehak_name")).alias("county"),
         txt.first_available("status_text", "status").alias("status"),
         _first_non_empty(acts, "code").alias("activity_code"),
-        F.coalesce(_first_non_empty(acts, "name_text"), _first_non_empty(acts, "name")).alias("activity_name"),
-        F.coalesce(_first_non_empty(acts, "version_text"), _first_non_empty(acts, "version")).alias("activity_version"),
+        _first_non_empty(acts, "name_text", "name").alias("activity_name"),
+        _first_non_empty(acts, "version_text", "version").alias("activity_version"),
     )
     return normalise_register_fields(rows, domain, trim=False)
 

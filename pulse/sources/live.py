@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulse.functions.calendar import ntz_lit
-from pulse.operators.ids import dense_surrogate_id
 from pulse.sources import cube, delimited
 
 # --- fixed values: native column / dimension names of the live files -------
@@ -39,16 +38,21 @@ def _mapped(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 
 def read_classification(spark: SparkSession, path: str, header: list[str], loaded_at) -> DataFrame:
-    """(id, code, parent, label, created_at) from the ';' classification file.
+    """(id, code, parent, label, created_at) from the ';' classification file, ids in file order.
     ``header`` lists the raw header names in file order (read as strings)."""
-    raw = delimited.read_delimited(spark, path, header)
-    out = _mapped(raw, CLASSIFICATION_COLUMNS).withColumn("parent", F.nullif(F.trim("parent"), F.lit("")))
-    return dense_surrogate_id(out, ["code"], out="id").withColumn("created_at", ntz_lit(loaded_at))
+    raw = delimited.read_numbered(spark, path, header)
+    return (_mapped(raw, {"id": "id", **CLASSIFICATION_COLUMNS})
+            .withColumn("parent", F.nullif(F.trim("parent"), F.lit("")))
+            .withColumn("created_at", ntz_lit(loaded_at)))
 
 
-def read_crosswalk(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
-    """(old_code, new_code) from the ';' crosswalk file, codes kept as text."""
-    return _mapped(delimited.read_delimited(spark, path, header), CROSSWALK_COLUMNS)
+def read_crosswalk(spark: SparkSession, path: str, header: list[str], loaded_at=None) -> DataFrame:
+    """(old_code, new_code) from the ';' crosswalk file, codes kept as text;
+    with ``loaded_at`` also id (in file order) and created_at, as it is staged."""
+    if loaded_at is None:
+        return _mapped(delimited.read_delimited(spark, path, header), CROSSWALK_COLUMNS)
+    return (_mapped(delimited.read_numbered(spark, path, header), {"id": "id", **CROSSWALK_COLUMNS})
+            .withColumn("created_at", ntz_lit(loaded_at)))
 
 
 def read_county_seed(spark: SparkSession, path: str) -> DataFrame:

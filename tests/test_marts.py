@@ -174,6 +174,9 @@ def test_live_source_files_feed_the_marts(spark):
 
     classification = live.read_classification(spark, f"{base}/cls", cls_header, TS)
     assert classification.filter("code = 'A'").collect()[0].parent is None
+    assert [r.code for r in classification.orderBy("id").collect()] == ["A", "01", "011", "01112", "B", "02"]
+    staged = live.read_crosswalk(spark, f"{base}/cw", cw_header, TS).orderBy("id").collect()
+    assert [(r.id, r.new_code) for r in staged] == [(1, "01999"), (2, "01112"), (3, "02000")]
     crosswalk = live.read_crosswalk(spark, f"{base}/cw", cw_header)
     seed = live.read_county_seed(spark, f"{base}/seed")
     population = live.read_population_cubes(spark, f"{base}/cube", TS, multi_line=False)
