@@ -319,14 +319,14 @@ def _schema_align(spark, sf_dir):
 def _full_refresh(spark, sf_dir):
     """Reload the classification twice into the same table; no duplicates remain."""
     path = shared_dir(spark, "classification")
-    tables.full_refresh(spark, path, bindings.classification(spark, sf_dir))
-    return tables.full_refresh(spark, path, bindings.classification(spark, sf_dir))
+    tables.full_refresh(spark, path, bindings.classification(spark, sf_dir), ["code"])
+    return tables.full_refresh(spark, path, bindings.classification(spark, sf_dir), ["code"])
 
 
 def _load_if_missing(spark, sf_dir):
     """A9 + A12: the first call loads the county seed, the second finds the table and skips."""
     path = shared_dir(spark, "county-seed")
-    tables.load_if_missing(spark, path, lambda: bindings.county_seed(spark, sf_dir))
+    tables.load_if_missing(spark, path, lambda: bindings.county_seed(spark, sf_dir), ["county_name"])
     df, loaded = tables.load_if_missing(spark, path, lambda: bindings.classification(spark, sf_dir))
     assert not loaded
     return df

@@ -33,20 +33,39 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w.parquet(path)
 
 
-def load_if_missing(spark: SparkSession, path: str, loader: Callable[[], DataFrame]) -> tuple[DataFrame, bool]:
-    """Run ``loader`` and store its result only when no table exists at ``path``.
+def require_key(df: DataFrame, key_cols: list[str]) -> DataFrame:
+    """``df`` itself, or ValueError where a key is null or occurs twice."""
+    missing = F.lit(False)
+    for c in key_cols:
+        missing = missing | F.col(c).isNull()
+    n = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"))
+    if not n.filter((F.col("_n") > 1) | missing).isEmpty():
+        raise ValueError(f"null or repeated key {key_cols}")
+    return df
+
+
+def load_if_missing(spark: SparkSession, path: str, loader: Callable[[], DataFrame],
+                    key_cols: list[str] | None = None) -> tuple[DataFrame, bool]:
+    """Run ``loader`` and store its result only when no table exists at ``path``;
+    with ``key_cols`` only if they are a key of it.
 
     Returns (table, loaded_now).
     """
     if table_exists(spark, path):
         return spark.read.parquet(path), False
-    write_table(loader(), path)
+    df = loader()
+    write_table(require_key(df, key_cols) if key_cols else df, path)
     return spark.read.parquet(path), True
 
 
-def full_refresh(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
-    """Replace the table at ``path`` with ``df`` (which must not read ``path`` itself)."""
-    write_table(df, path, mode="overwrite")
+def full_refresh(spark: SparkSession, path: str, df: DataFrame, key_cols: list[str] | None = None,
+                 dependents: tuple[str, ...] = ()) -> DataFrame:
+    """Replace the table at ``path`` with ``df`` (which must not read ``path``
+    itself); with ``key_cols`` only if they are a key of it.  The session views
+    named in ``dependents`` were planned over the old files and are dropped."""
+    write_table(require_key(df, key_cols) if key_cols else df, path, mode="overwrite")
+    for view in dependents:
+        spark.catalog.dropTempView(view)
     return spark.read.parquet(path)
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -291,3 +292,18 @@ def test_a_load_without_success_marker_is_repeated(spark, tmp_path):
     assert tables.table_exists(spark, path)
     os.rename(f"{path}/_SUCCESS", f"{path}/_moved")
     assert tables.load_if_missing(spark, path, lambda: df)[1]
+
+
+def test_staged_tables_need_a_key_and_a_refresh_drops_dependent_views(spark):
+    from pulse.session import shared_dir
+    from pulse.sources import tables
+    path = shared_dir(spark, "keyed")
+    good = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
+    for bad in ([("a", 1), ("a", 2)], [("a", 1), (None, 2)]):
+        with pytest.raises(ValueError):
+            tables.load_if_missing(spark, path, lambda: spark.createDataFrame(bad, "k string, v int"), ["k"])
+    table, loaded = tables.load_if_missing(spark, path, lambda: good, ["k"])
+    assert loaded and table.count() == 2
+    table.createOrReplaceTempView("keyed_view")
+    assert tables.full_refresh(spark, path, good.limit(1), ["k"], dependents=("keyed_view",)).count() == 1
+    assert not spark.catalog.tableExists("keyed_view")
