@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from pulse.llm.common import ship
 from pulse.llm.fm_index import FMIndex
-from pulse.llm.windows import Segments, Verdicts, Windows, chunks, covered, judge_segments, order_of
+from pulse.llm.windows import FREQUENT, Segments, Verdicts, Windows, chunks, covered, judge_segments, order_of
 
 ship(__name__)
 
@@ -79,11 +79,11 @@ def repeats_earlier(own: Segments, how: Windows) -> np.ndarray:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-                   gram: int = GRAM) -> DataFrame:
+                   gram: int = GRAM, frequent: int = FREQUENT) -> DataFrame:
     """One row per input row: id, n_words, n_removed, kept_sha256, spans (maximal
     removed runs as word offsets, end exclusive)."""
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    how = Windows(window, gram, np.uint64)
+    how = Windows(window, gram, np.uint64, frequent)
     path, bits = judge_segments(texts, how, encode, repeats_earlier)
 
     def apply(batches):

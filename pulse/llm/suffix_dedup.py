@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pulse.llm.bwt_merge import merge, transform
 from pulse.llm.common import ship
 from pulse.llm.hash_files import mix64
-from pulse.llm.windows import Segments, Verdicts, Windows, chunks, covered, gram_hashes, judge_segments
+from pulse.llm.windows import FREQUENT, Segments, Verdicts, Windows, chunks, covered, gram_hashes, judge_segments
 
 ship(__name__)
 
@@ -104,14 +104,14 @@ def repeats_anywhere(own: Segments, how: Windows, stride: int = STRIDE, parts: i
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                   gram: int = GRAM, stride: int = STRIDE) -> DataFrame:
+                   gram: int = GRAM, stride: int = STRIDE, frequent: int = FREQUENT) -> DataFrame:
     """One row per input row: id, n_bytes, n_removed, n_spans, kept_sha256, spans
     (maximal removed runs as byte offsets, end exclusive).  length must be a
     multiple of stride."""
     if length % stride:
         raise ValueError("length must be a multiple of stride")
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    how = Windows(length, gram, np.uint8)
+    how = Windows(length, gram, np.uint8, frequent)
     path, bits = judge_segments(texts, how, encode, lambda own, how: repeats_anywhere(own, how, stride))
 
     def apply(batches):

@@ -10,15 +10,25 @@ is compared with another shard.
 
 Three passes read the documents, none shuffles whole texts:
 
-1. ``repeated_keys``: the keys that occur at least twice are written as
-   sorted hash arrays.  A window whose key occurs once occurs once itself.
-2. ``judge_segments``: runs with a repeated key go to their shards.  Equal
-   segments are merged in every task before the shuffle (a passage that
-   stands in a third of all documents travels once per task) and again in the
-   shard, where an index over the distinct segments judges every window.  The
-   verdicts are written as hash arrays by segment content.
+1. The keys that occur at least twice are written as sorted hash arrays.  A
+   window whose key occurs once occurs once itself.
+2. Runs with a repeated key go to their shards.  Equal segments are merged in
+   every task before the shuffle (a passage that stands in a third of all
+   documents travels once per task) and again in the shard, where an index
+   over the distinct segments judges every window.  The verdicts are written
+   as hash arrays by segment content.
 3. The caller's pass over the documents looks its runs' verdicts up.
 
+Frequent keys.  A short passage that many documents hold in different contexts
+would bring all those contexts to one key.  Where a key occurs ``frequent``
+times or more, its windows are keyed anew: the grams of such runs are counted,
+and those that occur as often give way to all others when the smallest is
+taken.  A window that holds any rarer gram is then keyed by that one, so the
+contexts spread over the shards, or occur once and are done.  Whether a gram
+is frequent depends on its content only, so equal windows still have equal
+keys and nothing is lost, whatever the limit.  The frequent grams are sorted
+hash arrays too.  This takes two more passes, and only if there is such a key.
+
 What one shard holds at once is bounded by ``BLOCK`` symbols or the distinct
 segments of a single key, whichever is more.
 """
@@ -42,6 +52,7 @@ ship(__name__)
 
 CHUNK = 400_000
 BLOCK = 400_000
+FREQUENT = 4096
 LAST = np.iinfo(np.int64).max
 BASE = 0x9E3779B97F4A7C15 | 1
 _base = np.uint64(BASE)
@@ -49,10 +60,10 @@ _inverse = np.uint64(pow(BASE, -1, 1 << 64))
 
 
 class Windows:
-    """How a sequence is windowed: window length, gram length, symbol type."""
+    """How a sequence is windowed: window length, gram length, symbol type, and from how many runs on a key is frequent."""
 
-    def __init__(self, length: int, gram: int, symbol):
-        self.length, self.gram, self.symbol = length, gram, np.dtype(symbol)
+    def __init__(self, length: int, gram: int, symbol, frequent: int = FREQUENT):
+        self.length, self.gram, self.symbol, self.frequent = length, gram, np.dtype(symbol), frequent
         self.span = length - gram + 1  # grams in a window, and the most windows in a run
         self.mask = (self.span + 7) // 8  # bytes of a verdict
 
@@ -106,14 +117,39 @@ def runs_of(codes: np.ndarray, lengths: np.ndarray, how: Windows) -> tuple[np.nd
     crossing = np.zeros(len(codes) + 1, np.int32)
     np.add.at(crossing, np.maximum(ends - how.length + 1, ends - lengths), 1)
     np.add.at(crossing, ends, -1)
-    inside = np.cumsum(crossing[:len(least)]) == 0
+    starts, count = _cut(grams, least, np.cumsum(crossing[:len(least)]) == 0)
+    return starts, count, mix64(least[starts] + np.uint64(1))
+
+
+def _cut(values: np.ndarray, least: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, windows) of the runs of the windows ``inside``."""
     new = np.ones(len(least), bool)
     # a run ends where the smallest gram changes or its leftmost place leaves the window
-    new[1:] = (least[1:] != least[:-1]) | (grams[:len(least) - 1] == least[:-1]) | ~inside[:-1]
+    new[1:] = (least[1:] != least[:-1]) | (values[:len(least) - 1] == least[:-1]) | ~inside[:-1]
     starts = np.nonzero(new & inside)[0]
     stops = np.append(np.nonzero(new | ~inside)[0], len(least))
-    count = stops[np.searchsorted(stops, starts, "right")] - starts
-    return starts, count, mix64(least[starts] + np.uint64(1))
+    return starts, stops[np.searchsorted(stops, starts, "right")] - starts
+
+
+def _spans(size: int, starts: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Which of ``size`` places lie in start .. start + count."""
+    edges = np.zeros(size + 1, np.int32)
+    np.add.at(edges, starts, 1)
+    np.add.at(edges, starts + count, -1)
+    return np.cumsum(edges[:size]) > 0
+
+
+def finer_runs(codes: np.ndarray, starts: np.ndarray, count: np.ndarray, how: Windows,
+               frequent: Callable) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, windows, key) of the same windows, keyed by their smallest gram
+    that is not frequent, or by their smallest gram if all are."""
+    grams = gram_hashes(codes, how.gram)
+    ranked = grams >> np.uint64(1)
+    at = np.flatnonzero(_spans(len(grams), starts, count + how.span - 1))
+    ranked[at] |= frequent(grams[at]).astype(np.uint64) << np.uint64(63)
+    least = sliding_min(ranked, how.span)
+    starts, count = _cut(ranked, least, _spans(len(least), starts, count))
+    return starts, count, mix64(least[starts] + np.uint64(2))
 
 
 def chunks(batches: Iterator[pd.DataFrame], encode: Callable) -> Iterator[tuple]:
@@ -135,27 +171,41 @@ def _pack(held: list) -> tuple:
             np.concatenate([h[3] for h in held]), np.array([len(h[2]) for h in held], np.int64))
 
 
-def _collect_keys(how: Windows, encode: Callable, bits: int):
+def _counted(keys: np.ndarray, bits: int) -> pd.DataFrame:
+    """One row per shard: distinct keys and how often each occurs, counted up to 65,535 a chunk."""
+    keys = np.sort(keys)
+    at = run_starts(keys)
+    n = np.minimum(np.diff(np.append(at, len(keys))), 65_535).astype(np.uint16)
+    return blocks(shard_of(keys[at], bits), {"keys": keys[at], "n": n})
+
+
+COUNTED = "shard int, keys binary, n binary"
+
+
+def _count(how: Windows, encode: Callable, bits: int, pick: Callable):
+    """Counts what ``pick()(codes, lengths)`` finds in every chunk."""
     def collect(batches):
+        find = pick()
         for _, codes, _, lengths in chunks(batches, encode):
-            keys = np.sort(runs_of(codes, lengths, how)[2])
-            at = run_starts(keys)
-            many = np.diff(np.append(at, len(keys))) > 1
-            yield blocks(shard_of(keys[at], bits), {"once": keys[at], "twice": many.astype(np.uint8)})
+            keys = find(codes, lengths)
+            if len(keys):
+                yield _counted(keys, bits)
 
     return collect
 
 
-def _write_keys(path: str):
+def _write_keys(path: str, kind: str, least: int, frequent: int):
+    """Writes the keys that occur ``least`` times, each with whether it is frequent."""
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        keys, twice = joined(frame, "once", np.uint64), joined(frame, "twice", np.uint8)
+        keys, n = joined(frame, "keys", np.uint64), joined(frame, "n", np.uint16)
         order = np.argsort(keys, kind="stable")
-        keys, twice = keys[order], twice[order]
+        keys = keys[order]
         at = run_starts(keys)
-        n = np.diff(np.append(at, len(keys)))
-        many = (n > 1) | (np.maximum.reduceat(twice, at) > 0)
-        write_arrays(f"{path}/keys-{int(frame['shard'].iloc[0]):05d}", keys[at][many])
-        return pd.DataFrame({"keys": [int(many.sum())]})
+        n = np.add.reduceat(n[order], at, dtype=np.int64)
+        often = n >= frequent
+        write_arrays(f"{path}/{kind}-{int(frame['shard'].iloc[0]):05d}", keys[at][n >= least],
+                     often[n >= least].astype(np.uint8))
+        return pd.DataFrame({"frequent": [int(often.sum())]})
 
     return merge
 
@@ -172,14 +222,41 @@ class Repeats:
     """The runs of a chunk that have a repeated key."""
 
     def __init__(self, path: str, bits: int):
-        self.bits, self.files = bits, HashFiles(path, "keys", (np.uint64,))
+        self.bits = bits
+        self.coarse, self.grams, self.fine = (HashFiles(path, kind, (np.uint64, np.uint8))
+                                              for kind in ("keys", "frequent", "finer"))
+
+    def _find(self, files: HashFiles, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each key is in the files, and whether it is frequent."""
+        distinct, back = np.unique(key, return_inverse=True)
+        hit, often = files.find(shard_of(distinct, self.bits), distinct)
+        return hit[back], often[back].astype(bool)
+
+    def split(self, codes: np.ndarray, lengths: np.ndarray, how: Windows) -> tuple[tuple, tuple]:
+        """(start, windows, key) of the runs with a repeated key: those that stay, those with a frequent key."""
+        runs = runs_of(codes, lengths, how)
+        hit, often = self._find(self.coarse, runs[2])
+        return tuple(x[hit & ~often] for x in runs), tuple(x[often] for x in runs)
+
+    def frequent_grams(self, codes: np.ndarray, lengths: np.ndarray, how: Windows) -> np.ndarray:
+        """All grams of the runs with a frequent key."""
+        _, (starts, count, _) = self.split(codes, lengths, how)
+        if not len(starts):
+            return np.zeros(0, np.uint64)
+        grams = gram_hashes(codes, how.gram)
+        return grams[_spans(len(grams), starts, count + how.span - 1)]
+
+    def finer(self, codes: np.ndarray, often: tuple, how: Windows) -> tuple:
+        """The runs with a frequent key, keyed anew."""
+        return finer_runs(codes, *often[:2], how, lambda grams: self._find(self.grams, grams)[0])
 
     def of(self, codes: np.ndarray, lengths: np.ndarray, how: Windows):
-        starts, count, key = runs_of(codes, lengths, how)
-        order = np.argsort(key)
-        hit = np.zeros(len(key), bool)
-        hit[order] = self.files.find(shard_of(key[order], self.bits), key[order])[0]
-        return starts[hit], count[hit], key[hit]
+        kept, often = self.split(codes, lengths, how)
+        if not len(often[0]):
+            return kept
+        finer = self.finer(codes, often, how)
+        hit = self._find(self.fine, finer[2])[0]
+        return tuple(np.concatenate([a, b[hit]]) for a, b in zip(kept, finer))
 
 
 def text_hash(text: str | None) -> int:
@@ -288,8 +365,28 @@ def judge_segments(texts: DataFrame, how: Windows, encode: Callable, judge: Call
     """Runs passes 1 and 2 over (id, text); returns where the files are and the number of shard bits."""
     path = shared_dir(texts.sparkSession, "llm-windows")
     bits = max(5, 1 + math.ceil(math.log2(max(1, texts.rdd.getNumPartitions()))))
-    keys = texts.mapInPandas(_collect_keys(how, encode, bits), "shard int, once binary, twice binary")
-    keys.groupBy("shard").applyInPandas(_write_keys(path), "keys long").agg(F.sum("keys")).first()
+
+    def write(kind: str, least: int, pick: Callable) -> int:
+        counted = texts.mapInPandas(_count(how, encode, bits, pick), COUNTED)
+        written = counted.groupBy("shard").applyInPandas(_write_keys(path, kind, least, how.frequent), "frequent long")
+        return written.agg(F.sum("frequent")).first()[0] or 0
+
+    def grams():
+        repeats = Repeats(path, bits)
+        return lambda codes, lengths: repeats.frequent_grams(codes, lengths, how)
+
+    def finer():
+        repeats = Repeats(path, bits)
+
+        def keys(codes, lengths):
+            _, often = repeats.split(codes, lengths, how)
+            return repeats.finer(codes, often, how)[2] if len(often[0]) else often[2]
+
+        return keys
+
+    if write("keys", 2, lambda: lambda codes, lengths: runs_of(codes, lengths, how)[2]):
+        write("frequent", how.frequent, grams)
+        write("finer", 2, finer)
     dealt = texts.mapInPandas(_deal(how, encode, path, bits), DEALT)
     dealt.groupBy("shard").applyInPandas(_judge(how, path, judge), "segments long").agg(F.sum("segments")).first()
     return path, bits

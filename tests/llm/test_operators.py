@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulse.llm import (bwt_merge, decontaminate, fm_index, license_scan, line_dedup, mixing, ngram_lm, quality_rules,
-                       simhash_dedup, substring_dedup, suffix_dedup)
+                       simhash_dedup, substring_dedup, suffix_dedup, windows)
 from pulse.llm.components import connected_components
 from tests.llm import brute
 
@@ -242,16 +242,32 @@ def test_decontamination(spark):
     assert decontaminate.benchmark_matches(d, b.limit(0)).count() == 0
 
 
-def test_repeated_bytes(docs, rows):
-    got = suffix_dedup.remove_repeats(docs, length=40, gram=8, stride=10).collect()
+@pytest.mark.parametrize("frequent", [windows.FREQUENT, 3])
+def test_repeated_bytes(docs, rows, frequent):
+    got = suffix_dedup.remove_repeats(docs, length=40, gram=8, stride=10, frequent=frequent).collect()
     mine = collections.Counter((r["id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got)
     want = collections.Counter((r[0], *x) for r, x in zip(rows, brute.bytes_removed([r[1] for r in rows], 40)))
     assert mine == want
     assert suffix_dedup.remove_repeats(docs.limit(0)).count() == 0
 
 
-def test_repeated_word_windows(docs, rows):
-    got = substring_dedup.remove_repeats(docs, window=8, gram=4).collect()
+def test_contexts_of_a_frequent_passage_spread():
+    rng, how = np.random.default_rng(3), windows.Windows(20, 4, np.uint64)
+    say = lambda n: rng.integers(1, 1 << 62, n, dtype=np.uint64)
+    passage = say(12)
+    lengths = np.full(300, 72)
+    codes = np.concatenate([np.concatenate([say(30), passage, say(30)]) for _ in lengths])
+    starts, count, key = windows.runs_of(codes, lengths, how)
+    assert np.unique(key, return_counts=True)[1].max() > 100
+    known = np.unique(windows.gram_hashes(passage, how.gram))
+    _, again, finer = windows.finer_runs(codes, starts, count, how, lambda grams: np.isin(grams, known))
+    assert np.unique(finer, return_counts=True)[1].max() == 1
+    assert again.sum() == count.sum()
+
+
+@pytest.mark.parametrize("frequent", [windows.FREQUENT, 3])
+def test_repeated_word_windows(docs, rows, frequent):
+    got = substring_dedup.remove_repeats(docs, window=8, gram=4, frequent=frequent).collect()
     mine = collections.Counter((r["id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got)
     want = brute.words_removed([(r[0], r[1]) for r in rows], 8)
     assert mine == collections.Counter((r[0], *want[r[0], r[1]]) for r in rows)
