@@ -391,7 +391,7 @@ SOURCE_SQL: dict[str, str] = {
     "register_xml_parse": with_ctes(f"""
 SELECT CAST(o.o_orderkey AS VARCHAR) AS entity_id,
        {_tr("coalesce(nullif(trim(o.o_orderpriority), ''), 'unspecified')", 100)} AS legal_form,
-       CAST(o.o_orderdate AS DATE) AS founded_on,
+       CASE WHEN o.o_orderstatus <> 'P' THEN CAST(o.o_orderdate AS DATE) END AS founded_on,  -- 'P' is dumped with a zone mark
        {_tr("coalesce(n.n_name, 'unspecified')", 100)} AS county,
        {_tr("coalesce(nullif(trim(o.o_orderstatus), ''), 'registered')", 100)} AS status,
        'S' || CAST(p.l_suppkey AS VARCHAR) AS activity_code,

@@ -5,8 +5,8 @@ A feed page holds companies, each with a list of register entries::
     <page><companies><item><entity_id/><entries><item>
         <entry_type/><entry_at/><ruling_no/></item>...</entries></item>...</companies></page>
 
-A detail payload describes one company; several fields have alternative
-names and the activity fields may sit at any depth of the activity list.
+A detail payload holds a company somewhere in an envelope; several fields
+have alternative names, and address and activity fields may sit at any depth.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ from pulse.domain import BOUND
 from pulse.functions import parse as P
 from pulse.functions import text as txt
 from pulse.operators.normalise import normalise_register_fields
-from pulse.sources.register_xml import parse_once
 
 S = T.StringType()
 ENTRY = T.StructType([T.StructField("entry_type", S), T.StructField("entry_at", S),
@@ -32,21 +31,6 @@ PAGE_SCHEMA = T.StructType([T.StructField("companies", T.StructType([
         T.StructField("entries", T.StructType([T.StructField("item", T.ArrayType(ENTRY))])),
     ])))]))])
 
-DETAIL_SCHEMA = T.StructType([
-    T.StructField("entity_id", S),
-    T.StructField("legal_form_text", S), T.StructField("legal_form", S),
-    T.StructField("first_entry_time", S), T.StructField("first_registered", S),
-    T.StructField("founded", S),
-    T.StructField("region_text", S),
-    T.StructField("addresses", T.StructType([T.StructField("item", T.ArrayType(
-        T.StructType([T.StructField("ehak_name", S)])))])),
-    T.StructField("status_text", S), T.StructField("status", S),
-    T.StructField("activities", T.StructType([T.StructField("item", T.ArrayType(T.StructType([
-        T.StructField("code", S), T.StructField("name_text", S), T.StructField("name", S),
-        T.StructField("version_text", S), T.StructField("version", S)])))])),
-])
-
-
 def page_entries(pages: DataFrame, col: str = "xml") -> DataFrame:
     """One row per (company, entry) of each page, in page order.
 
@@ -70,28 +54,85 @@ def first_entries_from_pages(pages: DataFrame, entry_type: str, col: str = "xml"
     return page_entries(pages, col).filter(F.col("entry_type") == entry_type)
 
 
-def _first_non_empty(items, *fields: str):
-    """First non-empty value over the items in order; within an item the fields in the order given."""
-    vals = F.flatten(F.transform(items, lambda x: F.array(*[txt.blank_to_null(x[f]) for f in fields])))
-    return F.try_element_at(F.filter(vals, lambda v: v.isNotNull()), F.lit(1))
+@dataclass(frozen=True)
+class DetailLayout:
+    """Element names of a detail payload.  The company is the first ``item``
+    of a ``companies_tag`` element, wherever it sits in an envelope.  Fields
+    of several names: legal form, founding date and status take the first
+    name that has a value; activity name and version the first element of
+    any of the names."""
+
+    companies_tag: str = "companies"
+    entity_id: str = "entity_id"
+    legal_form: tuple[str, ...] = ("legal_form_text", "legal_form")
+    founded: tuple[str, ...] = ("first_entry_time", "first_registered", "founded")
+    region: str = "region_text"
+    address_text: str = "ehak_name"
+    status: tuple[str, ...] = ("status_text", "status")
+    code: tuple[str, ...] = ("code",)
+    name: tuple[str, ...] = ("name_text", "name")
+    version: tuple[str, ...] = ("version_text", "version")
+
+
+# --- fixed values: element names of the live detail payloads -----------------
+LIVE_DETAIL_LAYOUT = DetailLayout(
+    companies_tag="ettevotjad", entity_id="ariregistri_kood",
+    legal_form=("oiguslik_vorm_tekstina", "oiguslik_vorm"),
+    founded=("esmakande_aeg", "esmaregistreerimise_kpv", "asutamise_kuupaev"),
+    region="piirkond_tekstina", address_text="ehak_nimetus", status=("staatus_tekstina", "staatus"),
+    code=("emtak_kood",), name=("emtak_tekstina", "emtak_nimetus"),
+    version=("emtak_versioon_tekstina", "emtak_versioon"))
+# --- end of fixed values -----------------------------------------------------
+
+#: Separates the texts of one evaluation; XML text cannot hold it.
+UNIT = "\x1f"
+#: The XML library takes expressions of up to 100 operators.
+AT_ONCE = 3
+
+
+def _company_fields(col: str, layout: DetailLayout):
+    """Array of the company's texts, ``AT_ONCE`` to an XPath evaluation: children by name, then elements at any
+    depth.  Prefixes are ignored; a text is what stands before an element's first child."""
+    company = f"(//*[local-name()='{layout.companies_tag}']/*[local-name()='item'])[1]"
+    text = "/text()[not(preceding-sibling::*)]"
+    children = (layout.entity_id, *layout.legal_form, *layout.founded, layout.region, *layout.status)
+    parts = [f"string({company}/*[local-name()='{n}'][1]{text})" for n in children]
+    for names in ((layout.address_text,), layout.code, layout.name, layout.version):
+        named = " or ".join(f"local-name()='{n}'" for n in names)
+        parts.append(f"string({company}/descendant-or-self::*[{named}]{text}"
+                     f"[translate(., '{txt.WHITE_SPACE}', '') != ''])")
+
+    def texts(some: list[str]):
+        path = "concat(" + f", '{UNIT}', ".join(some) + ", '')"
+        return F.split(F.xpath_string(F.col(col), F.lit(path)), UNIT, -1)
+
+    # a payload that is not well formed would end the job
+    broken = F.from_xml(F.col(col), "_corrupt_record string")["_corrupt_record"].isNotNull()
+    return F.when(~broken, F.concat(*[texts(parts[i:i + AT_ONCE]) for i in range(0, len(parts), AT_ONCE)]))
+
+
+def detail_records(payloads: DataFrame, col: str = "xml", domain=BOUND,
+                   layout: DetailLayout = DetailLayout()) -> DataFrame:
+    """A8 + B7 + B8: detail payload -> register-shaped row (increment rules: no trim).
+
+    Payloads without a company, without its key, or not well formed give no row.
+    """
+    # a generator keeps the optimizer from copying the evaluation into every field
+    d = payloads.select(F.inline(F.array(F.struct(_company_fields(col, layout).alias("_f")))))
+    at = 0
 
+    def field(names=("",)):
+        nonlocal at
+        at += len(names)
+        return F.coalesce(*[txt.blank_to_null(F.get("_f", i)) for i in range(at - len(names), at)])
 
-def detail_records(payloads: DataFrame, col: str = "xml", domain=BOUND) -> DataFrame:
-    """A8 + B7 + B8: detail payload -> register-shaped row (increment rules: no trim)."""
-    d = parse_once(payloads, col, DETAIL_SCHEMA)
-    acts = F.col("activities.item")
-    addr = F.col("addresses.item")
     rows = d.select(
-        txt.blank_to_null("entity_id").alias("entity_id"),
-        txt.first_available("legal_form_text", "legal_form").alias("legal_form"),
-        P.multi_format_date(txt.first_available("first_entry_time", "first_registered",
-                                                "founded")).alias("founded_on"),
-        F.coalesce(txt.blank_to_null("region_text"), _first_non_empty(addr, "ehak_name")).alias("county"),
-        txt.first_available("status_text", "status").alias("status"),
-        _first_non_empty(acts, "code").alias("activity_code"),
-        _first_non_empty(acts, "name_text", "name").alias("activity_name"),
-        _first_non_empty(acts, "version_text", "version").alias("activity_version"),
-    )
+        field().alias("entity_id"), field(layout.legal_form).alias("legal_form"),
+        P.multi_format_date(field(layout.founded)).alias("founded_on"), field().alias("region"),
+        field(layout.status).alias("status"), field().alias("address"), field().alias("activity_code"),
+        field().alias("activity_name"), field().alias("activity_version"))
+    rows = rows.select("entity_id", "legal_form", "founded_on", F.coalesce("region", "address").alias("county"),
+                       "status", "activity_code", "activity_name", "activity_version")
     return normalise_register_fields(rows, domain, trim=False)
 
 

@@ -105,17 +105,21 @@ def write_feed_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 
 def detail_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One detail XML per company with a payload, fields under alternative names."""
+    """One detail XML per company with a payload, as services send them: an envelope, prefixed elements, fields under
+    alternative names, activities one level deeper, a later activity that must not win, a second company."""
     det = bindings.details(spark, sf_dir)
     alt = F.col("legal_form").isin("view", "signup")
     has_act = F.col("activity_code").isNotNull()
+    none = F.lit(None).cast("string")
+
+    def activity(code, name_text, name, version_text, version):
+        return F.struct(F.struct(code.alias("code"), name_text.alias("name_text"), name.alias("name"),
+                                 version_text.alias("version_text"), version.alias("version")).alias("declared"))
+
     acts = F.when(has_act, F.array(
-        F.struct(F.lit(" ").alias("code"), F.lit(None).cast("string").alias("name_text"),
-                 F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("version_text"),
-                 F.lit(None).cast("string").alias("version")),
-        F.struct(F.col("activity_code").alias("code"), F.col("activity_name").alias("name_text"),
-                 F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("version_text"),
-                 F.col("activity_version").alias("version"))))
+        activity(F.lit(" "), none, none, none, none),
+        activity(F.col("activity_code"), none, F.col("activity_name"), none, F.col("activity_version")),
+        activity(F.lit("S0"), F.lit("Activity S0"), none, F.lit("V0"), none)))
     rec = F.struct(
         F.col("entity_id"),
         F.when(alt, F.col("legal_form")).alias("legal_form_text"),
@@ -124,4 +128,8 @@ def detail_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~alt, F.date_format("founded_on", "d.M.yyyy")).alias("first_registered"),
         F.col("status").alias("status_text"),
         F.struct(acts.alias("item")).alias("activities"))
-    return det.select(F.to_xml(rec, {"rowTag": "company"}).alias("xml"))
+    company = F.regexp_replace(F.to_xml(rec, {"rowTag": "item"}), "<(/?)", "<$1r:")
+    return det.select(F.concat(
+        F.lit('<e:Envelope xmlns:e="urn:envelope" xmlns:r="urn:register"><e:Body><r:body><r:companies>'), company,
+        F.lit("<r:item><r:entity_id>other</r:entity_id></r:item></r:companies></r:body></e:Body></e:Envelope>"))
+        .alias("xml"))

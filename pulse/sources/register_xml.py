@@ -71,6 +71,35 @@ class RecordLayout:
 DEFAULT_LAYOUT = RecordLayout()
 
 
+def _texts(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(n, S) for n in names])
+
+
+def _items(item: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField("item", T.ArrayType(item))])
+
+
+# --- fixed values: element names of the live register dump (rowTag "ettevotja") ---
+LIVE_COMPANY_SCHEMA = T.StructType([
+    T.StructField("ariregistri_kood", S),
+    T.StructField("yldandmed", T.StructType([
+        T.StructField("staatus_tekstina", S),
+        T.StructField("oiguslik_vorm_tekstina", T.ArrayType(S)),
+        T.StructField("esmaregistreerimise_kpv", S),
+        T.StructField("aadressid", _items(_texts("ehak_nimetus"))),
+        T.StructField("teatatud_tegevusalad", _items(_texts(
+            "emtak_kood", "emtak_tekstina", "emtak_versioon_tekstina", "emtak_versioon", "on_pohitegevusala"))),
+    ])),
+])
+LIVE_LAYOUT = RecordLayout(
+    entity_id="ariregistri_kood", status="yldandmed.staatus_tekstina",
+    legal_form="yldandmed.oiguslik_vorm_tekstina", first_registered="yldandmed.esmaregistreerimise_kpv",
+    addresses="yldandmed.aadressid.item", address_text="ehak_nimetus",
+    activities="yldandmed.teatatud_tegevusalad.item", code="emtak_kood", name="emtak_tekstina",
+    version_text="emtak_versioon_tekstina", version="emtak_versioon", is_main="on_pohitegevusala")
+# --- end of fixed values ----------------------------------------------------------
+
+
 def read_register_xml(spark: SparkSession, path: str, row_tag: str = "company",
                       domain=BOUND, run_ts=None, schema=COMPANY_SCHEMA,
                       layout: RecordLayout = DEFAULT_LAYOUT) -> DataFrame:
@@ -133,7 +162,8 @@ def register_records(raw: DataFrame, domain=BOUND, run_ts=None,
     rows = raw.select(
         col(L.entity_id).cast("string").alias("entity_id"),
         txt.blank_to_null(legal).alias("legal_form"),
-        P.multi_format_date(col(L.first_registered)).alias("founded_on"),
+        # the full load takes no zone mark, unlike the increment
+        P.multi_format_date(txt.blank_to_null(col(L.first_registered)), strip_z=False).alias("founded_on"),
         F.try_element_at(tails, F.lit(-1)).alias("county"),      # last address wins
         txt.blank_to_null(col(L.status)).alias("status"),
         pick.alias("_pick"),

@@ -244,6 +244,41 @@ def test_register_xml_with_native_element_names(spark):
     assert (r.activity_code, r.activity_name, r.activity_version) == ("62021", "b", "EMTAK 2025")
 
 
+def test_live_register_layout(spark):
+    from pulse.domain import REGISTRY
+    from pulse.sources import register_xml as RX
+    doc = """<v:ettevotja xmlns:v="urn:x"><v:ariregistri_kood>7</v:ariregistri_kood><v:yldandmed>
+  <v:staatus_tekstina>Kustutatud</v:staatus_tekstina><v:oiguslik_vorm_tekstina>Aktsiaselts</v:oiguslik_vorm_tekstina>
+  <v:esmaregistreerimise_kpv>2019-01-21</v:esmaregistreerimise_kpv>
+  <v:aadressid><v:item><v:ehak_nimetus>Tartu linn, Tartu maakond</v:ehak_nimetus></v:item></v:aadressid>
+  <v:teatatud_tegevusalad><v:item><v:emtak_kood>1</v:emtak_kood></v:item><v:item><v:emtak_kood>2</v:emtak_kood>
+    <v:emtak_versioon>EMTAK 2025</v:emtak_versioon><v:on_pohitegevusala>1</v:on_pohitegevusala></v:item>
+  </v:teatatud_tegevusalad></v:yldandmed></v:ettevotja>"""
+    r = RX.parse_register_payloads(spark.createDataFrame([(doc,)], "xml string"), domain=REGISTRY,
+                                   schema=RX.LIVE_COMPANY_SCHEMA, layout=RX.LIVE_LAYOUT).collect()[0]
+    assert (r.entity_id, r.legal_form, r.founded_on, r.county, r.status, r.activity_code, r.activity_version) == \
+        ("7", "Aktsiaselts", dt.date(2019, 1, 21), "Tartu maakond", "Kustutatud", "2", "EMTAK 2025")
+
+
+def test_detail_payload_anywhere_in_an_envelope(spark):
+    from pulse.domain import REGISTRY
+    from pulse.sources import feed
+    doc = """<s:Envelope xmlns:s="urn:env" xmlns:p="urn:prod"><s:Header><p:ettevotjad/></s:Header><s:Body><p:keha>
+  <p:ettevotjad><p:item><p:ariregistri_kood> 55 </p:ariregistri_kood><p:oiguslik_vorm_tekstina>\u00a0</p:oiguslik_vorm_tekstina>
+    <p:oiguslik_vorm>OÜ</p:oiguslik_vorm><p:esmaregistreerimise_kpv>2024-01-03Z</p:esmaregistreerimise_kpv>
+    <p:koht><p:ehak_nimetus> </p:ehak_nimetus><p:ehak_nimetus>Harju &amp; maakond</p:ehak_nimetus></p:koht>
+    <p:alad><p:item><p:tase><p:emtak_kood>62011</p:emtak_kood></p:tase><p:emtak_nimetus>first</p:emtak_nimetus>
+      <p:emtak_versioon>EMTAK 2025</p:emtak_versioon></p:item>
+      <p:item><p:emtak_tekstina>second</p:emtak_tekstina><p:emtak_versioon_tekstina>EMTAK 2008</p:emtak_versioon_tekstina>
+      </p:item></p:alad></p:item>
+    <p:item><p:ariregistri_kood>56</p:ariregistri_kood></p:item></p:ettevotjad></p:keha></s:Body></s:Envelope>"""
+    keyless = doc.replace("> 55 <", "> <")
+    df = spark.createDataFrame([(doc,), (keyless,), ("<a><b></a>",), ("",), (None,), ("<a/>",)], "xml string")
+    r, = feed.detail_records(df, domain=REGISTRY, layout=feed.LIVE_DETAIL_LAYOUT).collect()
+    assert (r.entity_id, r.legal_form, r.founded_on, r.county) == ("55", "OÜ", dt.date(2024, 1, 3), "Harju & maakond")
+    assert (r.activity_code, r.activity_name, r.activity_version) == ("62011", "first", "EMTAK 2025")
+
+
 def test_live_feed_pages_in_a_soap_envelope(spark):
     from pulse.session import shared_dir
     from pulse.sources import feed
