@@ -61,6 +61,7 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>
                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 NAME = re.compile(r"[a-z]+")
+HUMP = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
@@ -73,17 +74,18 @@ class Node:
 
 def _beside(attributes: str) -> bool:
     for name, value in ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), value.strip("\"'").lower()
+        name, written = name.lower(), value.strip("\"'")
+        value = written.lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
         if name == "style":
             if "display:none" in value.replace(" ", ""):
                 return True
         elif name != "aria-hidden":
-            for word in value.split():
-                # the name itself or its parts, for site-footer, cookieNotice and the like
-                if word in BESIDE or not BESIDE.isdisjoint(NAME.findall(word)):
-                    return True
+            # the names or their parts, for site-footer, cookieNotice and the like
+            if not BESIDE.isdisjoint(NAME.findall(value)) or not BESIDE.isdisjoint(
+                    x.lower() for x in HUMP.findall(written)):
+                return True
     return False
 
 

@@ -18,6 +18,7 @@ def test_article_without_surroundings():
 
 
 @pytest.mark.parametrize("page, text", [
+    ("<p>a, b</p><div class='cookieNotice'><p>We, use</p></div><div id=SiteFooter>end</div>", "a, b"),
     (None, ""), ("", ""), (" \n", ""), ("<script>x</script>", ""), ("plain &amp; simple", "plain & simple"),
     ("<p>a<p>b", "a\n\nb"), ("<div>a<div>b</div>c</div>", "a\n\nb\n\nc"), ("<p>cut off &am", "cut off &am"),
     ("<p>kept</p><p cla", "kept"), ("<!-- <p>no</p> --><p>yes</p>", "yes"), ("<p>1 < 2</p>", "1 < 2"),
