@@ -11,6 +11,12 @@ sentence that belongs to a full notice is not reported again as a reference.
 
 Line ends inside a sentence are handled by a second reading in which a single
 line end is a space; both readings are matched and their licences united.
+Comment marks at line starts are taken off first, so a notice reads alike in a
+source file and in plain text and a bare comment line is a blank one.
+
+``SPDX-License-Identifier:`` tags leave the mark ``spdx`` in the sequence; the
+licences of their expressions are reported beside those of the rules (what
+follows ``WITH`` is an exception, not a licence).
 
 Null and blank texts have no sentences and no licence; repeated rows are
 scanned alike; an empty table gives an empty result; other columns are not
@@ -22,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulse.llm.common import let
+
 # --- fixed values: public licence notices, normalised -------------------------------------------------
 SENTENCES: dict[str, str] = {
     "apache-ref": "licensed under the apache license version 2 0",
@@ -120,12 +128,66 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("All-Rights-Reserved", ("all-rights",)),
 ]
 
+#: Sentences of the official notices as they split at their own ; and blank lines, with their identifiers.
+NOTICES: dict[str, str] = {
+    "licensed under the apache license version 2 0 the license": "apache-ref-the",
+    "you may obtain a copy of the license at": "apache-obtain-at",
+    "http www apache org licenses license 2 0": "apache-url",
+    "https www apache org licenses license 2 0": "apache-url",
+    "you may obtain a copy of the license at https www apache org licenses license 2 0": "apache-obtain",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free "
+    "software foundation": "gpl-modify",
+    "you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by "
+    "the free software foundation": "gpl2-modify",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the "
+    "free software foundation": "lgpl-modify",
+    "either version 2 of the license or at your option any later version": "either-2",
+    "either version 2 1 of the license or at your option any later version": "either-2-1",
+    "either version 3 of the license or at your option any later version": "either-3",
+    "this program is distributed in the hope that it will be useful but without any warranty": "gpl-hope-but",
+    "this library is distributed in the hope that it will be useful but without any warranty": "gpl-hope-but",
+    "without even the implied warranty of merchantability or fitness for a particular purpose": "gpl-even",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general "
+    "public license as published by the free software foundation either version 3 of the license or at your option any "
+    "later version": "agpl-free",
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+    "following conditions are met 1": "bsd-grant",
+}
+
+#: Rules over them, before the others.
+NOTICE_RULES: list[tuple[str, tuple[str, ...]]] = [
+    ("Apache-2.0", ("apache-ref-the", "apache-may-not", "apache-obtain-at", "apache-url", "apache-as-is", "apache-see")),
+    ("GPL-3.0-or-later", ("gpl-free", "gpl-hope-but", "gpl-even", "gpl-details", "gpl-copy")),
+    ("GPL-2.0-or-later", ("gpl-modify", "either-2", "gpl-hope-but", "gpl-even", "gpl-details", "gpl-copy")),
+    ("GPL-2.0-or-later", ("gpl-modify", "either-2")),
+    ("GPL-3.0-or-later", ("gpl-modify", "either-3")),
+    ("LGPL-2.1-or-later", ("lgpl-modify", "either-2-1")),
+    ("LGPL-3.0-or-later", ("lgpl-modify", "either-3")),
+    ("GPL-2.0-only", ("gpl2-modify",)),
+    ("AGPL-3.0-or-later", ("agpl-free",)),
+    ("Apache-2.0", ("apache-obtain-at", "apache-url")),
+]
+
 #: Every known sentence has one of these; texts with none are not cut up.
 TRIGGERS = ("licens", "redistribut", "rights", "warrant", "copyright", "permission", "as is", "public domain")
 # -------------------------------------------------------------------------------------------------------
 
-#: Two readings of the same text: line ends end a sentence, or only blank lines do.
-ENDS = (r"(?<=[.!?;])[\x20\x09-\x0D]+|\n", r"(?<=[.!?;])[\x20\x09-\x0D]+|\n[\x20\t]*\n")
+#: Two readings of the same text: line ends end a sentence, or only blank lines do.  "v. 2.0" does not end one.
+ENDS = (r"(?<=[.!?;])(?<!\b[vV]\.)[\x20\x09-\x0D]+|\n", r"(?<=[.!?;])(?<!\b[vV]\.)[\x20\x09-\x0D]+|\n[\x20\t]*\n")
+
+#: Comment marks at the start of a line.
+MARKS = r"(?md)^[\x20\t]*(?:(?:<!-+|\(\*+|\{-+|\.\\\"|[#*;!%/'\"|>~-]+|@?(?:rem|REM|dnl)(?![^\x20\t\r\n]))[\x20\t]*)+"
+
+SPDX_ID = r"[A-Za-z0-9](?:[A-Za-z0-9.:-]*[A-Za-z0-9])?\+?"
+SPDX_TAG = (rf"(?i:SPDX-License-Identifier):[\x20\t]*(\(*{SPDX_ID}\)*"
+            rf"(?:[\x20\t]+(?:AND|OR|WITH)[\x20\t]+\(*{SPDX_ID}\)*)*)")
+SPDX_NONE = ("AND", "OR", "NONE", "NOASSERTION")
+#: Older identifiers, in lower case, and what they are called now.
+SPDX_OLD = {f"{n}{old}".lower(): f"{n}{new}" for n in ("GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0",
+                                                       "AGPL-1.0", "AGPL-3.0")
+            for old, new in (("", "-only"), ("+", "-or-later"))}
+#: Identifiers are compared without case; the rules' licences keep their spelling.
+SPDX_NAMES = SPDX_OLD | {x.lower(): x for x in [*SPDX_OLD.values(), *(n for n, _ in [*NOTICE_RULES, *RULES])]}
 
 
 def _normal(sentence: Column) -> Column:
@@ -141,17 +203,35 @@ def _triggered(text: Column) -> Column:
     return hit
 
 
+def _bare(text: Column) -> Column:
+    """The text without comment marks at line starts, lines ended by \\n."""
+    return F.regexp_replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), MARKS, "")
+
+
 def _sequence(text: Column, ends: str) -> Column:
     """Identifiers of the known sentences in text order, each as ``<id>``."""
-    known = F.create_map(*[x for i, s in SENTENCES.items() for x in (F.lit(s), F.lit(f"<{i}>"))])
-    found = F.transform(F.split(text, ends, -1), lambda s: F.element_at(known, _normal(s)))
+    ids = {s: i for i, s in SENTENCES.items()} | NOTICES
+    known = F.create_map(*[x for s, i in ids.items() for x in (F.lit(s), F.lit(f"<{i}>"))])
+    tag = F.lit("spdx license identifier ")
+    found = F.transform(F.split(text, ends, -1), lambda s: let(_normal(s), lambda n: F.coalesce(
+        F.element_at(known, n), F.when(F.contains(n, tag), F.lit("<spdx>")))))
     return F.array_join(F.filter(found, lambda x: x.isNotNull()), "")
 
 
+def _tagged(text: Column) -> Column:
+    """Licences of the SPDX tags."""
+    names = F.create_map(*[F.lit(x) for pair in SPDX_NAMES.items() for x in pair])
+    expressions = F.regexp_extract_all(text, F.lit(SPDX_TAG), F.lit(1))
+    ids = F.flatten(F.transform(expressions, lambda e: F.regexp_extract_all(
+        F.regexp_replace(e, rf"[\x20\t]WITH[\x20\t]+\(*{SPDX_ID}", ""), F.lit(SPDX_ID), F.lit(0))))
+    return F.transform(F.filter(ids, lambda i: ~i.isin(*SPDX_NONE)),
+                       lambda i: F.coalesce(F.element_at(names, F.lower(i)), i))
+
+
 def _apply_rules(sequence: Column) -> tuple[Column, Column]:
     """(licences in rule order, what no rule took)."""
     taken, left = [], sequence
-    for licence, ids in RULES:
+    for licence, ids in [*NOTICE_RULES, *RULES]:
         wanted = "".join(f"<{i}>" for i in ids)
         taken.append(F.when(F.contains(left, F.lit(wanted)), F.lit(licence)))
         left = F.replace(left, F.lit(wanted), F.lit("#"))
@@ -162,15 +242,17 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per input row: id, sentences (identifiers of the line reading, comma separated), licenses (sorted)."""
     read = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     marked = read.withColumn("hit", _triggered(F.col("text")))
+    marked = marked.withColumn("text", F.when(F.col("hit"), _bare(F.col("text"))))
     for k, ends in enumerate(ENDS):
         marked = marked.withColumn(f"s{k}", F.when(F.col("hit"), _sequence(F.col("text"), ends)).otherwise(F.lit("")))
-    found = marked.select("id", "s0", "s1")
+    tags = F.when(F.contains("s0", F.lit("<spdx>")), _tagged(F.col("text"))).otherwise(F.array().cast("array<string>"))
+    found = marked.select("id", "s0", "s1", tags.alias("tags"))
     # only the few texts with a known sentence pay for the rules
     licences = [F.when(F.col(f"s{k}") == "", F.array().cast("array<string>")).otherwise(_apply_rules(F.col(f"s{k}"))[0])
                 for k in range(len(ENDS))]
     return found.select(
         "id", F.replace(F.btrim(F.col("s0"), F.lit("<>")), F.lit("><"), F.lit(",")).alias("sentences"),
-        F.array_join(F.sort_array(F.array_distinct(F.concat(*licences))), ",").alias("licenses"))
+        F.array_join(F.sort_array(F.array_distinct(F.concat(*licences, "tags"))), ",").alias("licenses"))
 
 
 def op8_query(spark, sf_dir: str) -> DataFrame:
@@ -178,6 +260,7 @@ def op8_query(spark, sf_dir: str) -> DataFrame:
     return scan_licenses(docs).withColumnRenamed("id", "doc_id")
 
 
+#: Looks up SENTENCES and RULES only: no comment marks, official notices (NOTICES) or SPDX tags.
 def _sql() -> str:
     known = ", ".join(f"('{s}', '<{i}>')" for i, s in SENTENCES.items())
     cut = ("regexp_replace(regexp_replace(text, '([.!?;])[\\x20\\x09-\\x0D]+', '\\1' || chr(1), 'g'), "

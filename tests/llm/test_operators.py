@@ -218,6 +218,61 @@ def test_licences(spark):
     assert license_scan.scan_licenses(df.limit(0)).count() == 0
 
 
+APACHE = """Copyright [yyyy] [name of copyright owner]
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL = """{who} is free software; you can redistribute it and/or
+modify it under the terms of the GNU {less}General Public License
+as published by the Free Software Foundation; either version {v}
+of the License, or (at your option) any later version.
+
+{who} is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {less}General Public License for more details.
+
+You should have received a copy of the GNU {less}General Public License
+along with this program; if not, write to the Free Software Foundation, Inc.,
+51 Franklin Street, Fifth Floor, Boston, MA  02110-1301, USA.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/.
+"""
+
+
+def test_official_notices(spark):
+    gpl2 = GPL.format(who="This program", less="", v="2")
+    in_marks = lambda mark, text: "".join(f"{mark} {line}".rstrip() + "\n" for line in text.splitlines())
+    cases = [(f"code\n\n{text}" if not mark else f"/*\n{in_marks(mark, text)} */\nint x = 0;\n", licence)
+             for text, licence in [(APACHE, "Apache-2.0"), (APACHE.replace("http:", "https:"), "Apache-2.0"),
+                                   (gpl2, "GPL-2.0-or-later"), (MPL, "MPL-2.0"),
+                                   (GPL.format(who="This library", less="Lesser ", v="2.1"), "LGPL-2.1-or-later")]
+             for mark in ("", "#", " *", "//", ";;", "!", "dnl", "REM")]
+    cases += [(APACHE.replace("\n", "\r\n"), "Apache-2.0"),
+              ("// SPDX-License-Identifier: Apache-2.0\nint x;", "Apache-2.0"), ("/* SPDX-License-Identifier: mit */", "MIT"),
+              ("# SPDX-License-Identifier: GPL-2.0 WITH Linux-syscall-note", "GPL-2.0-only"),
+              ("SPDX-License-Identifier: (GPL-2.0+ OR BSD-3-Clause)\nx", "BSD-3-Clause,GPL-2.0-or-later"),
+              ("<!-- SPDX-License-Identifier: EUPL-1.2 -->", "EUPL-1.2"), ("SPDX-License-Identifier: NONE", ""),
+              ("x; // SPDX-License-Identifier: 0BSD AND (MIT OR Zlib). Text", "0BSD,MIT,Zlib")]
+    df = spark.createDataFrame([(k, text) for k, (text, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r["id"]: r["licenses"] for r in license_scan.scan_licenses(df).collect()}
+    assert [(text, got[k]) for k, (text, _) in enumerate(cases)] == cases
+    for sentence in license_scan.NOTICES:
+        assert any(t in sentence for t in license_scan.TRIGGERS)
+
+
 def test_decontamination(spark):
     rng = random.Random(11)
     say = lambda n: [f"w{rng.randrange(400)}" for _ in range(n)]
