@@ -3,7 +3,9 @@
 The page becomes a light element tree.  Elements that never hold the article
 (scripts, styles, navigation, page headers and footers, asides, forms,
 hidden parts) and elements whose class, id or role names a menu, sidebar,
-advert, notice or reader comments are cut out.  Every paragraph then scores
+advert, notice or reader comments are cut out.  A form around the page's body
+is no such part: one that holds the article, <main> or <h1>, or more running
+text than the rest of the page, loses only its controls.  Every paragraph then scores
 points (one, one per comma, one per hundred characters up to three) and
 passes them on: all to its parent, half to its grandparent, a third of that
 share further up.  A container's points are discounted by its link density.
@@ -93,6 +95,7 @@ def parse(page: str) -> Node:
     """The element tree; a node's parts are texts and nodes in page order."""
     root = Node("#page", None, False)
     at, here, end, articles = root, 0, len(page), 0
+    forms: list[Node] = []
     while here < end:
         mark = TOKEN.search(page, here)
         if mark is None:
@@ -123,23 +126,42 @@ def parse(page: str) -> Node:
             node.cut = node.named = _beside(mark[3])
         at.parts.append(node)
         if tag in ("main", "h1") or (tag == "article" and not articles):
-            _uncut(node if tag == "article" else at)  # a layout named after its sidebar still holds the article
+            _uncut(node if tag == "article" else at, tag)  # a layout named after its sidebar still holds the article
         articles += tag == "article"
-        if tag in RAW:
+        if tag == "form":
+            forms.append(node)
+        closed = mark[3].rstrip().endswith("/")
+        if tag in RAW and not (closed and tag in ("svg", "math")):
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, here)
             here = close.end() if close else end
-        elif tag not in VOID and not mark[3].rstrip().endswith("/"):
+        elif tag not in VOID and not closed:
             at = node
+    forms = [x for x in forms if x.cut]
+    if forms:
+        _unwrap(root, forms)
     return root
 
 
-def _uncut(node: Node | None) -> None:
+def _uncut(node: Node | None, tag: str) -> None:
+    """Keeps what holds the article: elements cut for their names, forms, and anything around <main>."""
     while node is not None:
-        if node.named:
+        if node.named or tag == "main" or (node.tag == "form" and not _inside(node, ("article", "main"))):
             node.cut = node.named = False
         node = node.parent
 
 
+def _unwrap(root: Node, forms: list[Node]) -> None:
+    """Keeps the cut forms that hold more running text than the page beside them."""
+    sizes = _measure(root)[1]
+    for form in forms:
+        inside, lengths = _measure(form)
+        # a paragraph inside another is counted once
+        running = sum(lengths[id(x)][0] for x in inside if x.tag in ("p", "pre", "blockquote")
+                      and not _inside(x.parent, ("p", "pre", "blockquote")))
+        if running > sizes[id(root)][0] and not _inside(form, ("article", "main")):
+            form.cut = False
+
+
 def _close(at: Node, tags: tuple[str, ...], stop: frozenset) -> Node:
     """Ends the nearest open element of ``tags``, unless one of ``stop`` is open inside it."""
     node = at

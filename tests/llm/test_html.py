@@ -30,6 +30,25 @@ def test_small_pages(page, text):
     assert main_text(page) == text
 
 
+TEXT = "Text, of, the, page, in, a, sentence, of, some, length."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<body><form id=aspnetForm><nav>menu</nav><input name=q><select><option>x</select><article><h1>Head</h1><p>{TEXT}</p>"
+     "<button>Send</button></article></form></body>", f"Head\n\n{TEXT}"),
+    (f"<body><form><div><main><p>{TEXT}</p></main></div></form>", TEXT),
+    (f"<body><form><div><h1>Head</h1><p>{TEXT}</p><textarea>a</textarea></div></form>", f"Head\n\n{TEXT}"),
+    (f"<body><form action=x><div class=content><p>{TEXT}</p><p>{TEXT}</p></div></form><footer>end</footer>", f"{TEXT}\n\n{TEXT}"),
+    (f"<body><aside><main><p>{TEXT}</p></main></aside>", TEXT),
+    (f"<body><article><p>{TEXT}</p><form><h1>Letter</h1><p>Sign up</p></form></article>", TEXT),
+    (f"<body><article><p>{TEXT}</p></article><form><p>Sign up</p></form>", TEXT),
+    (f'<p><svg class="icon"/>{TEXT}</p><p>b</p>', f"{TEXT}\n\nb"), ("<p>a <math /> b</p><p>c</p>", "a b\n\nc"),
+    ("<p>a <svg><text>no</text></svg> b</p>", "a b"), ("<p>a<script src=x />b</p>", "a"),
+])
+def test_wrapping_forms_and_self_closed_elements(page, text):
+    assert main_text(page) == text
+
+
 def test_deep_and_long_pages():
     assert main_text("<div>" * 5000 + "<p>deep</p>") == "deep"
     words = " ".join(f"w{i}" for i in range(200_000))
