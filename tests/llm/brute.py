@@ -140,3 +140,18 @@ def words_removed(docs, window):
         kept = " ".join(x for x, g in zip(w, gone) if not g)
         out[d, t] = (len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest())
     return out
+
+
+def window_matches(docs, items, size=5):
+    """{(document, item): best weighted similarity} over every item-sized window, cut at the document's ends."""
+    grams = lambda w: [tuple(w[i:i + size]) for i in range(len(w) - size + 1)]
+    best = {}
+    for d, doc in enumerate(docs):
+        for i, item in enumerate(items):
+            have, want = grams(doc), collections.Counter(grams(item))
+            n = want.total()
+            for start in range(1 - n, len(have)):
+                cut = collections.Counter(have[max(start, 0):start + n])
+                both = (cut & want).total()
+                best[d, i] = max(best.get((d, i), 0.0), both / (cut.total() + n - both))
+    return best

@@ -297,6 +297,25 @@ def test_decontamination(spark):
     assert decontaminate.benchmark_matches(d, b.limit(0)).count() == 0
 
 
+def test_decontamination_judges_every_window(spark):
+    rng = random.Random(5)
+    say = lambda n, kinds=400: [f"w{rng.randrange(kinds)}" for _ in range(n)]
+    items = [say(100), say(60), ["a", "b"] * 20, say(70), say(9)]
+    swapped = items[0][50:] + items[0][:50]
+    thirds = items[3][45:] + items[3][20:45] + items[3][:20]
+    docs = [say(30) + swapped + say(40), swapped, say(12) + items[1][3:30] + ["x"] + items[1][30:] + say(8),
+            items[1][4:] + say(30), say(20) + items[1][:-4], ["a", "b"] * 50 + say(5), say(40) + ["b", "a"] * 17, say(9) + thirds,
+            say(8) + thirds[:60], say(200), items[2][:30], items[4] + say(3) + items[4], say(7) + items[3][35:] + items[3][:35]]
+    want = {pair: x for pair, x in brute.window_matches(docs, items).items() if x >= 0.8}
+    assert (0, 0) in want and (1, 0) in want  # no diagonal window of these reaches 0.8
+    d = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(docs)], "doc_id long, text string")
+    b = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    found = decontaminate.benchmark_matches(d, b).collect()
+    assert {(r["doc_id"], r["item_id"]): r["similarity"] for r in found} == pytest.approx(want)
+    left = {r["doc_id"] for r in decontaminate.drop_contaminated(d, b).collect()}
+    assert left == set(range(len(docs))) - {k for k, _ in want}
+
+
 @pytest.mark.parametrize("frequent", [windows.FREQUENT, 3])
 def test_repeated_bytes(docs, rows, frequent):
     got = suffix_dedup.remove_repeats(docs, length=40, gram=8, stride=10, frequent=frequent).collect()
