@@ -165,9 +165,12 @@ def _upsert_bucketed(spark, sf_dir):
     """C2 as a keyed write: register stored in hash buckets; the increment rewrites only the
     buckets it touches."""
     path, staging = shared_dir(spark, "register-bucketed"), shared_dir(spark, "register-staging")
-    tables.write_bucketed(bindings.register(spark, sf_dir), path, ["entity_id"], 64)
+    # the register has a row per order, with columns of its customer
+    size = tables.stored_bytes(spark, f"{sf_dir}/orders.parquet", f"{sf_dir}/customer.parquet")
+    buckets, files = tables.bucket_layout(size)
+    tables.write_bucketed(bindings.register(spark, sf_dir), path, ["entity_id"], buckets, files)
     upd = normalise_register_fields(bindings.details(spark, sf_dir), BOUND, trim=False)
-    tables.upsert_bucketed(spark, path, upd, ["entity_id"], 64, staging,
+    tables.upsert_bucketed(spark, path, upd, ["entity_id"], buckets, staging, files,
                            preserve=ACTIVITY_COLUMNS, stamp_col="loaded_at", run_ts=FEED_AS_OF)
     return tables.read_bucketed(spark, path)
 

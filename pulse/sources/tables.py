@@ -70,6 +70,22 @@ def full_refresh(spark: SparkSession, path: str, df: DataFrame, key_cols: list[s
 
 
 BUCKET_COL = "_bucket"
+LEAST_BUCKETS, MOST_BUCKETS = 64, 10_000
+BUCKET_BYTES, FILE_BYTES = 4 << 30, 256 << 20
+
+
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of the files of the tables at ``paths`` (a file or a folder each); their content is not read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+             .agg(F.sum("length")).first())
+    return files[0] or 0
+
+
+def bucket_layout(n_bytes: int) -> tuple[int, int]:
+    """(buckets, files per bucket) for a table of about ``n_bytes``: buckets of a few GB as long as their
+    number stays listable, and as many files in each as keep a write task small."""
+    buckets = min(max(-(-n_bytes // BUCKET_BYTES), LEAST_BUCKETS), MOST_BUCKETS)
+    return buckets, max(-(-n_bytes // (buckets * FILE_BYTES)), 1)
 
 
 def bucket_of(key_cols: list[str], buckets: int):

@@ -162,6 +162,30 @@ def test_fused_unique_checks(spark):
     assert got == {"uk": (1, "fail"), "uv": (0, "pass")}
 
 
+def test_bucket_layout_follows_the_table_size(spark, tmp_path, monkeypatch):
+    from pulse.plans import catalog
+    from pulse.sources import tables
+    for n_bytes in (0, 1, 10**9, 10**12, 10**14):
+        buckets, files = tables.bucket_layout(n_bytes)
+        assert 64 <= buckets <= 10_000 and n_bytes <= buckets * files * tables.FILE_BYTES
+    assert tables.bucket_layout(10**9) == (64, 1)
+    spark.range(100).repartition(3).write.parquet(str(tmp_path / "folder"))
+    parts = [p.stat().st_size for p in (tmp_path / "folder").glob("part-*")]
+    assert len(parts) == 3
+    assert tables.stored_bytes(spark, str(tmp_path / "folder")) == sum(parts)
+    # with small bounds the test register is a table of many buckets and files
+    monkeypatch.setattr(tables, "LEAST_BUCKETS", 1)
+    monkeypatch.setattr(tables, "BUCKET_BYTES", 20_000)
+    monkeypatch.setattr(tables, "FILE_BYTES", 5_000)
+    used = []
+    write = tables.write_bucketed
+    monkeypatch.setattr(tables, "write_bucketed", lambda *a: (used.append(a[3:]), write(*a)))
+    got = catalog.CHANGE_QUERIES["upsert_bucketed"](spark, "/root/testdata/sf0.001")
+    want = catalog.CHANGE_QUERIES["upsert_preserve"](spark, "/root/testdata/sf0.001")
+    assert used[0][0] > 1 and used[0][1] > 1
+    assert got.exceptAll(want.select(got.columns)).isEmpty() and got.count() == want.count()
+
+
 def test_bucketed_upsert_rewrites_only_touched_buckets(spark):
     import os
     from pulse.session import shared_dir
