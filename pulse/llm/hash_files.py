@@ -68,12 +68,12 @@ def write_arrays(path: str, *arrays: np.ndarray) -> None:
     files.move(partial, target)
 
 
-def map_arrays(path: str, dtypes) -> list[np.ndarray]:
-    """The arrays of a file, memory-mapped; empty ones if there is no such file."""
+def map_arrays(path: str, dtypes, expected: bool = False) -> list[np.ndarray]:
+    """The arrays of a file, memory-mapped; if there is no such file, empty ones or, where it is expected, an error."""
     local = local_path(path)
     if local is None:
         files, target = pyarrow.fs.FileSystem.from_uri(path)
-        if files.get_file_info(target).type == pyarrow.fs.FileType.NotFound:
+        if not expected and files.get_file_info(target).type == pyarrow.fs.FileType.NotFound:
             return [np.zeros(0, d) for d in dtypes]
         handle, local = tempfile.mkstemp()
         with files.open_input_stream(target) as source, os.fdopen(handle, "wb") as out:
@@ -81,7 +81,7 @@ def map_arrays(path: str, dtypes) -> list[np.ndarray]:
                 out.write(part)
         mapped = np.memmap(local, np.uint8, "r")
         os.unlink(local)
-    elif os.path.exists(local):
+    elif expected or os.path.exists(local):
         mapped = np.memmap(local, np.uint8, "r")
     else:
         return [np.zeros(0, d) for d in dtypes]
@@ -101,10 +101,18 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 class HashFiles:
-    """A worker's mapped files of one kind: ``<path>/<kind>-<shard>``."""
+    """A worker's mapped files of one kind: ``<path>/<kind>-<shard>``.  With
+    ``have``, the numbers of the files that were written, a file of theirs
+    that is not there is an error and no other file is looked for."""
 
-    def __init__(self, path: str, kind: str, dtypes):
-        self.path, self.kind, self.dtypes, self.open = path, kind, dtypes, {}
+    def __init__(self, path: str, kind: str, dtypes, have: set[int] | None = None):
+        self.path, self.kind, self.dtypes, self.have, self.open = path, kind, dtypes, have, {}
+
+    def _open(self, number: int) -> list[np.ndarray]:
+        if self.have is not None and number not in self.have:
+            return [np.zeros(0, d) for d in self.dtypes]
+        name = f"{self.path}/{self.kind}-{number:05d}"
+        return map_arrays(name, self.dtypes, expected=self.have is not None)
 
     def find(self, shard: np.ndarray, key: np.ndarray) -> list[np.ndarray]:
         """For (shard, key) in sorted order: whether the key is there, then its columns (zero if not)."""
@@ -114,7 +122,7 @@ class HashFiles:
         for a, b in zip(starts, [*starts[1:], len(shard)]):
             number = int(shard[a])
             if number not in self.open:
-                self.open[number] = map_arrays(f"{self.path}/{self.kind}-{number:05d}", self.dtypes)
+                self.open[number] = self._open(number)
             keys, *columns = self.open[number]
             if not len(keys):
                 continue
