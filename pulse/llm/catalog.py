@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from pulse.llm import (decontaminate, hadamard_kmeans, html_text, license_scan, line_dedup, mixing, ngram_lm,
-                       quality_rules, simhash_dedup, substring_dedup, suffix_dedup, token_align)
+from pulse.llm import (decontaminate, hadamard_kmeans, html_text, language_id, license_scan, line_dedup, mixing,
+                       ngram_lm, quality_rules, simhash_dedup, substring_dedup, suffix_dedup, token_align)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontaminate.op1_query,
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": suffix_dedup.op9_query,
     "op10_substring_dedup": substring_dedup.op10_query,
     "op11_token_alignment": token_align.op11_query,
+    "op12_language_id": language_id.op12_query,
     "op13_centroid_clustering": hadamard_kmeans.op13_query,
 }
 

@@ -4,11 +4,12 @@ import collections
 import hashlib
 import math
 import random
+import unicodedata
 
 import numpy as np
 import pytest
 
-from pulse.llm import hadamard_kmeans, token_align
+from pulse.llm import hadamard_kmeans, language_id, token_align
 
 VECTORS = "vec_id long, embedding array<float>, id string, v int, cluster string, distance string"
 
@@ -187,3 +188,98 @@ def test_missing_file_of_counts_is_an_error(tmp_path):
     assert not HashFiles(str(tmp_path), "pair", (np.uint64, np.int64), set()).find(one, one.astype(np.uint64))[0][0]
     with pytest.raises(FileNotFoundError):
         HashFiles(str(tmp_path), "pair", (np.uint64, np.int64), {0}).find(one, one.astype(np.uint64))
+
+
+def characters(text):
+    """(start marks and characters, whether there is a letter)."""
+    kinds = [(c, unicodedata.category(c)[0]) for c in (text or "").lower()]
+    words = "".join(c if k in "LM" else " " for c, k in kinds).split(" ")
+    body = " ".join(w for w in words if w)
+    return "\x02" * 4 + (body + " " if body else ""), any(k == "L" for _, k in kinds)
+
+
+class PlainModel:
+    def __init__(self, texts):
+        count = collections.Counter()
+        for t in texts:
+            chars, _ = characters(t)
+            count.update(chars[i - 4:i + 1] for i in range(4, len(chars)))
+        self.levels = {5: count}
+        for n in (4, 3, 2, 1):
+            self.levels[n] = collections.Counter(g[1:] for g in self.levels[n + 1])
+        self.contexts = {n: collections.defaultdict(list) for n in self.levels}
+        self.d = {}
+        for n, level in self.levels.items():
+            for g, c in level.items():
+                self.contexts[n][g[:-1]].append(c)
+            once, twice = (sum(c == k for c in level.values()) for k in (1, 2))
+            self.d[n] = once / (once + 2 * twice) if once and twice else 0.5
+
+    def p(self, g):
+        if not g:
+            return 1 / (len(self.levels[1]) + 1)
+        n, lower = len(g), self.p(g[1:])
+        seen = self.contexts[n].get(g[:-1])
+        if not seen:
+            return lower
+        return (max(self.levels[n].get(g, 0) - self.d[n], 0) + self.d[n] * len(seen) * lower) / sum(seen)
+
+    def loss(self, text):
+        chars, _ = characters(text)
+        return -sum(math.log(self.p(chars[i - 4:i + 1])) for i in range(4, len(chars)))
+
+
+LANGUAGES = "doc_id int, text string, lang string, n int, gram string, score string"
+
+
+def labelled():
+    rng = random.Random(11)
+    stock = {"xx": "ab aba baab ébé aab bba".split(), "yy": "kol loki klo òk ilo lo".split(), "zz": "abk lob kéa oba".split()}
+    say = lambda lang, n: " ".join(rng.choices(stock[lang], k=n)).capitalize() + rng.choice([".", "!", " 12", "\n\n", ""])
+    rows = [(i, say(lang, rng.randint(1, 30)), lang) for i, lang in enumerate(list(stock) * 30)]
+    rows += [(200, say("xx", 5), None), (201, None, "xx"), (202, "", "yy"), (203, " \t\n", "zz"), (204, "123 -- !", "xx"),
+             (205, "日本 語", None), (206, "́", "zz"), (207, "İSTANBUL ß", None), (None, say("yy", 20), None),
+             (3, rows[3][1], rows[3][2]), (208, say("zz", 4000), "zz"), (209, "\x02a\x02", None)]
+    return rows
+
+
+def test_language_models_equal_plain_ones(spark):
+    rows = labelled()
+    df = spark.createDataFrame([(*r, 1, "g", "s") for r in rows], LANGUAGES).repartition(4)
+    model = language_id.train(df)
+    plain = {lang: PlainModel([t for _, t, la in rows if la == lang and t is not None]) for lang in ("xx", "yy", "zz")}
+    got = language_id.identify(df, model).collect()
+    assert len(got) == len(rows)
+    want = {}
+    for i, text, _ in rows:
+        chars, lettered = characters(text)
+        loss = {lang: m.loss(text) for lang, m in plain.items()}
+        best = min(sorted(loss), key=lambda k: loss[k])
+        want[i] = (best, loss[best] / (len(chars) - 4)) if lettered else ("und", None)
+    for r in got:
+        lang, entropy = want[r["id"]]
+        assert r["lang_pred"] == lang and 0 <= r["score"] <= 1
+        assert entropy is None or r["entropy"] == pytest.approx(entropy, rel=1e-9)
+        assert lang != "und" or (r["score"] == 0 and not r["rejected"])
+    assert {r["id"] for r in got if r["rejected"]} >= {205}
+
+
+def test_language_without_learning_or_texts(spark):
+    df = spark.createDataFrame([(*r, 1, "g", "s") for r in labelled()], LANGUAGES)
+    none = language_id.train(df.filter("lang is null"))
+    assert {(r["lang_pred"], r["score"]) for r in language_id.identify(df, none).collect()} == {("und", 0.0)}
+    one = language_id.train(df.filter("doc_id = 0"))
+    assert {r["lang_pred"] for r in language_id.identify(df, one).collect()} == {"xx", "und"}
+    assert language_id.identify(df.limit(0), one).count() == 0
+    assert language_id.train(df.limit(0)).langs == []
+
+
+def test_language_query_on_held_out_documents(spark):
+    path = "/root/testdata/sf0.01"
+    truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{path}/documents.parquet").collect()}
+    got = language_id.op12_query(spark, path).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(truth)
+    held = [r for r in got if r["held_out"] and r["lang_pred"] != "und"]
+    right = sum(r["lang_pred"] == truth[r["doc_id"]] for r in held) / len(held)
+    assert right > 0.97, right
+    assert sum(r["rejected"] for r in got) < 0.05 * len(got)
