@@ -157,6 +157,20 @@ LIVE_FEED_LAYOUT = FeedLayout(companies_tag="ettevotjad", entity_id="ariregistri
 # --- end of fixed values -----------------------------------------------------
 
 
+def _list_schema(L: FeedLayout) -> T.StructType:
+    entry = T.StructType([T.StructField(n, S) for n in (L.entry_type, L.entry_at, L.ruling_no)])
+    return T.StructType([T.StructField("item", T.ArrayType(T.StructType([
+        T.StructField(L.entity_id, S),
+        T.StructField(L.entries, T.StructType([T.StructField("item", T.ArrayType(entry))]))])))])
+
+
+def _lists(reader, path: str, layout: FeedLayout) -> DataFrame:
+    """One row per company list of the files at ``path``: (file, path, item)."""
+    raw = (reader.format("xml").option("rowTag", layout.companies_tag).option("ignoreNamespace", "true")
+           .schema(_list_schema(layout)).load(path))
+    return raw.select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("path"), "item")
+
+
 def read_feed_pages(spark, path: str, layout: FeedLayout = FeedLayout()) -> DataFrame:
     """Scan landed feed pages (XML files) into entry rows
     (entity_id, entry_type, entry_at, ruling_no, page, position).
@@ -165,19 +179,24 @@ def read_feed_pages(spark, path: str, layout: FeedLayout = FeedLayout()) -> Data
     ``page`` is the number that ends the file name (0 without one), ``position``
     orders the entries of a page by file, list, company and entry.
     """
+    return list_entries(_lists(spark.read, path, layout), layout)
+
+
+def stream_feed_lists(spark, path: str, layout: FeedLayout = FeedLayout(), files_per_batch: int = 1000) -> DataFrame:
+    """Landed feed pages as a stream of company lists; the unit of progress is a
+    file, and a file that was read is not read again by the same checkpoint.
+    :func:`list_entries` turns a micro-batch into entries."""
+    return _lists(spark.readStream.option("maxFilesPerTrigger", files_per_batch), path, layout)
+
+
+def list_entries(lists: DataFrame, layout: FeedLayout = FeedLayout()) -> DataFrame:
+    """Entry rows of company lists (file, path, item), as in :func:`read_feed_pages`."""
     L = layout
-    entry = T.StructType([T.StructField(n, S) for n in (L.entry_type, L.entry_at, L.ruling_no)])
-    schema = T.StructType([T.StructField("item", T.ArrayType(T.StructType([
-        T.StructField(L.entity_id, S),
-        T.StructField(L.entries, T.StructType([T.StructField("item", T.ArrayType(entry))]))])))])
-    raw = (spark.read.format("xml").option("rowTag", L.companies_tag).option("ignoreNamespace", "true")
-           .schema(schema).load(path))
     # the number at the end of the file name orders pages (page-10 after page-2); the row's
     # number orders the lists inside a file, which one task reads from start to end
-    number = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\D*$", 1)
-    listed = raw.select(F.coalesce(F.nullif(number, F.lit("")).cast("long"), F.lit(0)).alias("page"),
-                        F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_list"),
-                        "item")
+    number = F.regexp_extract(F.col("file"), r"(\d+)\D*$", 1)
+    listed = lists.select(F.coalesce(F.nullif(number, F.lit("")).cast("long"), F.lit(0)).alias("page"),
+                          F.col("path").alias("_file"), F.monotonically_increasing_id().alias("_list"), "item")
     comp = listed.select("page", "_file", "_list", F.posexplode("item").alias("_ci", "_c"))
     ent = comp.select("page", "_file", "_list", "_ci", F.col("_c")[L.entity_id].alias("_id"),
                       F.posexplode(F.col("_c")[L.entries]["item"]).alias("_ei", "_e"))

@@ -104,6 +104,12 @@ def write_feed_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
      .option("rowTag", "page").option("rootTag", "pages").mode("overwrite").save(path))
 
 
+def land_feed_pages(pages: DataFrame, path: str) -> None:
+    """Land page records as XML files in page order, as a puller that goes through the pages leaves them."""
+    (pages.repartitionByRange("page").sortWithinPartitions("page").select("companies").write.format("xml")
+     .option("rowTag", "page").option("rootTag", "pages").mode("overwrite").save(path))
+
+
 def detail_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One detail XML per company with a payload, as services send them: an envelope, prefixed elements, fields under
     alternative names, activities one level deeper, a later activity that must not win, a second company."""

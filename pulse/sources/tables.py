@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulse.operators.upsert import upsert
+from pulse.session import stored_bytes  # noqa: F401  (used as tables.stored_bytes)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -33,6 +35,47 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w.parquet(path)
 
 
+def write_clustered(df: DataFrame, path: str, partition_by: list[str], cluster_by: list[str]) -> None:
+    """Store ``df`` in a folder per value of ``partition_by``, sorted by ``cluster_by``
+    within each file: filters on the former skip folders, on the latter row groups.
+    Small partitions share a write task, a large one is split over several."""
+    (df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *cluster_by)
+     .write.mode("overwrite").partitionBy(*partition_by).parquet(path))
+
+
+def observed_write(df: DataFrame, path: str, counters: dict[str, Column],
+                   partition_by: list[str] | None = None) -> dict[str, int]:
+    """Store ``df`` and return the counters (aggregates), taken from the rows as they are
+    written.  They belong to the job's last stage, so a task that is run again counts once."""
+    if not counters:
+        write_table(df, path, partition_by)
+        return {}
+    seen = Observation()
+    write_table(df.observe(seen, *[c.alias(n) for n, c in counters.items()]), path, partition_by)
+    return seen.get
+
+
+def read_evolved(spark: SparkSession, path: str, schema: T.StructType, defaults: dict | None = None,
+                 private: tuple[str, ...] = ()) -> DataFrame:
+    """A table whose files were written under several schemas, as ``schema``.
+
+    A column that a file does not have is null there, or its value of
+    ``defaults``; a narrower number is widened; columns outside ``schema`` are
+    not read from any file.  ``private`` names columns that must never be read."""
+    found = set(private) & set(schema.fieldNames())
+    if found:
+        raise ValueError(f"private columns in the schema: {sorted(found)}")
+    rows = spark.read.schema(schema).parquet(path)
+    fill = defaults or {}
+    return rows.select(*[(F.coalesce(F.col(f.name), F.lit(fill[f.name]).cast(f.dataType)).alias(f.name)
+                          if f.name in fill else F.col(f.name)) for f in schema.fields])
+
+
+def stored_schemas(spark: SparkSession, path: str) -> T.StructType:
+    """The union of the schemas of a table's files."""
+    return spark.read.option("mergeSchema", "true").parquet(path).schema
+
+
 def require_key(df: DataFrame, key_cols: list[str]) -> DataFrame:
     """``df`` itself, or ValueError where a key is null or occurs twice."""
     missing = F.lit(False)
@@ -74,13 +117,6 @@ LEAST_BUCKETS, MOST_BUCKETS = 64, 10_000
 BUCKET_BYTES, FILE_BYTES = 4 << 30, 256 << 20
 
 
-def stored_bytes(spark: SparkSession, *paths: str) -> int:
-    """Bytes of the files of the tables at ``paths`` (a file or a folder each); their content is not read."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
-             .agg(F.sum("length")).first())
-    return files[0] or 0
-
-
 def bucket_layout(n_bytes: int) -> tuple[int, int]:
     """(buckets, files per bucket) for a table of about ``n_bytes``: buckets of a few GB as long as their
     number stays listable, and as many files in each as keep a write task small."""
@@ -135,9 +171,12 @@ def upsert_bucketed(spark: SparkSession, path: str, updates: DataFrame, key_cols
     if not touched:
         return []
     old = spark.read.parquet(path).filter(F.col(BUCKET_COL).isin(touched)).drop(BUCKET_COL)
-    merged = upsert(old, updates, key_cols, **upsert_kw)
+    held: list[DataFrame] = []
+    merged = upsert(old, updates, key_cols, cached=held, **upsert_kw)
     staged = merged.withColumn(BUCKET_COL, bucket_of(key_cols, buckets))
     write_table(_by_bucket(staged, key_cols, buckets, files_per_bucket), staging, [BUCKET_COL])
     (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET_COL).parquet(path))
+    for df in held:
+        df.unpersist()
     return touched

@@ -84,8 +84,9 @@ def first_seen_batch(batch: DataFrame, epoch: int, store: LedgerStore, details:
     new = (disc.join(known.select("entity_id"), "entity_id", "left_anti")
            .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        det = normalise_register_fields(details, domain, trim=False)
-        loaded = det.join(new.select("entity_id"), "entity_id", "left_semi")
+        # the details of the batch's companies only are normalised
+        found = details.join(new.select("entity_id"), "entity_id", "left_semi")
+        loaded = normalise_register_fields(found, domain, trim=False)
         seen = I.ledger_rows(U.only_loaded(new, loaded), run_ts)
         _write_partition(loaded, changes_path, run, epoch)
         _write_partition(seen, store.log_path, run, epoch)
