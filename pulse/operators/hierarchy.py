@@ -66,14 +66,54 @@ def root_closure(tree: DataFrame, code: str = "code", parent: str = "parent",
     return out
 
 
+def doubled_closure(tree: DataFrame, code: str = "code", parent: str = "parent",
+                    rounds: list | None = None) -> DataFrame:
+    """:func:`root_closure` by pointer doubling, for deep trees: (code, root).
+
+    Every node points to its parent, a root is where pointers end.  In a round
+    each node that does not point to a root yet takes over the pointer of the
+    node it points to, so after k rounds it points 2^k steps up: a tree of depth
+    d takes log2(d) rounds instead of d.  Nodes whose pointer names no node
+    (orphans and what hangs below them) drop out in the join.  Depths are
+    without gaps, so a round in which no node reaches a root means that the rest
+    never will: they are on cycles or below them, and are left out.
+
+    A round is one shuffle join on the code, checkpointed in the shared folder;
+    nodes that have their root are not joined again.  ``rounds``, when given,
+    receives (reached a root, still on the way) of every round.
+    """
+    ensure_checkpoint_dir(tree.sparkSession)
+    own, up = F.col(code), F.col(parent)
+    settled = [tree.filter(up.isNull()).select(own.alias("code"), own.alias("up"))]
+    active = tree.filter(up.isNotNull()).select(own.alias("code"), up.alias("up"))
+    while True:
+        pointers = active.select("code", "up", F.lit(False).alias("done"))
+        for part in settled:
+            pointers = pointers.unionByName(part.select("code", "up", F.lit(True).alias("done")))
+        ends = pointers.select(F.col("code").alias("_at"), F.col("up").alias("_next"), "done")
+        step = (active.join(ends, active["up"] == ends["_at"])
+                .select("code", F.col("_next").alias("up"), "done").checkpoint())
+        reached, left = step.agg(F.count_if("done"), F.count_if(~F.col("done"))).first()
+        if rounds is not None:
+            rounds.append((reached, left))
+        settled.append(step.filter("done").select("code", "up"))
+        active = step.filter(~F.col("done")).select("code", "up")
+        if not reached or not left:
+            break
+    out = settled[0]
+    for part in settled[1:]:
+        out = out.unionByName(part)
+    return out.select("code", F.col("up").alias("root"))
+
+
 def closure_with_labels(tree: DataFrame, code: str = "code", parent: str = "parent",
-                        label: str = "label", **kw) -> DataFrame:
+                        label: str = "label", closure=root_closure, **kw) -> DataFrame:
     """(code, code_label, root_code, root_label): closure joined to own and root labels.
 
     Inner joins, as in the original model: a node whose label row is
-    missing drops out.
+    missing drops out.  ``closure`` is how the roots are found.
     """
-    cl = root_closure(tree, code, parent, **kw)
+    cl = closure(tree, code, parent, **kw)
     own = tree.select(F.col(code).alias("_k"), F.col(label).alias("code_label"))
     rl = tree.select(F.col(code).alias("_r"), F.col(label).alias("root_label"))
     return (cl.join(rl, cl.root == rl._r)

@@ -7,7 +7,8 @@ evaluates many checks at once.  Row-level checks on the same table
 one ``count_if`` per check, so each table is scanned once for all of them;
 key checks (unique, combinations, relationships) are one grouped aggregate
 or anti join each, except that all single-column uniqueness checks of a table
-share one shuffle.  All results are unioned into one plan.
+share one shuffle.  All results are unioned into one plan.  ``failing_frame``
+gives the failing rows of many checks with the same sharing of scans.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from collections import defaultdict
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROW_LEVEL = ("not_null", "accepted", "expression", "singular")
@@ -108,11 +109,39 @@ def summary(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     return out.withColumn("status", F.when(F.col("failures") > 0, "fail").otherwise("pass"))
 
 
-def store_failures(tables: dict[str, DataFrame], checks: list[Check], base_path: str) -> dict[str, str]:
-    """Write the failing rows of each check to ``base_path/<check name>`` (Parquet)."""
-    paths = {}
+def failing_frame(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+    """(check_name, row_json) for every failing row of the given checks, one plan.
+
+    The row-level checks of a table share one scan: each row is given the
+    names of the checks it fails and comes out once for each of them; a row
+    that passes them all is not rendered.  A key check is one aggregation or
+    anti join.
+    """
+    by_table = defaultdict(list)
+    parts = []
+    row = F.to_json(F.struct("*")).alias("row_json")
     for ch in checks:
-        path = f"{base_path.rstrip('/')}/{ch.name}"
-        failing_rows(tables, ch).write.mode("overwrite").parquet(path)
-        paths[ch.name] = path
-    return paths
+        if ch.kind in ROW_LEVEL:
+            by_table[ch.table].append(ch)
+        else:
+            parts.append(failing_rows(tables, ch).select(F.lit(ch.name).alias("check_name"), row))
+    for name, chs in by_table.items():
+        failed = F.array_compact(F.array(*[F.when(_fails(ch), F.lit(ch.name)) for ch in chs]))
+        parts.append(tables[name].select(F.explode(failed).alias("check_name"), row))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def row_counters(checks: list[Check]) -> dict[str, Column]:
+    """Counters of failing rows for the row-level checks, to be taken while the
+    checked table is written (see :func:`pulse.sources.tables.observed_write`)."""
+    return {ch.name: F.count_if(_fails(ch)) for ch in checks if ch.kind in ROW_LEVEL}
+
+
+def counted_summary(spark: SparkSession, checks: list[Check], failures: dict[str, int]) -> DataFrame:
+    """The rows of :func:`summary` for checks whose failures are known (one row per check)."""
+    rows = [(ch.name, ch.kind, ch.table, int(failures[ch.name]), "fail" if failures[ch.name] else "pass")
+            for ch in checks if ch.name in failures]
+    return spark.createDataFrame(rows, "check_name string, kind string, table_name string, failures long, status string")

@@ -15,9 +15,3 @@ def align_to(df: DataFrame, target: T.StructType, drop: tuple[str, ...] = ()) ->
     have = set(df.columns) - set(drop)
     return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
                        for f in target.fields])
-
-
-def union_evolving(old: DataFrame, new: DataFrame, drop: tuple[str, ...] = ()) -> DataFrame:
-    """Union two snapshots whose schemas drifted (added / removed columns)."""
-    out = old.unionByName(new, allowMissingColumns=True)
-    return out.drop(*[c for c in drop if c in out.columns])

@@ -9,10 +9,22 @@ reads the finished rate mart.  Each table goes to ``out_dir/<name>``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from pulse.plans import marts as M
-from pulse.sources.tables import write_table
+from pulse.sources.tables import write_clustered, write_table
+
+
+#: Marts read with filters: the column they are foldered by, then those they are sorted by.
+STORED_BY = {"trend_by_region": ("year", "county", "sector_label"), "rate_per_1000": ("year", "county", "sector_label"),
+             "rate_geo": ("year", "county", "sector_label"), "entity_counts": ("rolling_year", "county", "sector_label")}
+
+
+def read_mart(spark: SparkSession, path: str, schema=None, **wanted) -> DataFrame:
+    """A stored mart, limited by column=value or column=[values]: the year picks
+    folders, county and sector skip row groups of the files in them."""
+    rows = (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    return M.mart_filtered(rows, **wanted)
 
 
 def create_views(reg: M.Registry) -> list[str]:
@@ -32,9 +44,13 @@ def build_marts(reg: M.Registry, out_dir: str, release: bool = True) -> dict[str
 
     def put(name: str, df: DataFrame) -> DataFrame:
         path = f"{base}/{name}"
-        write_table(df, path)
+        year, *rest = STORED_BY.get(name, (None,))
+        if year:
+            write_clustered(df, path, [year], rest)
+        else:
+            write_table(df, path)
         paths[name] = path
-        return spark.read.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     put("county_dimension", M.county_dimension(reg))
     put("hierarchy_closure", reg.closure)

@@ -11,20 +11,24 @@ from pulse.domain import BOUND, FEED_AS_OF, LOADED_AT
 from pulse.functions import parse as P
 from pulse.functions.parse import multi_format_date
 from pulse.functions.text import address_tail
+from pulse.operators import hierarchy as H
 from pulse.operators import upsert as U
 from pulse.operators.ids import dense_surrogate_id
 from pulse.operators.normalise import normalise_register_fields
-from pulse.operators.quality import Check, summary
+from pulse.operators.quality import Check, failing_frame, summary
 from pulse.operators.schema import align_to
 from pulse.plans import incremental as I
 from pulse.plans import marts as M
-from pulse.plans.build import build_marts, create_views
-from pulse.plans.checks import declared_checks, failing_frame, failures_frame, kind_summary, registry_tables
+from pulse.plans.build import STORED_BY, build_marts, create_views, read_mart
+from pulse.plans.checks import declared_checks, failures_frame, kind_summary, publish_checked, registry_tables
+from pulse.plans.daily import run_all
 from pulse.plans.incremental import ACTIVITY_COLUMNS
 from pulse.session import shared_dir
-from pulse.sources import bindings, cube, feed, payloads, register_xml, tables
+from pulse.sources import bindings, cube, feed, live, payloads, quarantine, register_xml, tables
 from pulse.sources import delimited as DL
+from pulse.sources.keyed import KeyedTable
 from pulse.streaming import first_seen as S
+from pulse.streaming import state as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +66,53 @@ def _mart_filtered(spark, sf_dir):
     return M.mart_filtered(M.rate_per_1000(reg), county=["1", "7", "13", "24"], year=[1996, 1999])
 
 
+def _mart_stored_filtered(spark, sf_dir):
+    """A16 on a stored mart: foldered by year, sorted by county, read with both filters."""
+    mart = M.rate_per_1000(M.Registry.from_testdata(spark, sf_dir))
+    path = f"{shared_dir(spark, 'stored-mart')}/rate_per_1000"
+    year, *rest = STORED_BY["rate_per_1000"]
+    tables.write_clustered(mart, path, [year], rest)
+    return read_mart(spark, path, mart.schema, county=["1", "7", "13", "24"], year=[1996, 1999]).select(mart.columns)
+
+
+#: Columns of the stored marts that mart_build_rows compares.
+MART_ROWS = {"trend_by_region": ("year", "county", "region", "sector_label", "entity_count"),
+             "rate_per_1000": ("year", "county", "region", "sector_label", "entity_count"),
+             "rate_geo": ("year", "county", "map_code", "sector_label", "entity_count"),
+             "portfolio_shift": (None, "county", None, "sector_label", "entity_count_current"),
+             "new_by_activity": (None, "county", "legal_group", "sector_label", "entity_count"),
+             "recent_30d": (None, "county", None, "sector_label", "entity_count")}
+
+
+def _stored_rows(spark, paths):
+    out = None
+    for mart, (year, county, extra, sector, n) in MART_ROWS.items():
+        part = spark.read.parquet(paths[mart]).select(
+            F.lit(mart).alias("mart"), (F.col(year) if year else F.lit(None)).cast("int").alias("year"),
+            F.col(county).alias("county"), (F.col(extra) if extra else F.lit(None)).cast("string").alias("extra"),
+            F.col(sector).alias("sector_label"), F.col(n).cast("long").alias("entity_count"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _mart_build_rows(spark, sf_dir):
+    """The rows of the stored marts."""
+    return _stored_rows(spark, build_marts(M.Registry.from_testdata(spark, sf_dir), shared_dir(spark, "marts")))
+
+
+def _daily_run(spark, sf_dir):
+    """The whole daily run (increment, marts, checks); returns the rows of the marts it stored,
+    which are built from the register after the increment."""
+    paths = run_all(M.Registry.from_testdata(spark, sf_dir), bindings.ledger(spark, sf_dir), bindings.feed(spark, sf_dir),
+                    bindings.details(spark, sf_dir), shared_dir(spark, "daily"), FEED_AS_OF)
+    return _stored_rows(spark, paths)
+
+
+def _hierarchy_doubling(spark, sf_dir):
+    """I1 + I2 by pointer doubling."""
+    return H.closure_with_labels(bindings.classification(spark, sf_dir), closure=H.doubled_closure)
+
+
 def _intermediate_views(spark, sf_dir):
     """The intermediate layer as views, queried with SQL."""
     create_views(M.Registry.from_testdata(spark, sf_dir))
@@ -90,6 +141,10 @@ MART_QUERIES: dict[str, Query] = {
     "mart_filtered": _mart_filtered,
     "mart_build": _mart_build,
     "intermediate_views": _intermediate_views,
+    "mart_stored_filtered": _mart_stored_filtered,
+    "mart_build_rows": _mart_build_rows,
+    "daily_run": _daily_run,
+    "hierarchy_doubling": _hierarchy_doubling,
 }
 
 
@@ -139,6 +194,21 @@ def _incremental_run_metrics(spark, sf_dir):
     return _incremental_run(spark, sf_dir).metrics()
 
 
+def _incremental_metrics_observed(spark, sf_dir):
+    """The counters of a run whose steps are written tables, taken as they are written."""
+    _, counters = I.run_observed(bindings.register(spark, sf_dir), bindings.ledger(spark, sf_dir),
+                                 bindings.feed(spark, sf_dir), bindings.details(spark, sf_dir),
+                                 shared_dir(spark, "observed-run"), FEED_AS_OF)
+    return I.counters_frame(spark, counters)
+
+
+def _upsert_bloom(spark, sf_dir):
+    """C2 beyond the broadcast bound: a Bloom filter of the increment's keys before the shuffle."""
+    upd = normalise_register_fields(bindings.details(spark, sf_dir), BOUND, trim=False)
+    return U.upsert_stored(bindings.register(spark, sf_dir), upd, "entity_id", preserve=ACTIVITY_COLUMNS,
+                           run_ts=FEED_AS_OF, broadcast_bytes=0)
+
+
 def _incremental_register(spark, sf_dir):
     return _incremental_run(spark, sf_dir).register
 
@@ -175,6 +245,21 @@ def _upsert_bucketed(spark, sf_dir):
     return tables.read_bucketed(spark, path)
 
 
+def _upsert_recorded_layout(spark, sf_dir):
+    """C2 as a keyed write whose table remembers its layout: half of the register is stored, the
+    other half inserted, the table dealt anew, and the increment applied to the buckets it touches."""
+    path = shared_dir(spark, "register-keyed")
+    reg = bindings.register(spark, sf_dir)
+    half = F.pmod(F.xxhash64("entity_id"), F.lit(2)) == 0
+    table = KeyedTable.create(reg.filter(half), path, ["entity_id"],
+                              size_hint=tables.stored_bytes(spark, f"{sf_dir}/orders.parquet"))
+    table.insert_if_absent(reg.filter(~half))
+    table.rebucket(2 * table.manifest.buckets)
+    upd = normalise_register_fields(bindings.details(spark, sf_dir), BOUND, trim=False)
+    KeyedTable.open(spark, path, ["entity_id"]).upsert(upd, preserve=ACTIVITY_COLUMNS, run_ts=FEED_AS_OF)
+    return KeyedTable.open(spark, path).read()
+
+
 def _incremental_run(spark, sf_dir):
     return I.from_testdata(spark, sf_dir)
 
@@ -188,12 +273,15 @@ CHANGE_QUERIES: dict[str, Query] = {
     "daily_window_slice": _daily_window_slice,
     "enrich_or_retry": _enrich_or_retry,
     "incremental_run_metrics": _incremental_run_metrics,
+    "incremental_metrics_observed": _incremental_metrics_observed,
     "incremental_register": _incremental_register,
     "incremental_ledger": _incremental_ledger,
     "normalise_fields": _normalise_fields,
     "upsert_replace": _upsert(False),
     "upsert_preserve": _upsert(True),
+    "upsert_bloom": _upsert_bloom,
     "upsert_bucketed": _upsert_bucketed,
+    "upsert_recorded_layout": _upsert_recorded_layout,
 }
 
 
@@ -278,6 +366,14 @@ def _cube_scan(spark, sf_dir):
                               int_dims=("year",))
 
 
+def _cube_pieces(spark, sf_dir):
+    """A2 for large cubes: the value arrays are cut into pieces before cells are made."""
+    dims = ["year", "age_band", "county", "sex", "ethnicity"]
+    cubes = cube.build_cubes(bindings.population(spark, sf_dir), "county", dims, "population")
+    parsed = cubes.select(F.from_json("json", cube.CUBE_SCHEMA).alias("_cube"))
+    return cube.flatten_cubes_in_pieces(parsed, dims, "population", int_dims=("year",), piece=25)
+
+
 def _population_reload(spark, sf_dir):
     """C1 with a 5-column key: a cube release is flattened and upserted into the population table."""
     dims = ["year", "age_band", "county", "sex", "ethnicity"]
@@ -319,6 +415,62 @@ def _schema_align(spark, sf_dir):
     return align_to(old, reg.schema, drop=("name",))
 
 
+def _schema_evolve_stored(spark, sf_dir):
+    """A10 on stored files: an old generation (with a personal name, years as int, no load stamp
+    and no version) and a new one, read as one table; the name is never read."""
+    path = shared_dir(spark, "evolving")
+    rows = bindings.register(spark, sf_dir).withColumn("year", F.year("founded_on").cast("long"))
+    schema = rows.select("entity_id", "county", "year", "activity_version", "loaded_at").schema
+    (rows.filter("cast(entity_id AS bigint) % 2 = 0").select(
+        "entity_id", "county", F.col("year").cast("int").alias("year"), F.concat(F.lit("Name "), "entity_id").alias("name"))
+     .write.mode("append").parquet(path))
+    rows.filter("cast(entity_id AS bigint) % 2 <> 0").select(*schema.fieldNames()).write.mode("append").parquet(path)
+    return tables.read_evolved(spark, path, schema, {"activity_version": "V1", "loaded_at": LOADED_AT}, private=("name",))
+
+
+def _quarantine_payloads(spark, sf_dir):
+    """Payloads of which some are cut off or lack a key; what cannot be read is stored with
+    its reason.  Returns how many of each source came out how, read back from the stored tables."""
+    cut = lambda bad: F.when(bad, F.expr("left(xml, length(xml) - 25)")).otherwise(F.col("xml"))
+    companies = payloads.register_dump(spark, sf_dir).withColumn("id", F.regexp_extract("xml", "<entity_id>([0-9]+)<", 1))
+    keyless = F.replace(F.col("xml"), F.concat(F.lit("<entity_id>"), F.col("id")), F.lit("<entity_id> "))
+    n = F.col("id").cast("long")
+    sources = {
+        "register": (companies.withColumn("xml", F.when(n % 13 == 5, keyless).otherwise(cut(n % 11 == 4))).drop("id"),
+                     register_xml.COMPANY_SCHEMA, "entity_id"),
+        "feed": (payloads.feed_pages(spark, sf_dir).withColumn("xml", cut(F.col("page") % 5 == 2)), feed.PAGE_SCHEMA, None)}
+    out = None
+    for name, (rows, schema, key) in sources.items():
+        path = shared_dir(spark, f"landed-{name}")
+        quarantine.land(quarantine.parsed(rows, "xml", schema, key), path, "xml")
+        good = quarantine.good_records(spark, path, schema).select(F.lit("good").alias("outcome"))
+        part = good.unionByName(quarantine.quarantined(spark, path, "xml").select(F.col("reason").alias("outcome")))
+        part = part.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("source"), "outcome", "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _live_files(spark, sf_dir):
+    """The live file formats end to end: classification and crosswalk as ';' files, the county seed as
+    ',' file and the population as cubes land under their native names; the readers' inputs give the flagship mart."""
+    base = shared_dir(spark, "live-files")
+    reg = M.Registry.from_testdata(spark, sf_dir)
+    class_header, walk_header = ["Kood", "Vanem", "Tegevusala tekst"], ["Kood EMTAK 2008", "Kood EMTAK 2025"]
+    DL.write_delimited(reg.classification.select("code", "parent", "label"), f"{base}/classification", class_header)
+    DL.write_delimited(reg.crosswalk.select("old_code", "new_code"), f"{base}/crosswalk", walk_header)
+    seed = {v: k for k, v in live.SEED_COLUMNS.items()}
+    (reg.county_seed.select(*[F.col(c).alias(seed[c]) for c in ("county_name", "map_code", "region", "display_order")])
+     .write.option("header", True).csv(f"{base}/seed"))
+    native = {v: k for k, v in live.CUBE_DIMENSIONS.items()}
+    people = reg.population.select(*[F.col(c).alias(native.get(c, c)) for c in (*native, "population")])
+    cube.build_cubes(people, native["county"], list(live.CUBE_DIMENSIONS), "population").select("json").write.text(f"{base}/cubes")
+    return M.rate_per_1000(M.Registry(
+        register=reg.register, classification=live.read_classification(spark, f"{base}/classification", class_header, LOADED_AT)
+        .select("code", "parent", "label"), crosswalk=live.read_crosswalk(spark, f"{base}/crosswalk", walk_header),
+        population=live.read_population_cubes(spark, f"{base}/cubes", LOADED_AT, multi_line=False),
+        county_seed=live.read_county_seed(spark, f"{base}/seed"), domain=reg.domain, as_of=reg.as_of))
+
+
 def _full_refresh(spark, sf_dir):
     """Reload the classification twice into the same table; no duplicates remain."""
     path = shared_dir(spark, "classification")
@@ -343,11 +495,15 @@ SOURCE_QUERIES: dict[str, Query] = {
     "multi_format_date": _multi_format_date,
     "cube_flatten": _cube_flatten,
     "cube_scan": _cube_scan,
+    "cube_pieces": _cube_pieces,
     "population_reload": _population_reload,
     "detail_extract": _detail_extract,
     "delimited_scan": _delimited_scan,
     "dense_surrogate_id": _dense_surrogate_id,
     "schema_align": _schema_align,
+    "schema_evolve_stored": _schema_evolve_stored,
+    "quarantine_payloads": _quarantine_payloads,
+    "live_files": _live_files,
     "full_refresh": _full_refresh,
     "load_if_missing": _load_if_missing,
 }
@@ -413,6 +569,21 @@ def _quality_raw_failures(spark, sf_dir):
             .agg(F.count(F.lit(1)).cast("long").alias("stored_rows")))
 
 
+def _quality_failing_rows(spark, sf_dir):
+    """A15 row by row: which rows fail which check, read back from the stored failures."""
+    path = shared_dir(spark, "failing-rows")
+    (failing_frame(_raw_tables(spark, sf_dir), RAW_CHECKS)
+     .write.mode("overwrite").partitionBy("check_name").parquet(path))
+    stored = spark.read.schema("row_json string, check_name string").parquet(path)
+    return stored.select("check_name", *[F.get_json_object("row_json", f"$.{c}").cast("long").alias(c) for c in (
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "n_records")])
+
+
+def _quality_observed(spark, sf_dir):
+    """M1, M3, M6-M8: row-level checks counted while the checked tables are written, key checks on what was written."""
+    return publish_checked(M.Registry.from_testdata(spark, sf_dir), shared_dir(spark, "published"))[1]
+
+
 QUALITY_QUERIES: dict[str, Query] = {
     "quality_raw_lines": _quality_raw_lines,
     "quality_raw_failures": _quality_raw_failures,
@@ -424,6 +595,8 @@ QUALITY_QUERIES: dict[str, Query] = {
     "quality_expression": _quality("expression", "singular"),
     "quality_summary": _quality_summary,
     "quality_failures": _quality_failures,
+    "quality_failing_rows": _quality_failing_rows,
+    "quality_observed": _quality_observed,
 }
 
 
@@ -474,11 +647,54 @@ def _stream_daily_counts(spark, sf_dir):
     return S.read_daily_counts(spark, f"{base}/out")
 
 
+def _feed_state(spark, sf_dir, base):
+    return ST.FeedState.create(base, bindings.register(spark, sf_dir), bindings.ledger(spark, sf_dir),
+                               bindings.details(spark, sf_dir),
+                               size_hint=tables.stored_bytes(spark, f"{sf_dir}/orders.parquet"))
+
+
+def _stream_feed_files(spark, sf_dir):
+    """N1 over landed files: XML feed pages land in two portions; each is streamed from the
+    same checkpoint, so the second run reads the new files only.  Returns the ledger."""
+    base = shared_dir(spark, "feed-files")
+    state = _feed_state(spark, sf_dir, base)
+    pages = payloads.feed_page_records(spark, sf_dir)
+    middle = pages.agg((F.max("page") / 2).alias("m")).first()[0]
+    for name, portion in (("first", F.col("page") <= middle), ("second", F.col("page") > middle)):
+        payloads.land_feed_pages(pages.filter(portion), f"{base}/landing/portion={name}")
+        ST.run_ingest(feed.stream_feed_lists(spark, f"{base}/landing/*"), state, f"{base}/checkpoint", "r1",
+                      FEED_AS_OF, entries=feed.list_entries)
+    return state.seen_companies()
+
+
+def _stream_keyed_ledger(spark, sf_dir):
+    """N1/N3 with the ledger as keyed state: streamed twice, the second time from a fresh checkpoint."""
+    base = shared_dir(spark, "keyed-ledger")
+    state = _feed_state(spark, sf_dir, base)
+    for run in ("r1", "r2"):
+        ST.run_ingest(bindings.feed_rows(_events_stream(spark, sf_dir)), state, f"{base}/checkpoint-{run}", run, FEED_AS_OF)
+    return state.seen_companies()
+
+
+def _stream_compacted(spark, sf_dir):
+    """C2 inside the stream: the log is folded into the register after the stream, and once
+    more after a replay; returns the register, read from its keyed table alone."""
+    base = shared_dir(spark, "compacted")
+    state = _feed_state(spark, sf_dir, base)
+    for run in ("r1", "r2"):
+        ST.run_ingest(bindings.feed_rows(_events_stream(spark, sf_dir)), state, f"{base}/checkpoint-{run}", run, FEED_AS_OF)
+        ST.compact(state)
+    return ST.FeedState.open(spark, base).register.read()
+
+
 STREAM_QUERIES: dict[str, Query] = {
     "stream_first_seen": _stream_first_seen,
     "stream_register": _stream_register,
     "stream_replay_idempotent": _stream_replay_idempotent,
     "stream_daily_counts": _stream_daily_counts,
+    "stream_feed_files": _stream_feed_files,
+    "stream_keyed_ledger": _stream_keyed_ledger,
+    "stream_compacted": _stream_compacted,
 }
 
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from pulse.domain import BOUND
-from pulse.operators.quality import Check, failing_rows, summary
+from pulse.operators.quality import ROW_LEVEL, Check, counted_summary, failing_frame, row_counters, summary
 from pulse.plans import marts as M
+from pulse.sources.tables import observed_write
 
 
 def _nn(table, *cols):
@@ -118,12 +118,25 @@ def failures_frame(reg: M.Registry, tables: dict[str, DataFrame] | None = None)
     return failing_frame(tables if tables is not None else registry_tables(reg), declared_checks(reg.domain))
 
 
-def failing_frame(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """(check_name, row_json) for every failing row of the given checks, one plan."""
-    parts = [failing_rows(tables, ch).select(F.lit(ch.name).alias("check_name"),
-                                             F.to_json(F.struct("*")).alias("row_json"))
-             for ch in checks]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def publish_checked(reg: M.Registry, out_dir: str, checks: list[Check] | None = None) -> tuple[dict[str, str], DataFrame]:
+    """Write the checked tables and take their row-level checks while they are
+    written: no table is read again for them.  Key checks then read the written
+    tables.  Returns the paths and the summary of all checks."""
+    checks = declared_checks(reg.domain) if checks is None else checks
+    spark = reg.register.sparkSession
+    row_level = [c for c in checks if c.kind in ROW_LEVEL]
+    wanted = {c.table for c in checks} | {c.ref_table for c in checks if c.ref_table}
+    wanted |= {d for n in wanted for d in NEEDS.get(n, ())}
+    reg.prepare("closure_side", "resolved_crosswalk", "county_dim")
+    paths: dict[str, str] = {}
+    stored: dict[str, DataFrame] = {}
+    failures: dict[str, int] = {}
+    for level in TABLE_LEVELS:
+        for name in (n for n in level if n in wanted):
+            path = f"{out_dir.rstrip('/')}/{name}"
+            counters = row_counters([c for c in row_level if c.table == name])
+            failures |= observed_write(level[name](reg, stored), path, counters)
+            paths[name], stored[name] = path, spark.read.parquet(path)
+    found = counted_summary(spark, row_level, failures)
+    keyed = [c for c in checks if c.kind not in ROW_LEVEL]
+    return paths, found.unionByName(summary(stored, keyed)) if keyed else found

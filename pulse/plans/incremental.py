@@ -24,6 +24,7 @@ from pulse.operators import upsert as U
 from pulse.operators.normalise import normalise_register_fields
 from pulse.session import ensure_checkpoint_dir
 from pulse.sources import bindings
+from pulse.sources.tables import observed_write
 
 ACTIVITY_COLUMNS = ("activity_code", "activity_name", "activity_version")
 
@@ -96,6 +97,36 @@ def run(register: DataFrame, ledger: DataFrame, feed: DataFrame, details: DataFr
     return IncrementalRun(disc, new, loaded, failed, seen, reg2, ledger2)
 
 
+def run_observed(register: DataFrame, ledger: DataFrame, feed: DataFrame, details: DataFrame, out_dir: str,
+                 run_ts, domain: Domain = BOUND, window_as_of=None) -> tuple[dict[str, str], dict[str, int]]:
+    """:func:`run` as a chain of written tables whose counters are taken while they
+    are written: no table is read again to be counted.  Returns paths and counters."""
+    spark, base = feed.sparkSession, out_dir.rstrip("/")
+    paths: dict[str, str] = {}
+    counters: dict[str, int] = {}
+
+    def put(name: str, df: DataFrame, counter: str | None = None) -> DataFrame:
+        paths[name] = f"{base}/{name}"
+        counters.update(observed_write(df, paths[name], {counter: F.count(F.lit(1))} if counter else {}))
+        return spark.read.schema(df.schema).parquet(paths[name])
+
+    f = daily_slice(feed, window_as_of) if window_as_of is not None else feed
+    disc = put("discovered", discovered(f, domain.first_entry_type), "discovered")
+    new = put("unseen", U.unseen(disc, ledger), "unseen")
+    found = details.join(new.select("entity_id"), "entity_id", "left_semi")
+    loaded = put("loaded", normalise_register_fields(found, domain, trim=False), "upserted")
+    put("retry", new.join(loaded.select("entity_id"), "entity_id", "left_anti"), "failed")
+    seen = put("seen", ledger_rows(U.only_loaded(new, loaded), run_ts), "seen_inserted")
+    put("register", U.upsert_stored(register, loaded, preserve=ACTIVITY_COLUMNS, run_ts=run_ts))
+    put("ledger", U.insert_if_absent(ledger, seen))
+    return paths, counters
+
+
+def counters_frame(spark: SparkSession, counters: dict[str, int]) -> DataFrame:
+    """Counters as one row of longs."""
+    return spark.createDataFrame([tuple(counters.values())], ", ".join(f"{n} long" for n in counters))
+
+
 def from_testdata(spark: SparkSession, sf_dir: str, run_ts: dt.datetime = FEED_AS_OF,
                   window_as_of=None) -> IncrementalRun:
     return run(bindings.register(spark, sf_dir), bindings.ledger(spark, sf_dir),

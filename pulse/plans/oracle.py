@@ -334,6 +334,13 @@ def with_change(select: str) -> str:
     return with_ctes(select, CHANGE)
 
 
+def after_increment(select: str, extra: str) -> str:
+    """A select over the marts, with the register as the daily increment leaves it."""
+    before = BINDINGS.replace("b_register AS", "b_register_before AS")
+    return (f"WITH RECURSIVE {before},{CHANGE},\nb_register AS ({upsert_sql('b_register_before', 'loaded', True, FEED_TS)}),"
+            f"{DERIVED},{extra}\n{select}")
+
+
 CHANGE_SQL: dict[str, str] = {
     "feed_first_entries": with_change(
         f"SELECT entity_id, date_trunc('second', entry_at) AS entry_at, ruling_no FROM b_feed "

@@ -23,6 +23,9 @@ CUBE_SCHEMA = T.StructType([
     T.StructField("value", T.ArrayType(T.DoubleType())),
 ])
 
+#: Cells of a piece of a large cube.
+PIECE = 500_000
+
 
 def _members(cube: Column, dim: str) -> Column:
     """Members of ``dim`` in index order; label-object order when no index is given."""
@@ -65,6 +68,38 @@ def flatten_cubes(cubes: DataFrame, dims: list[str], value_name: str = "value",
     (not once per cell); each exploded cell then needs only a division, a
     modulo and an array lookup per dimension.
     """
+    pre = _with_lists(cubes, dims)
+    cells = pre.select("*", F.posexplode("_values").alias("_pos", "_v")).drop("_values")
+    if not keep_nulls:
+        cells = cells.filter(F.col("_v").isNotNull())
+    if partitions:
+        cells = cells.repartition(partitions)
+    return _labelled(cells, dims, value_name, int_dims)
+
+
+def flatten_cubes_in_pieces(cubes: DataFrame, dims: list[str], value_name: str = "value",
+                            int_dims: tuple[str, ...] = (), keep_nulls: bool = False,
+                            piece: int = PIECE) -> DataFrame:
+    """:func:`flatten_cubes` for cubes of more cells than one task should make, same rows.
+
+    A cube's value array is cut into pieces of ``piece`` cells, each with its
+    offset and its cube's member lists, and the pieces are dealt out by size
+    before any cell is made.  Only reading the cube's text is left to one task.
+    """
+    pre = _with_lists(cubes, dims)
+    n = F.size("_values")
+    offsets = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(piece)))
+    lists = [c for c in pre.columns if c != "_values"]
+    pieces = (pre.select("*", F.explode(offsets).alias("_offset"))
+              .select(*lists, "_offset", F.slice("_values", F.col("_offset") + 1, F.lit(piece)).alias("_part"))
+              .hint("rebalance"))
+    cells = pieces.select("*", F.posexplode("_part").alias("_at", "_v")).withColumn(
+        "_pos", F.col("_offset") + F.col("_at")).drop("_part", "_offset", "_at")
+    return _labelled(cells if keep_nulls else cells.filter(F.col("_v").isNotNull()), dims, value_name, int_dims)
+
+
+def _with_lists(cubes: DataFrame, dims: list[str]) -> DataFrame:
+    """Per cube: size, stride, members and labels of every dimension, and the values."""
     cube = F.col("_cube")
     n = F.size(cube["id"])
     sizes = F.coalesce(cube["size"], F.transform(
@@ -79,12 +114,11 @@ def flatten_cubes(cubes: DataFrame, dims: list[str], value_name: str = "value",
             _members(cube, dim).alias(f"_m{i}"),
             cube["dimension"][dim]["category"]["label"].alias(f"_l{i}"),
         ]
-    pre = cubes.select(*per_cube, cube["value"].alias("_values"))
-    cells = pre.select("*", F.posexplode("_values").alias("_pos", "_v")).drop("_values")
-    if not keep_nulls:
-        cells = cells.filter(F.col("_v").isNotNull())
-    if partitions:
-        cells = cells.repartition(partitions)
+    return cubes.select(*per_cube, cube["value"].alias("_values"))
+
+
+def _labelled(cells: DataFrame, dims: list[str], value_name: str, int_dims: tuple[str, ...]) -> DataFrame:
+    """Positions to labels by integer arithmetic, values to whole numbers."""
     out = []
     for i, dim in enumerate(dims):
         coord = F.pmod(F.floor(F.col("_pos") / F.col(f"_st{i}")).cast("long"), F.col(f"_n{i}"))
