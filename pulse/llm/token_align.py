@@ -101,15 +101,13 @@ class ByteLevel:
         ranks = {t: i for t, i in ranks.items() if len(t) == 1 or i in kept}
         return tiktoken.Encoding("a", pat_str=PRE_SPLIT, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        out = []
-        for text in texts:
-            text = " " + text
-            if self.fast and COMMON.fullmatch(text) and not LONG_SPACE.search(text):
-                out.append(self.fast.encode_to_numpy(text, disallowed_special=()))
-            else:
-                out.append(np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32))
-        return out
+    def encode(self, text: str) -> tuple[np.ndarray, bool]:
+        """Ids of a space and the text, and whether they are known to spell it: merging
+        whole bytes, of which each has an id, loses none."""
+        text = " " + text
+        if self.fast and COMMON.fullmatch(text) and not LONG_SPACE.search(text):
+            return self.fast.encode_to_numpy(text, disallowed_special=()), True
+        return np.array(self.full.encode(text, add_special_tokens=False).ids, np.int64), False
 
 
 class Pieces:
@@ -125,8 +123,8 @@ class Pieces:
             self.bytes.append(bytes([int(piece[3:5], 16)]) if self.model.is_byte(i)
                               else piece.replace("▁", " ").encode("utf-8"))
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(ids, np.uint32) for ids in self.model.encode(texts, num_threads=1)]
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return self.model.encode(texts, num_threads=1)
 
 
 class Side:
@@ -138,32 +136,21 @@ class Side:
         self.inner = np.array([f"{i}," for i in range(encoder.size)], object)
         self.outer = np.array([f"{i}{last}" for i in range(encoder.size)], object)
 
-    def spells(self, ids: np.ndarray, wanted: bytes) -> bool:
-        return b"".join(map(self.encoder.bytes.__getitem__, ids.tolist())) == wanted
+    def spells(self, ids: list[int], wanted: bytes) -> bool:
+        return b"".join(map(self.encoder.bytes.__getitem__, ids)) == wanted
 
     def lay(self, tokens: list[np.ndarray]) -> pd.DataFrame:
-        """The tokens of some documents in order: doc, id, at (start), end; documents' bytes follow each other."""
-        n = [len(t) for t in tokens]
-        ids = np.concatenate(tokens).astype(np.int64) if tokens else np.zeros(0, np.int64)
-        end = np.cumsum(self.length[ids])
-        doc = np.repeat(np.arange(len(tokens)), n)
-        return pd.DataFrame({"doc": doc, "id": ids, "at": end - self.length[ids], "end": end,
-                             "k": np.arange(len(ids))})
-
-
-def _links(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers (in a, in b) of all overlapping tokens, each pair once."""
-    left = pd.merge_asof(a[["doc", "at", "k"]], b[["doc", "at", "k"]], on="at", by="doc", suffixes=("_a", "_b"))
-    right = pd.merge_asof(b[["doc", "at", "k"]], a[["doc", "at", "k"]], on="at", by="doc", suffixes=("_b", "_a"))
-    # equal starts are found from both sides: the second direction keeps starts inside an A token only
-    inside = a["at"].to_numpy()[right["k_a"].to_numpy(np.int64)] < right["at"].to_numpy()
-    return (np.concatenate([left["k_a"].to_numpy(np.int64), right["k_a"].to_numpy(np.int64)[inside]]),
-            np.concatenate([left["k_b"].to_numpy(np.int64), right["k_b"].to_numpy(np.int64)[inside]]))
+        """The tokens of some documents in order: doc, at (start), id; documents' bytes follow each other."""
+        ids = np.concatenate([np.zeros(0, np.int64), *tokens])
+        length = self.length[ids]
+        return pd.DataFrame({"doc": np.repeat(np.arange(len(tokens)), [len(t) for t in tokens]),
+                             "at": np.cumsum(length) - length, "id": ids})
 
 
-def _starts(frame: pd.DataFrame, docs: int) -> np.ndarray:
-    """First row of every document, and the end."""
-    return np.searchsorted(frame["doc"].to_numpy(), np.arange(docs + 1))
+def _covering(side: pd.DataFrame, other: pd.DataFrame) -> np.ndarray:
+    """For every token start of a side, the row of the other side's token that covers it."""
+    marked = other[["doc", "at"]].assign(k=np.arange(len(other)))
+    return pd.merge_asof(side[["doc", "at"]], marked, on="at", by="doc")["k"].to_numpy(np.int64)
 
 
 class Aligner:
@@ -171,48 +158,53 @@ class Aligner:
         self.a, self.b = Side(ByteLevel(byte_level), "|"), Side(Pieces(pieces), ";")
 
     def tokens(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
-        none = np.zeros(0, np.uint32)
-        some = [i for i, t in enumerate(texts) if t]
+        """Ids of both sides for every text, none where a side does not spell the text."""
+        none = np.zeros(0, np.int64)
         out = [(none, none)] * len(texts)
-        plain = [texts[i] for i in some]
-        for i, text, x, y in zip(some, plain, self.a.encoder.encode(plain), self.b.encoder.encode(plain)):
-            wanted = b" " + text.encode("utf-8")
-            if self.a.spells(x, wanted) and self.b.spells(y, wanted):
-                out[i] = x, y
+        some = [i for i, t in enumerate(texts) if t]
+        for i, ids in zip(some, self.b.encoder.encode([texts[i] for i in some])):
+            wanted = b" " + texts[i].encode("utf-8")
+            if self.b.spells(ids, wanted):
+                own, exact = self.a.encoder.encode(texts[i])
+                if exact or self.a.spells(own.tolist(), wanted):
+                    out[i] = own.astype(np.int64), np.array(ids, np.int64)
         return out
 
     def align(self, texts: list[str | None]) -> dict:
         both = self.tokens(texts)
         docs = len(texts)
         a, b = self.a.lay([x for x, _ in both]), self.b.lay([y for _, y in both])
-        cuts = np.intersect1d(a["end"].to_numpy(), b["end"].to_numpy(), assume_unique=True)
-        ga, gb = (np.searchsorted(cuts, f["at"].to_numpy(), side="right") for f in (a, b))
-        at_a, at_b = _starts(a, docs), _starts(b, docs)
-        la, lb = _links(a, b) if len(a) else (np.zeros(0, np.int64),) * 2
+        b_at_a, a_at_b = _covering(a, b), _covering(b, a)
+        at_a, at_b = a["at"].to_numpy(), b["at"].to_numpy()
+        # a group starts where tokens of both sides do; equal starts are found from both sides and linked once
+        first_a, first_b = at_b[b_at_a] == at_a, at_a[a_at_b] == at_b
+        la, lb = (np.concatenate(x) for x in ((np.arange(len(a)), a_at_b[~first_b]), (b_at_a, np.flatnonzero(~first_b))))
+        doc, ia, ib = a["doc"].to_numpy(), a["id"].to_numpy(), b["id"].to_numpy()
         # distinct pairs of a document with their number
-        key = np.sort((a["doc"].to_numpy()[la] * self.b.encoder.size + b["id"].to_numpy()[lb])
-                      * self.a.encoder.size + a["id"].to_numpy()[la])
+        key = np.sort((doc[la] * self.b.encoder.size + ib[lb]) * self.a.encoder.size + ia[la])
         firsts = run_starts(key)
         times = np.diff(np.append(firsts, len(key)))
-        key, pa_id = np.divmod(key[firsts], self.a.encoder.size)
-        pair_doc, pb_id = np.divmod(key, self.b.encoder.size)
-        count = lambda doc: np.bincount(doc, minlength=docs)
-        return {"n_a": np.diff(at_a), "n_b": np.diff(at_b), "n_links": count(a["doc"].to_numpy()[la]),
-                "n_groups": count(a["doc"].to_numpy()[run_starts(ga)]),
-                "groups": self._written(a, b, ga, gb, at_a, at_b),
-                "pairs": (np.searchsorted(pair_doc, np.arange(docs + 1)), pa_id, pb_id, times)}
-
-    def _written(self, a, b, ga, gb, at_a, at_b) -> list[str]:
+        key, pair_a = np.divmod(key[firsts], self.a.encoder.size)
+        pair_doc, pair_b = np.divmod(key, self.b.encoder.size)
+        count = lambda d: np.bincount(d, minlength=docs)
+        n_a, n_b = count(doc), count(b["doc"].to_numpy())
+        return {"n_a": n_a, "n_b": n_b, "n_links": count(doc[la]), "n_groups": count(doc[first_a]),
+                "groups": self._written(ia, ib, np.flatnonzero(first_a), np.flatnonzero(first_b), n_a + n_b),
+                "pairs": (np.searchsorted(pair_doc, np.arange(docs + 1)), pair_a, pair_b, times)}
+
+    def _written(self, ia, ib, starts_a, starts_b, sizes) -> list[str]:
         """Every document's groups as text; A tokens of a group stand before its B tokens."""
-        if not len(a):
-            return [""] * (len(at_a) - 1)
-        final_a, final_b = np.append(ga[1:] != ga[:-1], True), np.append(gb[1:] != gb[:-1], True)
-        parts = np.empty(len(a) + len(b), object)
-        ia, ib = a["id"].to_numpy(), b["id"].to_numpy()
-        parts[np.arange(len(a)) + np.searchsorted(gb, ga, side="left")] = np.where(final_a, self.a.outer[ia], self.a.inner[ia])
-        parts[np.arange(len(b)) + np.searchsorted(ga, gb, side="right")] = np.where(final_b, self.b.outer[ib], self.b.inner[ib])
-        bounds = (at_a + at_b).tolist()
-        return ["".join(parts[x:y])[:-1] for x, y in zip(bounds, bounds[1:])]
+        parts = np.empty(len(ia) + len(ib), object)
+        begin = [starts_a, starts_b]
+        for i, (starts, ids, side) in enumerate(((starts_a, ia, self.a), (starts_b, ib, self.b))):
+            sizes_of = np.diff(np.append(starts, len(ids)))
+            last = np.zeros(len(ids), bool)
+            last[(starts + sizes_of - 1)] = True
+            # behind as many tokens of the other side as earlier groups (for B: this one too) hold
+            ahead = begin[1] if i == 0 else np.append(begin[0][1:], len(ia))
+            parts[np.arange(len(ids)) + np.repeat(ahead, sizes_of)] = np.where(last, side.outer[ids], side.inner[ids])
+        ends = np.cumsum(sizes).tolist()
+        return ["".join(parts[x:y])[:-1] for x, y in zip([0, *ends], ends)]
 
 
 def _chunks(sizes: np.ndarray) -> Iterator[tuple[int, int]]:

@@ -159,9 +159,9 @@ def test_common_characters_take_either_encoder(sides):
     every = [chr(c) for c in range(0x250)]
     texts = ["".join(f"a{c} {c}{c}1{c}x" for c in every[i:i + 37]) for i in range(0, len(every), 37)]
     texts += ["".join(rng.choices(every, k=60)) for _ in range(200)]
-    for text, ids in zip(texts, own.encode(texts)):
+    for text in texts:
         assert token_align.COMMON.fullmatch(text)
-        assert ids.tolist() == a.encode(" " + text, add_special_tokens=False).ids
+        assert own.encode(text)[0].tolist() == a.encode(" " + text, add_special_tokens=False).ids
 
 
 def test_alignment_query_covers_the_table(spark, sides):
