@@ -3,7 +3,11 @@
 The page becomes a light element tree.  Elements that never hold the article
 (scripts, styles, navigation, page headers and footers, asides, forms,
 hidden parts) and elements whose class, id or role names a menu, sidebar,
-advert, notice or reader comments are cut out.  A form around the page's body
+advert, notice or reader comments are cut out.  Where only one part of a longer
+name says so and the word has other meanings (market-share, side-by-side), the
+text decides: inside the article a paragraph of some length and few links keep
+the part, elsewhere more running text than the rest of the page has; a single
+paragraph, heading or list item of such a name stays.  A form around the page's body
 is no such part: one that holds the article, <main> or <h1>, or more running
 text than the rest of the page, loses only its controls.  Every paragraph then scores
 points (one, one per comma, one per hundred characters up to three) and
@@ -46,6 +50,7 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
                   "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section "
                   "summary table tbody td tfoot th thead tr ul caption search".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+TEXTUAL = HEADINGS | {"p", "pre", "blockquote", "li", "dd", "td"}
 ENDS_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
            "th": ("td", "th"), "option": ("option",)}
 SCOPE = frozenset("ul ol dl table article section div main body html blockquote".split())
@@ -57,7 +62,11 @@ BESIDE = frozenset("ad ads advert adverts advertisement advertising adsense bann
                    "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup "
                    "subscription paywall login comment comments commentlist disqus replies reply respond "
                    "share sharing social copyright complementary contentinfo search skip hidden".split())
+#: Those that name other things too when they are one part of a longer name, as in market-share or recipe-menu.
+WEAK = frozenset("side share sharing skip search menu foot hidden widget".split())
 # -----------------------------------------------------------------------------------------------------------
+#: Inside the article a part with a weak name stays if it has a paragraph of this length and no more than this share of links.
+RUNNING, LINKS = 60, 0.3
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)", re.S)
@@ -67,28 +76,32 @@ HUMP = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "cut", "named", "points")
+    __slots__ = ("tag", "parent", "parts", "cut", "named", "weak", "points")
 
     def __init__(self, tag: str, parent: Node | None, cut: bool):
         self.tag, self.parent, self.parts, self.cut, self.points = tag, parent, [], cut, 0.0
         self.named = False  # cut for its class, id or role only
+        self.weak = False   # cut unless its text says otherwise
 
 
-def _beside(attributes: str) -> bool:
+def _beside(attributes: str) -> tuple[bool, bool]:
+    """Whether the element is named as something beside the article, and whether only a part of a longer name says so."""
+    weak = False
     for name, value in ATTRIBUTE.findall(attributes):
         name, written = name.lower(), value.strip("\"'")
         value = written.lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return True, False
         if name == "style":
             if "display:none" in value.replace(" ", ""):
-                return True
+                return True, False
         elif name != "aria-hidden":
             # the names or their parts, for site-footer, cookieNotice and the like
-            if not BESIDE.isdisjoint(NAME.findall(value)) or not BESIDE.isdisjoint(
-                    x.lower() for x in HUMP.findall(written)):
-                return True
-    return False
+            found = BESIDE.intersection(NAME.findall(value)) | BESIDE.intersection(x.lower() for x in HUMP.findall(written))
+            if found - WEAK or found.intersection(value.split()):
+                return True, False
+            weak = weak or bool(found)
+    return weak, weak
 
 
 def parse(page: str) -> Node:
@@ -96,6 +109,7 @@ def parse(page: str) -> Node:
     root = Node("#page", None, False)
     at, here, end, articles = root, 0, len(page), 0
     forms: list[Node] = []
+    weak: list[Node] = []
     while here < end:
         mark = TOKEN.search(page, here)
         if mark is None:
@@ -123,7 +137,11 @@ def parse(page: str) -> Node:
         cut = tag in CUT or (tag == "header" and not _inside(at, ("article", "main")))
         node = Node(tag, at, cut)
         if not cut and tag not in ("body", "html", "main"):
-            node.cut = node.named = _beside(mark[3])
+            node.named, node.weak = _beside(mark[3])
+            if node.weak and tag in TEXTUAL:
+                node.named = node.weak = False
+            node.cut = node.named and not node.weak
+            weak += [node] if node.weak else []
         at.parts.append(node)
         if tag in ("main", "h1") or (tag == "article" and not articles):
             _uncut(node if tag == "article" else at, tag)  # a layout named after its sidebar still holds the article
@@ -136,9 +154,12 @@ def parse(page: str) -> Node:
             here = close.end() if close else end
         elif tag not in VOID and not closed:
             at = node
-    forms = [x for x in forms if x.cut]
-    if forms:
-        _unwrap(root, forms)
+    weak = [x for x in weak if x.weak]
+    for node in reversed(weak):  # inner ones first
+        node.cut = not _inside(node, ("article", "main")) or not _running(node)
+    wrapped = [x for x in forms + weak if x.cut]
+    if wrapped:
+        _unwrap(root, wrapped)
     return root
 
 
@@ -146,14 +167,21 @@ def _uncut(node: Node | None, tag: str) -> None:
     """Keeps what holds the article: elements cut for their names, forms, and anything around <main>."""
     while node is not None:
         if node.named or tag == "main" or (node.tag == "form" and not _inside(node, ("article", "main"))):
-            node.cut = node.named = False
+            node.cut = node.named = node.weak = False
         node = node.parent
 
 
-def _unwrap(root: Node, forms: list[Node]) -> None:
-    """Keeps the cut forms that hold more running text than the page beside them."""
+def _running(node: Node) -> bool:
+    """Whether a part has a paragraph of some length and few links."""
+    inside, sizes = _measure(node)
+    length, linked = sizes[id(node)]
+    return linked <= LINKS * length and any(sizes[id(x)][0] >= RUNNING for x in inside if x.tag in ("p", "pre", "blockquote"))
+
+
+def _unwrap(root: Node, cut: list[Node]) -> None:
+    """Keeps the cut forms and weakly named parts that hold more running text than the page beside them."""
     sizes = _measure(root)[1]
-    for form in forms:
+    for form in cut:
         inside, lengths = _measure(form)
         # a paragraph inside another is counted once
         running = sum(lengths[id(x)][0] for x in inside if x.tag in ("p", "pre", "blockquote")

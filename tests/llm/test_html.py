@@ -1,3 +1,6 @@
+import collections
+import random
+
 import pytest
 
 from pulse.llm.html_text import extract, main_text
@@ -61,3 +64,70 @@ def test_frame_with_clashing_columns(spark):
     got = extract(df).select("page_id", "text", "n_chars").collect()
     assert sorted(tuple(r) for r in got if r[0] is not None) == [(1, "a", "old"), (1, "a", "old"), (2, "", None)]
     assert extract(df.limit(0)).count() == 0
+
+
+LONG = "A paragraph of the article, long enough to be running text, which no list of words should take away."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f'<article><p>{TEXT}</p><section id="market-share"><h2>Share</h2><p>{LONG}</p></section></article>',
+     f"{TEXT}\n\nShare\n\n{LONG}"),
+    (f'<article><p>{TEXT}</p><div class="side-by-side"><p>{LONG}</p></div></article>', f"{TEXT}\n\n{LONG}"),
+    (f'<body><div class="recipe-menu"><p>{LONG}</p><p>{LONG}</p></div><p>short.</p>', f"{LONG}\n\n{LONG}\n\nshort."),
+    (f'<article><p>{TEXT}</p><div class="share-bar"><p><a href=x>{LONG}</a></p></div></article>', TEXT),
+    (f'<article><p>{TEXT}</p><div class="share"><p>{LONG}</p></div></article>', TEXT),
+    (f'<article><p>{TEXT}</p><p>{LONG}</p></article><div class="side-column"><p>{LONG}</p></div>', f"{TEXT}\n\n{LONG}"),
+])
+def test_weak_names_are_weighed(page, text):
+    assert main_text(page) == text
+
+
+def generated(rng):
+    """(page, blocks of its article): an article among menus, sidebars, adverts, notices, forms and comments."""
+    words = ["alpha", "beta", "gamma", "delta", "market", "share", "menu", "value", "a&amp;b", "caf&eacute;", "x &lt; y"]
+    plain = {"a&amp;b": "a&b", "caf&eacute;": "café", "x &lt; y": "x < y"}
+    blocks, inside = [], []
+
+    def sentence(n, tag, attributes=""):
+        picked = rng.choices(words, k=n)
+        blocks.append(" ".join(plain.get(w, w) for w in picked) + ", end.")
+        inside.append(f"<{tag}{attributes}>" + rng.choice([" ", "\n", "  "]).join(picked) + f", end.</{tag}>")
+
+    sentence(5, "h1")
+    for _ in range(rng.randint(2, 7)):
+        sentence(rng.randint(12, 60), rng.choice(["p", "p", "p", "blockquote"]), rng.choice(["", ' class="text"', ' id="market-share"']))
+        if rng.random() < 0.3:
+            inside.append("<div class='ad'><p>Buy now, buy cheap, buy all of it today, friends.</p></div>")
+        if rng.random() < 0.2:
+            inside.append("<ul>")
+            for _ in range(3):
+                sentence(4, "li")
+            inside.append("</ul>")
+        if rng.random() < 0.2:
+            inside.append("<script>var p = '<p>no</p>';</script><!-- <p>nor this</p> -->")
+    body = "".join(inside)
+    shell = rng.choice([f"<article>{body}</article>", f"<main><div class='content'>{body}</div></main>",
+                        f"<div id='page-content'><div class='entry'>{body}</div></div>", f"<section class='post'>{body}</section>"])
+    link = lambda: f"<a href='/{rng.random()}'>{rng.choice(words)} {rng.choice(words)}</a>"
+    menu = "<nav><ul>" + "".join(f"<li>{link()}</li>" for _ in range(8)) + "</ul></nav>"
+    side = rng.choice(["<aside><p>Side story, with commas, many of them, and a link</p></aside>",
+                       "<div class='sidebar'><p>Side story, with commas, many of them, indeed, a lot</p></div>",
+                       f"<div class='related-posts'><p>{link()}</p><p>{link()}</p></div>"])
+    end = rng.choice(["<footer><p>All rights, of all, reserved.</p></footer>", "<div id='site-footer'>Imprint, contact</div>"])
+    talk = rng.choice(["", "<section id='comments'><div class='comment'><p>I liked it, really, a lot, yes, thanks</p></div></section>"])
+    form = rng.choice(["", "<form><p>Your name, please</p><input><button>Send</button></form>"])
+    notice = rng.choice(["", "<div class='cookie-notice'><p>We use cookies, as all do, for you.</p></div>"])
+    return (f"<html><head><title>t</title></head><body>{notice}<header><p>Site, name</p></header>{menu}"
+            f"<div class='wrap'>{shell}{side}</div>{talk}{form}{end}</body></html>", blocks)
+
+
+def test_generated_pages_precision_and_recall(spark):
+    rng = random.Random(5)
+    pages = [generated(rng) for _ in range(400)]
+    df = spark.createDataFrame([(i, p) for i, (p, _) in enumerate(pages)], "page_id int, html string")
+    right = found = there = exact = 0
+    for r in extract(df).collect():
+        want, got = (collections.Counter(t.split()) for t in (" ".join(pages[r["page_id"]][1]), r["text"]))
+        right, found, there = right + sum((want & got).values()), found + sum(got.values()), there + sum(want.values())
+        exact += r["text"] == "\n\n".join(pages[r["page_id"]][1])
+    assert right / there >= 0.995 and right / found >= 0.98 and exact >= 0.9 * len(pages), (right / there, right / found, exact)
