@@ -9,6 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulse.operators import bloom
 from pulse.session import shared_dir
 
 #: A word is a run of characters other than space, tab, \n, \v, \f and \r.
@@ -53,6 +54,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of a filter that names the rows which must be moved.
+FILTER_BYTES = 256 << 20
+
+
+def whole_rows(df: DataFrame, **named: Column) -> DataFrame:
+    """The rows as one struct ``row`` beside the named columns, whatever the input's columns are called."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(n) for n, c in named.items()])
+
+
+def split_listed(rows: DataFrame, listed: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows that may have a key of ``listed``, rows that have none).
+
+    A Bloom filter of the listed keys (stored; ten bits a key, ``FILTER_BYTES``
+    at most) decides without moving any row, so an exact join that follows
+    shuffles the first part only."""
+    known = bloom.key_filter(listed.select(*keys), keys, listed.count(), FILTER_BYTES)
+    found = bloom.may_hold(known, keys)
+    return rows.join(F.broadcast(known.rows), found, "left_semi"), rows.join(F.broadcast(known.rows), found, "left_anti")
+
+
 def spread_join(rows: DataFrame, groups: DataFrame, on: Column, how: str = "inner", salts: int = 32) -> DataFrame:
     """Join rows (alias r) to one row per group (alias g) on ``on`` so that a
     group that holds a third of the rows is still met in ``salts`` tasks if the

@@ -19,7 +19,8 @@ the item has too, in whatever order, so windows with fewer shingles of items
 of their size are left out and none is lost; the number per window is a
 running count over the document's shared positions.  The item shingles are
 joined to the documents' by broadcast if they number at most ``BROADCAST``,
-by shuffle otherwise.
+by shuffle otherwise.  The texts of documents with windows are then read again;
+a Bloom filter of these documents keeps all other texts where they are.
 
 Results: one row per document and item, with the best window.  Null and blank
 texts and items have no shingles and match nothing; rows that repeat a
@@ -32,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulse.llm.common import let, positions, save
+from pulse.llm.common import let, positions, save, split_listed, whole_rows
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -106,9 +107,11 @@ def _matches(texts: DataFrame, items: DataFrame, size: int, similarity: float, r
     hits = seen.join(F.broadcast(known) if placed.count() <= BROADCAST else known, "h")
     windows = save(_windows(hits, similarity), "windows")
 
-    own = windows.groupBy("doc").agg(F.collect_set(F.struct("start", "length")).alias("spans"))
+    own = save(windows.groupBy("doc").agg(F.collect_set(F.struct("start", "length")).alias("spans")), "window-spans")
+    # only texts that may have a window are moved to it
+    near, _ = split_listed(texts, own, ["doc"])
     # rows that repeat a document would count its shingles twice
-    full = (texts.join(own, "doc").dropDuplicates(["doc"])
+    full = (near.join(own, "doc").dropDuplicates(["doc"])
             .select("doc", "spans", _shingles(F.col("text"), size).alias("hs")))
     cut = full.select("doc", "hs", F.explode("spans").alias("w")).select(
         "doc", "w.start", "w.length", F.explode(F.slice(
@@ -161,10 +164,12 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
                       **options) -> DataFrame:
     """The input's rows that hold no benchmark passage, with the input's columns."""
     bad = save(benchmark_matches(docs, benchmark, id_col, text_col, **options)
-               .select(F.col("doc.id").alias("_id"), F.col("doc.hash").alias("_hash")).distinct(), "contaminated")
-    marked = docs.withColumn("_h", F.xxhash64(F.col(f"`{text_col}`")))
-    return (marked.join(bad, marked[f"`{id_col}`"].eqNullSafe(bad["_id"]) & (marked["_h"] == bad["_hash"]), "left_anti")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+               .select(F.col("doc.id").alias("id"), F.col("doc.hash").alias("hash")).distinct(), "contaminated")
+    rows = whole_rows(docs, id=F.col(f"`{id_col}`"), hash=F.xxhash64(F.col(f"`{text_col}`")))
+    held, passed = split_listed(rows, bad, ["id", "hash"])
+    named = bad.select(F.col("id").alias("bad_id"), F.col("hash").alias("bad_hash"))
+    kept = held.join(named, F.col("id").eqNullSafe(F.col("bad_id")) & (F.col("hash") == F.col("bad_hash")), "left_anti")
+    return passed.select("row.*").unionByName(kept.select("row.*"))
 
 
 def op1_query(spark, sf_dir: str) -> DataFrame:
