@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import SPACES, save, spread_join
+from pulse.llm.common import SPACES, save, spread_join, whole_rows
 
 MAX_RATIO = 0.1
 MIN_PAGES = 5
@@ -54,7 +54,7 @@ def drop_boilerplate(docs: DataFrame, site_col: str = "source", text_col: str =
     """The input with boilerplate lines removed from the text column; with
     ``counts`` also n_lines (non-blank lines before) and n_removed."""
     found = save(boilerplate_lines(docs, site_col, text_col, max_ratio, min_pages), "boilerplate")
-    text = F.col(f"r.`{text_col}`")
+    text = F.col(f"r.row.`{text_col}`")
     lines = F.split(text, "\n", -1)
     dropped = lambda x: (_bare(x) != "") & F.array_contains(F.col("g.lines"), _key(x))
     kept = F.when(F.col("g.lines").isNull(), text).otherwise(
@@ -62,8 +62,8 @@ def drop_boilerplate(docs: DataFrame, site_col: str = "source", text_col: str =
     more = [F.coalesce(F.size(F.filter(lines, lambda x: _bare(x) != "")), F.lit(0)).cast("long").alias("n_lines"),
             F.coalesce(F.when(F.col("g.lines").isNull() | text.isNull(), 0)
                        .otherwise(F.size(F.filter(lines, dropped))), F.lit(0)).cast("long").alias("n_removed")]
-    joined = spread_join(docs, found, F.col(f"r.`{site_col}`").eqNullSafe(F.col("g.site")), "left")
-    return joined.select(*[kept.alias(c) if c == text_col else F.col(f"r.`{c}`") for c in docs.columns],
+    joined = spread_join(whole_rows(docs), found, F.col(f"r.row.`{site_col}`").eqNullSafe(F.col("g.site")), "left")
+    return joined.select(*[kept.alias(c) if c == text_col else F.col(f"r.row.`{c}`") for c in docs.columns],
                          *(more if counts else []))
 
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulse.llm.common import save, ship
+from pulse.llm.common import save, ship, split_listed, whole_rows
 from pulse.llm.components import connected_components
 
 ship(__name__)
@@ -179,32 +179,45 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     other; repeated rows stay repeated; an empty table gives an empty result.
     Other columns are not read, so their names do not matter.
     """
-    marked = save(docs.select(F.col(id_col).alias("id"), fingerprint(text_col, size).alias("fp")), "simhash")
+    marked = save(docs.select(F.col(f"`{id_col}`").alias("id"), fingerprint(F.col(f"`{text_col}`"), size).alias("fp")),
+                  "simhash")
+    return marked.join(_groups(marked, max_bits), "fp").select("id", "fp", "label", "component_id")
+
+
+def _groups(marked: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, label, component_id) of every fingerprint among (id, fp)."""
     distinct = save(marked.groupBy("fp").agg(F.min("id").alias("low")), "fingerprints")
     linked = (connected_components(fingerprint_links(distinct, max_bits))
               .withColumnRenamed("node", "fp")) if max_bits > 0 else None
     if linked is None:
-        groups = distinct.select("fp", F.col("fp").alias("label"), F.col("low").alias("component_id"))
-    else:
-        labelled = distinct.join(linked, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-        lowest = labelled.groupBy("label").agg(F.min("low").alias("component_id"))
-        groups = labelled.join(lowest, "label").select("fp", "label", "component_id")
-    return marked.join(groups, "fp").select("id", "fp", "label", "component_id")
+        return distinct.select("fp", F.col("fp").alias("label"), F.col("low").alias("component_id"))
+    labelled = distinct.join(linked, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    lowest = labelled.groupBy("label").agg(F.min("low").alias("component_id"))
+    return labelled.join(lowest, "label").select("fp", "label", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              size: int = 3, max_bits: int = 2) -> DataFrame:
     """The input's columns, one row per near-duplicate group: the one with the
     smallest id (any one of them where several rows share that id; a null id
-    counts as the largest)."""
-    groups = save(near_duplicate_groups(docs, id_col, text_col, size, max_bits)
-                  .groupBy("fp").agg(F.first("label").alias("_label"),
-                                     F.first("component_id").alias("_keep")), "groups")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return (docs.withColumn("_fp", fingerprint(text_col, size))
-            .join(groups.withColumnRenamed("fp", "_fp"), "_fp")
-            .filter(F.col(f"`{id_col}`").eqNullSafe(F.col("_keep")))
-            .dropDuplicates(["_label"]).select(*columns))
+    counts as the largest).
+
+    Texts are fingerprinted once.  A row is known by its id and text hash; a
+    Bloom filter of the rows that go (and of kept ones that are repeated) lets
+    every other row pass where it is, so only what the filter holds is moved."""
+    own, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    marked = save(docs.select(own.alias("id"), F.xxhash64(text).alias("hash"), fingerprint(text, size).alias("fp")), "simhash")
+    members = (marked.groupBy("id", "hash", "fp").agg(F.count(F.lit(1)).alias("n"))
+               .join(_groups(marked, max_bits).select("fp", "label"), "fp"))
+    first = members.groupBy("label").agg(F.min(F.struct(F.col("id").isNull(), "id", "hash")).alias("first"))
+    stays = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("hash") == F.col("first.hash"))
+    listed = save(members.join(first, "label").select("id", "hash", "n", stays.alias("stays"))
+                  .filter(~F.col("stays") | (F.col("n") > 1)).select("id", "hash", "stays"), "not-kept-once")
+    held, passed = split_listed(whole_rows(docs, id=own, hash=F.xxhash64(text)), listed, ["id", "hash"])
+    named = listed.select(F.col("id").alias("gone_id"), F.col("hash").alias("gone_hash"), "stays")
+    kept = (held.join(named, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("hash") == F.col("gone_hash")), "left")
+            .filter(F.coalesce("stays", F.lit(True))).dropDuplicates(["id", "hash"]))
+    return passed.select("row.*").unionByName(kept.select("row.*"))
 
 
 def op3_query(spark, sf_dir: str) -> DataFrame:

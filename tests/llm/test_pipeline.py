@@ -1,4 +1,7 @@
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -16,7 +19,7 @@ def test_query_matches_oracle(spark, key):
 
 def test_registered_names():
     names = list(__spark_entry__.queries())
-    assert "pipeline" in names and all(any(x.startswith(f"op{n}_") for x in names) for n in range(1, 11))
+    assert "pipeline" in names and all(any(x.startswith(f"op{n}_") for x in names) for n in range(1, 14))
 
 
 def test_stages_act_on_all_their_predecessor_kept(spark, tmp_path):
@@ -37,3 +40,82 @@ def test_stages_act_on_all_their_predecessor_kept(spark, tmp_path):
     assert docs.count() == len(ids[-1])
     run = corpus_pipeline.run(spark, SF)
     assert sorted(map(tuple, run.collect())) == sorted(map(tuple, docs.collect()))
+
+
+#: Names that operators use inside, as columns of the caller.
+CLASHES = ("_h", "_id", "_hash", "_fp", "_label", "_keep", "_salt", "_copy", "hash", "id", "row", "fp", "g", "r", "a.b", "stays", "_block", "_words")
+
+
+def odd_documents():
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choices("abcdefghijkl", k=rng.randint(3, 8))) for _ in range(400)]
+    say = lambda n: " ".join(rng.choices(vocabulary, k=n))
+    rows = [(i, "\n".join(say(12) for _ in range(rng.randint(3, 9))), "en", f"s{i % 2}") for i in range(60)]
+    rows += [(100, None, "en", "s0"), (101, "", None, None), (102, " \t\n", "en", None), (None, say(60), None, "s1"),
+             (None, None, None, None), (103, "\n".join(say(15) for _ in range(3000)), "en", "s0")]
+    rows += [rows[3], rows[3], (3, rows[5][1], "en", "s0"), (104, rows[7][1], "fr", None), (2, rows[7][1], "fr", "s0")]
+    return [(*r, len(r[1] or "")) for r in rows]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    docs = spark.createDataFrame(odd_documents(), "doc_id long, text string, lang string, source string, n_chars long")
+    return docs.select("*", *[F.concat(F.lit(f"{c}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c)
+                              for c in CLASHES]).repartition(3).cache()
+
+
+def kept(df):
+    """Rows with their clashing columns, which must belong to their document."""
+    out = []
+    for r in df.collect():
+        assert all(r[c] == f"{c}-{'none' if r['doc_id'] is None else r['doc_id']}" for c in CLASHES)
+        out.append((r["doc_id"], r["text"], r["lang"], r["source"]))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stage_on_an_empty_table(spark, odd, name, stage):
+    assert stage(spark, odd.limit(0), SF).count() == 0
+
+
+def test_quality_stage_on_odd_rows(spark, odd):
+    rows = [r[:4] for r in odd_documents()]
+    got = kept(corpus_pipeline.quality_stage(spark, odd, SF))
+    failed = [r for r in rows if brute.base_counts(r[1])[-1]]
+    assert set(got) <= set(rows) and not set(got) & set(failed)
+    assert got.count(rows[3]) in (0, 3) and len(got) >= 0.9 * (len(rows) - len(failed))
+
+
+def test_line_stage_on_odd_rows(spark, odd):
+    out = corpus_pipeline.line_stage(spark, odd, SF)
+    assert out.columns == odd.columns and len(kept(out)) == len(odd_documents())
+    for r in out.collect():
+        assert r["n_chars"] == (None if r["text"] is None else len(r["text"]))
+
+
+def test_near_dedup_stage_on_odd_rows(spark, odd):
+    rows = [r[:4] for r in odd_documents()]
+    fps = [brute.simhash(r[1]) for r in rows]
+    component = brute.components([(r[0], f) for r, f in zip(rows, fps)])
+    group = brute.components(list(enumerate(fps)))  # by row number, as ids repeat in other groups
+    got = kept(corpus_pipeline.near_dedup_stage(spark, odd, SF))
+    assert len(got) == len({group[f] for f in fps}) == len({group[brute.simhash(r[1])] for r in got})
+    for r in got:
+        assert r in rows and r[0] == component[brute.simhash(r[1])]
+
+
+def test_decontamination_stage_on_odd_rows(spark, odd, tmp_path):
+    rows = [r[:4] for r in odd_documents()]
+    passage = " ".join(rows[5][1].split()[8:30])
+    spark.createDataFrame([(1, passage), (2, None), (3, ""), (None, "not in any document of this table at all")],
+                          "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = kept(corpus_pipeline.decontamination_stage(spark, odd, str(tmp_path)))
+    assert got == sorted((r for r in rows if passage not in " ".join((r[1] or "").split())), key=str)
+
+
+def test_mixing_stage_on_odd_rows(spark, odd):
+    rows = [r[:4] for r in odd_documents()]
+    out = corpus_pipeline.mixing_stage(spark, odd, SF).collect()
+    assert sorted((r["doc_id"], r["size"]) for r in out if r["doc_id"] is not None) == sorted(
+        (r[0], len((r[1] or "").split())) for r in rows if r[0] is not None)
+    assert len(out) == len(rows) and all(r["taken"] == r["size"] * r["copies"] <= 3 * r["size"] for r in out)
