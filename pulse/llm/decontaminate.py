@@ -5,13 +5,15 @@ consecutive words make a shingle (an item of fewer words is one shingle of
 its own length, compared with document shingles of that length).  A window is
 a run of as many shingles as the item has, cut at the document's ends.  Every
 item and every window gets a 64-bit SimHash over its shingles, repeats
-included.  Windows and items of the same size are joined on ``RADIUS + 1``
-blocks of the fingerprint: two fingerprints that differ in at most ``RADIUS``
-bits agree in at least one block, so no pair within the radius is missed.
+included.  Windows and items of the same size meet in a multi-index over blocks
+of the fingerprint: two that differ in at most ``RADIUS`` bits differ in at
+most ``NEAR`` bits in one of ``RADIUS // (NEAR + 1) + 1`` blocks, so items
+are listed under every block value within that and no pair within the radius
+is missed.  With four blocks of 16 bits about one unrelated pair in 25 meets.
 Pairs within the radius are verified by exact weighted shingle similarity
 (sum of the smaller counts over sum of the larger counts) of at least
-``SIMILARITY``.  At that similarity fingerprints differ in about ten bits, and
-in more than ``RADIUS`` bits about once in ten thousand.
+``SIMILARITY``.  At just that similarity fingerprints differ in about ten bits
+and in more than ``RADIUS`` in a few of a hundred cases, above it more rarely.
 
 Every window start is judged.  A window as similar as that holds at least
 ``SIMILARITY / (1 + SIMILARITY)`` times the sum of both sizes in shingles that
@@ -30,6 +32,8 @@ Ids may repeat with other texts and may be null.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,8 +41,10 @@ from pulse.llm.common import let, positions, save, split_listed, whole_rows
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS = 20
+RADIUS = 15
 BITS = 64
+#: Bits in which a block of two near fingerprints may differ.
+NEAR = 3
 BROADCAST = 500_000
 APART = r"[^\p{L}\p{N}]+"
 
@@ -68,13 +74,27 @@ def _simhash(rows: DataFrame, keys: list[str]) -> DataFrame:
             .select(*keys, "n", fp.alias("fp")))
 
 
+def _block_count(radius: int) -> int:
+    """Blocks of which one differs in at most ``NEAR`` bits if the fingerprints differ in at most ``radius``."""
+    return radius // (NEAR + 1) + 1
+
+
 def _blocks(radius: int) -> Column:
-    """The fingerprint's radius + 1 blocks."""
-    cuts = [i * BITS // (radius + 1) for i in range(radius + 2)]
+    """The fingerprint's blocks."""
+    n = _block_count(radius)
+    cuts = [i * BITS // n for i in range(n + 1)]
     return F.array(*[F.shiftrightunsigned(F.col("fp"), lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1))
                      for lo, hi in zip(cuts, cuts[1:])])
 
 
+def _neighbours(radius: int) -> Column:
+    """Every value within NEAR bits of the block value ``bits``, which has the block's width at most."""
+    width = -(-BITS // _block_count(radius))
+    masks = [sum(1 << b for b in flips) for k in range(radius // _block_count(radius) + 1)
+             for flips in itertools.combinations(range(width), k)]
+    return F.transform(F.lit(masks), lambda m: F.col("bits").bitwiseXOR(m.cast("long")))
+
+
 def _windows(hits: DataFrame, similarity: float) -> DataFrame:
     """(doc, length, start) of every window with enough shared positions for the similarity."""
     pos, length, start = F.col("pos"), F.col("length"), F.col("start")
@@ -123,8 +143,9 @@ def _matches(texts: DataFrame, items: DataFrame, size: int, similarity: float, r
     item_fp = _simhash(placed, ["item"])
 
     w = window_fp.select(*key, F.col("n").alias("cut"), "fp", F.posexplode(_blocks(radius)).alias("block", "bits"))
-    i = item_fp.select("item", F.col("n").cast("int").alias("length"), F.col("fp").alias("ifp"),
-                       F.posexplode(_blocks(radius)).alias("block", "bits"))
+    i = (item_fp.select("item", F.col("n").cast("int").alias("length"), F.col("fp").alias("ifp"),
+                        F.posexplode(_blocks(radius)).alias("block", "bits"))
+         .withColumn("bits", F.explode(_neighbours(radius))))
     near = (w.join(i, ["length", "block", "bits"])
             .filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= radius)
             .select(*key, "cut", "item").distinct())
