@@ -45,6 +45,8 @@ RADIUS = 15
 BITS = 64
 #: Bits in which a block of two near fingerprints may differ.
 NEAR = 3
+#: Rows of the index of items (about 200 bytes each) up to which it is broadcast; beyond, it is joined by shuffle.
+LISTED = 1_000_000
 BROADCAST = 500_000
 APART = r"[^\p{L}\p{N}]+"
 
@@ -87,12 +89,20 @@ def _blocks(radius: int) -> Column:
                      for lo, hi in zip(cuts, cuts[1:])])
 
 
+def _masks(radius: int) -> list[int]:
+    width = -(-BITS // _block_count(radius))
+    return [sum(1 << b for b in flips) for k in range(radius // _block_count(radius) + 1)
+            for flips in itertools.combinations(range(width), k)]
+
+
 def _neighbours(radius: int) -> Column:
     """Every value within NEAR bits of the block value ``bits``, which has the block's width at most."""
-    width = -(-BITS // _block_count(radius))
-    masks = [sum(1 << b for b in flips) for k in range(radius // _block_count(radius) + 1)
-             for flips in itertools.combinations(range(width), k)]
-    return F.transform(F.lit(masks), lambda m: F.col("bits").bitwiseXOR(m.cast("long")))
+    return F.transform(F.lit(_masks(radius)), lambda m: F.col("bits").bitwiseXOR(m.cast("long")))
+
+
+def _listed(radius: int) -> int:
+    """Rows under which an item is listed."""
+    return _block_count(radius) * len(_masks(radius))
 
 
 def _windows(hits: DataFrame, similarity: float) -> DataFrame:
@@ -146,6 +156,7 @@ def _matches(texts: DataFrame, items: DataFrame, size: int, similarity: float, r
     i = (item_fp.select("item", F.col("n").cast("int").alias("length"), F.col("fp").alias("ifp"),
                         F.posexplode(_blocks(radius)).alias("block", "bits"))
          .withColumn("bits", F.explode(_neighbours(radius))))
+    i = F.broadcast(i) if item_fp.count() * _listed(radius) <= LISTED else i.hint("merge")
     near = (w.join(i, ["length", "block", "bits"])
             .filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= radius)
             .select(*key, "cut", "item").distinct())
