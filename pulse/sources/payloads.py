@@ -20,6 +20,8 @@ from pulse.sources import bindings
 from pulse.sources.bindings import table
 
 PAGE_EVENTS = 50
+#: Most records of a landed XML file, which one task reads whole: about 70 MB of companies, as much of feed pages.
+COMPANIES_PER_FILE, PAGES_PER_FILE = 50_000, 10_000
 
 
 def _s(prefix, c):
@@ -35,7 +37,7 @@ def register_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_register_dump(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Land the dump as XML files (``<companies><company>...</company>...</companies>``)."""
     (register_dump_records(spark, sf_dir).write.format("xml").option("rowTag", "company")
-     .option("rootTag", "companies").mode("overwrite").save(path))
+     .option("maxRecordsPerFile", COMPANIES_PER_FILE).option("rootTag", "companies").mode("overwrite").save(path))
 
 
 def register_dump_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,13 +103,13 @@ def feed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_feed_pages(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Land the feed as XML files (``<pages><page><companies>...``)."""
     (feed_page_records(spark, sf_dir).select("companies").write.format("xml")
-     .option("rowTag", "page").option("rootTag", "pages").mode("overwrite").save(path))
+     .option("maxRecordsPerFile", PAGES_PER_FILE).option("rowTag", "page").option("rootTag", "pages").mode("overwrite").save(path))
 
 
 def land_feed_pages(pages: DataFrame, path: str) -> None:
     """Land page records as XML files in page order, as a puller that goes through the pages leaves them."""
     (pages.repartitionByRange("page").sortWithinPartitions("page").select("companies").write.format("xml")
-     .option("rowTag", "page").option("rootTag", "pages").mode("overwrite").save(path))
+     .option("maxRecordsPerFile", PAGES_PER_FILE).option("rowTag", "page").option("rootTag", "pages").mode("overwrite").save(path))
 
 
 def detail_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:

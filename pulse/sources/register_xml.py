@@ -1,8 +1,8 @@
 """Register dump (XML): one ``company`` element per record.
 
 Read with Spark's XML source and an explicit schema (never inferred: codes
-such as ``01`` would become numbers).  A dump should land as many plain or
-``.gz``/``.bz2`` files: each compressed file is read by one task.
+such as ``01`` would become numbers).  A dump should land as many files: each
+is read whole by one task, compressed or not.
 
 Record layout (element names are parameters of the schema below)::
 
