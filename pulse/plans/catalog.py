@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -439,10 +440,18 @@ def _quarantine_payloads(spark, sf_dir):
         "register": (companies.withColumn("xml", F.when(n % 13 == 5, keyless).otherwise(cut(n % 11 == 4))).drop("id"),
                      register_xml.COMPANY_SCHEMA, "entity_id"),
         "feed": (payloads.feed_pages(spark, sf_dir).withColumn("xml", cut(F.col("page") % 5 == 2)), feed.PAGE_SCHEMA, None)}
+    paths = {name: shared_dir(spark, f"landed-{name}") for name in sources}
+
+    def land(name):
+        rows, schema, key = sources[name]
+        return quarantine.land(quarantine.parsed(rows, "xml", schema, key), paths[name], "xml")
+
+    # together, so that one source's tasks run where the other's leave cores idle
+    with ThreadPoolExecutor(len(sources)) as pool:
+        list(pool.map(land, sources))
     out = None
-    for name, (rows, schema, key) in sources.items():
-        path = shared_dir(spark, f"landed-{name}")
-        quarantine.land(quarantine.parsed(rows, "xml", schema, key), path, "xml")
+    for name, (_, schema, _) in sources.items():
+        path = paths[name]
         good = quarantine.good_records(spark, path, schema).select(F.lit("good").alias("outcome"))
         part = good.unionByName(quarantine.quarantined(spark, path, "xml").select(F.col("reason").alias("outcome")))
         part = part.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("source"), "outcome", "n")

@@ -16,12 +16,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulse.session import stored_bytes
 from pulse.sources import bindings
 from pulse.sources.bindings import table
 
 PAGE_EVENTS = 50
 #: Most records of a landed XML file, which one task reads whole: about 70 MB of companies, as much of feed pages.
 COMPANIES_PER_FILE, PAGES_PER_FILE = 50_000, 10_000
+#: Stored bytes of ``lineitem`` per task that renders companies, and the most such tasks.
+RENDER_BYTES, MOST_RENDERERS = 1 << 20, 10_000
 
 
 def _s(prefix, c):
@@ -41,13 +44,19 @@ def write_register_dump(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 
 def register_dump_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dump records as columns (entity_id, general, activities)."""
+    """Dump records as columns (entity_id, general, activities).
+
+    Orders are dealt to tasks by the stored size of their lines: a shuffled
+    byte makes about ten of XML, so tasks of the usual shuffled size would be
+    few and long, and the last of them would leave most cores idle."""
+    tasks = min(MOST_RENDERERS, 1 + stored_bytes(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet") // RENDER_BYTES)
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     lines = (table(spark, sf_dir, "lineitem")
+             .select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_returnflag").repartition(tasks, "l_orderkey")
              .groupBy("l_orderkey")
-             .agg(F.array_sort(F.collect_list(F.struct(
+             .agg(F.sort_array(F.collect_list(F.struct(
                  "l_linenumber", "l_suppkey", "l_partkey", "l_returnflag"))).alias("lines")))
     cust = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
     o = (orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
@@ -84,12 +93,12 @@ def feed_page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry = F.struct(F.col("event_id").alias("pos"), F.col("event_type").alias("entry_type"),
                      F.date_format("ts", "dd.MM.yyyy HH:mm:ss").alias("entry_at"),
                      F.col("event_id").cast("string").alias("ruling_no"))
-    comp = (ev.groupBy("page", "user_id").agg(F.array_sort(F.collect_list(entry)).alias("e"),
+    comp = (ev.groupBy("page", "user_id").agg(F.sort_array(F.collect_list(entry)).alias("e"),
                                                F.min("event_id").alias("first_pos")))
     comp_rec = F.struct(F.col("first_pos"), F.col("user_id").cast("string").alias("entity_id"),
                         F.struct(F.transform("e", lambda x: x.dropFields("pos")).alias("item"))
                         .alias("entries"))
-    pages = comp.groupBy("page").agg(F.array_sort(F.collect_list(comp_rec)).alias("c"))
+    pages = comp.groupBy("page").agg(F.sort_array(F.collect_list(comp_rec)).alias("c"))
     return pages.select("page", F.struct(F.transform("c", lambda x: x.dropFields("first_pos"))
                                          .alias("item")).alias("companies"))
 
