@@ -113,21 +113,22 @@ def failing_frame(tables: dict[str, DataFrame], checks: list[Check]) -> DataFram
     """(check_name, row_json) for every failing row of the given checks, one plan.
 
     The row-level checks of a table share one scan: each row is given the
-    names of the checks it fails and comes out once for each of them; a row
-    that passes them all is not rendered.  A key check is one aggregation or
-    anti join.
+    names of the checks it fails, is rendered once and comes out once for each
+    of them; a row that passes them all is not rendered.  A key check is one
+    aggregation or anti join.
     """
     by_table = defaultdict(list)
     parts = []
-    row = F.to_json(F.struct("*")).alias("row_json")
+    row = F.to_json(F.struct("*"))
     for ch in checks:
         if ch.kind in ROW_LEVEL:
             by_table[ch.table].append(ch)
         else:
-            parts.append(failing_rows(tables, ch).select(F.lit(ch.name).alias("check_name"), row))
+            parts.append(failing_rows(tables, ch).select(F.lit(ch.name).alias("check_name"), row.alias("row_json")))
     for name, chs in by_table.items():
         failed = F.array_compact(F.array(*[F.when(_fails(ch), F.lit(ch.name)) for ch in chs]))
-        parts.append(tables[name].select(F.explode(failed).alias("check_name"), row))
+        rendered = tables[name].select(failed.alias("_failed"), F.when(F.size(failed) > 0, row).alias("row_json"))
+        parts.append(rendered.select(F.explode("_failed").alias("check_name"), "row_json"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -584,8 +584,10 @@ def _quality_failing_rows(spark, sf_dir):
     (failing_frame(_raw_tables(spark, sf_dir), RAW_CHECKS)
      .write.mode("overwrite").partitionBy("check_name").parquet(path))
     stored = spark.read.schema("row_json string, check_name string").parquet(path)
-    return stored.select("check_name", *[F.get_json_object("row_json", f"$.{c}").cast("long").alias(c) for c in (
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "n_records")])
+    names = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "n_records"]
+    # one pass over a row's text for all its fields
+    fields = stored.select("check_name", F.json_tuple("row_json", *names).alias(*names))
+    return fields.select("check_name", *[F.col(c).cast("long").alias(c) for c in names])
 
 
 def _quality_observed(spark, sf_dir):

@@ -1,8 +1,9 @@
 """Landed XML files: one task reads a file whole, so none may follow the input's size."""
 
 from pulse.domain import LOADED_AT
+from pulse.operators.quality import Check, failing_frame
 from pulse.plans import catalog
-from pulse.session import shared_dir
+from pulse.session import shared_dir, stored_bytes
 from pulse.sources import feed, payloads, register_xml
 
 SF = "/root/testdata/sf0.001"
@@ -34,3 +35,29 @@ def test_files_of_feed_pages_are_bounded(spark, monkeypatch):
         assert files(spark, path) >= pages.count() / 2
         landed = spark.read.format("xml").option("rowTag", "page").schema(feed.PAGE_SCHEMA).load(path)
         assert landed.count() == pages.count()
+
+
+def test_rendering_tasks_follow_the_stored_lines(spark, monkeypatch, capsys):
+    want = content(payloads.register_dump_records(spark, SF))
+    monkeypatch.setattr(payloads, "RENDER_BYTES", 5_000)
+    rows = payloads.register_dump_records(spark, SF)
+    capsys.readouterr()
+    rows.explain(mode="extended")
+    dealt = 1 + stored_bytes(spark, f"{SF}/lineitem.parquet") // 5_000
+    assert dealt > 4 and f", {dealt}), REPARTITION_BY_NUM" in capsys.readouterr().out
+    assert content(rows) == want
+
+
+def test_failing_rows_are_read_and_rendered_once(spark, capsys):
+    capsys.readouterr()
+    catalog.all_queries()["quality_failing_rows"](spark, SF).explain(mode="extended")
+    plan = capsys.readouterr().out
+    assert "json_tuple" in plan and "get_json_object" not in plan
+    rows = spark.createDataFrame([(1, None, 9), (2, "x", 9), (3, None, 0), (None, "x", 1)], "a int, b string, c int")
+    checks = [Check("no_b", "t", "not_null", ("b",)), Check("small_c", "t", "expression", expr="c < 5")]
+    found = failing_frame({"t": rows}, checks)
+    assert content(found) == [("no_b", '{"a":1,"c":9}'), ("no_b", '{"a":3,"c":0}'),
+                              ("small_c", '{"a":1,"c":9}'), ("small_c", '{"a":2,"b":"x","c":9}')]
+    found.explain(mode="formatted")
+    generate = capsys.readouterr().out.split(") Generate")[-1].split("\n\n")[0]
+    assert "row_json" in generate  # the text is there before a row is multiplied
