@@ -37,7 +37,7 @@ import itertools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulse.llm.common import let, positions, save, split_listed, whole_rows
+from pulse.llm.common import let, positions, save, split_listed, spread_join, whole_rows
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -45,8 +45,6 @@ RADIUS = 15
 BITS = 64
 #: Bits in which a block of two near fingerprints may differ.
 NEAR = 3
-#: Rows of the index of items (about 200 bytes each) up to which it is broadcast; beyond, it is joined by shuffle.
-LISTED = 1_000_000
 BROADCAST = 500_000
 APART = r"[^\p{L}\p{N}]+"
 
@@ -100,9 +98,24 @@ def _neighbours(radius: int) -> Column:
     return F.transform(F.lit(_masks(radius)), lambda m: F.col("bits").bitwiseXOR(m.cast("long")))
 
 
-def _listed(radius: int) -> int:
-    """Rows under which an item is listed."""
-    return _block_count(radius) * len(_masks(radius))
+def _near(windows: DataFrame, items: DataFrame, key: list[str], radius: int) -> DataFrame:
+    """(key, cut, item) for the windows (key, cut, fp) and items (item, length, fp) of one length within the radius.
+
+    Only distinct fingerprints meet, so a passage that many documents hold is
+    one row.  The index (2,788 rows an item) is joined by shuffle: a broadcast
+    of it would be held whole by the driver."""
+    seen = windows.select("length", "fp").distinct().select(
+        "length", "fp", F.posexplode(_blocks(radius)).alias("block", "bits"))
+    index = (items.select("length", "fp").distinct()
+             .select("length", F.col("fp").alias("ifp"), F.posexplode(_blocks(radius)).alias("block", "bits"))
+             .withColumn("bits", F.explode(_neighbours(radius))))
+    pairs = (seen.join(index.hint("merge"), ["length", "block", "bits"])
+             .filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= radius)
+             .select("length", "fp", "ifp").distinct()
+             .join(items.select("item", "length", F.col("fp").alias("ifp")), ["length", "ifp"])
+             .select("length", "fp", "item"))
+    met = spread_join(windows, pairs, (F.col("r.length") == F.col("g.length")) & (F.col("r.fp") == F.col("g.fp")), salts=8)
+    return met.select(*[f"r.{c}" for c in (*key, "cut")], "g.item")
 
 
 def _windows(hits: DataFrame, similarity: float) -> DataFrame:
@@ -149,17 +162,12 @@ def _matches(texts: DataFrame, items: DataFrame, size: int, similarity: float, r
             F.greatest(F.col("w.start") + F.col("w.length") - F.greatest(F.col("w.start"), F.lit(0)), F.lit(0)))).alias("h"))
     key = ["doc", "start", "length"]
     cut = save(cut.groupBy(*key, "h").agg(F.count(F.lit(1)).alias("c")), "window-shingles")
-    window_fp = _simhash(cut.withColumn("h", F.explode(F.array_repeat("h", F.col("c").cast("int")))), key)
-    item_fp = _simhash(placed, ["item"])
-
-    w = window_fp.select(*key, F.col("n").alias("cut"), "fp", F.posexplode(_blocks(radius)).alias("block", "bits"))
-    i = (item_fp.select("item", F.col("n").cast("int").alias("length"), F.col("fp").alias("ifp"),
-                        F.posexplode(_blocks(radius)).alias("block", "bits"))
-         .withColumn("bits", F.explode(_neighbours(radius))))
-    i = F.broadcast(i) if item_fp.count() * _listed(radius) <= LISTED else i.hint("merge")
-    near = (w.join(i, ["length", "block", "bits"])
-            .filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= radius)
-            .select(*key, "cut", "item").distinct())
+    # stored, so that the driver never plans these wide aggregates together
+    window_fp = save(_simhash(cut.withColumn("h", F.explode(F.array_repeat("h", F.col("c").cast("int")))), key)
+                     .withColumnRenamed("n", "cut"), "window-fingerprints")
+    item_fp = save(_simhash(placed, ["item"]).select("item", F.col("n").cast("int").alias("length"), "fp"),
+                   "item-fingerprints")
+    near = save(_near(window_fp, item_fp, key, radius), "near-windows")
     counts = placed.groupBy("item", "h").agg(F.count(F.lit(1)).alias("ic"))
     shared = (near.join(cut, key).join(counts, ["item", "h"])
               .groupBy(*key, "cut", "item").agg(F.sum(F.least("c", "ic")).alias("both")))
