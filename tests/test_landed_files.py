@@ -1,10 +1,14 @@
 """Landed XML files: one task reads a file whole, so none may follow the input's size."""
 
+import datetime as dt
+
+from pyspark.sql import functions as F
+
 from pulse.domain import LOADED_AT
 from pulse.operators.quality import Check, failing_frame
 from pulse.plans import catalog
 from pulse.session import shared_dir, stored_bytes
-from pulse.sources import feed, payloads, register_xml
+from pulse.sources import bindings, feed, payloads, register_xml
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,6 +30,40 @@ def test_files_of_the_dump_are_bounded(spark, monkeypatch):
     assert content(register_xml.read_register_xml(spark, path, run_ts=LOADED_AT)) == want
 
 
+def store_orders(spark, at, n):
+    """Tables of ``n`` orders with two lines each, then one order without customer, date or lines, twice."""
+    day = dt.datetime(2001, 2, 3)
+    orders = [(k, k % 7, "OFP"[k % 3], 1.0, day + dt.timedelta(days=k % 900), f"{k % 5}-LIMITED & <CO>") for k in range(n)]
+    lines = [(k, 1, k % 11 + i, i + 1, 1.0, 1.0, 0.0, 0.0, "RN"[(k + i) % 2], "O", day) for k in range(n) for i in range(2)]
+    rows = {"orders": orders + [(n, None, None, None, None, None)] * 2, "lineitem": lines,
+            "customer": [(k, f"c{k}", k % 3, 1.0, "m") for k in range(6)] + [(6, None, None, None, None)]}
+    for name, r in rows.items():
+        spark.createDataFrame(r, bindings.TABLE_SCHEMAS[name]).write.parquet(f"{at}/{name}.parquet")
+    spark.createDataFrame([(0, "NORTH"), (1, "ÕUE"), (2, None)], "n_nationkey int, n_name string").write.parquet(f"{at}/nation.parquet")
+
+
+def test_the_landed_dump_takes_a_small_part_of_its_text(spark):
+    at = shared_dir(spark, "orders")
+    store_orders(spark, at, 5000)
+    path = shared_dir(spark, "dump")
+    payloads.write_register_dump(spark, at, path)
+    text = payloads.register_dump(spark, at).agg(F.sum(F.length("xml"))).first()[0]
+    assert stored_bytes(spark, path) * 5 < text
+    landed = content(register_xml.read_register_xml(spark, path, run_ts=LOADED_AT))
+    assert len(landed) == 5002
+    assert landed == content(catalog.all_queries()["register_xml_parse"](spark, at))
+    assert landed == content(catalog.all_queries()["register_xml_scan"](spark, at))
+
+
+def test_a_dump_without_orders_lands_and_reads_empty(spark):
+    at = shared_dir(spark, "no-orders")
+    store_orders(spark, f"{at}-all", 3)
+    for name in ("orders", "lineitem", "customer", "nation"):
+        some = spark.read.parquet(f"{at}-all/{name}.parquet")
+        (some.limit(0) if name in ("orders", "lineitem") else some).write.parquet(f"{at}/{name}.parquet")
+    assert content(catalog.all_queries()["register_xml_scan"](spark, at)) == []
+
+
 def test_files_of_feed_pages_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(payloads, "PAGES_PER_FILE", 2)
     pages = payloads.feed_page_records(spark, SF)
